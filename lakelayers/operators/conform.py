@@ -6,12 +6,10 @@ from collections.abc import Callable, Mapping, Sequence
 from datetime import timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A dimension of at most this many rows is sent to every task.
-BROADCAST_ROWS = 200_000
 # A key with more than this share of the rows is spread over several tasks.
 HOT_SHARE = 0.01
 HOT_SPREAD = 64
@@ -79,16 +77,26 @@ def from_cutoff(df: DataFrame, column: str, cutoff: str) -> DataFrame:
 def join_dimension(fact: DataFrame, dim: DataFrame, on: Sequence[str]) -> DataFrame:
     """Left join of facts to a dimension that has each key once.
 
-    A dimension counted to be small is broadcast. Otherwise both sides are
-    shuffled, with the few keys that hold more than ``HOT_SHARE`` of the facts
-    spread over ``HOT_SPREAD`` tasks and their dimension rows copied to each.
+    A dimension below the session's broadcast limit is left to Spark, which
+    broadcasts it. For a bigger one both sides are shuffled, with the few keys
+    that hold more than ``HOT_SHARE`` of the facts spread over ``HOT_SPREAD``
+    tasks and their dimension rows copied to each.
     """
     on = list(on)
-    if dim.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        return fact.join(F.broadcast(dim), on, "left")
+    if planned_bytes(dim) <= broadcast_limit(dim.sparkSession):
+        return fact.join(dim, on, "left")
     return _salted_left_join(fact, dim, on, hot_keys(fact, on))
 
 
+def planned_bytes(df: DataFrame) -> int:
+    """Spark's own size estimate, from file sizes and column widths."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def broadcast_limit(spark: SparkSession) -> int:
+    return spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+
+
 def hot_keys(fact: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
     """Keys with more than ``share`` of all rows; at most ``1 / share`` of them."""
     counts = fact.groupBy(*on).agg(F.count("*").alias("_n"))

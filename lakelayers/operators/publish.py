@@ -3,7 +3,7 @@
 Layout of one table under the target root::
 
     <root>/<schema>/<table>/_write=<id>/_part=<p>/*.parquet   rows, never changed
-    <root>/<schema>/<table>/_versions/v=<n>/                  one line of JSON
+    <root>/<schema>/<table>/_versions/<n>.json                what is current
 
 Every write makes a new ``_write`` folder. A version says which
 ``(_write, _part)`` folders are current, so a merge rewrites only the parts it
@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakelayers.session import hadoop_path
+from lakelayers.session import hadoop_path, read_text, write_text
 
 WHOLE = "all"
 NO_DATE = "none"
@@ -98,9 +98,9 @@ class TableStore:
         return [s.getPath().toString() for s in fs.globStatus(jpath) or []]
 
     def versions(self, name: str) -> list[int]:
-        """Numbers of the versions that were written to the end."""
-        done = self._names(f"{self.path(name)}/_versions/v=*/_SUCCESS")
-        return sorted(int(p.rsplit("v=", 1)[1].split("/")[0]) for p in done)
+        """Numbers of the published versions, oldest first."""
+        files = self._names(f"{self.path(name)}/_versions/*.json")
+        return sorted(int(p.rsplit("/", 1)[1].removesuffix(".json")) for p in files)
 
     def version(self, name: str, number: int | None = None) -> Version | None:
         """One version, the newest by default; None if there is none."""
@@ -109,8 +109,7 @@ class TableStore:
             if not numbers:
                 return None
             number = numbers[-1]
-        line = self.spark.read.text(f"{self.path(name)}/_versions/v={number}").first()
-        return Version.from_json(line[0])
+        return Version.from_json(read_text(self.spark, f"{self.path(name)}/_versions/{number}.json"))
 
     def names(self) -> list[str]:
         """All published tables, as ``schema.table``."""
@@ -168,9 +167,10 @@ class TableStore:
         return sorted(p.rsplit("_part=", 1)[1] for p in found)
 
     def commit(self, name: str, v: Version) -> Version:
-        """Make ``v`` the current version, then drop what only old ones used."""
-        line = self.spark.createDataFrame([(v.to_json(),)], "value string").coalesce(1)
-        line.write.mode("overwrite").text(f"{self.path(name)}/_versions/v={v.number}")
+        """Make ``v`` the current version, then drop what no kept one uses."""
+        path = f"{self.path(name)}/_versions/{v.number}.json"
+        if not write_text(self.spark, path, v.to_json()):
+            raise RuntimeError(f"another writer published version {v.number} of {name}")
         self.expire(name)
         return v
 
@@ -214,19 +214,24 @@ class TableStore:
         )
 
     def expire(self, name: str) -> None:
-        """Delete versions before the last ``keep`` and rows only they named."""
+        """Delete versions before the last ``keep``, and the rows that no kept
+        version names: theirs only, or left by a job that died."""
         numbers = self.versions(name)
         gone, live = numbers[: -self.keep], numbers[-self.keep :]
-        if not gone:
-            return
-        def used(vs: list[int]) -> set[tuple[str, str]]:
-            return {
-                (w, p) for n in vs for p, writes in self.version(name, n).parts.items() for w in writes
-            }
-        for write_id, p in used(gone) - used(live):
-            self._delete(f"{self.path(name)}/_write={write_id}/_part={p}")
+        used: dict[str, set[str]] = {}
+        for n in live:
+            for p, writes in self.version(name, n).parts.items():
+                for w in writes:
+                    used.setdefault(w, set()).add(p)
         for n in gone:
-            self._delete(f"{self.path(name)}/_versions/v={n}")
+            self._delete(f"{self.path(name)}/_versions/{n}.json")
+        for folder in self._names(f"{self.path(name)}/_write=*"):
+            write_id = folder.rsplit("_write=", 1)[1]
+            if write_id not in used:
+                self._delete(folder)
+            elif gone:
+                for p in set(self.written_parts(name, write_id)) - used[write_id]:
+                    self._delete(f"{folder}/_part={p}")
 
     def _delete(self, path: str) -> None:
         fs, jpath = hadoop_path(self.spark, path)
@@ -270,8 +275,10 @@ class TableStore:
             added = " ".join(f"PARTITION (`_write`='{w}', `_part`='{p}')" for w, p in current[i : i + 500])
             self.spark.sql(f"ALTER TABLE {table} ADD {added}")
         create_latest_version_view(self.spark, table, name, v.schema.names)
-        for n in range(max(1, v.number - self.keep), v.number):
-            self.spark.sql(f"DROP TABLE IF EXISTS {name}__v{n}")
+        kept = {f"{name}__v{n}" for n in self.versions(name)}
+        for row in self.spark.sql(f"SHOW TABLES IN {schema} LIKE '{name.split('.')[1]}__v*'").collect():
+            if f"{schema}.{row['tableName']}" not in kept:
+                self.spark.sql(f"DROP TABLE IF EXISTS {schema}.{row['tableName']}")
 
     def publish_views(self) -> list[str]:
         """All views anew, as at the start of a session without a metastore."""

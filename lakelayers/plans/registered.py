@@ -448,10 +448,10 @@ def stream_dedup_events(ctx: Context) -> DataFrame:
     events = ctx.sources.table("events")
     again = events.filter(F.col("event_id") % 10 == 0)
     events.unionByName(again).write.parquet(f"{folder}/drop")
-    ingest.use_disk_state(ctx.spark)
     stream = ctx.spark.readStream.schema(events.schema).parquet(f"{folder}/drop")
     once = ingest.drop_repeats(stream, ["event_id"], "ts")
-    ingest.append_files(once, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    with ingest.state_settings(ctx.spark):
+        ingest.append_files(once, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
     return ctx.spark.read.schema(once.schema).parquet(f"{folder}/out")
 
 

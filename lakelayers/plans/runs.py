@@ -7,9 +7,11 @@ was published before it stays.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
 from lakelayers import settings
@@ -82,19 +84,27 @@ def run_snapshots(ctx: Context, report: Report) -> None:
 
 
 def run_bronze(ctx: Context, report: Report, full: bool) -> None:
-    for store, table in ORDER_TABLES.items():
-        v = ctx.tables.version(table)
-        layout = layout_for("created_at_date", ctx.sources.stored_bytes(settings.STORE_SOURCES[store], "orders"))
-        rows = bronze.store_orders(ctx, store)
-        if full or v is None:
-            new = ctx.tables.replace(table, rows, layout)
-            report.touched |= set(new.parts) | set(v.parts if v else ())
-        else:
-            changes = changed_rows(rows, ctx.tables.read_version(table, v), "updated_at")
-            result = merge(ctx.tables, table, changes, ["order_id"], layout)
-            new = result.version
-            report.touched |= set(result.touched)
-        report.add("bronze", table, new.number)
+    """The stores do not depend on each other, so their jobs share the cluster."""
+    with ThreadPoolExecutor(max_workers=len(ORDER_TABLES)) as pool:
+        done = [pool.submit(inheritable_thread_target(ctx.spark)(_load_store), ctx, s, full) for s in ORDER_TABLES]
+    for store, outcome in zip(ORDER_TABLES, done):
+        number, touched = outcome.result()
+        report.touched |= touched
+        report.add("bronze", ORDER_TABLES[store], number)
+
+
+def _load_store(ctx: Context, store: str, full: bool) -> tuple[int, set[str]]:
+    """Bring one store's table up to date: its version and the parts that changed."""
+    table = ORDER_TABLES[store]
+    v = ctx.tables.version(table)
+    rows = bronze.store_orders(ctx, store)
+    if full or v is None:
+        stored = ctx.sources.stored_bytes(settings.STORE_SOURCES[store], "orders")
+        new = ctx.tables.replace(table, rows, layout_for("created_at_date", stored))
+        return new.number, set(new.parts) | set(v.parts if v else ())
+    changes = changed_rows(rows, ctx.tables.read_version(table, v), "updated_at")
+    result = merge(ctx.tables, table, changes, ["order_id"])
+    return result.version.number, set(result.touched)
 
 
 def bronze_orders(ctx: Context, parts: list[str] | None = None) -> DataFrame:

@@ -25,9 +25,14 @@ PLAN_CONF = {
 }
 
 SHUFFLE_BYTES_PER_TASK = 128 << 20
-# Parquet to shuffle rows: decoded rows are several times the stored bytes.
-DECODED_PER_STORED = 4
-MAX_SHUFFLE_PARTITIONS = 100_000
+# Parquet to shuffle rows: what is decoded takes more than what was stored.
+DECODED_PER_STORED = 2
+MAX_SHUFFLE_PARTITIONS = 32_768
+SCAN_BYTES_PER_TASK = (128 << 20, 512 << 20)
+MAX_SCAN_TASKS = 200_000
+# From this input on, adaptive execution aims at fewer and bigger files.
+BIG_INPUT = 1 << 40
+BIG_FILE_BYTES = 256 << 20
 
 
 def build_session(app: str = "lakelayers", run: str = "daily", **conf: str) -> SparkSession:
@@ -60,18 +65,49 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(jpath).getLength() if fs.exists(jpath) else 0
 
 
-def size_shuffle(spark: SparkSession, input_bytes: int) -> int:
-    """Raise the shuffle width so that one task holds about 128 MB.
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, jpath = hadoop_path(spark, path)
+    stream = fs.open(jpath)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
 
-    Only ever raises: adaptive execution merges partitions that turn out small,
-    but cannot split the map side of a shuffle that was planned too narrow.
+def write_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Put a small file in place in one step; False if it is there already."""
+    fs, jpath = hadoop_path(spark, path)
+    _, part = hadoop_path(spark, f"{path}.{uuid.uuid4().hex}")
+    if fs.exists(jpath):
+        return False
+    stream = fs.create(part)
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
+    return fs.rename(part, jpath)
+
+
+def size_tasks(spark: SparkSession, input_bytes: int) -> None:
+    """Fit scan and shuffle tasks to the input of the coming queries.
+
+    Only ever raises what is set. Shuffles get one task per 128 MB: adaptive
+    execution merges the ones that turn out small, but cannot widen a shuffle
+    that was planned too narrow. Scans of huge inputs get longer splits, to
+    bound the number of map outputs.
     """
-    now = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = math.ceil(input_bytes * DECODED_PER_STORED / SHUFFLE_BYTES_PER_TASK)
-    width = max(now, min(wanted, MAX_SHUFFLE_PARTITIONS))
-    if width != now:
-        spark.conf.set("spark.sql.shuffle.partitions", str(width))
-    return width
+    width = min(math.ceil(input_bytes * DECODED_PER_STORED / SHUFFLE_BYTES_PER_TASK), MAX_SHUFFLE_PARTITIONS)
+    _raise(spark, "spark.sql.shuffle.partitions", width)
+    low, high = SCAN_BYTES_PER_TASK
+    _raise(spark, "spark.sql.files.maxPartitionBytes", max(low, min(high, input_bytes // MAX_SCAN_TASKS)))
+    if input_bytes >= BIG_INPUT:
+        _raise(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", BIG_FILE_BYTES)
+
+
+def _raise(spark: SparkSession, key: str, value: int) -> None:
+    now = spark.conf.get(key)
+    if now.rstrip("bB").isdigit() and value > int(now.rstrip("bB")):
+        spark.conf.set(key, str(value))
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:

@@ -69,13 +69,13 @@ class ParquetSources:
         self.spark = spark
         self.root = root.rstrip("/")
         self.schemas = schemas or {}
-        session.size_shuffle(spark, session.stored_bytes(spark, self.root))
 
     def path(self, source: str, table: str) -> str:
         require(source, table)
         return f"{self.root}/{source}/{table}"
 
     def scan(self, source: str, table: str) -> DataFrame:
+        session.size_tasks(self.spark, self.stored_bytes(source, table))
         reader = self.spark.read
         if (source, table) in self.schemas:
             reader = reader.schema(self.schemas[source, table])

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lakelayers.operators.conform import latest_per_key
@@ -14,21 +16,45 @@ from lakelayers.operators.publish import Layout, TableStore
 
 # Keeps state on executor disks, so it may outgrow the heap.
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE_TASKS_PER_CORE = 4
 
 
-def use_disk_state(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+@contextmanager
+def state_settings(spark: SparkSession) -> Iterator[None]:
+    """Settings for starting a stream that keeps state.
+
+    A stream keeps the shuffle width it is first started with, one state store
+    per task, so the width follows the cluster and not one input's size.
+    """
+    wanted = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    most = STATE_TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    wanted["spark.sql.shuffle.partitions"] = str(min(width, most))
+    before = {key: spark.conf.get(key) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def drop_repeats(
-    stream: DataFrame, keys: Sequence[str], event_time: str, delay: str = "1 hour"
+    stream: DataFrame, keys: Sequence[str], event_time: str, delay: str = "1 hour", spread: bool = True
 ) -> DataFrame:
     """The first arrival of each key; its copies within ``delay`` are dropped.
 
     State of a key is let go once the watermark has passed it by ``delay``.
+    With ``spread``, copies are first dropped per input split, so a key that
+    makes up much of the stream does not meet in one task.
     """
-    timed = stream.withColumn(event_time, stream[event_time].cast("timestamp"))
-    return timed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
+    keys = list(keys)
+    rows = stream.withColumn(event_time, stream[event_time].cast("timestamp")).withWatermark(event_time, delay)
+    if spread:
+        rows = rows.withColumn("_split", F.spark_partition_id())
+        rows = rows.dropDuplicatesWithinWatermark([*keys, "_split"]).drop("_split")
+    return rows.dropDuplicatesWithinWatermark(keys)
 
 
 def append_files(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

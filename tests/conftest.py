@@ -1,0 +1,40 @@
+import os
+import sys
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
+from pyspark.sql import SparkSession  # noqa: E402
+
+from lakelayers import session  # noqa: E402
+from lakelayers.operators.publish import TableStore  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    spark = (
+        SparkSession.builder.master("local[4]")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.driver.memory", "4g")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("scratch")))
+        .getOrCreate()
+    )
+    spark.sparkContext.setLogLevel("ERROR")
+    session.pin(spark)
+    yield spark
+    spark.stop()
+
+
+@pytest.fixture
+def store(spark, tmp_path):
+    return TableStore(spark, str(tmp_path / "lake"))
+
+
+def rows(df, *columns):
+    """The rows as sorted tuples."""
+    return sorted((tuple(r) for r in df.select(*columns or df.columns).collect()), key=repr)

@@ -1,0 +1,77 @@
+from datetime import date, datetime
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from lakelayers import settings
+from lakelayers.functions import expressions as x
+
+
+def one(spark, column, value, kind):
+    return spark.createDataFrame([(value,)], f"v {kind}").select(column.alias("r")).first()["r"]
+
+
+@pytest.mark.parametrize("amount, dollars", [
+    (100.5, 1.01), (55005.5, 550.06), (3842.5, 38.43), (3674.5, 36.75), (12800.0, 128.0), (-100.5, -1.01), (None, None),
+])
+def test_cents_to_dollars_rounds_half_up(spark, amount, dollars):
+    assert one(spark, x.cents_to_dollars("v"), amount, "double") == dollars
+
+
+def test_cents_to_dollars_of_text_scale_and_divisor(spark):
+    assert one(spark, x.cents_to_dollars("v"), "12345", "string") == 123.45
+    assert one(spark, x.cents_to_dollars("v", scale=1), "12345", "string") == 123.5
+    assert one(spark, x.cents_to_dollars("v", divisor=1.0), "12345", "string") == 12345.0
+
+
+def test_bad_amount_raises(spark):
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        one(spark, x.cents_to_dollars("v"), "twelve", "string")
+
+
+@pytest.mark.parametrize("price, taxed", [(128.0, 140.8), (168.0, 184.8), (96.0, 105.6)])
+def test_price_with_tax(spark, price, taxed):
+    assert one(spark, x.price_with_tax("v"), price, "double") == taxed
+
+
+def test_case_map(spark):
+    df = spark.createDataFrame([("1",), ("2",), ("9",), (None,), ("it's",)], "v string")
+    mapped = df.select("v", x.case_map("v", {"1": "active", "2": "inactive", "it's": "quote's"}).alias("r"))
+    assert dict(rows(mapped)) == {
+        "1": "active", "2": "inactive", "9": "other", None: "other", "it's": "quote's",
+    }
+
+
+def test_case_map_compares_as_text_and_may_be_empty(spark):
+    assert one(spark, x.case_map("v", {"1": "one"}), 1, "int") == "one"
+    assert one(spark, x.case_map("v", {}, "none"), 1, "int") == "none"
+
+
+def test_store_maps(spark):
+    stores = [*settings.STORE_CURRENCY, "unknown"]
+    df = spark.createDataFrame([(s,) for s in stores], "v string")
+    got = {r.v: (r.cur, r.code) for r in df.select("v", x.store_currency("v").alias("cur"), x.store_code("v").alias("code")).collect()}
+    assert got["yoga-canada"] == ("CAD", "CA")
+    assert got["yoga-kor"] == ("KRW", None)
+    assert got["unknown"] == (None, None)
+
+
+def test_local_time_follows_daylight_saving(spark):
+    winter, summer = datetime(2024, 1, 15, 7, 59), datetime(2024, 7, 15, 6, 59)
+    df = spark.sql("SELECT timestamp'2024-01-15 07:59:00' AS w, timestamp'2024-07-15 06:59:00' AS s")
+    r = df.select(x.local_date("w").alias("w"), x.local_date("s").alias("s")).first()
+    assert (r.w, r.s) == (date(winter.year, 1, 14), date(summer.year, 7, 14))
+
+
+def test_money_sum_does_not_depend_on_order(spark):
+    df = spark.range(1000).select((F.col("id") / 100).alias("v")).repartition(7)
+    assert df.agg(x.money_sum("v")).first()[0] == 4995.0
+    assert df.filter("id < 0").agg(x.money_mean("v")).first()[0] is None
+
+
+def test_cutoffs_per_environment_and_override():
+    assert settings.cutoff("graphql_cut_off_datetime", "dev") == "2025-02-10T00:00:00"
+    assert settings.cutoff("graphql_cut_off_datetime", "prod") == "2025-02-25T00:00:00"
+    assert settings.cutoff("preorder_cutoff_date", "ci") == "2026-02-24"
+    assert settings.cutoff("retention_date", "dev", {"retention_date": "2020-01-01"}) == "2020-01-01"

@@ -1,0 +1,104 @@
+from datetime import datetime
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from lakelayers.operators.history import CLOSED, snapshot
+from lakelayers.operators.merge import DuplicateKeyError
+
+NAME = "snapshots.t"
+
+
+def day(n):
+    return datetime(2024, 1, n)
+
+
+def lit(moment):
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp")
+
+
+def source(spark, data):
+    """(id, value, day of January it was updated)"""
+    df = spark.createDataFrame(data, "id bigint, v string, d int")
+    return df.selectExpr("id", "v", "make_timestamp(2024, 1, d, 0, 0, 0) AS updated_at")
+
+
+def take(spark, store, data, run, **mode):
+    mode = mode or {"updated_at": "updated_at"}
+    return snapshot(store, NAME, source(spark, data), ["id"], lit(day(run)), **mode)
+
+
+def history(store):
+    df = store.read(NAME).selectExpr("id", "v", "day(valid_from) AS f", "day(valid_to) AS t", "is_current")
+    return rows(df)
+
+
+def test_all_outcomes(spark, store):
+    take(spark, store, [(1, "same", 1), (2, "old", 1), (3, "gone", 1)], 5)
+    assert history(store) == [(1, "same", 1, None, True), (2, "old", 1, None, True), (3, "gone", 1, None, True)]
+    take(spark, store, [(1, "same", 1), (2, "new", 6), (4, "added", 7)], 10)
+    assert history(store) == [
+        (1, "same", 1, None, True),
+        (2, "new", 6, None, True),
+        (2, "old", 1, 6, False),
+        (3, "gone", 1, 10, False),
+        (4, "added", 7, None, True),
+    ]
+    take(spark, store, [(1, "same", 1), (2, "new", 6), (3, "back", 12), (4, "added", 7)], 15)
+    assert [h for h in history(store) if h[0] == 3] == [(3, "back", 12, None, True), (3, "gone", 1, 10, False)]
+
+
+def test_same_time_is_no_change(spark, store):
+    take(spark, store, [(1, "a", 3)], 5)
+    take(spark, store, [(1, "b", 3)], 6)
+    take(spark, store, [(1, "c", 2)], 7)
+    assert history(store) == [(1, "a", 3, None, True)]
+
+
+def test_check_mode_uses_the_run_time(spark, store):
+    take(spark, store, [(1, "a", 1), (2, None, 1)], 5, check=["v"])
+    take(spark, store, [(1, "b", 1), (2, None, 9)], 6, check=["v"])
+    take(spark, store, [(1, None, 1), (2, "x", 9)], 7, check=["v"])
+    assert history(store) == [
+        (1, "a", 5, 6, False),
+        (1, "b", 6, 7, False),
+        (1, None, 7, None, True),
+        (2, "x", 7, None, True),
+        (2, None, 5, 7, False),
+    ]
+
+
+def test_snapshot_twice_changes_nothing(spark, store):
+    take(spark, store, [(1, "a", 1), (2, "b", 1)], 5)
+    take(spark, store, [(1, "A", 6)], 7)
+    once = history(store)
+    take(spark, store, [(1, "A", 6)], 8)
+    assert history(store) == once
+
+
+def test_closed_rows_are_not_written_again(spark, store):
+    take(spark, store, [(1, "a", 1)], 5)
+    second = take(spark, store, [(1, "b", 6)], 7)
+    third = take(spark, store, [(1, "c", 8)], 9)
+    assert third.parts[CLOSED][0] == second.parts[CLOSED][0] and len(third.parts[CLOSED]) == 2
+    fourth = take(spark, store, [(1, "c", 8)], 10)
+    assert fourth.parts[CLOSED] == third.parts[CLOSED]
+
+
+def test_everything_deleted_and_back(spark, store):
+    take(spark, store, [(1, "a", 1)], 5)
+    take(spark, store, [], 6)
+    assert history(store) == [(1, "a", 1, 6, False)]
+    take(spark, store, [(1, "a", 1)], 7)
+    assert history(store) == [(1, "a", 1, 6, False), (1, "a", 1, None, True)]
+
+
+def test_keys_must_be_known_and_unique(spark, store):
+    with pytest.raises(DuplicateKeyError):
+        take(spark, store, [(1, "a", 1), (1, "b", 1)], 5)
+    with pytest.raises(ValueError, match="without a key"):
+        take(spark, store, [(None, "a", 1)], 5)
+    with pytest.raises(ValueError, match="either"):
+        snapshot(store, NAME, source(spark, []), ["id"], lit(day(1)))
+    assert store.versions(NAME) == []
