@@ -73,6 +73,7 @@ def _run(ctx: Context, snapshots: bool, checks: Sequence[Check], full: bool) ->
     run_bronze(ctx, report, full)
     run_silver(ctx, report)
     run_gold(ctx, report, full)
+    ctx.tables.publish_views()
     report.tests = quality.require_passing(run_tests(ctx, checks))
     return report
 

@@ -1,0 +1,74 @@
+"""Every registered query against its SQL, and the shape of their plans."""
+
+import glob
+import math
+import os
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry_point
+
+FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+QUERIES, ORACLE = entry_point.queries(), entry_point.oracle_sql()
+TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN",
+}
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for path in glob.glob(f"{FOLDER}/*.parquet"):
+        con.execute(f"CREATE VIEW {os.path.basename(path)[:-8]} AS SELECT * FROM '{path}'")
+    return con
+
+
+def plain(value):
+    return None if isinstance(value, float) and math.isnan(value) else value
+
+
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLE)
+
+
+@pytest.mark.parametrize("name", QUERIES)
+def test_query_equals_sql(spark, duck, name):
+    df = QUERIES[name](spark, FOLDER)
+    columns = sorted(df.columns)
+    got = sorted((tuple(plain(r[c]) for c in columns) for r in df.collect()), key=repr)
+    found = duck.execute(ORACLE[name])
+    names = [c[0] for c in found.description]
+    assert sorted(names) == columns
+    order = [names.index(c) for c in columns]
+    want = sorted((tuple(plain(r[i]) for i in order) for r in found.fetchall()), key=repr)
+    assert got == want and got
+    if name != "monitor_schema":
+        assert {c: TYPES[t] for c, t in df.dtypes} == {c[0]: str(c[1]) for c in found.description}
+
+
+def test_entry(spark):
+    df = entry_point.entry(spark)
+    assert df.columns == ["created_at_date", "platform", "currency", "orders", "revenue"]
+    assert df.count() > 0
+
+
+LAZY = [
+    "scan_source_orders", "bronze_orders", "gold_revenue_daily", "revenue_by_month", "silver_dedup", "silver_customers",
+    "silver_orders_enriched", "dq_unique", "dq_not_null", "dq_summary", "source_freshness", "monitor_anomaly",
+]
+
+
+@pytest.mark.parametrize("name", LAZY)
+def test_plans_stay_in_the_engine(spark, name):
+    plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    for bad in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin", "SinglePartition, REPARTITION"):
+        assert bad not in plan
+
+
+def test_flagship_reads_only_what_it_needs(spark):
+    plan = QUERIES["gold_revenue_daily"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    orders = next(line for line in plan.splitlines() if "FileScan" in line and "o_orderkey" in line or "o_orderstatus" in line and "FileScan" in line)
+    assert "o_orderpriority" not in orders and "o_orderkey" not in orders
+    assert plan.count("FileScan") == 2 and "HashAggregate" in plan and "SortAggregate" not in plan
