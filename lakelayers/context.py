@@ -24,6 +24,8 @@ class Context:
     env: str = "dev"
     run_at: datetime | None = None
     vars: dict[str, str] = field(default_factory=dict)
+    materialization: str = "view"
+    """How models that do not say so are kept."""
 
     def __post_init__(self) -> None:
         session.pin(self.spark)
@@ -37,6 +39,14 @@ class Context:
         """The current version of a published table."""
         return self.tables.read(name)
 
+    def table(self, name: str) -> DataFrame:
+        """Any table or view of the session's catalog."""
+        return self.spark.table(name)
+
+    def preview(self, name: str, rows: int = 20) -> DataFrame:
+        """Some rows of a table or view, to look at."""
+        return self.table(name).limit(rows)
+
     def cutoff(self, name: str) -> str:
         return settings.cutoff(name, self.env, self.vars)
 

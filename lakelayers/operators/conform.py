@@ -107,6 +107,8 @@ def hot_keys(fact: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> Da
 def _salted_left_join(fact: DataFrame, dim: DataFrame, on: list[str], hot: DataFrame) -> DataFrame:
     # At most 1 / HOT_SHARE keys, so they fit in the plan as literals.
     found = [tuple(r) for r in hot.collect()]
+    if not found:
+        return fact.join(dim, on, "left")
 
     def is_hot() -> Column:
         one = [

@@ -82,6 +82,8 @@ def merge(
             return MergeResult(v, sorted(v.parts))
 
         fresh = stage(fit_columns(changes, old.schema, "the change set"))
+        if tag is None and fresh.isEmpty():
+            return MergeResult(old, [])
         require_unique(fresh, keys, f"the change set for {name}")
         target = tables.read_version(name, old, with_part=True)
         if newer_by is None:

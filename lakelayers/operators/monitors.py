@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Sequence
 from datetime import timedelta
 from functools import reduce
 
@@ -105,6 +105,5 @@ def schema_changes(spark: SparkSession, old: T.StructType, new: T.StructType) ->
     return spark.createDataFrame(rows, "column_name string, old_type string, new_type string, change string")
 
 
-def union_all(frames: Mapping[str, DataFrame] | list[DataFrame]) -> DataFrame:
-    found = list(frames.values()) if isinstance(frames, Mapping) else frames
-    return reduce(DataFrame.unionByName, found)
+def union_all(frames: Sequence[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)

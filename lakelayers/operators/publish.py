@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from lakelayers.session import hadoop_path, read_text, write_text
 
+ROWS_PER_FILE = 20_000_000
 WHOLE = "all"
 NO_DATE = "none"
 UNIT_FORMATS = {"year": "yyyy", "month": "yyyy-MM", "day": "yyyy-MM-dd"}
@@ -159,7 +160,7 @@ class TableStore:
         if layout.column is not None and part is None:
             rows = rows.hint("rebalance", F.col("_part"), F.col(layout.column))
             rows = rows.sortWithinPartitions("_part", layout.column)
-        rows.write.partitionBy("_part").parquet(f"{self.path(name)}/_write={write_id}")
+        rows.write.option("maxRecordsPerFile", ROWS_PER_FILE).partitionBy("_part").parquet(f"{self.path(name)}/_write={write_id}")
         return write_id
 
     def written_parts(self, name: str, write_id: str) -> list[str]:

@@ -194,10 +194,10 @@ def silver_customers(ctx: Context) -> DataFrame:
     return silver.customers(ctx.sources.scan_stores("customers"))
 
 
-@query
+@writing()
 def silver_orders_enriched(ctx: Context) -> DataFrame:
-    customers = silver.customers(ctx.sources.scan_stores("customers"))
-    return silver.orders_enriched(bronze.all_orders(ctx), customers)
+    ctx.tables.replace(runs.CUSTOMERS, silver.customers(ctx.sources.scan_stores("customers")))
+    return silver.orders_enriched(bronze.all_orders(ctx), ctx.ref(runs.CUSTOMERS))
 
 
 @query

@@ -9,51 +9,68 @@ from __future__ import annotations
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from lakelayers import settings
 from lakelayers.context import Context
 from lakelayers.operators import monitors, quality
-from lakelayers.operators.conform import changed_rows
 from lakelayers.operators.history import snapshot
-from lakelayers.operators.merge import merge
-from lakelayers.operators.publish import as_view, layout_for
 from lakelayers.operators.quality import Check
 from lakelayers.plans import bronze, gold, silver
+from lakelayers.plans.models import Model, Outcome, run_model
+from lakelayers.sources.registry import SOURCES
 
 CUSTOMERS = "silver.silver_customers"
+ORDERS_ENRICHED = "silver.silver_orders"
 REVENUE_DAILY = "gold.gold_revenue_daily"
 REVENUE_MONTHLY = "gold.gold_revenue_monthly"
 SNAPSHOT = "snapshots.customers"
 HISTORY = "mgt.metric_history"
 
 
-def orders_table(store: str) -> str:
-    return f"bronze.br_{settings.STORE_SOURCES[store].removeprefix('src_')}_orders"
+def store_model(store: str) -> Model:
+    """Bronze orders of one store, merged by order."""
+    return Model(
+        f"bronze.br_{settings.STORE_SOURCES[store].removeprefix('src_')}_orders",
+        lambda ctx: bronze.store_orders(ctx, store),
+        "incremental",
+        unique_key=("order_id",),
+        cluster_by="created_at_date",
+        changed_on="updated_at",
+    )
 
 
-ORDER_TABLES = {store: orders_table(store) for store in settings.STORE_SOURCES}
+STORE_MODELS = {store: store_model(store) for store in settings.STORE_SOURCES}
+ORDER_TABLES = tuple(m.name for m in STORE_MODELS.values())
+
+SILVER_MODELS = (
+    Model(CUSTOMERS, lambda ctx: silver.customers(ctx.sources.scan_stores("customers")), "table"),
+    # Not stored: a stored copy would have to be rebuilt whenever a customer changes.
+    Model(ORDERS_ENRICHED, lambda ctx: silver.orders_enriched(bronze_orders(ctx), ctx.ref(CUSTOMERS)), "view"),
+)
+
+# Months are sums of days, and there are far fewer days than orders.
+MONTHLY_MODEL = Model(REVENUE_MONTHLY, lambda ctx: gold.roll_up_months(ctx.ref(REVENUE_DAILY)), "table")
 
 CHECKS: tuple[Check, ...] = (
-    *(Check(t, "not_null", ("order_id",)) for t in ORDER_TABLES.values()),
-    *(Check(t, "unique", ("order_id",)) for t in ORDER_TABLES.values()),
+    *(Check(t, "not_null", ("order_id",)) for t in ORDER_TABLES),
+    *(Check(t, "unique", ("order_id",)) for t in ORDER_TABLES),
     Check(CUSTOMERS, "unique", ("platform", "customer_id")),
 )
 
 
 @dataclass
 class Report:
-    steps: list[tuple[str, str, int]] = field(default_factory=list)
-    """(layer, table, published version) in the order they ran."""
+    """What a run did, in order, and the results of its data tests."""
+
+    steps: list[Outcome] = field(default_factory=list)
     tests: list = field(default_factory=list)
-    touched: set[str] = field(default_factory=set)
-    """Date parts whose bronze orders changed."""
 
-    def add(self, layer: str, table: str, version: int) -> None:
-        self.steps.append((layer, table, version))
+    def touched(self, layer: str) -> set[str]:
+        return set().union(*(s.touched for s in self.steps if s.layer == layer))
 
 
 def run_daily(ctx: Context, snapshots: bool = True, checks: Sequence[Check] = CHECKS) -> Report:
@@ -69,73 +86,55 @@ def run_full_refresh(ctx: Context, checks: Sequence[Check] = CHECKS) -> Report:
 def _run(ctx: Context, snapshots: bool, checks: Sequence[Check], full: bool) -> Report:
     report = Report()
     if snapshots:
-        run_snapshots(ctx, report)
-    run_bronze(ctx, report, full)
-    run_silver(ctx, report)
-    run_gold(ctx, report, full)
+        report.steps.append(run_snapshots(ctx))
+    report.steps += run_bronze(ctx, full)
+    report.steps += [run_model(ctx, m, full) for m in SILVER_MODELS]
+    report.steps.append(run_revenue_daily(ctx, report.touched("bronze"), full))
+    report.steps.append(run_model(ctx, MONTHLY_MODEL, full))
     ctx.tables.publish_views()
     report.tests = quality.require_passing(run_tests(ctx, checks))
     return report
 
 
-def run_snapshots(ctx: Context, report: Report) -> None:
+def run_snapshots(ctx: Context) -> Outcome:
     now = silver.customers(ctx.sources.scan_stores("customers"))
     v = snapshot(ctx.tables, SNAPSHOT, now, ["platform", "customer_id"], ctx.now, updated_at="updated_at")
-    report.add("snapshots", SNAPSHOT, v.number)
+    return Outcome("snapshots", SNAPSHOT, v.number)
 
 
-def run_bronze(ctx: Context, report: Report, full: bool) -> None:
+def run_bronze(ctx: Context, full: bool) -> list[Outcome]:
     """The stores do not depend on each other, so their jobs share the cluster."""
-    with ThreadPoolExecutor(max_workers=len(ORDER_TABLES)) as pool:
-        done = [pool.submit(inheritable_thread_target(ctx.spark)(_load_store), ctx, s, full) for s in ORDER_TABLES]
-    for store, outcome in zip(ORDER_TABLES, done):
-        number, touched = outcome.result()
-        report.touched |= touched
-        report.add("bronze", ORDER_TABLES[store], number)
-
-
-def _load_store(ctx: Context, store: str, full: bool) -> tuple[int, set[str]]:
-    """Bring one store's table up to date: its version and the parts that changed."""
-    table = ORDER_TABLES[store]
-    v = ctx.tables.version(table)
-    rows = bronze.store_orders(ctx, store)
-    if full or v is None:
+
+    def load(store: str) -> Outcome:
         stored = ctx.sources.stored_bytes(settings.STORE_SOURCES[store], "orders")
-        new = ctx.tables.replace(table, rows, layout_for("created_at_date", stored))
-        return new.number, set(new.parts) | set(v.parts if v else ())
-    changes = changed_rows(rows, ctx.tables.read_version(table, v), "updated_at")
-    result = merge(ctx.tables, table, changes, ["order_id"])
-    return result.version.number, set(result.touched)
+        return run_model(ctx, STORE_MODELS[store], full, stored)
+
+    with ThreadPoolExecutor(max_workers=len(STORE_MODELS)) as pool:
+        started = [pool.submit(inheritable_thread_target(ctx.spark)(load), store) for store in STORE_MODELS]
+    return [s.result() for s in started]
 
 
 def bronze_orders(ctx: Context, parts: list[str] | None = None) -> DataFrame:
     """All stores' published bronze orders, or those of some date parts."""
-    return reduce(DataFrame.unionByName, [ctx.tables.read(t, parts=parts) for t in ORDER_TABLES.values()])
+    return monitors.union_all([ctx.tables.read(t, parts=parts) for t in ORDER_TABLES])
 
 
-def run_silver(ctx: Context, report: Report) -> None:
-    v = ctx.tables.replace(CUSTOMERS, silver.customers(ctx.sources.scan_stores("customers")))
-    report.add("silver", CUSTOMERS, v.number)
-    # Not stored: a stored copy would have to be rebuilt whenever a customer changes.
-    as_view(silver.orders_enriched(bronze_orders(ctx), ctx.ref(CUSTOMERS)), "silver_orders")
+def run_revenue_daily(ctx: Context, touched: set[str], full: bool) -> Outcome:
+    """Daily revenue, recomputed for the parts whose bronze orders changed.
 
-
-def run_gold(ctx: Context, report: Report, full: bool) -> None:
-    layout = ctx.tables.version(orders_table("yoga-us")).layout
+    A day belongs to one part, so no other part can change.
+    """
+    layouts = {ctx.tables.version(t).layout for t in ORDER_TABLES}
+    layout = min(layouts, key=lambda at: at.unit)  # days before months before years
     old = ctx.tables.version(REVENUE_DAILY)
-    same_parts = all(ctx.tables.version(t).layout == layout for t in ORDER_TABLES.values())
-    if full or old is None or old.layout != layout or not same_parts:
+    if full or old is None or layouts != {old.layout}:
         v = ctx.tables.replace(REVENUE_DAILY, gold.revenue_daily(bronze_orders(ctx)), layout)
-    elif report.touched:
-        # A day belongs to one part, so only the touched parts can change.
-        parts = sorted(report.touched)
+    elif touched:
+        parts = sorted(touched)
         v = ctx.tables.replace_parts(REVENUE_DAILY, gold.revenue_daily(bronze_orders(ctx, parts)), parts)
     else:
         v = old
-    report.add("gold", REVENUE_DAILY, v.number)
-    # Months are sums of days, and there are far fewer days than orders.
-    monthly = gold.roll_up_months(ctx.ref(REVENUE_DAILY))
-    report.add("gold", REVENUE_MONTHLY, ctx.tables.replace(REVENUE_MONTHLY, monthly).number)
+    return Outcome("gold", REVENUE_DAILY, v.number, frozenset(touched))
 
 
 def run_tests(ctx: Context, checks: Sequence[Check] = CHECKS) -> DataFrame:
@@ -143,6 +142,27 @@ def run_tests(ctx: Context, checks: Sequence[Check] = CHECKS) -> DataFrame:
     return quality.run_checks(ctx.spark, {t: ctx.ref(t) for t in tables}, checks, ctx.now)
 
 
+def run_source_freshness(ctx: Context) -> DataFrame:
+    """Status of every table of the declared sources that have limits."""
+    results = []
+    for limits in dict.fromkeys(s.limits for s in SOURCES.values() if s.limits):
+        loads = [
+            _last_load(ctx, s.name, table, s.loaded_at)
+            for s in SOURCES.values() if s.limits == limits for table in s.tables
+        ]
+        results.append(monitors.source_freshness(monitors.union_all(loads), ctx.now, *limits))
+    return monitors.union_all(results)
+
+
+def _last_load(ctx: Context, source: str, table: str, loaded_at: str) -> DataFrame:
+    """One row; a table that is not there counts as one without rows."""
+    if ctx.sources.has(source, table):
+        last = ctx.source(source, table).agg(F.max(loaded_at).cast("timestamp").alias("max_loaded_at"))
+    else:
+        last = ctx.spark.range(1).select(F.lit(None).cast("timestamp").alias("max_loaded_at"))
+    return last.select(F.lit(source).alias("source"), F.lit(table).alias("table_name"), "max_loaded_at")
+
+
 def run_monitors(ctx: Context, expected: dict | None = None) -> dict[str, DataFrame]:
     """All declared monitors over the published tables, by monitor name.
 

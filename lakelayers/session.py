@@ -60,6 +60,11 @@ def hadoop_path(spark: SparkSession, path: str):
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, jpath = hadoop_path(spark, path)
+    return fs.exists(jpath)
+
+
 def stored_bytes(spark: SparkSession, path: str) -> int:
     fs, jpath = hadoop_path(spark, path)
     return fs.getContentSummary(jpath).getLength() if fs.exists(jpath) else 0

@@ -43,6 +43,13 @@ class BenchmarkSources:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
+    def has(self, source: str, table: str) -> bool:
+        require(source, table)
+        if source == "src_ga4":
+            return True
+        stores = {*settings.STORE_SOURCES.values(), *settings.STORE_STREAM_SOURCES.values()}
+        return source in stores and table in ("orders", "customers")
+
     def scan(self, source: str, table: str) -> DataFrame:
         require(source, table)
         if source == "src_ga4":

@@ -74,6 +74,9 @@ class ParquetSources:
         require(source, table)
         return f"{self.root}/{source}/{table}"
 
+    def has(self, source: str, table: str) -> bool:
+        return session.exists(self.spark, self.path(source, table))
+
     def scan(self, source: str, table: str) -> DataFrame:
         session.size_tasks(self.spark, self.stored_bytes(source, table))
         reader = self.spark.read

@@ -46,8 +46,7 @@ def same(a, b):
 
 def test_layers_run_in_order(lake):
     _, first, *_ = lake
-    layers = [layer for layer, *_ in first.steps]
-    assert layers == ["snapshots", *["bronze"] * 4, "silver", "gold", "gold"]
+    assert [s.layer for s in first.steps] == ["snapshots", *["bronze"] * 4, "silver", "silver", "gold", "gold"]
     assert all(t.status == "pass" for t in first.tests) and len(first.tests) == len(runs.CHECKS)
 
 
@@ -59,13 +58,13 @@ def test_gold_of_the_first_run(spark, lake):
 
 def test_a_run_without_changes_touches_nothing(lake):
     _, first, _, untouched, _ = lake
-    assert untouched.touched == set()
-    assert dict((t, v) for _, t, v in untouched.steps)[runs.REVENUE_DAILY] == 1
+    assert untouched.touched("bronze") == set()
+    assert {s.name: s.version for s in untouched.steps}[runs.REVENUE_DAILY] == 1
 
 
 def test_a_run_with_changes_equals_a_rebuild(spark, lake):
     ctx, _, _, _, changed = lake
-    assert changed.touched
+    assert changed.touched("bronze")
     merged = runs.bronze_orders(ctx)
     assert merged.filter("financial_status = 'refunded'").count() > 0
     assert same(ctx.ref(runs.REVENUE_DAILY), gold.revenue_daily(merged))
@@ -108,7 +107,7 @@ def test_full_refresh_drops_what_the_source_lost(spark, tmp_path):
     want = bronze.all_orders(Context(spark, BenchmarkSources(spark, SMALL)))
     assert same(runs.bronze_orders(ctx), want)
     assert same(ctx.ref(runs.REVENUE_DAILY), gold.revenue_daily(want))
-    assert report.steps[0][0] == "bronze"
+    assert report.steps[0].layer == "bronze"
 
 
 def test_failing_test_fails_the_run(spark, tmp_path):
@@ -135,3 +134,12 @@ def test_change_batch_has_unique_keys(spark):
     for df in (change_batch(raw), after_changes(raw)):
         assert df.count() == df.select("id").distinct().count()
     assert change_batch(raw).filter(F.col("id") < 0).count() > 0
+
+
+def test_source_freshness_covers_all_declared_tables(spark):
+    ctx = Context(spark, BenchmarkSources(spark, SMALL), run_at=datetime(2024, 1, 30, 20))
+    got = {(r.source, r.table_name): r.status for r in runs.run_source_freshness(ctx).collect()}
+    assert len(got) == 32
+    assert got["src_ga4", "events"] == "pass"
+    assert got["src_shopify_us", "orders"] == "error"
+    assert got["src_salesforce", "lead"] == "error"
