@@ -29,11 +29,15 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str])
     is NULL match nothing, so all of them stay.
     """
     rest = [c for c in df.columns if c not in keys and c not in order_by]
+    # Maps have no order, so they are carried along but break no tie.
+    ordered = [c for c in rest if not _has_map(df.schema[c].dataType)]
+    rank = F.struct(*order_by, *ordered)
+    top = F.max(rank) if ordered == rest else F.max_by(F.struct(*order_by, *rest), rank)
     known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     last = (
         df.filter(known)
         .groupBy(*keys)
-        .agg(F.max(F.struct(*order_by, *rest)).alias("_last"))
+        .agg(top.alias("_last"))
         .select(*[c if c in keys else F.col("_last")[c].alias(c) for c in df.columns])
     )
     if not any(df.schema[k].nullable for k in keys):
@@ -41,6 +45,14 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str])
     return last.unionByName(df.filter(~known))
 
 
+def _has_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_has_map(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _has_map(kind.elementType)
+    return isinstance(kind, T.MapType)
+
+
 def high_water(df: DataFrame, column: str) -> Column | None:
     """``max(column)`` read once, as a literal; None if there is no value."""
     kind = df.schema[column].dataType

@@ -60,6 +60,9 @@ class Version:
     layout: Layout
     parts: dict[str, list[str]]
     tags: dict[str, int] = field(default_factory=dict)
+    """Last batch taken in, by stream."""
+    inputs: dict[str, dict[str, list[str]]] = field(default_factory=dict)
+    """The parts of other tables that this version was computed from."""
 
     def to_json(self) -> str:
         return json.dumps({
@@ -69,6 +72,7 @@ class Version:
             "unit": self.layout.unit,
             "parts": self.parts,
             "tags": self.tags,
+            "inputs": self.inputs,
         })
 
     @staticmethod
@@ -76,9 +80,17 @@ class Version:
         d = json.loads(text)
         return Version(
             d["number"], T.StructType.fromJson(d["schema"]),
-            Layout(d["column"], d["unit"]), d["parts"], d["tags"],
+            Layout(d["column"], d["unit"]), d["parts"], d["tags"], d["inputs"],
         )
 
+    def stale_parts(self, sources: dict[str, Version]) -> set[str]:
+        """Parts in which a source differs from what this version was made of."""
+        stale = set()
+        for name, now in sources.items():
+            was = self.inputs.get(name, {})
+            stale |= {p for p in {*was, *now.parts} if was.get(p) != now.parts.get(p)}
+        return stale
+
 
 class TableStore:
     """Published tables below one root."""
@@ -176,7 +188,12 @@ class TableStore:
         return v
 
     def replace(
-        self, name: str, df: DataFrame, layout: Layout | None = None, tags: dict[str, int] | None = None
+        self,
+        name: str,
+        df: DataFrame,
+        layout: Layout | None = None,
+        tags: dict[str, int] | None = None,
+        sources: dict[str, Version] | None = None,
     ) -> Version:
         """Publish ``df`` as the whole table. It may read the table's old version."""
         layout = layout or Layout()
@@ -184,7 +201,7 @@ class TableStore:
         write_id = self.write_rows(name, df, layout)
         parts = {p: [write_id] for p in self.written_parts(name, write_id)}
         number = old[-1] + 1 if old else 1
-        return self.commit(name, Version(number, _nullable(df.schema), layout, parts, tags or {}))
+        return self.commit(name, Version(number, _nullable(df.schema), layout, parts, tags or {}, _inputs(sources)))
 
     def append(self, name: str, df: DataFrame) -> Version:
         """Publish the table with rows added; what is there stays as it is."""
@@ -197,7 +214,9 @@ class TableStore:
             parts[p] = [*parts.get(p, []), write_id]
         return self.commit(name, Version(old.number + 1, old.schema, old.layout, parts, old.tags))
 
-    def replace_parts(self, name: str, df: DataFrame, parts: list[str]) -> Version:
+    def replace_parts(
+        self, name: str, df: DataFrame, parts: list[str], sources: dict[str, Version] | None = None
+    ) -> Version:
         """Publish ``df`` in place of some parts; the others stay as they are.
 
         Every row of ``df`` must belong to one of ``parts``.
@@ -208,11 +227,9 @@ class TableStore:
         outside = set(new) - set(parts)
         if outside:
             raise ValueError(f"rows outside the replaced parts of {name}: {sorted(outside)[:5]}")
-        kept = {p: w for p, w in old.parts.items() if p not in parts}
-        return self.commit(
-            name,
-            Version(old.number + 1, old.schema, old.layout, {**kept, **{p: [write_id] for p in new}}, old.tags),
-        )
+        now = {p: w for p, w in old.parts.items() if p not in parts}
+        now.update({p: [write_id] for p in new})
+        return self.commit(name, Version(old.number + 1, old.schema, old.layout, now, old.tags, _inputs(sources)))
 
     def expire(self, name: str) -> None:
         """Delete versions before the last ``keep``, and the rows that no kept
@@ -303,5 +320,9 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
+def _inputs(sources: dict[str, Version] | None) -> dict[str, dict[str, list[str]]]:
+    return {name: v.parts for name, v in (sources or {}).items()}
+
+
 def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from datetime import timedelta
 
 from pyspark.sql import DataFrame
@@ -52,8 +52,6 @@ class Outcome:
     name: str
     version: int | None
     """None for a view."""
-    touched: frozenset[str] = field(default_factory=frozenset)
-    """Parts that may differ from the version before."""
 
 
 def run_model(ctx: Context, model: Model, full_refresh: bool = False, input_bytes: int = 0) -> Outcome:
@@ -66,10 +64,10 @@ def run_model(ctx: Context, model: Model, full_refresh: bool = False, input_byte
     old = ctx.tables.version(model.name)
     if kind == "table" or full_refresh or old is None:
         new = ctx.tables.replace(model.name, rows, _layout(model, input_bytes))
-        return Outcome(model.layer, model.name, new.number, frozenset(new.parts) | frozenset(old.parts if old else ()))
-    changes = changed_rows(rows, ctx.tables.read_version(model.name, old), model.changed_on, model.lookback)
-    result = merge(ctx.tables, model.name, changes, model.unique_key)
-    return Outcome(model.layer, model.name, result.version.number, frozenset(result.touched))
+    else:
+        changes = changed_rows(rows, ctx.tables.read_version(model.name, old), model.changed_on, model.lookback)
+        new = merge(ctx.tables, model.name, changes, model.unique_key).version
+    return Outcome(model.layer, model.name, new.number)
 
 
 def _layout(model: Model, input_bytes: int) -> Layout:

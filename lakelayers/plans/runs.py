@@ -18,6 +18,7 @@ from lakelayers import settings
 from lakelayers.context import Context
 from lakelayers.operators import monitors, quality
 from lakelayers.operators.history import snapshot
+from lakelayers.operators.publish import Version
 from lakelayers.operators.quality import Check
 from lakelayers.plans import bronze, gold, silver
 from lakelayers.plans.models import Model, Outcome, run_model
@@ -69,9 +70,6 @@ class Report:
     steps: list[Outcome] = field(default_factory=list)
     tests: list = field(default_factory=list)
 
-    def touched(self, layer: str) -> set[str]:
-        return set().union(*(s.touched for s in self.steps if s.layer == layer))
-
 
 def run_daily(ctx: Context, snapshots: bool = True, checks: Sequence[Check] = CHECKS) -> Report:
     """Take in what is new since the last run."""
@@ -89,7 +87,7 @@ def _run(ctx: Context, snapshots: bool, checks: Sequence[Check], full: bool) ->
         report.steps.append(run_snapshots(ctx))
     report.steps += run_bronze(ctx, full)
     report.steps += [run_model(ctx, m, full) for m in SILVER_MODELS]
-    report.steps.append(run_revenue_daily(ctx, report.touched("bronze"), full))
+    report.steps.append(run_revenue_daily(ctx, full))
     report.steps.append(run_model(ctx, MONTHLY_MODEL, full))
     ctx.tables.publish_views()
     report.tests = quality.require_passing(run_tests(ctx, checks))
@@ -114,27 +112,33 @@ def run_bronze(ctx: Context, full: bool) -> list[Outcome]:
     return [s.result() for s in started]
 
 
-def bronze_orders(ctx: Context, parts: list[str] | None = None) -> DataFrame:
+def bronze_orders(
+    ctx: Context, versions: dict[str, Version] | None = None, parts: list[str] | None = None
+) -> DataFrame:
     """All stores' published bronze orders, or those of some date parts."""
-    return monitors.union_all([ctx.tables.read(t, parts=parts) for t in ORDER_TABLES])
+    versions = versions or {t: ctx.tables.version(t) for t in ORDER_TABLES}
+    return monitors.union_all([ctx.tables.read_version(t, v, parts) for t, v in versions.items()])
 
 
-def run_revenue_daily(ctx: Context, touched: set[str], full: bool) -> Outcome:
+def run_revenue_daily(ctx: Context, full: bool) -> Outcome:
     """Daily revenue, recomputed for the parts whose bronze orders changed.
 
-    A day belongs to one part, so no other part can change.
+    A day belongs to one part, so no other part can change. What the stored
+    version was made of is recorded with it, so a run that died after bronze
+    is made up for by the next.
     """
-    layouts = {ctx.tables.version(t).layout for t in ORDER_TABLES}
-    layout = min(layouts, key=lambda at: at.unit)  # days before months before years
+    sources = {t: ctx.tables.version(t) for t in ORDER_TABLES}
+    layouts = {v.layout for v in sources.values()}
     old = ctx.tables.version(REVENUE_DAILY)
     if full or old is None or layouts != {old.layout}:
-        v = ctx.tables.replace(REVENUE_DAILY, gold.revenue_daily(bronze_orders(ctx)), layout)
-    elif touched:
-        parts = sorted(touched)
-        v = ctx.tables.replace_parts(REVENUE_DAILY, gold.revenue_daily(bronze_orders(ctx, parts)), parts)
-    else:
-        v = old
-    return Outcome("gold", REVENUE_DAILY, v.number, frozenset(touched))
+        layout = min(layouts, key=lambda at: at.unit)  # days before months before years
+        v = ctx.tables.replace(REVENUE_DAILY, gold.revenue_daily(bronze_orders(ctx, sources)), layout, sources=sources)
+        return Outcome("gold", REVENUE_DAILY, v.number)
+    parts = sorted(old.stale_parts(sources))
+    if not parts:
+        return Outcome("gold", REVENUE_DAILY, old.number)
+    daily = gold.revenue_daily(bronze_orders(ctx, sources, parts))
+    return Outcome("gold", REVENUE_DAILY, ctx.tables.replace_parts(REVENUE_DAILY, daily, parts, sources).number)
 
 
 def run_tests(ctx: Context, checks: Sequence[Check] = CHECKS) -> DataFrame:

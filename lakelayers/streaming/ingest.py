@@ -10,9 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from lakelayers import settings
+from lakelayers.context import Context
 from lakelayers.operators.conform import latest_per_key
 from lakelayers.operators.merge import merge
-from lakelayers.operators.publish import Layout, TableStore
+from lakelayers.operators.publish import Layout, TableStore, layout_for
+from lakelayers.plans import bronze
 
 # Keeps state on executor disks, so it may outgrow the heap.
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -101,3 +104,21 @@ def upsert(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def upsert_store(ctx: Context, store: str, table: str, checkpoints: str, max_files: int | None = None) -> StreamingQuery:
+    """Take one store's streamed ``orders`` or ``customers`` into its bronze table.
+
+    Orders go to the table that the daily run merges into.
+    """
+    source = settings.STORE_STREAM_SOURCES[store]
+    name = f"bronze.br_{settings.STORE_SOURCES[store].removeprefix('src_')}_{table}"
+    if table == "orders":
+        model, key, column = (lambda raw: bronze.orders(raw, store)), "order_id", "created_at_date"
+    else:
+        model, key, column = (lambda raw: raw), "customer_id", None
+    layout = layout_for(column, ctx.sources.stored_bytes(source, table)) if column else Layout()
+    return upsert(
+        ctx.sources.stream(source, table, max_files), ctx.tables, name, model, [key], "updated_at",
+        f"{checkpoints}/{source}/{table}", layout,
+    )

@@ -17,6 +17,11 @@ def test_latest_per_key_keeps_rows_without_a_key(spark):
     assert rows(conform.latest_per_key(df, ["k"], ["at"])) == [(1, 2, "c"), (None, 1, "a"), (None, 1, "a")]
 
 
+def test_latest_per_key_carries_maps(spark):
+    df = spark.sql("SELECT * FROM VALUES (1, 1, map('a', 1)), (1, 2, map('b', 2)) AS t(k, at, m)")
+    assert [r.m for r in conform.latest_per_key(df, ["k"], ["at"]).collect()] == [{"b": 2}]
+
+
 def test_latest_per_key_reduces_before_the_shuffle(spark):
     df = spark.range(100).selectExpr("id % 3 AS k", "id AS at")
     plan = conform.latest_per_key(df, ["k"], ["at"])._jdf.queryExecution().executedPlan().toString()

@@ -2,7 +2,11 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from lakelayers import Context
 from lakelayers.operators.publish import Layout
+from lakelayers.plans import bronze
+from lakelayers.sources.benchmark import BenchmarkSources, change_batch
+from lakelayers.sources.registry import ParquetSources
 from lakelayers.streaming import ingest
 
 EVENTS = "event_id bigint, ts timestamp_ntz, v string"
@@ -79,3 +83,22 @@ def test_replayed_batch_is_skipped(upserts, store, spark, tmp_path):
     before = store.versions("bronze.t")
     assert upserts([], checkpoint=str(tmp_path / "restarted")) == [(1, 1, "A")]
     assert store.versions("bronze.t") == before
+
+
+def test_store_streams_fill_bronze(spark, store, tmp_path):
+    raw = {t: BenchmarkSources(spark, "/root/testdata/sf0.001").scan("br_src_shopify_uk", t) for t in ("orders", "customers")}
+    root, source = str(tmp_path / "raw"), "br_src_shopify_uk"
+    sources = ParquetSources(spark, root, {(source, t): df.schema for t, df in raw.items()})
+    ctx = Context(spark, sources, store)
+
+    def arrive(table, df):
+        df.write.mode("append").parquet(sources.path(source, table))
+        ingest.upsert_store(ctx, "yoga-uk", table, str(tmp_path / "checkpoints")).awaitTermination()
+
+    arrive("customers", raw["customers"])
+    arrive("orders", raw["orders"])
+    arrive("orders", change_batch(raw["orders"]))
+    assert ctx.ref("bronze.br_shopify_uk_customers").count() == raw["customers"].count()
+    kept = raw["orders"].filter("id % 10 != 0").unionByName(change_batch(raw["orders"]))
+    want, got = bronze.orders(kept, "yoga-uk"), ctx.ref("bronze.br_shopify_uk_orders")
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
