@@ -13,6 +13,9 @@ from pyspark.sql import types as T
 from lakelayers.operators.publish import Layout, TableStore, Version
 
 
+RANGED = (T.IntegralType, T.StringType, T.DateType)
+
+
 class DuplicateKeyError(ValueError):
     """A change set names one key twice, so the outcome would be arbitrary."""
 
@@ -33,6 +36,21 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.filter(known(keys)).groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > 1)
 
 
+def key_range(df: DataFrame, keys: Sequence[str]) -> Column | None:
+    """A filter that holds for every row whose key is in ``df``.
+
+    New keys tend to lie close together, so with it a scan of a big table
+    skips most row groups by their statistics.
+    """
+    ranged = [k for k in keys if isinstance(df.schema[k].dataType, RANGED)]
+    if not ranged:
+        return None
+    ends = df.filter(known(keys)).agg(*[f(k) for k in ranged for f in (F.min, F.max)]).first()
+    if ends[0] is None:
+        return None
+    return reduce(lambda a, b: a & b, [F.col(k).between(*ends[2 * i : 2 * i + 2]) for i, k in enumerate(ranged)])
+
+
 def require_unique(df: DataFrame, keys: Sequence[str], what: str) -> None:
     bad = duplicate_keys(df, keys).select(*keys).take(1)
     if bad:
@@ -82,10 +100,13 @@ def merge(
             return MergeResult(v, sorted(v.parts))
 
         fresh = stage(fit_columns(changes, old.schema, "the change set"))
-        if tag is None and fresh.isEmpty():
+        near = key_range(fresh, keys)
+        if near is None and tag is None and fresh.isEmpty():
             return MergeResult(old, [])
         require_unique(fresh, keys, f"the change set for {name}")
         target = tables.read_version(name, old, with_part=True)
+        if near is not None:
+            target = target.filter(near)
         if newer_by is None:
             hit = target.select(*keys, "_part").join(fresh.select(*keys), keys, "left_semi")
         else:

@@ -11,10 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakelayers import session, settings
-from lakelayers.functions.expressions import case_map, store_currency
+from lakelayers.functions.expressions import store_currency
 from lakelayers.sources.registry import require
 
 STORES = tuple(settings.STORE_SOURCES)
+STORE = f"element_at(array{STORES}, CAST(c_nationkey % {len(STORES)} + 1 AS int))"
 
 # --- fixed values: the given tables' columns ---------------------------------
 # Declared, so that planning a query opens no file.
@@ -73,56 +74,51 @@ class BenchmarkSources:
         events = self.table("events")
         return events.withColumn("event_timestamp", F.col("ts").cast("timestamp")).drop("ts")
 
-    def _store(self) -> F.Column:
-        return F.element_at(F.array(*[F.lit(s) for s in STORES]), F.col("c_nationkey") % len(STORES) + 1)
-
     def _orders(self) -> DataFrame:
-        customer = self.table("customer").select("c_custkey", self._store().alias("platform"))
+        customer = self.table("customer").selectExpr("c_custkey", f"{STORE} AS platform")
         orders = self.table("orders")
-        joined = orders.join(customer, orders.o_custkey == customer.c_custkey)
-        created = F.col("o_orderdate").cast("timestamp")
-        key = F.col("o_orderkey")
-        status = case_map("o_orderstatus", {"F": "paid", "O": "pending"}, "partially_paid")
-        currency = store_currency("platform")
-        return joined.select(
-            key.alias("id"),
-            created.alias("created_at"),
-            (created + F.make_dt_interval(hours=(key % 72).cast("int"))).alias("updated_at"),
-            (created + F.make_dt_interval(hours=(key % 24).cast("int"))).alias("processed_at"),
-            F.col("o_custkey").alias("customer_id"),
-            F.concat(F.lit("c"), F.col("o_custkey").cast("string"), F.lit("@example.com")).alias("email"),
-            status.alias("financial_status"),
-            F.when(F.col("o_orderstatus") == "F", F.lit("fulfilled")).alias("fulfillment_status"),
-            F.struct(
-                F.struct(
-                    F.col("o_totalprice").cast("string").alias("amount"), currency.alias("currency_code")
-                ).alias("shop_money")
-            ).alias("total_price_set"),
-            currency.alias("currency"),
-            (created + F.make_dt_interval(hours=(key % 72 + 1).cast("int"))).alias("_fivetran_synced"),
-            "platform",
+        return (
+            orders.join(customer, orders.o_custkey == customer.c_custkey)
+            .withColumn("currency", store_currency("platform"))
+            .selectExpr(
+                "o_orderkey AS id",
+                "CAST(o_orderdate AS timestamp) AS created_at",
+                f"{_hours_later('o_orderkey % 72')} AS updated_at",
+                f"{_hours_later('o_orderkey % 24')} AS processed_at",
+                "o_custkey AS customer_id",
+                "concat('c', o_custkey, '@example.com') AS email",
+                "CASE o_orderstatus WHEN 'F' THEN 'paid' WHEN 'O' THEN 'pending' ELSE 'partially_paid' END "
+                "AS financial_status",
+                "CASE WHEN o_orderstatus = 'F' THEN 'fulfilled' END AS fulfillment_status",
+                "struct(struct(CAST(o_totalprice AS string) AS amount, currency AS currency_code) AS shop_money) "
+                "AS total_price_set",
+                "currency",
+                f"{_hours_later('o_orderkey % 72 + 1')} AS _fivetran_synced",
+                "platform",
+            )
         )
 
     def _customers(self) -> DataFrame:
-        nation = self.table("nation").select(
-            F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("country")
-        )
-        start = F.lit("2001-01-01").cast("timestamp")
-        days = (F.col("c_custkey") % 365).cast("int")
+        nation = self.table("nation").selectExpr("n_nationkey AS c_nationkey", "n_name AS country")
+        updated = "timestamp'2001-01-01' + make_dt_interval(CAST(c_custkey % 365 AS int))"
         return (
             self.table("customer")
             .join(nation, "c_nationkey", "left")
-            .select(
-                F.col("c_custkey").alias("customer_id"),
+            .selectExpr(
+                "c_custkey AS customer_id",
                 "country",
-                F.col("c_acctbal").alias("balance"),
-                (start + F.make_dt_interval(days=days)).alias("updated_at"),
-                (start + F.make_dt_interval(days=days, hours=F.lit(1))).alias("_fivetran_synced"),
-                self._store().alias("platform"),
+                "c_acctbal AS balance",
+                f"{updated} AS updated_at",
+                f"{updated} + INTERVAL '1' HOUR AS _fivetran_synced",
+                f"{STORE} AS platform",
             )
         )
 
 
+def _hours_later(hours: str) -> str:
+    return f"CAST(o_orderdate AS timestamp) + make_dt_interval(0, CAST({hours} AS int))"
+
+
 def change_batch(orders: DataFrame) -> DataFrame:
     """Later changes to raw orders: refunds of a tenth, and some new orders.
 

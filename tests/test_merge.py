@@ -4,7 +4,7 @@ import pytest
 from conftest import rows
 
 from lakelayers.operators.conform import changed_rows
-from lakelayers.operators.merge import DuplicateKeyError, merge
+from lakelayers.operators.merge import DuplicateKeyError, key_range, merge
 from lakelayers.operators.publish import Layout
 
 NAME = "bronze.t"
@@ -125,6 +125,15 @@ def test_wide_changes_use_a_shuffled_join(spark, table):
     assert rows(table.read(NAME), "id", "v") == [(1, "a"), (2, "B"), (3, "c"), (4, "d"), (None, "n")]
 
 
+def test_only_the_range_of_changed_keys_is_probed(spark):
+    df = spark.createDataFrame([("b", 5, 1.0), ("a", 9, 2.0), ("zz", None, 3.0)], "p string, id int, v double")
+    near = key_range(df, ["p", "id", "v"])
+    probe = spark.createDataFrame([("a", 5), ("b", 9), ("b", 4), ("c", 7), ("a", None)], "p string, id int")
+    assert rows(probe.filter(near)) == [("a", 5), ("b", 9)]
+    assert key_range(df.filter("id IS NULL"), ["id"]) is None
+    assert key_range(df, ["v"]) is None
+
+
 def test_changed_rows(spark):
     from datetime import timedelta
 

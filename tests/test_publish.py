@@ -133,3 +133,14 @@ def test_staging_is_removed(spark, store):
         staged = stage(spark.range(5))
         assert staged.count() == 5
     assert os.listdir(store.root + "/_staging") == []
+
+
+def test_a_hot_date_is_written_by_several_tasks(spark, store):
+    one_day = spark.range(0, 400_000, 1, 8).select("id", F.rand(1).alias("v"), F.lit("2024-01-01").cast("date").alias("day"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "512KB")
+    try:
+        store.replace("bronze.t", one_day, BY_MONTH)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(glob.glob(store.path("bronze.t") + "/_write=*/_part=*/*.parquet")) > 3
+    assert store.read("bronze.t").count() == 400_000
