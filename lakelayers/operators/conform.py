@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
 from datetime import timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # A key with more than this share of the rows is spread over several tasks.
 HOT_SHARE = 0.01
-HOT_SPREAD = 64
 
 
 def union_stores(stores: Mapping[str, str], scan: Callable[[str], DataFrame]) -> DataFrame:
@@ -91,8 +91,8 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on: Sequence[str]) -> DataFr
 
     A dimension below the session's broadcast limit is left to Spark, which
     broadcasts it. For a bigger one both sides are shuffled, with the few keys
-    that hold more than ``HOT_SHARE`` of the facts spread over ``HOT_SPREAD``
-    tasks and their dimension rows copied to each.
+    that hold more than ``HOT_SHARE`` of the facts spread over several tasks
+    and their dimension rows copied to each.
     """
     on = list(on)
     if planned_bytes(dim) <= broadcast_limit(dim.sparkSession):
@@ -109,28 +109,28 @@ def broadcast_limit(spark: SparkSession) -> int:
     return spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
 
 
-def hot_keys(fact: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
-    """Keys with more than ``share`` of all rows; at most ``1 / share`` of them."""
-    counts = fact.groupBy(*on).agg(F.count("*").alias("_n"))
-    total = fact.count()
-    return counts.filter(F.col("_n") > F.lit(max(1.0, total * share))).select(*on)
+def hot_keys(fact: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> dict[tuple, float]:
+    """Keys with more than ``share`` of all rows and their shares, in one pass.
 
+    At most ``1 / share`` keys can have that much, so the top ones hold them all.
+    """
+    seen = Observation()
+    counts = fact.groupBy(*on).agg(F.count("*").alias("_n")).observe(seen, F.sum("_n").alias("rows"))
+    top = counts.orderBy(F.desc("_n")).limit(int(1 / share)).collect()
+    rows = (seen.get["rows"] or 0) if top else 0
+    return {tuple(r[c] for c in on): r["_n"] / rows for r in top if r["_n"] > max(1, rows * share)}
 
-def _salted_left_join(fact: DataFrame, dim: DataFrame, on: list[str], hot: DataFrame) -> DataFrame:
-    # At most 1 / HOT_SHARE keys, so they fit in the plan as literals.
-    found = [tuple(r) for r in hot.collect()]
-    if not found:
-        return fact.join(dim, on, "left")
 
-    def is_hot() -> Column:
-        one = [
-            reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(on, key)])
-            for key in found
-        ]
-        return reduce(lambda a, b: a | b, one, F.lit(False))
-
-    spread = F.pmod(F.xxhash64(*fact.columns), F.lit(HOT_SPREAD)).cast("int")
-    left = fact.withColumn("_salt", F.when(is_hot(), spread).otherwise(F.lit(0)))
-    copies = F.when(is_hot(), F.sequence(F.lit(0), F.lit(HOT_SPREAD - 1))).otherwise(F.array(F.lit(0)))
-    right = dim.withColumn("_salt", F.explode(copies))
+def _salted_left_join(fact: DataFrame, dim: DataFrame, on: list[str], hot: dict[tuple, float]) -> DataFrame:
+    """Each hot key takes as large a share of the tasks as it has of the rows."""
+    if not hot:
+        return fact.join(dim, on, "left")
+    tasks = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = F.lit(1)
+    for key, share in hot.items():
+        is_key = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(on, key)])
+        spread = F.when(is_key, F.lit(max(2, math.ceil(share * tasks)))).otherwise(spread)
+    hashed = [c for c in fact.columns if not _has_map(fact.schema[c].dataType)]
+    left = fact.withColumn("_salt", F.pmod(F.xxhash64(*hashed), spread).cast("int"))
+    right = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), spread - 1)))
     return left.join(right, [*on, "_salt"], "left").drop("_salt")
