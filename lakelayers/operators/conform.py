@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakelayers.operators.merge import known
+
 # A key with more than this share of the rows is spread over several tasks.
 HOT_SHARE = 0.01
 
@@ -33,16 +35,15 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str])
     ordered = [c for c in rest if not _has_map(df.schema[c].dataType)]
     rank = F.struct(*order_by, *ordered)
     top = F.max(rank) if ordered == rest else F.max_by(F.struct(*order_by, *rest), rank)
-    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     last = (
-        df.filter(known)
+        df.filter(known(keys))
         .groupBy(*keys)
         .agg(top.alias("_last"))
         .select(*[c if c in keys else F.col("_last")[c].alias(c) for c in df.columns])
     )
     if not any(df.schema[k].nullable for k in keys):
         return last
-    return last.unionByName(df.filter(~known))
+    return last.unionByName(df.filter(~known(keys)))
 
 
 def _has_map(kind: T.DataType) -> bool:
