@@ -65,6 +65,16 @@ def fit_columns(df: DataFrame, schema: T.StructType, what: str) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def without_keys(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows whose key is not in ``other``.
+
+    Rows without a key stay without going through the join, where they would
+    all meet in one task.
+    """
+    left = df.filter(known(keys)).join(other.filter(known(keys)).select(*keys), list(keys), "left_anti")
+    return left.unionByName(df.filter(~known(keys)))
+
+
 def merge(
     tables: TableStore,
     name: str,
@@ -114,16 +124,13 @@ def merge(
             late = F.coalesce(F.col(newer_by) < F.col("_stored"), F.lit(False))
             found = stored.join(fresh.select(*keys, newer_by), keys).withColumn("_late", late)
             found = stage(found.select(*keys, "_part", "_late"))
-            fresh = fresh.join(found.filter("_late").select(*keys), keys, "left_anti")
+            fresh = without_keys(fresh, found.filter("_late"), keys)
             hit = found.filter(~F.col("_late"))
         # One row per part, of which there are as many as dates at most.
         rewritten = sorted(r[0] for r in hit.select("_part").distinct().collect())
 
         before = tables.read_version(name, old, parts=rewritten)
-        kept = before.filter(known(keys)).join(fresh.select(*keys), keys, "left_anti")
-        # NULL keys stay without going through the join, where they would all
-        # meet in one task.
-        rows = reduce(DataFrame.unionByName, [kept, before.filter(~known(keys)), fresh])
+        rows = without_keys(before, fresh, keys).unionByName(fresh)
         write_id = tables.write_rows(name, rows.select(*old.schema.names), old.layout)
         new = tables.written_parts(name, write_id)
 
