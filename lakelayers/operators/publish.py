@@ -47,8 +47,10 @@ class Layout:
         return F.coalesce(text, F.lit(NO_DATE))
 
 
-def layout_for(column: str, input_bytes: int) -> Layout:
+def layout_for(column: str, input_bytes: int | None) -> Layout:
     """Parts that stay rewritable: years when small, days when huge."""
+    if input_bytes is None:
+        return Layout(column)
     unit = "year" if input_bytes < 10 << 30 else "month" if input_bytes < 10 << 40 else "day"
     return Layout(column, unit)
 

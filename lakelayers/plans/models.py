@@ -54,8 +54,9 @@ class Outcome:
     """None for a view."""
 
 
-def run_model(ctx: Context, model: Model, full_refresh: bool = False, input_bytes: int = 0) -> Outcome:
-    """Bring one model up to date. ``full_refresh`` ignores what is stored."""
+def run_model(ctx: Context, model: Model, full_refresh: bool = False, input_bytes: int | None = None) -> Outcome:
+    """Bring one model up to date. ``full_refresh`` ignores what is stored;
+    ``input_bytes``, if known, decides how fine a clustered table is split."""
     kind = model.kind(ctx)
     rows = model.build(ctx)
     if kind == "view":
@@ -70,5 +71,5 @@ def run_model(ctx: Context, model: Model, full_refresh: bool = False, input_byte
     return Outcome(model.layer, model.name, new.number)
 
 
-def _layout(model: Model, input_bytes: int) -> Layout:
+def _layout(model: Model, input_bytes: int | None) -> Layout:
     return layout_for(model.cluster_by, input_bytes) if model.cluster_by else Layout()

@@ -125,7 +125,9 @@ def test_model_as_view(spark):
 
 
 def test_layout_follows_the_input_size():
-    assert [layout_for("d", n).unit for n in (1 << 20, 1 << 38, 100 << 40)] == ["year", "month", "day"]
+    assert [layout_for("d", n).unit for n in (1 << 20, 1 << 38, 100 << 40, None)] == [
+        "year", "month", "day", "month",
+    ]
 
 
 def test_staging_is_removed(spark, store):
