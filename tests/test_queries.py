@@ -10,7 +10,7 @@ import pytest
 import __spark_entry__ as entry_point
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLE = entry_point.queries(), entry_point.oracle_sql()
+QUERIES, ORACLE = entry_point.QUERIES, entry_point.ORACLE
 TYPES = {
     "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "date": "DATE",
     "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN",
