@@ -13,11 +13,11 @@ SEGMENT = 1 << 20
 _BORDER = re.compile(r"(?<=\S)(?=\s)")
 
 
-def segments(text: str, size: int = SEGMENT) -> Iterator[str]:
+def segments(text, size: int = SEGMENT, border: re.Pattern = _BORDER) -> Iterator:
     """The text in parts that end before white space which follows something else."""
     start = 0
     while len(text) - start > size:
-        found = _BORDER.search(text, start + size)
+        found = border.search(text, start + size)
         if not found:
             break
         yield text[start : found.start()]

@@ -9,7 +9,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakelayers.llm import bytebpe, digest_index, feistel, mixing, token_frames
+from lakelayers.llm import bytebpe, digest_index, feistel, minhash, mixing, token_frames
 from lakelayers.llm.common import documents
 from lakelayers.llm.oracle import ORACLE
 
@@ -61,6 +61,12 @@ def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+@query
+def op9_minhash_bayes(spark: SparkSession, folder: str) -> DataFrame:
+    found = minhash.near_duplicates(documents(spark, folder), words=3, threshold=(85, 100))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 @query
 def op10_feistel_shards(spark: SparkSession, folder: str) -> DataFrame:
     found = feistel.assign(documents(spark, folder))
