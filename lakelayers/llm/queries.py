@@ -9,7 +9,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakelayers.llm import bytebpe, digest_index, feistel, minhash, mixing, token_frames
+from lakelayers.llm import bytebpe, digest_index, feistel, minhash, mixing, pii, token_frames
 from lakelayers.llm.common import documents
 from lakelayers.llm.oracle import ORACLE
 
@@ -54,6 +54,12 @@ def op4_digest_index(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+@query
+def op7_weak_labels(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.personal_data(documents(spark, folder))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
+
+
 @query
 def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
