@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakelayers.llm.pieces import PieceMemory, segments
+from lakelayers.llm.pieces import LETTERS, PUNCTUATION, PieceMemory, byte_characters, packed, segments, shown
 
 BATCH_ROWS = 128
 # Each piece starts at white space that follows something else: there the
@@ -22,14 +22,8 @@ BATCH_ROWS = 128
 _PIECE = re.compile(r"\s*\S+|\s+")
 # White space to Python's patterns, but not to the tokenizer's.
 _ODD = re.compile(r"[\x1c-\x1f]")
-
-
-def byte_characters() -> list[str]:
-    """The character that stands for each byte: printable Latin-1 for itself, the rest from 256 on."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    table = {b: chr(b) for b in plain}
-    table.update((b, chr(256 + n)) for n, b in enumerate(b for b in range(256) if b not in table))
-    return [table[b] for b in range(256)]
+# A piece that is one match of letters and maybe one of punctuation.
+_PLAIN = re.compile(rf"( ?[{LETTERS}]+)([{PUNCTUATION}]*)")
 
 
 def merges_of(ranks: dict[bytes, int]) -> list[tuple[bytes, bytes]]:
@@ -59,10 +53,10 @@ class ByteBPE:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
-        ranks, shown = read_ranks(path), byte_characters()
+        ranks, marks = read_ranks(path), byte_characters()
 
         def written(token: bytes) -> str:
-            return "".join(shown[b] for b in token)
+            return "".join(marks[b] for b in token)
 
         vocabulary = {written(token): rank for token, rank in ranks.items()}
         merges = [(written(a), written(b)) for a, b in merges_of(ranks)]
@@ -72,49 +66,40 @@ class ByteBPE:
             pre_tokenizers.Split(Regex(pattern), "isolated"),
             pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
         ])
-        byte_of = {c: b for b, c in enumerate(shown)}
+        byte_of = {c: b for b, c in enumerate(marks)}
         self.bytes_of: list[bytes] = [b""] * (max(ranks.values()) + 1)
         for token, rank in vocabulary.items():
             self.bytes_of[rank] = bytes(byte_of[c] for c in token)
         self.lengths = np.array([len(b) for b in self.bytes_of], np.int64)
-        self.memory = PieceMemory(self._pieces)
-
-    def _pieces(self, pieces: list[str]) -> list[tuple[bytes, str]]:
-        out = []
-        for found in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False):
-            ids = found.ids
-            out.append((np.array(ids, "<u4").tobytes(), " ".join(map(str, ids))))
-        return out
-
-    def _split(self, text: str) -> list[str]:
-        return [text] if _ODD.search(text) else _PIECE.findall(text)
-
-    def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, str]]:
-        """(ids, the ids as decimals joined by a space) of each text."""
-        if len(texts) > 1 and sum(map(len, texts)) > 1 << 22:
-            for text in texts:
-                yield from self.encode([text])
-        elif len(texts) == 1:
-            ids, shown = bytearray(), []
-            for part in [texts[0]] if _ODD.search(texts[0]) else segments(texts[0]):
-                pieces = self._split(part)
-                values = self.memory.values([pieces])
-                for piece in pieces:
-                    a, b = values[piece]
-                    ids += a
-                    shown.append(b)
-            yield np.frombuffer(bytes(ids), "<u4"), " ".join(shown)
-        else:
-            pieces = [self._split(t) for t in texts]
-            values = self.memory.values(pieces)
-            for row in pieces:
-                found = list(map(values.__getitem__, row))
-                yield np.frombuffer(b"".join([a for a, _ in found]), "<u4"), " ".join([b for _, b in found])
-
-    def decode_bytes(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
-
-    def decode(self, ids: np.ndarray) -> str:
+        self.decimals = [str(i) for i in range(len(self.bytes_of))]
+        self.matches = PieceMemory(self._match)
+        self.memory = PieceMemory(self._piece)
+
+    def _match(self, match: str) -> bytes:
+        return packed([t.id for t in self.tokenizer.model.tokenize(shown(match))])
+
+    def _piece(self, piece: str) -> bytes:
+        """Plain pieces go straight to the model, match by match; the rest through the whole tokenizer."""
+        if plain := _PLAIN.fullmatch(piece):
+            word, mark = plain.groups()
+            return self.matches[word] + self.matches[mark] if mark else self.matches[word]
+        return packed(self.tokenizer.encode(piece, add_special_tokens=False).ids)
+
+    def encode(self, text: str) -> np.ndarray:
+        """The ids of a whole text."""
+        if _ODD.search(text):
+            return np.frombuffer(self._piece(text), "<u4")
+        parts = [b"".join(map(self.memory.__getitem__, _PIECE.findall(part))) for part in segments(text)]
+        return np.frombuffer(b"".join(parts), "<u4")
+
+    def shown(self, ids: list[int]) -> str:
+        """Ids as decimals joined by a space."""
+        return " ".join(map(self.decimals.__getitem__, ids))
+
+    def decode_bytes(self, ids: list[int]) -> bytes:
+        return b"".join(map(self.bytes_of.__getitem__, ids))
+
+    def decode(self, ids: list[int]) -> str:
         """The text of ids. Characters split over tokens come together, because bytes are
         joined first; what is cut at either end becomes the replacement character."""
         return self.decode_bytes(ids).decode("utf-8", "replace")
@@ -159,11 +144,13 @@ def encode_documents(docs: DataFrame, ranks: str, pattern: str, ids: bool = True
                 part = batch.slice(start, BATCH_ROWS)
                 texts = part["text"].to_pylist()
                 out: list[list] = [[] for _ in range(7)]
-                for text, (found, shown) in zip(texts, bpe.encode(texts)):
-                    raw = bpe.decode_bytes(found)
+                for text in texts:
+                    found = bpe.encode(text)
+                    listed = found.tolist()
+                    raw = bpe.decode_bytes(listed)
                     spans = bpe.offsets(found, text) if offsets else (None, None)
                     for column, value in zip(out, (
-                        len(found), hashlib.sha256(shown.encode()).hexdigest(), hashlib.sha256(raw).hexdigest(),
+                        len(found), hashlib.sha256(bpe.shown(listed).encode()).hexdigest(), hashlib.sha256(raw).hexdigest(),
                         raw == text.encode("utf-8"), found if ids else None, *spans,
                     )):
                         column.append(value)

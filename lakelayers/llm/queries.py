@@ -9,7 +9,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakelayers.llm import bytebpe, digest_index, feistel, minhash, mixing, pii, token_frames
+from lakelayers.llm import bytebpe, digest_index, feistel, importance, minhash, mixing, pii, token_frames, vector_blocks
 from lakelayers.llm.common import documents
 from lakelayers.llm.oracle import ORACLE
 
@@ -43,6 +43,12 @@ def op1_token_frames(spark: SparkSession, folder: str) -> DataFrame:
     return files.read().select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+@query
+def op2_importance(spark: SparkSession, folder: str) -> DataFrame:
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    return importance.resample(documents(spark, folder), labels)
+
+
 @query
 def op3_water_filling(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(documents(spark, folder)).select("doc_id", "size", "source_size", "target", "taken")
@@ -54,6 +60,12 @@ def op4_digest_index(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+@query
+def op5_pigeonhole(spark: SparkSession, folder: str) -> DataFrame:
+    found = vector_blocks.near_vectors(spark.read.parquet(f"{folder}/embeddings.parquet"))
+    return found.select("vec_id", "n_links", "component_id", "kept")
+
+
 @query
 def op7_weak_labels(spark: SparkSession, folder: str) -> DataFrame:
     found = pii.personal_data(documents(spark, folder))

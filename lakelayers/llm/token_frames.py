@@ -12,6 +12,7 @@ frames it is asked for.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakelayers.llm.common import running_total, written
-from lakelayers.llm.pieces import PieceMemory, segments
+from lakelayers.llm.pieces import LETTERS, PUNCTUATION, PieceMemory, packed, segments, shown
 from lakelayers.session import scratch_dir
 
 # Fixed values of the seekable format.
@@ -37,6 +38,9 @@ INDEX_FRAME = 0x184D2A50
 SEEKABLE = 0x8F92EAB1
 HAS_CHECKSUMS = 0x80
 
+# A piece of letters and maybe punctuation.
+_PLAIN = re.compile(rf"([{LETTERS}]+)([{PUNCTUATION}]*)")
+
 END_ID = 2
 LEVEL = 1
 # Ids in one frame; a longer document takes several, so memory is bounded on both sides.
@@ -140,9 +144,19 @@ def word_memory(path: str) -> PieceMemory:
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
 
-    def encode(pieces: list[str]) -> list[bytes]:
-        found = tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+    model = tokenizer.model
+
+    def match(found: str) -> bytes:
+        return packed([t.id for t in model.tokenize(shown(found))])
+
+    words = PieceMemory(match)
+
+    def encode(piece: str) -> bytes:
+        # Plain words go straight to the model, lower-cased as the tokenizer would; the rest through all of it.
+        if plain := _PLAIN.fullmatch(piece):
+            word, mark = plain.groups()
+            return words[word.lower()] + words[mark] if mark else words[word.lower()]
+        return packed(tokenizer.encode(piece, add_special_tokens=False).ids)
 
     return PieceMemory(encode)
 
@@ -151,27 +165,14 @@ def _split(text: str) -> list[str]:
     # str.split also splits at the four separators 1C to 1F, which are no white space to the tokenizer.
     if any(c in text for c in "\x1c\x1d\x1e\x1f"):
         return [p for p in text.replace("\n", " ").replace("\t", " ").split(" ") if p]
-    return text.split()
+    return (text.lower() if text.isascii() else text).split()
 
 
 def encode_texts(texts: list[str], memory: PieceMemory, end: int | None = END_ID) -> Iterator[bytes]:
     """The ids of each text, little-endian, with ``end`` appended."""
     tail = b"" if end is None else struct.pack("<I", end)
-    if sum(map(len, texts)) > 1 << 22 and len(texts) > 1:
-        for text in texts:
-            yield from encode_texts([text], memory, end)
-        return
-    if len(texts) == 1:
-        out = bytearray()
-        for part in segments(texts[0]):
-            pieces = _split(part)
-            out += b"".join(map(memory.values([pieces]).__getitem__, pieces))
-        yield bytes(out) + tail
-        return
-    pieces = [_split(t) for t in texts]
-    values = memory.values(pieces)
-    for row in pieces:
-        yield b"".join(map(values.__getitem__, row)) + tail
+    for text in texts:
+        yield b"".join([*[b"".join(map(memory.__getitem__, _split(part))) for part in segments(text)], tail])
 
 
 @dataclass
