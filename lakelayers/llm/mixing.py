@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lakelayers.llm.common import written
+from lakelayers.llm.common import free, written
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
@@ -57,26 +57,8 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: in
     )
 
 
-def mix(
-    docs: DataFrame,
-    weights: tuple[int, ...] = WEIGHTS,
-    max_epochs: int = MAX_EPOCHS,
-    seed: int = SEED,
-) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, taken, copies, source.
-
-    ``size`` is the number of words. Each document of a source is taken as many
-    whole times as the target holds whole epochs; the rest of the target is
-    filled with documents in a seeded order, by whole documents, to the nearest
-    document border. ``taken`` is ``copies`` times ``size``.
-
-    Null text has size 0 and is taken as often as the whole epochs say; null
-    sources are one source; a null doc_id is ordered like a value. Repeated rows
-    count as rows of their own. No documents give no rows. If all sizes are 0,
-    targets are 0. The order is by hash of seed, doc_id and text, so reruns on
-    any layout agree.
-    """
-    sized = written(
+def _sized(docs: DataFrame, seed: int) -> DataFrame:
+    return written(
         docs.select(
             F.col("doc_id").cast("long").alias("doc_id"),
             F.col("source").cast("string").alias("source"),
@@ -85,47 +67,109 @@ def mix(
         ),
         "mix-sizes",
     )
+
+
+def _plan(sized: DataFrame, weights: tuple[int, ...], max_epochs: int) -> DataFrame:
+    """(_source, source_size, target, whole, slice, rest), written: whole epochs, the slice of
+    the seeded order in which the rest of the target ends, and how far into it."""
     plan = targets(sized.select("source", "size"), weights, max_epochs)
-    wanted = F.round("target").cast("long")
+    wanted, filled = F.round("target").cast("long"), F.col("source_size") > 0
     plan = plan.select(
         F.col("source").alias("_source"), "source_size", "target",
-        F.when(F.col("source_size") > 0, F.expr(f"cast(round(target) as long) div source_size")).otherwise(F.lit(0)).alias("whole"),
-        F.when(F.col("source_size") > 0, wanted % F.col("source_size")).otherwise(F.lit(0)).alias("part"),
+        F.when(filled, F.expr("cast(round(target) as long) div source_size")).otherwise(F.lit(0)).alias("whole"),
+        F.when(filled, wanted % F.col("source_size")).otherwise(F.lit(0)).alias("part"),
     )
-    slice_of = F.shiftright("draw", 60 - SLICE_BITS)
-    slices = sized.groupBy(F.col("source").alias("_source"), slice_of.alias("slice")).agg(F.sum("size").alias("words"))
-    upto = Window.partitionBy("_source").orderBy("slice").rowsBetween(Window.unboundedPreceding, 0)
+    slices = sized.groupBy(F.col("source").alias("_s"), _slice().alias("slice")).agg(F.sum("size").alias("words"))
+    upto = Window.partitionBy("_s").orderBy("slice").rowsBetween(Window.unboundedPreceding, 0)
+    same = F.col("_s").eqNullSafe(F.col("_source"))
     borders = (
-        slices.withColumn("end", F.sum("words").over(upto))
-        .withColumnRenamed("_source", "_s")
-        .join(plan, F.col("_s").eqNullSafe(F.col("_source")))
+        slices.withColumn("end", F.sum("words").over(upto)).join(plan, same)
         .where("end - words < part and end >= part")
         .select("_s", "slice", (F.col("part") - F.col("end") + F.col("words")).alias("rest"))
     )
-    plan = written(
-        plan.join(borders, F.col("_source").eqNullSafe(F.col("_s")), "left")
-        .select("_source", "source_size", "target", "whole", F.coalesce("slice", F.lit(-1)).alias("slice"), F.coalesce("rest", F.lit(0)).alias("rest")),
+    return written(
+        plan.join(borders, same, "left").select(
+            "_source", "source_size", "target", "whole",
+            F.coalesce("slice", F.lit(-1)).cast("long").alias("slice"), F.coalesce("rest", F.lit(0)).alias("rest"),
+        ),
         "mix-plan",
     )
-    placed = (
-        sized.join(plan, F.col("source").eqNullSafe(F.col("_source")))
-        .withColumn("at", slice_of)
-    )
-    apart = placed.where("at <> slice").withColumn("more", (F.col("at") < F.col("slice")).cast("long"))
+
+
+def _slice() -> Column:
+    return F.shiftright("draw", 60 - SLICE_BITS)
+
+
+def _border(placed: DataFrame) -> DataFrame:
+    """The rows of the slices in which a target ends, with ``more``: 1 if taken once more."""
     # Repeated rows share a hash; they stand as one row with a count until their order is settled.
-    alike = [c for c in placed.columns]
     order = Window.partitionBy("_source").orderBy("draw", "doc_id", "size")
     before = F.coalesce(F.sum(F.col("size") * F.col("rows")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    border = (
-        placed.where("at = slice").groupBy(*alike).agg(F.count("*").alias("rows"))
+    return (
+        placed.where("at = slice").groupBy(*placed.columns).agg(F.count("*").alias("rows"))
         .withColumn("_before", before)
         .withColumn("nth", F.explode(F.sequence(F.lit(0), (F.col("rows") - 1).cast("int"))))
         .withColumn("more", ((F.col("_before") + F.col("nth") * F.col("size")) * 2 + F.col("size") < F.col("rest") * 2).cast("long"))
         .drop("_before", "rows", "nth")
     )
-    return apart.unionByName(border).select(
-        "doc_id", "size", "source_size", "target",
-        ((F.col("whole") + F.col("more")) * F.col("size")).alias("taken"),
-        (F.col("whole") + F.col("more")).cast("int").alias("copies"),
-        "source",
+
+
+def mix(
+    docs: DataFrame,
+    weights: tuple[int, ...] = WEIGHTS,
+    max_epochs: int = MAX_EPOCHS,
+    seed: int = SEED,
+) -> DataFrame:
+    """One row per document: doc_id, size, source_size, target, taken, copies, source.
+
+    ``size`` is the number of words. Each document of a source is taken as many
+    whole times as the target holds whole epochs; the rest of the target is
+    filled with documents in a seeded order, by whole documents, to the nearest
+    document border. ``taken`` is ``copies`` times ``size``.
+
+    Null text has size 0 and is taken as often as the whole epochs say; null
+    sources are one source; a null doc_id is ordered like a value. Repeated rows
+    count as rows of their own. No documents give no rows. If all sizes are 0,
+    targets are 0. The order is by hash of seed, doc_id and text, so reruns on
+    any layout agree. Other columns are ignored.
+    """
+    sized = _sized(docs, seed)
+    plan = _plan(sized, weights, max_epochs)
+    placed = sized.join(plan, F.col("source").eqNullSafe(F.col("_source"))).withColumn("at", _slice())
+    apart = placed.where("at <> slice").withColumn("more", (F.col("at") < F.col("slice")).cast("long"))
+    copies = F.col("whole") + F.col("more")
+    return apart.unionByName(_border(placed)).select(
+        "doc_id", "size", "source_size", "target", (copies * F.col("size")).alias("taken"), copies.cast("int").alias("copies"), "source"
+    )
+
+
+def mixed_documents(
+    docs: DataFrame,
+    weights: tuple[int, ...] = WEIGHTS,
+    max_epochs: int = MAX_EPOCHS,
+    seed: int = SEED,
+) -> DataFrame:
+    """The rows of ``docs``, each as often as ``mix`` takes it, with all their columns.
+
+    One number per source, the last draw that is taken once more, carries the
+    decision to the rows, so texts are not shuffled. Rows that repeat a doc_id
+    and a text draw alike and go together.
+    """
+    sized = _sized(docs, seed)
+    plan = _plan(sized, weights, max_epochs)
+    placed = sized.join(plan, F.col("source").eqNullSafe(F.col("_source"))).withColumn("at", _slice())
+    last = _border(placed).where("more = 1").groupBy(F.col("_source").alias("_s")).agg(F.max("draw").alias("last"))
+    source, whole, cut, drawn, nth = free(docs, "_mix_source", "_mix_whole", "_mix_cut", "_mix_draw", "_mix_nth")
+    cuts = written(
+        plan.join(last, F.col("_source").eqNullSafe(F.col("_s")), "left").select(
+            F.col("_source").alias(source), F.col("whole").alias(whole),
+            F.coalesce("last", F.shiftleft("slice", 60 - SLICE_BITS) - 1).alias(cut),
+        ),
+        "mix-cuts",
+    )
+    marked = docs.withColumn(drawn, draw(F.col("doc_id").cast("long"), F.col("text"), seed))
+    copies = F.col(whole) + (F.col(drawn) <= F.col(cut)).cast("long")
+    return (
+        marked.join(cuts, F.col("source").cast("string").eqNullSafe(F.col(source)))
+        .where(copies > 0).withColumn(nth, F.explode(F.sequence(F.lit(1), copies.cast("int")))).select(*docs.columns)
     )

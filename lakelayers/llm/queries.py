@@ -9,7 +9,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakelayers.llm import bytebpe, digest_index, feistel, importance, minhash, mixing, pii, token_frames, vector_blocks
+from lakelayers.llm import bytebpe, chaining, digest_index, feistel, importance, minhash, mixing, pii, token_frames, vector_blocks
 from lakelayers.llm.common import documents
 from lakelayers.llm.oracle import ORACLE
 
@@ -66,6 +66,11 @@ def op5_pigeonhole(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("vec_id", "n_links", "component_id", "kept")
 
 
+@query
+def op6_chained_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return chaining.shared_passages(documents(spark, folder))
+
+
 @query
 def op7_weak_labels(spark: SparkSession, folder: str) -> DataFrame:
     found = pii.personal_data(documents(spark, folder))
