@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from typing import Any
@@ -26,6 +27,8 @@ class Context:
     vars: dict[str, str] = field(default_factory=dict)
     materialization: str = "view"
     """How models that do not say so are kept."""
+    seeds: dict[str, str] = field(default_factory=dict)
+    """Path of each seed's CSV."""
 
     def __post_init__(self) -> None:
         session.pin(self.spark)
@@ -36,16 +39,19 @@ class Context:
         return self.sources.scan(name, table)
 
     def ref(self, name: str) -> DataFrame:
-        """The current version of a published table."""
+        """The current version of a published table, or a view model of the catalog."""
+        if self.tables.version(name) is None and self.spark.catalog.tableExists(name):
+            return self.spark.table(name)
         return self.tables.read(name)
 
     def table(self, name: str) -> DataFrame:
         """Any table or view of the session's catalog."""
         return self.spark.table(name)
 
-    def preview(self, name: str, rows: int = 20) -> DataFrame:
-        """Some rows of a table or view, to look at."""
-        return self.table(name).limit(rows)
+    def preview(self, name: str, rows: int = 20, order_by: Sequence[str] = ()) -> DataFrame:
+        """Some rows of a table or view, to look at; the first ones of an order, if given."""
+        found = self.table(name)
+        return (found.orderBy(*order_by) if order_by else found).limit(rows)
 
     def cutoff(self, name: str) -> str:
         return settings.cutoff(name, self.env, self.vars)

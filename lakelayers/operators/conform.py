@@ -2,21 +2,17 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Mapping, Sequence
 from datetime import timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakelayers.operators.merge import known
 
-# A key with more than this share of the rows is spread over several tasks.
-HOT_SHARE = 0.01
-
-
 def union_stores(stores: Mapping[str, str], scan: Callable[[str], DataFrame]) -> DataFrame:
     """All stores' relations as one, tagged with the store's ``platform`` key."""
     tagged = [scan(source).withColumn("platform", F.lit(store)) for store, source in stores.items()]
@@ -26,24 +22,19 @@ def union_stores(stores: Mapping[str, str], scan: Callable[[str], DataFrame]) ->
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """The last row of each key by ``order_by``, then by the other columns.
 
-    An aggregate, so each task first reduces its own rows to one per key and a
-    key with many copies costs one row per task in the shuffle. Rows whose key
-    is NULL match nothing, so all of them stay.
+    One pass over ``df``. Each task first keeps the last of its own rows of a
+    key, so a key with many copies costs one row per task in the shuffle. Rows
+    whose key is NULL match nothing: all of them stay, and a number of their
+    own spreads them over the tasks.
     """
     rest = [c for c in df.columns if c not in keys and c not in order_by]
     # Maps have no order, so they are carried along but break no tie.
-    ordered = [c for c in rest if not _has_map(df.schema[c].dataType)]
-    rank = F.struct(*order_by, *ordered)
-    top = F.max(rank) if ordered == rest else F.max_by(F.struct(*order_by, *rest), rank)
-    last = (
-        df.filter(known(keys))
-        .groupBy(*keys)
-        .agg(top.alias("_last"))
-        .select(*[c if c in keys else F.col("_last")[c].alias(c) for c in df.columns])
-    )
-    if not any(df.schema[k].nullable for k in keys):
-        return last
-    return last.unionByName(df.filter(~known(keys)))
+    ordered = [*order_by, *[c for c in rest if not _has_map(df.schema[c].dataType)]]
+    alone, rows, by = "_alone", df, list(keys)
+    if any(df.schema[k].nullable for k in keys):
+        rows, by = df.withColumn(alone, F.when(known(keys), F.lit(-1)).otherwise(F.monotonically_increasing_id())), [*keys, alone]
+    last = W.partitionBy(*by).orderBy(*[F.col(c).desc() for c in ordered])
+    return rows.withColumn("_nth", F.row_number().over(last)).filter("_nth = 1").select(*df.columns)
 
 
 def _has_map(kind: T.DataType) -> bool:
@@ -90,48 +81,7 @@ def from_cutoff(df: DataFrame, column: str, cutoff: str) -> DataFrame:
 def join_dimension(fact: DataFrame, dim: DataFrame, on: Sequence[str]) -> DataFrame:
     """Left join of facts to a dimension that has each key once.
 
-    A dimension below the session's broadcast limit is left to Spark, which
-    broadcasts it. For a bigger one both sides are shuffled, with the few keys
-    that hold more than ``HOT_SHARE`` of the facts spread over several tasks
-    and their dimension rows copied to each.
-    """
-    on = list(on)
-    if planned_bytes(dim) <= broadcast_limit(dim.sparkSession):
-        return fact.join(dim, on, "left")
-    return _salted_left_join(fact, dim, on, hot_keys(fact, on))
-
-
-def planned_bytes(df: DataFrame) -> int:
-    """Spark's own size estimate, from file sizes and column widths."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def broadcast_limit(spark: SparkSession) -> int:
-    return spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-
-
-def hot_keys(fact: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> dict[tuple, float]:
-    """Keys with more than ``share`` of all rows and their shares, in one pass.
-
-    At most ``1 / share`` keys can have that much, so the top ones hold them all.
+    One plan at any size: Spark broadcasts a dimension below its own limit, and
+    splits a hot key's facts at run time when both sides are shuffled.
     """
-    seen = Observation()
-    counts = fact.groupBy(*on).agg(F.count("*").alias("_n")).observe(seen, F.sum("_n").alias("rows"))
-    top = counts.orderBy(F.desc("_n")).limit(int(1 / share)).collect()
-    rows = (seen.get["rows"] or 0) if top else 0
-    return {tuple(r[c] for c in on): r["_n"] / rows for r in top if r["_n"] > max(1, rows * share)}
-
-
-def _salted_left_join(fact: DataFrame, dim: DataFrame, on: list[str], hot: dict[tuple, float]) -> DataFrame:
-    """Each hot key takes as large a share of the tasks as it has of the rows."""
-    if not hot:
-        return fact.join(dim, on, "left")
-    tasks = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = F.lit(1)
-    for key, share in hot.items():
-        is_key = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(on, key)])
-        spread = F.when(is_key, F.lit(max(2, math.ceil(share * tasks)))).otherwise(spread)
-    hashed = [c for c in fact.columns if not _has_map(fact.schema[c].dataType)]
-    left = fact.withColumn("_salt", F.pmod(F.xxhash64(*hashed), spread).cast("int"))
-    right = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), spread - 1)))
-    return left.join(right, [*on, "_salt"], "left").drop("_salt")
+    return fact.join(dim, list(on), "left")

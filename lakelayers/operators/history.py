@@ -13,6 +13,9 @@ from lakelayers.operators.merge import fit_columns, known, require_unique
 from lakelayers.operators.publish import Layout, TableStore, Version
 
 OPEN, CLOSED = "open", "closed"
+# Parts of the open rows, by key. A run rewrites the buckets in which a key changed,
+# so choose as many as keep a bucket small; fixed for the life of a table.
+OPEN_BUCKETS = 16
 PERIOD = T.StructType([
     T.StructField("valid_from", T.TimestampType()),
     T.StructField("valid_to", T.TimestampType()),
@@ -28,20 +31,27 @@ def snapshot(
     run_at: Column,
     updated_at: str | None = None,
     check: Sequence[str] | None = None,
+    buckets: int = OPEN_BUCKETS,
 ) -> Version:
     """Record what ``source`` looks like now in the history table ``name``.
 
     A row has changed when its ``updated_at`` is later than the open row's, or,
     with ``check``, when any of those columns differs. The old row closes where
     the new one opens; a key missing from the source closes at ``run_at``; a
-    key that comes back opens a new row. Closed rows are never written again:
-    only the open part of the table is.
+    key that comes back opens a new row, no earlier than its last one closed.
+    So periods of a key never overlap, and none ends before it starts.
+
+    Open rows are split by key into ``buckets``, closed ones by the month they
+    closed in. Only buckets with a change and months with a newly closed row
+    are rewritten; without a change nothing is published.
     """
     if (updated_at is None) == (check is None):
         raise ValueError("give either updated_at or check")
     keys = list(keys)
     starts = F.col(updated_at).cast("timestamp") if updated_at else run_at
-    part = F.when(F.col("is_current"), F.lit(OPEN)).otherwise(F.lit(CLOSED))
+    bucket = F.concat(F.lit(f"{OPEN}-"), F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("string"))
+    month = F.concat(F.lit(f"{CLOSED}-"), F.date_format("valid_to", "yyyy-MM"))
+    part = F.when(F.col("is_current"), bucket).otherwise(month)
 
     old = tables.version(name)
     with tables.staging() as stage:
@@ -51,24 +61,27 @@ def snapshot(
         new = stage(source)
         _require_keys(new, keys, name)
         if old is None:
-            rows = new.withColumns({
-                "valid_from": starts,
-                "valid_to": F.lit(None).cast("timestamp"),
-                "is_current": F.lit(True),
-            })
+            rows = new.withColumns({"valid_from": starts, "valid_to": F.lit(None).cast("timestamp"), "is_current": F.lit(True)})
+            touched: list[str] = []
         else:
-            rows = _next_rows(tables.read_version(name, old, parts=[OPEN]), new, keys, run_at, starts, updated_at, check)
+            opened = tables.read_version(name, old, parts=[p for p in old.parts if p.startswith(OPEN)])
+            changed = stage(_changes(opened, new, keys, starts, updated_at, check))
+            fresh = stage(_outcome(_not_before(tables, name, old, changed, keys), new.columns, run_at))
+            touched = sorted(r[0] for r in fresh.select(part.alias("p")).distinct().collect())
+            touched = sorted({*touched, *(r[0] for r in changed.select(bucket.alias("p")).distinct().collect())})
+            if not touched:
+                return old
+            # A bucket holds each key once; what changed in it is all in the new rows.
+            before = tables.read_version(name, old, parts=[p for p in touched if p in old.parts])
+            dropped = changed.filter("was IS NOT NULL").select(*keys, F.lit(True).alias("is_current"))
+            rows = before.join(dropped, [*keys, "is_current"], "left_anti").select(*before.columns).unionByName(fresh)
         schema = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema.fields])
         write_id = tables.write_rows(name, rows, Layout(), part)
         written = tables.written_parts(name, write_id)
 
-    closed = old.parts.get(CLOSED, []) if old else []
-    parts = {
-        OPEN: [write_id] if OPEN in written else [],
-        CLOSED: [*closed, *([write_id] if CLOSED in written else [])],
-    }
-    number = old.number + 1 if old else 1
-    return tables.commit(name, Version(number, schema, Layout(), {p: w for p, w in parts.items() if w}))
+    parts = {p: w for p, w in (old.parts if old else {}).items() if p not in touched}
+    parts.update(dict.fromkeys(written, write_id))
+    return tables.commit(name, Version(old.number + 1 if old else 1, schema, Layout(), parts))
 
 
 def _require_keys(df: DataFrame, keys: list[str], name: str) -> None:
@@ -77,26 +90,40 @@ def _require_keys(df: DataFrame, keys: list[str], name: str) -> None:
     require_unique(df, keys, f"the snapshot source of {name}")
 
 
-def _next_rows(
-    opened: DataFrame,
-    new: DataFrame,
-    keys: list[str],
-    run_at: Column,
-    starts: Column,
-    updated_at: str | None,
-    check: Sequence[str] | None,
+def _changes(
+    opened: DataFrame, new: DataFrame, keys: list[str], starts: Column, updated_at: str | None, check: Sequence[str] | None
 ) -> DataFrame:
-    columns = new.columns
+    """(keys, was, now, starts) of the keys that are gone, added or changed."""
     was = opened.select(*keys, F.struct(*opened.columns).alias("was"))
-    now = new.select(*keys, F.struct(*columns).alias("now"), starts.alias("starts"))
+    now = new.select(*keys, F.struct(*new.columns).alias("now"), starts.alias("starts"))
     # Keys are unique and never NULL on both sides, so no key can be hot.
     both = was.join(now, keys, "full_outer")
-
-    gone, added = F.col("now").isNull(), F.col("was").isNull()
     if updated_at:
-        changed = F.coalesce(F.col(f"now.{updated_at}") > F.col(f"was.{updated_at}"), F.lit(False))
+        differs = F.coalesce(F.col(f"now.{updated_at}") > F.col(f"was.{updated_at}"), F.lit(False))
     else:
-        changed = reduce(lambda a, b: a | b, [~F.col(f"now.{c}").eqNullSafe(F.col(f"was.{c}")) for c in check])
+        differs = reduce(lambda a, b: a | b, [~F.col(f"now.{c}").eqNullSafe(F.col(f"was.{c}")) for c in check])
+    return both.filter(F.col("now").isNull() | F.col("was").isNull() | differs)
+
+
+def _not_before(tables: TableStore, name: str, old: Version, changed: DataFrame, keys: list[str]) -> DataFrame:
+    """``starts`` no earlier than where a period of the key ended, or the open one began.
+
+    Only a key that comes back can have closed rows that end later, and only
+    months from the earliest new start on can hold them.
+    """
+    changed = changed.withColumn("starts", F.greatest("starts", "was.valid_from"))
+    added = changed.filter("was IS NULL")
+    first = added.agg(F.date_format(F.min("starts"), "yyyy-MM")).first()[0]
+    later = [p for p in old.parts if p.startswith(CLOSED) and first is not None and p >= f"{CLOSED}-{first}"]
+    if not later:
+        return changed
+    ended = tables.read_version(name, old, parts=later).join(added.select(*keys), keys, "left_semi")
+    ended = ended.groupBy(*keys).agg(F.max("valid_to").alias("_ended"))
+    return changed.join(ended, keys, "left").withColumn("starts", F.greatest("starts", "_ended")).drop("_ended")
+
+
+def _outcome(changed: DataFrame, columns: list[str], run_at: Column) -> DataFrame:
+    """The rows that changed keys have from now on: closed old ones, open new ones."""
 
     def row(side: str, start: Column, end: Column, current: bool) -> Column:
         return F.struct(
@@ -107,12 +134,10 @@ def _next_rows(
         )
 
     was_from = F.col("was.valid_from")
-    never = F.lit(None)
-    fresh = row("now", F.col("starts"), never, True)
+    fresh = row("now", F.col("starts"), F.lit(None), True)
     outcome = (
-        F.when(gone, F.array(row("was", was_from, run_at, False)))
-        .when(added, F.array(fresh))
-        .when(changed, F.array(row("was", was_from, F.col("starts"), False), fresh))
-        .otherwise(F.array(row("was", was_from, never, True)))
+        F.when(F.col("now").isNull(), F.array(row("was", was_from, F.greatest(run_at, was_from), False)))
+        .when(F.col("was").isNull(), F.array(fresh))
+        .otherwise(F.array(row("was", was_from, F.col("starts"), False), fresh))
     )
-    return both.select(F.explode(outcome).alias("r")).select("r.*")
+    return changed.select(F.explode(outcome).alias("r")).select("r.*")

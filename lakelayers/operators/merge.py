@@ -66,13 +66,15 @@ def fit_columns(df: DataFrame, schema: T.StructType, what: str) -> DataFrame:
 
 
 def without_keys(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The rows whose key is not in ``other``.
+    """The rows whose key is not in ``other``, in one pass over both.
 
-    Rows without a key stay without going through the join, where they would
-    all meet in one task.
+    Rows without a key match nothing. A hash of their other columns joins the
+    key, so they do not all meet in one task.
     """
-    left = df.filter(known(keys)).join(other.filter(known(keys)).select(*keys), list(keys), "left_anti")
-    return left.unionByName(df.filter(~known(keys)))
+    hashed = [c for c in df.columns if "map<" not in df.schema[c].dataType.simpleString()]
+    left = df.withColumn("_alone", F.when(known(keys), F.lit(0)).otherwise(F.xxhash64(*hashed)))
+    right = other.filter(known(keys)).select(*keys, F.lit(0).cast("bigint").alias("_alone"))
+    return left.join(right, [*keys, "_alone"], "left_anti").select(*df.columns)
 
 
 def merge(
@@ -83,16 +85,18 @@ def merge(
     layout: Layout | None = None,
     newer_by: str | None = None,
     tag: tuple[str, int] | None = None,
+    insert_only: bool = False,
 ) -> MergeResult:
     """Publish ``name`` with ``changes`` merged in.
 
     ``changes`` must hold each key once. NULL keys match nothing: such rows of
     both sides stay. With ``newer_by``, a change that is older than the stored
-    row is left out. ``tag`` names a stream and its batch; a batch at or below
-    the recorded one is skipped, so replaying it does nothing.
+    row is left out; with ``insert_only``, so is any whose key is stored.
+    ``tag`` names a stream and its batch; a batch at or below the recorded one
+    is skipped, so replaying it does nothing.
 
-    Only parts with a matched row are rewritten. New rows of other parts are
-    added beside what is there.
+    A part that holds a matched row or gets a new one is rewritten, so a part is
+    always one folder. Other parts are carried over by name.
     """
     keys = list(keys)
     old = tables.version(name)
@@ -106,36 +110,43 @@ def merge(
         if old is None or not old.parts:
             first = stage(fit_columns(changes, old.schema, "the change set") if old else changes)
             require_unique(first, keys, f"the first load of {name}")
+            if old is not None and tag is None and first.isEmpty():
+                return MergeResult(old, [])
             v = tables.replace(name, first, layout or (old.layout if old else None), tags)
             return MergeResult(v, sorted(v.parts))
 
         fresh = stage(fit_columns(changes, old.schema, "the change set"))
         near = key_range(fresh, keys)
-        if near is None and tag is None and fresh.isEmpty():
-            return MergeResult(old, [])
         require_unique(fresh, keys, f"the change set for {name}")
         target = tables.read_version(name, old, with_part=True)
         if near is not None:
             target = target.filter(near)
-        if newer_by is None:
+        if insert_only:
+            hit, fresh = None, stage(without_keys(fresh, target, keys))
+        elif newer_by is None:
             hit = target.select(*keys, "_part").join(fresh.select(*keys), keys, "left_semi")
         else:
             stored = target.select(*keys, "_part", F.col(newer_by).alias("_stored"))
             late = F.coalesce(F.col(newer_by) < F.col("_stored"), F.lit(False))
             found = stored.join(fresh.select(*keys, newer_by), keys).withColumn("_late", late)
             found = stage(found.select(*keys, "_part", "_late"))
-            fresh = without_keys(fresh, found.filter("_late"), keys)
+            fresh = stage(without_keys(fresh, found.filter("_late"), keys))
             hit = found.filter(~F.col("_late"))
+        parts_of = fresh.select(old.layout.part().alias("_part"))
         # One row per part, of which there are as many as dates at most.
-        rewritten = sorted(r[0] for r in hit.select("_part").distinct().collect())
-
-        before = tables.read_version(name, old, parts=rewritten)
+        touched = parts_of if hit is None else parts_of.unionByName(hit.select("_part"))
+        touched = sorted(r[0] for r in touched.distinct().collect())
+        if not touched:
+            if tag is None:
+                return MergeResult(old, [])
+            return MergeResult(tables.commit(name, Version(old.number + 1, old.schema, old.layout, old.parts, tags, old.inputs)), [])
+
+        before = tables.read_version(name, old, parts=touched)
         rows = without_keys(before, fresh, keys).unionByName(fresh)
         write_id = tables.write_rows(name, rows.select(*old.schema.names), old.layout)
         new = tables.written_parts(name, write_id)
 
-    parts = {p: w for p, w in old.parts.items() if p not in rewritten}
-    for p in new:
-        parts[p] = [*parts.get(p, []), write_id]
+    parts = {p: w for p, w in old.parts.items() if p not in touched}
+    parts.update(dict.fromkeys(new, write_id))
     v = Version(old.number + 1, old.schema, old.layout, parts, tags)
-    return MergeResult(tables.commit(name, v), sorted({*rewritten, *new}))
+    return MergeResult(tables.commit(name, v), touched)

@@ -5,10 +5,11 @@ Layout of one table under the target root::
     <root>/<schema>/<table>/_write=<id>/_part=<p>/*.parquet   rows, never changed
     <root>/<schema>/<table>/_versions/<n>.json                what is current
 
-Every write makes a new ``_write`` folder. A version says which
-``(_write, _part)`` folders are current, so a merge rewrites only the parts it
-touches and a reader of the version before is not disturbed. A job that dies
-leaves folders that no version names, and those are never read.
+Every write makes a new ``_write`` folder. A version says which one is current
+for each part, so a merge rewrites only the parts it touches and a reader of
+the version before is not disturbed. A job that dies leaves folders that no
+version names, and those are never read. Publishing a version also points the
+catalog view ``schema.table`` at it. Old versions go by age, once per run.
 
 One writer per table, any number of readers.
 """
@@ -16,10 +17,14 @@ One writer per table, any number of readers.
 from __future__ import annotations
 
 import json
+import time
 import uuid
+import zlib
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
+from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,11 +36,17 @@ ROWS_PER_FILE = 20_000_000
 WHOLE = "all"
 NO_DATE = "none"
 UNIT_FORMATS = {"year": "yyyy", "month": "yyyy-MM", "day": "yyyy-MM-dd"}
+# How long a replaced version, and what no version names, stays readable.
+RETENTION = timedelta(days=7)
 
 
 @dataclass(frozen=True)
 class Layout:
-    """Rows are split into parts by ``unit`` of the date ``column``."""
+    """Rows are split into parts by ``unit`` of the date ``column``.
+
+    A choice of the model, the same for all its tables and at any size: a part
+    is what a merge rewrites, and within it files are sorted by date.
+    """
 
     column: str | None = None
     unit: str = "month"
@@ -47,23 +58,16 @@ class Layout:
         return F.coalesce(text, F.lit(NO_DATE))
 
 
-def layout_for(column: str, input_bytes: int | None) -> Layout:
-    """Parts that stay rewritable: years when small, days when huge."""
-    if input_bytes is None:
-        return Layout(column)
-    unit = "year" if input_bytes < 10 << 30 else "month" if input_bytes < 10 << 40 else "day"
-    return Layout(column, unit)
-
-
 @dataclass
 class Version:
     number: int
     schema: T.StructType
     layout: Layout
-    parts: dict[str, list[str]]
+    parts: dict[str, str]
+    """The write that holds each part."""
     tags: dict[str, int] = field(default_factory=dict)
     """Last batch taken in, by stream."""
-    inputs: dict[str, dict[str, list[str]]] = field(default_factory=dict)
+    inputs: dict[str, dict[str, str]] = field(default_factory=dict)
     """The parts of other tables that this version was computed from."""
 
     def to_json(self) -> str:
@@ -97,10 +101,11 @@ class Version:
 class TableStore:
     """Published tables below one root."""
 
-    def __init__(self, spark: SparkSession, root: str, keep: int = 2):
+    def __init__(self, spark: SparkSession, root: str, catalog: bool = True):
+        """With ``catalog``, every commit flips the table's view as well."""
         self.spark = spark
         self.root = root.rstrip("/")
-        self.keep = keep
+        self.catalog = catalog
 
     # --- reading -------------------------------------------------------------
 
@@ -149,16 +154,18 @@ class TableStore:
     ) -> DataFrame:
         base = self.path(name)
         wanted = v.parts if parts is None else {p: v.parts[p] for p in parts if p in v.parts}
-        paths = [f"{base}/_write={w}/_part={p}" for p, writes in wanted.items() for w in writes]
         stored = T.StructType(
             [*v.schema.fields, T.StructField("_write", T.StringType()), T.StructField("_part", T.StringType())]
         )
-        if paths:
-            df = self.spark.read.schema(stored).option("basePath", base).parquet(*paths)
-        else:
-            df = self.spark.createDataFrame([], stored)
         columns = v.schema.names + (["_part"] if with_part else [])
-        return df.select(*columns)
+        if not wanted:
+            return self.spark.createDataFrame([], stored).select(*columns)
+        writes: dict[str, list[str]] = {}
+        for p, w in wanted.items():
+            writes.setdefault(w, []).append(p)
+        df = self.spark.read.schema(stored).option("basePath", base).parquet(*[f"{base}/_write={w}" for w in writes])
+        current = [(F.col("_write") == w) & F.col("_part").isin(ps) for w, ps in writes.items()]
+        return df.filter(reduce(lambda a, b: a | b, current)).select(*columns)
 
     # --- writing -------------------------------------------------------------
 
@@ -182,11 +189,12 @@ class TableStore:
         return sorted(p.rsplit("_part=", 1)[1] for p in found)
 
     def commit(self, name: str, v: Version) -> Version:
-        """Make ``v`` the current version, then drop what no kept one uses."""
+        """Make ``v`` the current version, for readers of the store and of the catalog."""
         path = f"{self.path(name)}/_versions/{v.number}.json"
         if not write_text(self.spark, path, v.to_json()):
             raise RuntimeError(f"another writer published version {v.number} of {name}")
-        self.expire(name)
+        if self.catalog:
+            self.publish_view(name, v)
         return v
 
     def replace(
@@ -201,21 +209,10 @@ class TableStore:
         layout = layout or Layout()
         old = self.versions(name)
         write_id = self.write_rows(name, df, layout)
-        parts = {p: [write_id] for p in self.written_parts(name, write_id)}
+        parts = dict.fromkeys(self.written_parts(name, write_id), write_id)
         number = old[-1] + 1 if old else 1
         return self.commit(name, Version(number, _nullable(df.schema), layout, parts, tags or {}, _inputs(sources)))
 
-    def append(self, name: str, df: DataFrame) -> Version:
-        """Publish the table with rows added; what is there stays as it is."""
-        old = self.version(name)
-        if old is None:
-            return self.replace(name, df)
-        write_id = self.write_rows(name, df.select(*old.schema.names), old.layout)
-        parts = dict(old.parts)
-        for p in self.written_parts(name, write_id):
-            parts[p] = [*parts.get(p, []), write_id]
-        return self.commit(name, Version(old.number + 1, old.schema, old.layout, parts, old.tags))
-
     def replace_parts(
         self, name: str, df: DataFrame, parts: list[str], sources: dict[str, Version] | None = None
     ) -> Version:
@@ -230,29 +227,52 @@ class TableStore:
         if outside:
             raise ValueError(f"rows outside the replaced parts of {name}: {sorted(outside)[:5]}")
         now = {p: w for p, w in old.parts.items() if p not in parts}
-        now.update({p: [write_id] for p in new})
+        now.update(dict.fromkeys(new, write_id))
         return self.commit(name, Version(old.number + 1, old.schema, old.layout, now, old.tags, _inputs(sources)))
 
-    def expire(self, name: str) -> None:
-        """Delete versions before the last ``keep``, and the rows that no kept
-        version names: theirs only, or left by a job that died."""
-        numbers = self.versions(name)
-        gone, live = numbers[: -self.keep], numbers[-self.keep :]
-        used: dict[str, set[str]] = {}
-        for n in live:
-            for p, writes in self.version(name, n).parts.items():
-                for w in writes:
-                    used.setdefault(w, set()).add(p)
+    def expire(self, name: str, retention: timedelta = RETENTION) -> None:
+        """Delete versions replaced longer ago than ``retention``, and rows as old that no
+        version left names: theirs only, or of a job that died.
+
+        The newest version and the one the catalog view names always stay, and so
+        does whatever a writer that has not committed yet put down since.
+        """
+        before = time.time() * 1000 - retention / timedelta(milliseconds=1)
+        base = self.path(name)
+        replaced = {n: since for n, since in self._since(name) if since <= before}
+        shown = self._shown(name)
+        gone = [n for n in replaced if self._table(name, n) != shown]
         for n in gone:
-            self._delete(f"{self.path(name)}/_versions/{n}.json")
-        for folder in self._names(f"{self.path(name)}/_write=*"):
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._table(name, n)}")
+            self._delete(f"{base}/_versions/{n}.json")
+        used: dict[str, set[str]] = {}
+        for n in self.versions(name):
+            for p, w in self.version(name, n).parts.items():
+                used.setdefault(w, set()).add(p)
+        for folder, changed in self._stats(f"{base}/_write=*"):
             write_id = folder.rsplit("_write=", 1)[1]
+            if changed > before:
+                continue
             if write_id not in used:
                 self._delete(folder)
             elif gone:
                 for p in set(self.written_parts(name, write_id)) - used[write_id]:
                     self._delete(f"{folder}/_part={p}")
 
+    def expire_all(self, retention: timedelta = RETENTION) -> None:
+        for name in self.names():
+            self.expire(name, retention)
+
+    def _since(self, name: str) -> list[tuple[int, int]]:
+        """(version, when it was replaced) of all but the newest, from the next one's file."""
+        files = self._stats(f"{self.path(name)}/_versions/*.json")
+        ages = sorted((int(p.rsplit("/", 1)[1].removesuffix(".json")), t) for p, t in files)
+        return [(n, after) for (n, _), (_, after) in zip(ages, ages[1:])]
+
+    def _stats(self, pattern: str) -> list[tuple[str, int]]:
+        fs, jpath = hadoop_path(self.spark, pattern)
+        return [(s.getPath().toString(), s.getModificationTime()) for s in fs.globStatus(jpath) or []]
+
     def _delete(self, path: str) -> None:
         fs, jpath = hadoop_path(self.spark, path)
         fs.delete(jpath, True)
@@ -274,15 +294,29 @@ class TableStore:
 
     # --- views ---------------------------------------------------------------
 
-    def publish_view(self, name: str) -> None:
-        """Point the catalog view ``schema.table`` at the current version.
+    def _table(self, name: str, number: int) -> str:
+        """The external table of one version; stores of other roots have names of their own."""
+        return f"{name}__v{number}_{zlib.crc32(self.root.encode()):08x}"
+
+    def _shown(self, name: str) -> str | None:
+        """The version table that the catalog view names."""
+        if not self.spark.catalog.tableExists(name):
+            return None
+        told = self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'View Text'").first()
+        return told["data_type"].rsplit(" ", 1)[1] if told else None
+
+    def publish_view(self, name: str, v: Version | None = None) -> None:
+        """Point the catalog view ``schema.table`` at a version, the newest by default.
 
         The version's folders become the partitions of an external table, so
-        queries through the view prune parts; flipping the view is one step.
+        queries through the view prune parts. That table is made beside the one
+        in use, and replacing the view is one step; if the view names the
+        version already, nothing is done.
         """
-        v = self.version(name)
-        schema = name.split(".")[0]
-        table = f"{name}__v{v.number}"
+        v = v or self.version(name)
+        schema, table = name.split(".")[0], self._table(name, v.number)
+        if self._shown(name) == table:
+            return
         self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema} LOCATION '{self.root}/{schema}'")
         self.spark.sql(f"DROP TABLE IF EXISTS {table}")
         fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in v.schema.fields)
@@ -290,18 +324,14 @@ class TableStore:
             f"CREATE TABLE {table} ({fields}, `_write` string, `_part` string) USING parquet "
             f"PARTITIONED BY (`_write`, `_part`) LOCATION '{self.path(name)}'"
         )
-        current = [(w, p) for p, writes in v.parts.items() for w in writes]
+        current = [(w, p) for p, w in v.parts.items()]
         for i in range(0, len(current), 500):
             added = " ".join(f"PARTITION (`_write`='{w}', `_part`='{p}')" for w, p in current[i : i + 500])
             self.spark.sql(f"ALTER TABLE {table} ADD {added}")
         create_latest_version_view(self.spark, table, name, v.schema.names)
-        kept = {f"{name}__v{n}" for n in self.versions(name)}
-        for row in self.spark.sql(f"SHOW TABLES IN {schema} LIKE '{name.split('.')[1]}__v*'").collect():
-            if f"{schema}.{row['tableName']}" not in kept:
-                self.spark.sql(f"DROP TABLE IF EXISTS {schema}.{row['tableName']}")
 
     def publish_views(self) -> list[str]:
-        """All views anew, as at the start of a session without a metastore."""
+        """All views that do not name the newest version, as at the start of a session without a metastore."""
         names = self.names()
         for name in names:
             self.publish_view(name)
@@ -316,13 +346,14 @@ def create_latest_version_view(
     spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT {chosen} FROM {relation}")
 
 
-def as_view(df: DataFrame, name: str) -> DataFrame:
-    """A model that is not stored: a session view over its plan."""
-    df.createOrReplaceTempView(name)
-    return df.sparkSession.table(name)
+def as_view(spark: SparkSession, name: str, sql: str) -> DataFrame:
+    """A model that is not stored: the catalog view ``schema.table``, planned anew by each reader."""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name.split('.')[0]}")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {sql}")
+    return spark.table(name)
 
 
-def _inputs(sources: dict[str, Version] | None) -> dict[str, dict[str, list[str]]]:
+def _inputs(sources: dict[str, Version] | None) -> dict[str, dict[str, str]]:
     return {name: v.parts for name, v in (sources or {}).items()}
 
 

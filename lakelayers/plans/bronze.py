@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from lakelayers import settings
 from lakelayers.context import Context
 from lakelayers.functions.expressions import cents_to_dollars, price_with_tax
+from lakelayers.operators.publish import Layout
+
+# Orders of all stores and both ways of delivery are split by month of creation,
+# which does not change over an order's life; revenue is split alike.
+ORDER_LAYOUT = Layout("created_at_date", "month")
 
 
 def orders(raw: DataFrame, platform: Column | str) -> DataFrame:

@@ -22,10 +22,10 @@ def revenue_daily(orders: DataFrame) -> DataFrame:
 
 
 def revenue_by_month(orders: DataFrame) -> DataFrame:
-    """Revenue of paid orders per calendar month."""
+    """Revenue of paid orders per calendar month, store and currency."""
     return (
         paid(orders)
-        .groupBy(F.date_trunc("month", "created_at").alias("month"))
+        .groupBy(F.date_trunc("month", "created_at").alias("month"), "platform", "currency")
         .agg(money_sum("total_price").alias("revenue"))
     )
 
@@ -33,6 +33,6 @@ def revenue_by_month(orders: DataFrame) -> DataFrame:
 def roll_up_months(daily: DataFrame) -> DataFrame:
     """Monthly revenue from the daily table."""
     return (
-        daily.groupBy(F.date_trunc("month", "created_at_date").alias("month"))
+        daily.groupBy(F.date_trunc("month", "created_at_date").alias("month"), "platform", "currency")
         .agg(money_sum("revenue").alias("revenue"))
     )

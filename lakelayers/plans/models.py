@@ -11,27 +11,32 @@ from pyspark.sql import DataFrame
 from lakelayers.context import Context
 from lakelayers.operators.conform import changed_rows
 from lakelayers.operators.merge import merge
-from lakelayers.operators.publish import Layout, as_view, layout_for
+from lakelayers.operators.publish import Layout, as_view
 
 KINDS = ("view", "table", "incremental")
 
 
 @dataclass(frozen=True)
 class Model:
-    """``build`` gives the model's rows.
+    """``build`` gives the model's rows, or, for a view, its SQL text.
 
-    A ``view`` is planned anew by each reader, a ``table`` is rebuilt by each
-    run, an ``incremental`` table takes in the rows whose ``changed_on`` is
-    newer than anything it holds. ``None`` leaves it to the context.
+    A ``view`` is a catalog view over other published tables and views, planned
+    anew by each reader. A ``table`` is rebuilt by each run, unless all its
+    ``inputs`` are as they were. An ``incremental`` table takes in the rows
+    whose ``changed_on`` is newer than anything it holds, and of each key the
+    newer row stays. ``None`` leaves the kind to the context.
+
+    ``layout`` splits the table, the same way at any size.
     """
 
     name: str
-    build: Callable[[Context], DataFrame]
+    build: Callable[[Context], DataFrame | str]
     materialized: str | None = None
     unique_key: tuple[str, ...] = ()
-    cluster_by: str | None = None
+    layout: Layout = Layout()
     changed_on: str | None = None
     lookback: timedelta | None = None
+    inputs: tuple[str, ...] = ()
 
     @property
     def layer(self) -> str:
@@ -54,22 +59,25 @@ class Outcome:
     """None for a view."""
 
 
-def run_model(ctx: Context, model: Model, full_refresh: bool = False, input_bytes: int | None = None) -> Outcome:
-    """Bring one model up to date. ``full_refresh`` ignores what is stored;
-    ``input_bytes``, if known, decides how fine a clustered table is split."""
+def run_model(ctx: Context, model: Model, full_refresh: bool = False) -> Outcome:
+    """Bring one model up to date. ``full_refresh`` ignores what is stored."""
     kind = model.kind(ctx)
-    rows = model.build(ctx)
     if kind == "view":
-        as_view(rows, model.name.split(".")[1])
+        sql = model.build(ctx)
+        if not isinstance(sql, str):
+            raise ValueError(f"model {model.name}: a view is defined by SQL text")
+        as_view(ctx.spark, model.name, sql)
         return Outcome(model.layer, model.name, None)
     old = ctx.tables.version(model.name)
+    sources = {name: ctx.tables.version(name) for name in model.inputs}
+    if kind == "table" and model.inputs and old is not None and not full_refresh and not old.stale_parts(sources):
+        return Outcome(model.layer, model.name, old.number)
+    rows = model.build(ctx)
+    if isinstance(rows, str):
+        rows = ctx.spark.sql(rows)
     if kind == "table" or full_refresh or old is None:
-        new = ctx.tables.replace(model.name, rows, _layout(model, input_bytes))
+        new = ctx.tables.replace(model.name, rows, model.layout, sources=sources)
     else:
         changes = changed_rows(rows, ctx.tables.read_version(model.name, old), model.changed_on, model.lookback)
-        new = merge(ctx.tables, model.name, changes, model.unique_key).version
+        new = merge(ctx.tables, model.name, changes, model.unique_key, newer_by=model.changed_on).version
     return Outcome(model.layer, model.name, new.number)
-
-
-def _layout(model: Model, input_bytes: int | None) -> Layout:
-    return layout_for(model.cluster_by, input_bytes) if model.cluster_by else Layout()

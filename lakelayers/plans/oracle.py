@@ -72,6 +72,11 @@ _HISTORY = """
 SELECT 'bronze.orders' AS table_name, '{metric}' AS metric, CAST(created_at_date AS TIMESTAMP) AS run_at,
        {value} AS metric_value
 FROM bronze GROUP BY created_at_date"""
+_STORE_TABLE = """CASE platform WHEN 'yoga-us' THEN 'bronze.br_shopify_us_orders' WHEN 'yoga-canada' THEN 'bronze.br_shopify_can_orders'
+  WHEN 'yoga-uk' THEN 'bronze.br_shopify_uk_orders' ELSE 'bronze.br_shopify_intl_orders' END"""
+_METRIC = f"""
+SELECT {_STORE_TABLE} AS table_name, '{{metric}}' AS metric, TIMESTAMP '2002-01-01' AS run_at, {{value}} AS metric_value
+FROM bronze GROUP BY platform"""
 _MEAN = "CAST(sum(CAST(total_price AS DECIMAL(18,2))) AS DOUBLE) / count(total_price)"
 _ROWS = "CAST(count(*) AS DOUBLE)"
 
@@ -104,17 +109,42 @@ _STORE_NAMES = {
     "yoga-uk": "src_shopify_uk",
     "yoga-intl": "src_shopify_intl",
 }
+_STORE_TABLES = ("order_line", "products", "product_variant")
+_EMPTY = {
+    **{source: _STORE_TABLES for source in _STORE_NAMES.values()},
+    "src_shopify_us": (*_STORE_TABLES, "refund", "order_adjustment", "fulfillment"),
+    "src_braze": (
+        "users_messages_email_send", "users_messages_email_open", "users_messages_email_click", "users_messages_push_send"
+    ),
+    "src_salesforce": ("account", "contact", "opportunity", "lead"),
+}
+# Each load, and how many hours old it may be before a warning and before an error.
 _LOADS = "\nUNION ALL ".join(
     [
-        f"SELECT '{source}' AS source, '{table}' AS table_name, max(updated_at) + INTERVAL 1 HOUR AS max_loaded_at "
-        f"FROM {relation} WHERE platform = '{store}'"
+        f"SELECT '{source}' AS source, '{table}' AS table_name, max(updated_at) + INTERVAL 1 HOUR AS max_loaded_at, "
+        f"12 AS warn, 24 AS error FROM {relation} WHERE platform = '{store}'"
         for table, relation in (("orders", "raw"), ("customers", "raw_customers"))
         for store, source in _STORE_NAMES.items()
     ]
-    + ["SELECT 'src_ga4', 'events', CAST(max(ts) AS TIMESTAMP) FROM events"]
+    + ["SELECT 'src_ga4', 'events', CAST(max(ts) AS TIMESTAMP), 12, 24 FROM events"]
+    + [
+        f"SELECT '{source}', '{table}', CAST(NULL AS TIMESTAMP), {'24, 48' if source == 'src_salesforce' else '12, 24'}"
+        for source, tables in _EMPTY.items() for table in tables
+    ]
 )
 
-_PERIOD_OPEN = "CAST(NULL AS TIMESTAMP) AS valid_to, true AS is_current"
+# A day on: refunds of a tenth and some new orders, all of them late.
+_NEXT_DAY = f"""{_BASE},
+late AS (
+  SELECT * REPLACE ('refunded' AS financial_status) FROM bronze WHERE order_id % 10 = 0
+  UNION ALL SELECT * REPLACE (-order_id AS order_id) FROM bronze WHERE order_id % 100 = 1
+),
+day_after AS (SELECT * FROM bronze WHERE order_id % 10 <> 0 UNION ALL SELECT * FROM late)"""
+
+_MONTHLY = f"""{_BASE}
+SELECT CAST(date_trunc('month', created_at) AS TIMESTAMP) AS month, platform, currency,
+       CAST(sum(CAST(total_price AS DECIMAL(18,2))) AS DOUBLE) AS revenue
+FROM bronze WHERE financial_status = 'paid' GROUP BY 1, 2, 3"""
 
 ORACLE: dict[str, str] = {
     "scan_source_orders": f"""{_BASE}
@@ -146,7 +176,7 @@ FROM bronze""",
 SELECT order_id, platform, created_at_date FROM bronze WHERE created_at_date >= DATE '1998-12-30'""",
     "cutoff_events": """
 SELECT event_id, CAST(ts AS TIMESTAMP) AS event_timestamp, event_type FROM events
-WHERE ts >= TIMESTAMP '2022-12-30'""",
+WHERE ts >= TIMESTAMP '2024-01-16'""",
     "local_business_date": f"""{_BASE},
 zoned AS (
   SELECT order_id, processed_at,
@@ -162,18 +192,19 @@ SELECT * EXCLUDE (rn) FROM (
     ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC,
              l_discount DESC, l_tax DESC, l_returnflag DESC, l_linestatus DESC) AS rn
   FROM lineitem) WHERE rn = 1""",
-    "silver_customers": f"""{_BASE}
+    "silver_customers": f"""{_BASE}, delivered AS (
+  SELECT * FROM raw_customers
+  UNION ALL SELECT * REPLACE (updated_at - INTERVAL 1 DAY AS updated_at, balance + 1000.0 AS balance)
+  FROM raw_customers WHERE customer_id % 5 = 0
+)
 SELECT customer_id, platform, country, balance, updated_at FROM (
   SELECT *, row_number() OVER (
     PARTITION BY platform, customer_id ORDER BY updated_at DESC, country DESC, balance DESC) AS rn
-  FROM raw_customers) WHERE rn = 1""",
+  FROM delivered) WHERE rn = 1""",
     "silver_orders_enriched": f"""{_BASE}
 SELECT b.*, c.country AS customer_country, c.balance AS customer_balance
 FROM bronze b LEFT JOIN raw_customers c ON c.platform = b.platform AND c.customer_id = b.customer_id""",
-    "revenue_by_month": f"""{_BASE}
-SELECT CAST(date_trunc('month', created_at) AS TIMESTAMP) AS month,
-       CAST(sum(CAST(total_price AS DECIMAL(18,2))) AS DOUBLE) AS revenue
-FROM bronze WHERE financial_status = 'paid' GROUP BY 1""",
+    "revenue_by_month": _MONTHLY,
     "gold_revenue_daily": _BASE + _DAILY.format(table="bronze"),
     "high_water_mark": f"{_BASE} SELECT platform, max(updated_at) AS high_water FROM bronze GROUP BY platform",
     "incremental_filter": f"""{_BASE}
@@ -187,7 +218,13 @@ WHERE updated_at > (SELECT max(updated_at) - INTERVAL 2 DAY FROM bronze WHERE cr
     "table_rebuild": f"{_SEED}, round(p_retailprice * CAST(1.1 AS DOUBLE), 2) AS price_with_tax FROM part",
     "view_model": f"""{_BASE}, daily AS ({_DAILY.format(table="bronze")})
 SELECT platform, CAST(sum(orders) AS BIGINT) AS orders, count(*) AS days FROM daily GROUP BY platform""",
+    "view_of_view": f"""{_MERGED}
+SELECT c.country AS customer_country, m.financial_status, count(*) AS orders,
+       CAST(sum(CAST(m.total_price AS DECIMAL(18,2))) AS DOUBLE) AS revenue
+FROM merged m LEFT JOIN raw_customers c ON c.platform = m.platform AND c.customer_id = m.customer_id GROUP BY 1, 2""",
     "latest_version_view": f"{_MERGED} SELECT order_id, platform, financial_status, updated_at FROM merged",
+    "preview_rows": f"""{_BASE}
+SELECT order_id, platform, financial_status, total_price FROM bronze ORDER BY order_id, platform LIMIT 20""",
     "clustered_layout": f"""{_BASE}
 SELECT order_id, created_at_date, total_price FROM bronze
 WHERE created_at_date BETWEEN DATE '1998-02-01' AND DATE '1998-02-28'""",
@@ -198,7 +235,10 @@ SELECT platform, order_id, financial_status, total_price, updated_at, updated_at
        NOT (order_id % 10 = 0 OR order_id % 50 = 3) AS is_current
 FROM bronze
 UNION ALL
-SELECT platform, order_id, financial_status, total_price, updated_at, updated_at, NULL, true FROM changes""",
+SELECT platform, order_id, financial_status, total_price, updated_at, updated_at, NULL, true FROM changes
+UNION ALL
+SELECT platform, order_id, financial_status, total_price, updated_at, TIMESTAMP '2012-01-01', NULL, true
+FROM bronze WHERE order_id % 50 = 3""",
     "scd2_check_columns": f"""{_CHANGED}
 SELECT platform, order_id, financial_status, TIMESTAMP '2011-01-01' AS valid_from,
        CASE WHEN order_id % 10 = 0 OR order_id % 50 = 3 THEN TIMESTAMP '2012-01-01' END AS valid_to,
@@ -217,8 +257,8 @@ aged AS (
   SELECT *, CAST(floor((epoch_us(TIMESTAMP '2001-08-04 12:00:00') - epoch_us(max_loaded_at)) / 1000000) AS BIGINT)
     AS age_seconds FROM loads
 )
-SELECT *, CASE WHEN age_seconds IS NULL OR age_seconds > 86400 THEN 'error'
-               WHEN age_seconds > 43200 THEN 'warn' ELSE 'pass' END AS status FROM aged""",
+SELECT * EXCLUDE (warn, error), CASE WHEN age_seconds IS NULL OR age_seconds > error * 3600 THEN 'error'
+               WHEN age_seconds > warn * 3600 THEN 'warn' ELSE 'pass' END AS status FROM aged""",
     "monitor_freshness": f"""{_BASE}, newest AS (
   SELECT 'bronze.br_shopify_us_orders' AS table_name, max(updated_at) AS last_at,
          CAST(720 AS BIGINT) AS limit_minutes FROM bronze WHERE platform = 'yoga-us'
@@ -228,8 +268,8 @@ SELECT *, CASE WHEN age_seconds IS NULL OR age_seconds > 86400 THEN 'error'
 )
 SELECT *, CASE WHEN last_at IS NULL OR last_at < TIMESTAMP '2002-01-01' - to_minutes(limit_minutes)
                THEN 'stale' ELSE 'fresh' END AS status FROM newest""",
-    "monitor_volume": _BASE + _HISTORY.format(metric="row_count", value=_ROWS),
-    "monitor_metric_mean": _BASE + _HISTORY.format(metric="mean total_price", value=_MEAN),
+    "monitor_volume": _BASE + _METRIC.format(metric="row_count", value=_ROWS),
+    "monitor_metric_mean": _BASE + _METRIC.format(metric="mean total_price", value=_MEAN),
     "monitor_anomaly": f"""{_BASE}, history AS (
   {_HISTORY.format(metric="row_count", value=_ROWS)}
   UNION ALL
@@ -240,16 +280,16 @@ SELECT metric, run_at, count(metric_value) OVER past AS baseline_runs,
          AS is_anomaly
 FROM history
 WINDOW past AS (PARTITION BY metric ORDER BY run_at ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING)""",
-    "monitor_schema": """
-SELECT * FROM (VALUES ('orders', NULL, 'bigint', 'added'), ('note', 'string', NULL, 'removed'),
-                      ('revenue', 'decimal(18,2)', 'double', 'retyped'))
+    "monitor_schema": f"""{_BASE}, daily AS ({_DAILY.format(table="bronze")})
+SELECT t.*, (SELECT count(*) FROM daily WHERE orders > 1) AS table_rows
+FROM (VALUES ('orders', NULL, 'bigint', 'added'), ('note', 'string', NULL, 'removed'),
+             ('revenue', 'decimal(18,2)', 'double', 'retyped'))
   AS t(column_name, old_type, new_type, change)""",
     "stream_dedup_events": """
 SELECT DISTINCT event_id, CAST(ts AS TIMESTAMP) AS ts, user_id, event_type, value, props FROM events""",
-    "stream_upsert_orders": f"{_MERGED} SELECT * FROM merged",
-    "daily_run": _BASE + _DAILY.format(table="bronze"),
-    "full_refresh_run": f"""{_BASE}
-SELECT CAST(date_trunc('month', created_at) AS TIMESTAMP) AS month,
-       CAST(sum(CAST(total_price AS DECIMAL(18,2))) AS DOUBLE) AS revenue
-FROM bronze WHERE financial_status = 'paid' GROUP BY 1""",
+    "stream_upsert_orders": f"{_MERGED} SELECT * FROM merged WHERE platform = 'yoga-us'",
+    "stream_and_batch_orders": f"""{_MERGED}
+SELECT * FROM merged WHERE platform = 'yoga-us' UNION ALL SELECT * FROM bronze WHERE platform <> 'yoga-us'""",
+    "daily_run": _NEXT_DAY + _DAILY.format(table="day_after"),
+    "full_refresh_run": _MONTHLY,
 }

@@ -20,13 +20,14 @@ from lakelayers.functions import expressions as x
 from lakelayers.operators import conform, monitors, quality
 from lakelayers.operators.history import snapshot
 from lakelayers.operators.merge import merge
-from lakelayers.operators.publish import TableStore, as_view, create_latest_version_view, layout_for
+from lakelayers.operators.publish import TableStore, as_view, create_latest_version_view
 from lakelayers.operators.quality import Check
 from lakelayers.plans import bronze, gold, runs, silver
+from lakelayers.plans.models import Model, run_model
 from lakelayers.session import scratch_dir
 from lakelayers.sources import seeds
-from lakelayers.sources.benchmark import BenchmarkSources, after_changes, change_batch
-from lakelayers.sources.registry import SOURCES
+from lakelayers.sources.benchmark import BenchmarkSources, after_changes, change_batch, redelivered
+from lakelayers.sources.registry import ParquetSources
 from lakelayers.streaming import ingest
 
 ORDER_KEYS = ["platform", "order_id"]
@@ -49,12 +50,12 @@ def query(fn: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     return run
 
 
-def writing(run_at: datetime | None = None) -> Callable:
-    """A query with tables of its own to publish."""
+def writing(run_at: datetime | None = None, catalog: bool = False) -> Callable:
+    """A query with tables of its own to publish, in the catalog too if it reads them there."""
 
     def register(fn: Callable[[Context], DataFrame]) -> Query:
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            store = TableStore(spark, scratch_dir(spark, fn.__name__))
+            store = TableStore(spark, scratch_dir(spark, fn.__name__), catalog=catalog)
             return zoneless(fn(Context(spark, BenchmarkSources(spark, folder), store, run_at=run_at)))
 
         QUERIES[fn.__name__] = run
@@ -74,10 +75,6 @@ def _at(moment: datetime) -> F.Column:
     return F.lit(moment.isoformat(sep=" ")).cast("timestamp")
 
 
-def _order_layout(ctx: Context):
-    return layout_for("created_at_date", ctx.sources.bytes["orders"])
-
-
 # --- scans and expressions ---------------------------------------------------
 
 
@@ -137,10 +134,14 @@ def _part_products(ctx: Context) -> DataFrame:
                        F.col("p_type").alias("category"), F.col("p_retailprice").alias("price"))
 
 
-def _padded_seed(ctx: Context, types: dict[str, str] | None = None) -> DataFrame:
+def _written_seed(ctx: Context) -> str:
     path = scratch_dir(ctx.spark, "seed_products")
     seeds.write_padded(_part_products(ctx), path)
-    return seeds.read_seed(ctx.spark, path, seeds.SEED_TYPES["products"], types)
+    return path
+
+
+def _padded_seed(ctx: Context, types: dict[str, str] | None = None) -> DataFrame:
+    return seeds.read_seed(ctx.spark, _written_seed(ctx), seeds.SEED_TYPES["products"], types)
 
 
 @query
@@ -158,6 +159,7 @@ def cutoff_filter(ctx: Context) -> DataFrame:
 
 @query
 def cutoff_events(ctx: Context) -> DataFrame:
+    ctx.vars = {"retention_date": "2024-01-16"}
     kept = conform.from_cutoff(ctx.source("src_ga4", "events"), "event_timestamp", ctx.cutoff("retention_date"))
     return kept.select("event_id", "event_timestamp", "event_type")
 
@@ -178,10 +180,18 @@ def union_stores(ctx: Context) -> DataFrame:
     return bronze.orders(raw, F.col("platform"))
 
 
-@query
+@writing()
 def stream_store_union(ctx: Context) -> DataFrame:
-    raw = conform.union_stores(settings.STORE_STREAM_SOURCES, lambda source: ctx.source(source, "customers"))
-    return raw.select("customer_id", "platform", "country", "balance", "updated_at")
+    """The customer streams of all stores as one stream, written as it comes."""
+    root = ctx.tables.root
+    raw = {source: ctx.source(source, "customers") for source in settings.STORE_STREAM_SOURCES.values()}
+    streams = ParquetSources(ctx.spark, f"{root}/_raw", {(source, "customers"): df.schema for source, df in raw.items()})
+    for source, df in raw.items():
+        df.write.parquet(streams.path(source, "customers"))
+    stream = conform.union_stores(settings.STORE_STREAM_SOURCES, lambda source: streams.stream(source, "customers"))
+    stream = stream.select("customer_id", "platform", "country", "balance", "updated_at")
+    ingest.append_files(stream, f"{root}/_out", f"{root}/_checkpoint").awaitTermination()
+    return ctx.spark.read.schema(stream.schema).parquet(f"{root}/_out")
 
 
 @query
@@ -191,7 +201,7 @@ def silver_dedup(ctx: Context) -> DataFrame:
 
 @query
 def silver_customers(ctx: Context) -> DataFrame:
-    return silver.customers(ctx.sources.scan_stores("customers"))
+    return silver.customers(redelivered(ctx.sources.scan_stores("customers")))
 
 
 @writing()
@@ -215,7 +225,10 @@ def gold_revenue_daily(ctx: Context) -> DataFrame:
 
 @query
 def high_water_mark(ctx: Context) -> DataFrame:
-    return bronze.all_orders(ctx).groupBy("platform").agg(F.max("updated_at").alias("high_water"))
+    orders = bronze.all_orders(ctx)
+    marks = {store: conform.high_water(orders.filter(F.col("platform") == store), "updated_at") for store in settings.STORE_SOURCES}
+    known = [ctx.spark.range(1).select(F.lit(store).alias("platform"), mark.alias("high_water")) for store, mark in marks.items() if mark is not None]
+    return monitors.union_all(known)
 
 
 @query
@@ -233,7 +246,7 @@ def incremental_lookback(ctx: Context) -> DataFrame:
 
 
 def _first_load(ctx: Context, name: str) -> None:
-    ctx.tables.replace(name, bronze.all_orders(ctx), _order_layout(ctx))
+    ctx.tables.replace(name, bronze.all_orders(ctx), bronze.ORDER_LAYOUT)
 
 
 def _changes(ctx: Context) -> DataFrame:
@@ -265,23 +278,45 @@ def table_rebuild(ctx: Context) -> DataFrame:
     return ctx.ref(name)
 
 
-@query
+@writing(catalog=True)
 def view_model(ctx: Context) -> DataFrame:
-    as_view(gold.revenue_daily(bronze.all_orders(ctx)), "revenue_daily_view")
-    return ctx.spark.sql(
-        "SELECT platform, sum(orders) AS orders, count(*) AS days FROM revenue_daily_view GROUP BY platform"
+    ctx.tables.replace("gold.days_of_view", gold.revenue_daily(bronze.all_orders(ctx)))
+    sql = "SELECT platform, sum(orders) AS orders, count(*) AS days FROM gold.days_of_view GROUP BY platform"
+    return as_view(ctx.spark, "gold.platforms_by_view", sql)
+
+
+@writing(catalog=True)
+def view_of_view(ctx: Context) -> DataFrame:
+    """Gold over a silver view model, after its inputs have moved on."""
+    ctx.tables.replace("silver.customers_of_view", silver.customers(ctx.sources.scan_stores("customers")))
+    _first_load(ctx, "bronze.orders_of_view")
+    sql = silver.orders_enriched_sql(["bronze.orders_of_view"], [], "silver.customers_of_view")
+    run_model(ctx, Model("silver.orders_view", lambda c: sql, "view"))
+    merge(ctx.tables, "bronze.orders_of_view", _changes(ctx), ORDER_KEYS)
+    return ctx.ref("silver.orders_view").groupBy("customer_country", "financial_status").agg(
+        F.count("*").alias("orders"), x.money_sum("total_price").alias("revenue")
     )
 
 
-@writing()
+@writing(catalog=True)
 def latest_version_view(ctx: Context) -> DataFrame:
     name = "bronze.orders_by_view"
     _first_load(ctx, name)
-    ctx.tables.publish_view(name)
-    merge(ctx.tables, name, _changes(ctx), ORDER_KEYS)
-    ctx.tables.publish_view(name)
     create_latest_version_view(ctx.spark, name, "bronze.orders_latest")
-    return ctx.spark.table("bronze.orders_latest").select("order_id", "platform", "financial_status", "updated_at")
+    merge(ctx.tables, name, _changes(ctx), ORDER_KEYS)
+    latest = ctx.spark.table("bronze.orders_latest").select("order_id", "platform", "financial_status", "updated_at")
+    # Planned over the version of now; what is published after it must not take its files away.
+    for _ in range(3):
+        merge(ctx.tables, name, _changes(ctx).filter("order_id < 0").withColumn("financial_status", F.lit("gone")), ORDER_KEYS)
+        ctx.tables.expire_all()
+    return latest
+
+
+@writing(catalog=True)
+def preview_rows(ctx: Context) -> DataFrame:
+    ctx.tables.replace("bronze.orders_to_look_at", bronze.all_orders(ctx))
+    found = ctx.preview("bronze.orders_to_look_at", 20, ["order_id", "platform"])
+    return found.select("order_id", "platform", "financial_status", "total_price")
 
 
 @writing()
@@ -294,11 +329,13 @@ def clustered_layout(ctx: Context) -> DataFrame:
 
 @writing()
 def scd2_snapshot(ctx: Context) -> DataFrame:
+    """Orders as they were, after the changes, and once the deleted ones are back as they were."""
     name = "snapshots.orders"
     raw = ctx.sources.scan_stores("orders")
-    for state in (raw, after_changes(raw)):
+    back = after_changes(raw).unionByName(raw.filter("id % 10 <> 0 AND id % 50 = 3"))
+    for n, state in enumerate((raw, after_changes(raw), back)):
         rows = bronze.orders(state, F.col("platform")).select(*ORDER_KEYS, "financial_status", "total_price", "updated_at")
-        snapshot(ctx.tables, name, rows, ORDER_KEYS, _at(SNAPSHOT_RUN), updated_at="updated_at")
+        snapshot(ctx.tables, name, rows, ORDER_KEYS, _at(SNAPSHOT_RUN + timedelta(days=n - 1)), updated_at="updated_at")
     return ctx.ref(name)
 
 
@@ -360,27 +397,8 @@ def dq_summary(ctx: Context) -> DataFrame:
 
 @query
 def source_freshness(ctx: Context) -> DataFrame:
-    us = SOURCES["src_shopify_us"]
-    loaded = [_store_loads(ctx, table, us.loaded_at) for table in ("orders", "customers")]
-    events = ctx.source("src_ga4", "events").agg(F.max(SOURCES["src_ga4"].loaded_at).alias("max_loaded_at"))
-    loaded.append(events.select(F.lit("src_ga4").alias("source"), F.lit("events").alias("table_name"), "max_loaded_at"))
-    warn, error = us.limits
-    return monitors.source_freshness(monitors.union_all(loaded), _at(FRESHNESS_NOW), warn, error)
-
-
-def _store_loads(ctx: Context, table: str, loaded_at: str) -> DataFrame:
-    """The last load of a table of each store, NULL for a store without rows."""
-    per_store = [
-        F.struct(
-            F.lit(source).alias("source"), F.lit(table).alias("table_name"), F.col(source).alias("max_loaded_at")
-        )
-        for source in settings.STORE_SOURCES.values()
-    ]
-    tops = [
-        F.max(F.when(F.col("platform") == store, F.col(loaded_at))).alias(source)
-        for store, source in settings.STORE_SOURCES.items()
-    ]
-    return ctx.sources.scan_stores(table).agg(*tops).select(F.inline(F.array(*per_store)))
+    ctx.run_at = FRESHNESS_NOW
+    return runs.run_source_freshness(ctx)
 
 
 @query
@@ -399,21 +417,17 @@ def monitor_freshness(ctx: Context) -> DataFrame:
 
 @query
 def monitor_volume(ctx: Context) -> DataFrame:
-    return _history(ctx, "row_count", F.count("*").cast("double"))
+    return monitors.union_all([
+        monitors.volume(bronze.store_orders(ctx, store), runs.STORE_MODELS[store].name, _at(MONITOR_NOW)) for store in runs.STORE_MODELS
+    ])
 
 
 @query
 def monitor_metric_mean(ctx: Context) -> DataFrame:
-    return _history(ctx, "mean total_price", x.money_mean("total_price"))
-
-
-def _history(ctx: Context, metric: str, value: F.Column) -> DataFrame:
-    """Metric history as one run per day would have left it."""
-    orders = bronze.all_orders(ctx)
-    return orders.groupBy("created_at_date").agg(value.alias("metric_value")).select(
-        F.lit("bronze.orders").alias("table_name"), F.lit(metric).alias("metric"),
-        F.col("created_at_date").cast("timestamp").alias("run_at"), "metric_value",
-    )
+    return monitors.union_all([
+        monitors.mean(bronze.store_orders(ctx, store), runs.STORE_MODELS[store].name, "total_price", _at(MONITOR_NOW))
+        for store in runs.STORE_MODELS
+    ])
 
 
 @query
@@ -429,62 +443,81 @@ def monitor_anomaly(ctx: Context) -> DataFrame:
     return monitors.flag_anomalies(history).select("metric", "run_at", "baseline_runs", "is_anomaly")
 
 
-@writing()
+@writing(run_at=MONITOR_NOW)
 def monitor_schema(ctx: Context) -> DataFrame:
-    name = "gold.gold_revenue_daily"
+    """What changed since the monitor looked, two versions ago."""
+    name = runs.REVENUE_DAILY
     daily = gold.revenue_daily(bronze.all_orders(ctx))
     before = daily.withColumn("note", F.lit("")).withColumn("revenue", F.col("revenue").cast("decimal(18,2)"))
-    was = ctx.tables.replace(name, before.drop("orders"))
-    now = ctx.tables.replace(name, daily)
-    return monitors.schema_changes(ctx.spark, was.schema, now.schema)
+    ctx.tables.replace(name, before.drop("orders"))
+    runs.run_schema_monitor(ctx, name)
+    ctx.tables.replace(name, daily)
+    ctx.tables.replace(name, daily.filter("orders > 1"))
+    changes = runs.run_schema_monitor(ctx, name)
+    return changes.withColumn("table_rows", F.lit(ctx.ref(name).count()).cast("bigint"))
 
 
 # --- streams -----------------------------------------------------------------------------
 
 
-@query
+@writing()
 def stream_dedup_events(ctx: Context) -> DataFrame:
-    folder = scratch_dir(ctx.spark, "stream_dedup_events")
-    events = ctx.sources.table("events")
-    again = events.filter(F.col("event_id") % 10 == 0)
-    events.unionByName(again).write.parquet(f"{folder}/drop")
-    stream = ctx.spark.readStream.schema(events.schema).parquet(f"{folder}/drop")
-    once = ingest.drop_repeats(stream, ["event_id"], "ts")
-    with ingest.state_settings(ctx.spark):
-        ingest.append_files(once, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
-    return ctx.spark.read.schema(once.schema).parquet(f"{folder}/out")
+    """Three deliveries: later events first, then copies, then early events that are new."""
+    name, events = "bronze.events", ctx.sources.table("events")
+    drop, checkpoint = f"{ctx.tables.root}/_drop", f"{ctx.tables.root}/_checkpoint"
+    late = F.col("event_id") % 7 == 0
+    for delivery in (events.filter(~late), events.filter(F.col("event_id") % 10 == 0), events.filter(late)):
+        delivery.write.mode("append").parquet(drop)
+        stream = ctx.spark.readStream.schema(events.schema).parquet(drop)
+        ingest.take_in(stream, ctx.tables, name, ["event_id"], "ts", checkpoint).awaitTermination()
+    return ctx.ref(name)
 
 
 @writing()
 def stream_upsert_orders(ctx: Context) -> DataFrame:
-    name = "bronze.orders_stream"
-    drop = f"{ctx.tables.root}/_drop"
-    raw = ctx.sources.scan_stores("orders")
+    """Orders of the store that has most, delivered to its stream in two lots."""
+    store, source = "yoga-us", settings.STORE_STREAM_SOURCES["yoga-us"]
+    raw = ctx.source(source, "orders")
+    streams = ParquetSources(ctx.spark, f"{ctx.tables.root}/_raw", {(source, "orders"): raw.schema})
+    streaming = Context(ctx.spark, streams, ctx.tables)
+    for delivery in (raw, change_batch(raw)):
+        delivery.write.mode("append").parquet(streams.path(source, "orders"))
+        ingest.upsert_store(streaming, store, "orders", f"{ctx.tables.root}/_checkpoints").awaitTermination()
+    return ctx.ref(f"bronze.{source}_orders")
 
-    def deliver(rows: DataFrame) -> None:
-        rows.write.mode("append").parquet(drop)
-        stream = ctx.spark.readStream.schema(raw.schema).parquet(drop)
-        ingest.upsert(
-            stream, ctx.tables, name, lambda batch: bronze.orders(batch, F.col("platform")),
-            ORDER_KEYS, "updated_at", f"{ctx.tables.root}/_checkpoint", _order_layout(ctx),
-        ).awaitTermination()
 
-    deliver(raw)
-    deliver(change_batch(raw))
-    return ctx.ref(name)
+@writing(run_at=MONITOR_NOW)
+def stream_and_batch_orders(ctx: Context) -> DataFrame:
+    """One store's orders by stream and by batch: the batch brings rows older than the
+    stream's newest, and stale copies of what the stream has changed."""
+    store, source = "yoga-us", settings.STORE_STREAM_SOURCES["yoga-us"]
+    raw = ctx.source(settings.STORE_SOURCES[store], "orders")
+    changed = change_batch(raw)
+    streams = ParquetSources(ctx.spark, f"{ctx.tables.root}/_raw", {(source, "orders"): raw.schema})
+    changed.write.parquet(streams.path(source, "orders"))
+    ingest.upsert_store(Context(ctx.spark, streams, ctx.tables), store, "orders", f"{ctx.tables.root}/_checkpoints").awaitTermination()
+    for model in runs.STORE_MODELS.values():
+        run_model(ctx, model)
+    # Delivered again, as they were before the stream's changes.
+    merge(ctx.tables, runs.STORE_MODELS[store].name, bronze.orders(raw.filter("id % 5 = 0"), store), ["order_id"], newer_by="updated_at")
+    return runs.bronze_orders(ctx)
 
 
 # --- whole runs ----------------------------------------------------------------------------
 
 
-@writing(run_at=MONITOR_NOW)
+@writing(run_at=MONITOR_NOW, catalog=True)
 def daily_run(ctx: Context) -> DataFrame:
+    """Two days; on the second, refunds and new orders have arrived."""
+    ctx.seeds = {"products": _written_seed(ctx)}
     runs.run_daily(ctx)
+    ctx.sources.next_day = True
+    ctx.run_at += timedelta(days=1)
     runs.run_daily(ctx)
     return ctx.ref(runs.REVENUE_DAILY)
 
 
-@writing(run_at=MONITOR_NOW)
+@writing(run_at=MONITOR_NOW, catalog=True)
 def full_refresh_run(ctx: Context) -> DataFrame:
     runs.run_daily(ctx, snapshots=False)
     runs.run_full_refresh(ctx)

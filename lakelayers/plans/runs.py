@@ -6,6 +6,7 @@ was published before it stays.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -13,15 +14,19 @@ from dataclasses import dataclass, field
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakelayers import settings
 from lakelayers.context import Context
 from lakelayers.operators import monitors, quality
+from lakelayers.operators.conform import latest_per_key
 from lakelayers.operators.history import snapshot
-from lakelayers.operators.publish import Version
+from lakelayers.operators.merge import merge
+from lakelayers.operators.publish import Layout, Version
 from lakelayers.operators.quality import Check
 from lakelayers.plans import bronze, gold, silver
 from lakelayers.plans.models import Model, Outcome, run_model
+from lakelayers.sources import seeds
 from lakelayers.sources.registry import SOURCES
 
 CUSTOMERS = "silver.silver_customers"
@@ -30,6 +35,8 @@ REVENUE_DAILY = "gold.gold_revenue_daily"
 REVENUE_MONTHLY = "gold.gold_revenue_monthly"
 SNAPSHOT = "snapshots.customers"
 HISTORY = "mgt.metric_history"
+SEEN_SCHEMAS = "mgt.seen_schemas"
+PRODUCTS = "public.products"
 
 
 def store_model(store: str) -> Model:
@@ -39,22 +46,33 @@ def store_model(store: str) -> Model:
         lambda ctx: bronze.store_orders(ctx, store),
         "incremental",
         unique_key=("order_id",),
-        cluster_by="created_at_date",
+        layout=bronze.ORDER_LAYOUT,
         changed_on="updated_at",
     )
 
 
 STORE_MODELS = {store: store_model(store) for store in settings.STORE_SOURCES}
 ORDER_TABLES = tuple(m.name for m in STORE_MODELS.values())
+STREAM_TABLES = tuple(f"bronze.{source}_orders" for source in settings.STORE_STREAM_SOURCES.values())
 
-SILVER_MODELS = (
-    Model(CUSTOMERS, lambda ctx: silver.customers(ctx.sources.scan_stores("customers")), "table"),
-    # Not stored: a stored copy would have to be rebuilt whenever a customer changes.
-    Model(ORDERS_ENRICHED, lambda ctx: silver.orders_enriched(bronze_orders(ctx), ctx.ref(CUSTOMERS)), "view"),
+PRODUCT_MODEL = Model(
+    "bronze.products_with_tax", lambda ctx: bronze.products_with_tax(ctx.ref(PRODUCTS)), "table", inputs=(PRODUCTS,)
+)
+CUSTOMER_MODEL = Model(
+    CUSTOMERS,
+    lambda ctx: silver.customers(ctx.sources.scan_stores("customers")),
+    "incremental",
+    unique_key=("platform", "customer_id"),
+    changed_on="updated_at",
+)
+# Not stored: a stored copy would have to be rebuilt whenever a customer changes.
+ORDERS_MODEL = Model(
+    ORDERS_ENRICHED, lambda ctx: silver.orders_enriched_sql(ORDER_TABLES, _streamed(ctx), CUSTOMERS), "view"
 )
-
 # Months are sums of days, and there are far fewer days than orders.
-MONTHLY_MODEL = Model(REVENUE_MONTHLY, lambda ctx: gold.roll_up_months(ctx.ref(REVENUE_DAILY)), "table")
+MONTHLY_MODEL = Model(
+    REVENUE_MONTHLY, lambda ctx: gold.roll_up_months(ctx.ref(REVENUE_DAILY)), "table", inputs=(REVENUE_DAILY,)
+)
 
 CHECKS: tuple[Check, ...] = (
     *(Check(t, "not_null", ("order_id",)) for t in ORDER_TABLES),
@@ -83,17 +101,33 @@ def run_full_refresh(ctx: Context, checks: Sequence[Check] = CHECKS) -> Report:
 
 def _run(ctx: Context, snapshots: bool, checks: Sequence[Check], full: bool) -> Report:
     report = Report()
+    report.steps += run_seeds(ctx)
     if snapshots:
         report.steps.append(run_snapshots(ctx))
     report.steps += run_bronze(ctx, full)
-    report.steps += [run_model(ctx, m, full) for m in SILVER_MODELS]
+    report.steps += [run_model(ctx, m, full) for m in (CUSTOMER_MODEL, ORDERS_MODEL)]
     report.steps.append(run_revenue_daily(ctx, full))
     report.steps.append(run_model(ctx, MONTHLY_MODEL, full))
-    ctx.tables.publish_views()
     report.tests = quality.require_passing(run_tests(ctx, checks))
+    ctx.tables.expire_all()
     return report
 
 
+def run_seeds(ctx: Context) -> list[Outcome]:
+    """Publish each seed whose file does not read as the table does."""
+    outcomes = []
+    for name, path in ctx.seeds.items():
+        table, rows = f"public.{name}", seeds.read_seed(ctx.spark, path, seeds.SEED_TYPES[name])
+        old = ctx.tables.version(table)
+        if old is not None:
+            stored = ctx.tables.read_version(table, old)
+            if rows.exceptAll(stored).isEmpty() and stored.exceptAll(rows).isEmpty():
+                outcomes.append(Outcome("public", table, old.number))
+                continue
+        outcomes.append(Outcome("public", table, ctx.tables.replace(table, rows).number))
+    return outcomes
+
+
 def run_snapshots(ctx: Context) -> Outcome:
     now = silver.customers(ctx.sources.scan_stores("customers"))
     v = snapshot(ctx.tables, SNAPSHOT, now, ["platform", "customer_id"], ctx.now, updated_at="updated_at")
@@ -101,23 +135,35 @@ def run_snapshots(ctx: Context) -> Outcome:
 
 
 def run_bronze(ctx: Context, full: bool) -> list[Outcome]:
-    """The stores do not depend on each other, so their jobs share the cluster."""
+    """The models do not depend on each other, so their jobs share the cluster."""
+    models = [*STORE_MODELS.values(), *([PRODUCT_MODEL] if "products" in ctx.seeds else [])]
+    with ThreadPoolExecutor(max_workers=len(models)) as pool:
+        started = [pool.submit(inheritable_thread_target(ctx.spark)(run_model), ctx, m, full) for m in models]
+    return [s.result() for s in started]
 
-    def load(store: str) -> Outcome:
-        stored = ctx.sources.stored_bytes(settings.STORE_SOURCES[store], "orders")
-        return run_model(ctx, STORE_MODELS[store], full, stored)
 
-    with ThreadPoolExecutor(max_workers=len(STORE_MODELS)) as pool:
-        started = [pool.submit(inheritable_thread_target(ctx.spark)(load), store) for store in STORE_MODELS]
-    return [s.result() for s in started]
+def _streamed(ctx: Context) -> list[str]:
+    """The stream tables that there are."""
+    return [t for t in STREAM_TABLES if ctx.tables.versions(t)]
+
+
+def order_versions(ctx: Context) -> dict[str, Version]:
+    return {t: ctx.tables.version(t) for t in [*ORDER_TABLES, *_streamed(ctx)]}
 
 
 def bronze_orders(
     ctx: Context, versions: dict[str, Version] | None = None, parts: list[str] | None = None
 ) -> DataFrame:
-    """All stores' published bronze orders, or those of some date parts."""
-    versions = versions or {t: ctx.tables.version(t) for t in ORDER_TABLES}
-    return monitors.union_all([ctx.tables.read_version(t, v, parts) for t, v in versions.items()])
+    """All stores' published bronze orders, or those of some date parts.
+
+    Where a stream brings the same orders, the newer row of each. An order
+    stays in the part of its creation, so parts can be read by themselves.
+    """
+    versions = versions or order_versions(ctx)
+    orders = monitors.union_all([ctx.tables.read_version(t, v, parts) for t, v in versions.items()])
+    if not set(versions) & set(STREAM_TABLES):
+        return orders
+    return latest_per_key(orders, ["platform", "order_id"], ["updated_at"])
 
 
 def run_revenue_daily(ctx: Context, full: bool) -> Outcome:
@@ -127,12 +173,11 @@ def run_revenue_daily(ctx: Context, full: bool) -> Outcome:
     version was made of is recorded with it, so a run that died after bronze
     is made up for by the next.
     """
-    sources = {t: ctx.tables.version(t) for t in ORDER_TABLES}
-    layouts = {v.layout for v in sources.values()}
+    sources = order_versions(ctx)
     old = ctx.tables.version(REVENUE_DAILY)
-    if full or old is None or layouts != {old.layout}:
-        layout = min(layouts, key=lambda at: at.unit)  # days before months before years
-        v = ctx.tables.replace(REVENUE_DAILY, gold.revenue_daily(bronze_orders(ctx, sources)), layout, sources=sources)
+    if full or old is None:
+        daily = gold.revenue_daily(bronze_orders(ctx, sources))
+        v = ctx.tables.replace(REVENUE_DAILY, daily, bronze.ORDER_LAYOUT, sources=sources)
         return Outcome("gold", REVENUE_DAILY, v.number)
     parts = sorted(old.stale_parts(sources))
     if not parts:
@@ -167,12 +212,13 @@ def _last_load(ctx: Context, source: str, table: str, loaded_at: str) -> DataFra
     return last.select(F.lit(source).alias("source"), F.lit(table).alias("table_name"), "max_loaded_at")
 
 
-def run_monitors(ctx: Context, expected: dict | None = None) -> dict[str, DataFrame]:
+def run_monitors(ctx: Context) -> dict[str, DataFrame]:
     """All declared monitors over the published tables, by monitor name.
 
-    Volume and mean monitors add a line to the metric history and report
-    whether it is out of line with the earlier ones. ``expected`` gives the
-    schema recorded before, by table.
+    Volume and mean monitors put a line into the metric history, one per run
+    time however often it is run, and report whether it is out of line with the
+    earlier ones. The schema monitor compares with the schema it saw last,
+    whatever was published in between, and records the one it sees.
     """
     results, lines = {}, []
     for name, kind, table, column, minutes in settings.MONITORS:
@@ -180,13 +226,12 @@ def run_monitors(ctx: Context, expected: dict | None = None) -> dict[str, DataFr
         if kind == "freshness":
             results[name] = monitors.table_freshness(df, table, column, minutes, ctx.now)
         elif kind == "schema":
-            was = (expected or {}).get(table, _schema_before(ctx, table))
-            results[name] = monitors.schema_changes(ctx.spark, was, ctx.tables.version(table).schema)
+            results[name] = run_schema_monitor(ctx, table)
         elif kind == "volume":
             lines.append((name, table, "row_count", monitors.volume(df, table, ctx.now)))
         else:
             lines.append((name, table, f"mean {column}", monitors.mean(df, table, column, ctx.now)))
-    ctx.tables.append(HISTORY, monitors.union_all([line for *_, line in lines]))
+    merge(ctx.tables, HISTORY, monitors.union_all([line for *_, line in lines]), ["table_name", "metric", "run_at"], Layout("run_at"))
     flagged = monitors.flag_anomalies(ctx.ref(HISTORY))
     for name, table, metric, _ in lines:
         mine = (flagged.table_name == table) & (flagged.metric == metric)
@@ -194,6 +239,13 @@ def run_monitors(ctx: Context, expected: dict | None = None) -> dict[str, DataFr
     return results
 
 
-def _schema_before(ctx: Context, table: str):
-    numbers = ctx.tables.versions(table)
-    return ctx.tables.version(table, numbers[-2] if len(numbers) > 1 else numbers[-1]).schema
+def run_schema_monitor(ctx: Context, table: str) -> DataFrame:
+    """Changes of a table's schema since this monitor last looked; none the first time."""
+    now = ctx.tables.version(table).schema
+    was = now
+    if ctx.tables.versions(SEEN_SCHEMAS):
+        seen = ctx.ref(SEEN_SCHEMAS).filter(F.col("table_name") == table).first()
+        was = T.StructType.fromJson(json.loads(seen["schema"])) if seen else now
+    line = ctx.spark.range(1).select(F.lit(table).alias("table_name"), F.lit(now.json()).alias("schema"), ctx.now.alias("seen_at"))
+    merge(ctx.tables, SEEN_SCHEMAS, line, ["table_name"])
+    return monitors.schema_changes(ctx.spark, was, now)

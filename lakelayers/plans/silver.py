@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,3 +23,18 @@ def orders_enriched(orders: DataFrame, customers: DataFrame) -> DataFrame:
         F.col("balance").alias("customer_balance"),
     )
     return join_dimension(orders, dim, ["platform", "customer_id"])
+
+
+def orders_enriched_sql(stored: Sequence[str], streamed: Sequence[str], customers: str) -> str:
+    """``orders_enriched`` over published views: orders of batch tables and, where a stream
+    brings the same orders, the newest row of each."""
+    orders = " UNION ALL ".join(f"SELECT * FROM {t}" for t in [*stored, *streamed])
+    if streamed:
+        orders = (
+            f"SELECT * EXCEPT (_nth) FROM (SELECT *, row_number() OVER (PARTITION BY platform, order_id "
+            f"ORDER BY updated_at DESC) AS _nth FROM ({orders})) WHERE _nth = 1"
+        )
+    return (
+        "SELECT o.*, c.country AS customer_country, c.balance AS customer_balance "
+        f"FROM ({orders}) o LEFT JOIN {customers} c ON o.platform = c.platform AND o.customer_id = c.customer_id"
+    )

@@ -1,9 +1,8 @@
-"""Session settings, the shared scratch folder, and sizing from input bytes."""
+"""Session settings, small files on the cluster's storage, and the shared scratch folder."""
 
 from __future__ import annotations
 
 import math
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -27,27 +26,27 @@ PLAN_CONF = {
 SHUFFLE_BYTES_PER_TASK = 128 << 20
 # Parquet to shuffle rows: what is decoded takes more than what was stored.
 DECODED_PER_STORED = 2
-MAX_SHUFFLE_PARTITIONS = 32_768
-SCAN_BYTES_PER_TASK = (128 << 20, 512 << 20)
-MAX_SCAN_TASKS = 200_000
-# From this input on, adaptive execution aims at fewer and bigger files.
-BIG_INPUT = 1 << 40
-BIG_FILE_BYTES = 256 << 20
 
 
-def build_session(app: str = "lakelayers", run: str = "daily", **conf: str) -> SparkSession:
-    """A session for one run kind; the master comes from the submitter."""
+def build_session(app: str = "lakelayers", run: str = "daily", input_bytes: int | None = None, **conf: str) -> SparkSession:
+    """A session for one run kind; the master comes from the submitter.
+
+    ``input_bytes``, the stored size of what the run will read, sets the width
+    of shuffles at one task per 128 MB of rows, at any size; adaptive execution
+    merges the ones that turn out small. Nothing changes it later, and a setting
+    given in ``conf`` wins.
+    """
+    width = settings.SHUFFLE_PARTITIONS[run] if input_bytes is None else shuffle_width(input_bytes)
     builder = SparkSession.builder.appName(app)
-    defaults = {
-        **RESULT_CONF,
-        **PLAN_CONF,
-        "spark.sql.shuffle.partitions": str(settings.SHUFFLE_PARTITIONS[run]),
-    }
-    for key, value in {**defaults, **conf}.items():
+    for key, value in {**RESULT_CONF, **PLAN_CONF, "spark.sql.shuffle.partitions": str(width), **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
+def shuffle_width(input_bytes: int) -> int:
+    return max(1, math.ceil(input_bytes * DECODED_PER_STORED / SHUFFLE_BYTES_PER_TASK))
+
+
 def pin(spark: SparkSession) -> None:
     for key, value in {**RESULT_CONF, **PLAN_CONF}.items():
         if spark.conf.get(key, None) != value:
@@ -65,11 +64,6 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
-def stored_bytes(spark: SparkSession, path: str) -> int:
-    fs, jpath = hadoop_path(spark, path)
-    return fs.getContentSummary(jpath).getLength() if fs.exists(jpath) else 0
-
-
 def read_text(spark: SparkSession, path: str) -> str:
     fs, jpath = hadoop_path(spark, path)
     stream = fs.open(jpath)
@@ -93,37 +87,8 @@ def write_text(spark: SparkSession, path: str, text: str) -> bool:
     return fs.rename(part, jpath)
 
 
-def size_tasks(spark: SparkSession, input_bytes: int) -> None:
-    """Fit scan and shuffle tasks to the input of the coming queries.
-
-    Only ever raises what is set. Shuffles get one task per 128 MB: adaptive
-    execution merges the ones that turn out small, but cannot widen a shuffle
-    that was planned too narrow. Scans of huge inputs get longer splits, to
-    bound the number of map outputs.
-    """
-    width = min(math.ceil(input_bytes * DECODED_PER_STORED / SHUFFLE_BYTES_PER_TASK), MAX_SHUFFLE_PARTITIONS)
-    _raise(spark, "spark.sql.shuffle.partitions", width)
-    low, high = SCAN_BYTES_PER_TASK
-    _raise(spark, "spark.sql.files.maxPartitionBytes", max(low, min(high, input_bytes // MAX_SCAN_TASKS)))
-    if input_bytes >= BIG_INPUT:
-        _raise(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", BIG_FILE_BYTES)
-
-
-def _raise(spark: SparkSession, key: str, value: int) -> None:
-    now = spark.conf.get(key)
-    if now.rstrip("bB").isdigit() and value > int(now.rstrip("bB")):
-        spark.conf.set(key, str(value))
-
-
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new folder name under the cluster's shared ``spark.checkpoint.dir``.
-
-    A machine-local folder is taken only where the setting is missing and the
-    whole session is one process.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="lakelayers-")
+    """A new folder name under ``spark.checkpoint.dir``, which all executors share,
+    or, where that is not set, under the session's warehouse."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"

@@ -63,9 +63,6 @@ DAYS_LIMITS = (timedelta(days=1), timedelta(days=2))
 FIRST_VALID_DATE = "2000-01-01"
 VALID_DAYS_AHEAD = 365
 
-# --- fixed values: layer schemas -------------------------------------------
-SCHEMAS = ("bronze", "silver", "gold", "mgt", "snapshots", "public")
-
 # --- fixed values: monitored tables ----------------------------------------
 # (monitor, kind, table, watched column, minutes between runs)
 MONITORS = (

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakelayers import session, settings
+from lakelayers import settings
 from lakelayers.functions.expressions import store_currency
 from lakelayers.sources.registry import require
 
@@ -38,8 +38,8 @@ class BenchmarkSources:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
-        self.bytes = {t: session.stored_bytes(spark, f"{self.folder}/{t}.parquet") for t in SCHEMAS}
-        session.size_tasks(spark, sum(self.bytes.values()))
+        self.next_day = False
+        """Whether the orders of the following day have arrived."""
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
@@ -62,14 +62,11 @@ class BenchmarkSources:
 
     def scan_stores(self, table: str) -> DataFrame:
         if table == "orders":
-            return self._orders()
+            return after_next_day(self._orders()) if self.next_day else self._orders()
         if table == "customers":
             return self._customers()
         raise LookupError(f"the given tables hold no store table {table}")
 
-    def stored_bytes(self, source: str, table: str) -> int:
-        return self.bytes["customer" if table == "customers" else table]
-
     def events(self) -> DataFrame:
         events = self.table("events")
         return events.withColumn("event_timestamp", F.col("ts").cast("timestamp")).drop("ts")
@@ -138,3 +135,18 @@ def after_changes(orders: DataFrame) -> DataFrame:
     key = F.col("id")
     same = orders.filter((key % 10 != 0) & (key % 50 != 3))
     return same.unionByName(change_batch(orders))
+
+
+def after_next_day(orders: DataFrame) -> DataFrame:
+    """All raw orders a day on: the refunds and new orders of a change batch, all of them late."""
+    late = change_batch(orders).withColumn("updated_at", F.greatest("updated_at", F.col("created_at") + F.expr("INTERVAL '10' YEAR")))
+    return orders.filter(F.col("id") % 10 != 0).unionByName(late)
+
+
+def redelivered(customers: DataFrame) -> DataFrame:
+    """Raw customers with a fifth of them delivered once more, as they were a day before."""
+    again = customers.filter(F.col("customer_id") % 5 == 0).withColumns({
+        "updated_at": F.col("updated_at") - F.expr("INTERVAL '1' DAY"),
+        "balance": F.col("balance") + F.lit(1000.0),
+    })
+    return customers.unionByName(again)

@@ -21,6 +21,7 @@ class Source:
     streaming: bool = False
 
 
+# --- fixed values: declared sources, their tables and load-time columns ---------
 _STORE_TABLES = ("orders", "customers", "order_line", "products", "product_variant")
 _US_TABLES = (*_STORE_TABLES, "refund", "order_adjustment", "fulfillment")
 _MESSAGES = (
@@ -78,15 +79,14 @@ class ParquetSources:
         return session.exists(self.spark, self.path(source, table))
 
     def scan(self, source: str, table: str) -> DataFrame:
-        session.size_tasks(self.spark, self.stored_bytes(source, table))
         reader = self.spark.read
         if (source, table) in self.schemas:
             reader = reader.schema(self.schemas[source, table])
         return reader.parquet(self.path(source, table))
 
     def scan_stores(self, table: str, stores: dict[str, str] = settings.STORE_SOURCES) -> DataFrame:
-        """A table of all stores, tagged with ``platform``."""
-        return conform.union_stores(stores, lambda source: self.scan(source, table))
+        """A table of all stores whose source is declared, tagged with ``platform``."""
+        return conform.union_stores(declared_stores(stores), lambda source: self.scan(source, table))
 
     def stream(self, source: str, table: str, max_files: int | None = None) -> DataFrame:
         """New files of a raw table as a stream; needs its schema."""
@@ -94,6 +94,3 @@ class ParquetSources:
         if max_files:
             reader = reader.option("maxFilesPerTrigger", max_files)
         return reader.parquet(self.path(source, table))
-
-    def stored_bytes(self, source: str, table: str) -> int:
-        return session.stored_bytes(self.spark, self.path(source, table))

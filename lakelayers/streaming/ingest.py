@@ -14,25 +14,25 @@ from lakelayers import settings
 from lakelayers.context import Context
 from lakelayers.operators.conform import latest_per_key
 from lakelayers.operators.merge import merge
-from lakelayers.operators.publish import Layout, TableStore, layout_for
+from lakelayers.operators.publish import Layout, TableStore
 from lakelayers.plans import bronze
 
 # Keeps state on executor disks, so it may outgrow the heap.
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-STATE_TASKS_PER_CORE = 4
 
 
 @contextmanager
-def state_settings(spark: SparkSession) -> Iterator[None]:
-    """Settings for starting a stream that keeps state.
+def state_settings(spark: SparkSession, state_tasks: int | None = None) -> Iterator[None]:
+    """Settings for starting a stream that keeps state; put back afterwards.
 
     A stream keeps the shuffle width it is first started with, one state store
-    per task, so the width follows the cluster and not one input's size.
+    per task, for as long as its checkpoint lives. ``state_tasks`` is that
+    width: choose it for the cluster and state the stream will grow to. By
+    default it is the session's shuffle width.
     """
     wanted = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    most = STATE_TASKS_PER_CORE * spark.sparkContext.defaultParallelism
-    wanted["spark.sql.shuffle.partitions"] = str(min(width, most))
+    if state_tasks is not None:
+        wanted["spark.sql.shuffle.partitions"] = str(state_tasks)
     before = {key: spark.conf.get(key) for key in wanted}
     for key, value in wanted.items():
         spark.conf.set(key, value)
@@ -44,13 +44,15 @@ def state_settings(spark: SparkSession) -> Iterator[None]:
 
 
 def drop_repeats(
-    stream: DataFrame, keys: Sequence[str], event_time: str, delay: str = "1 hour", spread: bool = True
+    stream: DataFrame, keys: Sequence[str], event_time: str, delay: str = "1 hour", spread: bool = False
 ) -> DataFrame:
     """The first arrival of each key; its copies within ``delay`` are dropped.
 
-    State of a key is let go once the watermark has passed it by ``delay``.
-    With ``spread``, copies are first dropped per input split, so a key that
-    makes up much of the stream does not meet in one task.
+    State of a key is let go once the watermark has passed it by ``delay``, and
+    rows that come later than that are dropped by the engine, new keys too:
+    for streams in which that is wanted. ``take_in`` loses none. ``spread``
+    first drops copies per input split, for a stream much of which is copies of
+    one key; it keeps state twice.
     """
     keys = list(keys)
     rows = stream.withColumn(event_time, stream[event_time].cast("timestamp")).withWatermark(event_time, delay)
@@ -60,6 +62,28 @@ def drop_repeats(
     return rows.dropDuplicatesWithinWatermark(keys)
 
 
+def take_in(
+    stream: DataFrame,
+    tables: TableStore,
+    name: str,
+    keys: Sequence[str],
+    event_time: str,
+    checkpoint: str,
+    layout: Layout | None = None,
+) -> StreamingQuery:
+    """Add the events of each batch whose key the table ``name`` does not hold yet.
+
+    However late a new event is, it gets in; a copy of one that is stored does
+    not. The table itself is the memory, so nothing is forgotten.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        tag = (_stream_id(tables.spark, checkpoint), batch_id)
+        merge(tables, name, latest_per_key(batch, keys, [event_time]), keys, layout, tag=tag, insert_only=True)
+
+    return _started(stream, write, checkpoint)
+
+
 def append_files(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Write all that has arrived to Parquet files, each row once."""
     return (
@@ -98,6 +122,10 @@ def upsert(
         stream_id = _stream_id(tables.spark, checkpoint)
         merge(tables, name, rows, keys, layout, newer_by=newer_by, tag=(stream_id, batch_id))
 
+    return _started(stream, write, checkpoint)
+
+
+def _started(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     return (
         stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
@@ -107,17 +135,17 @@ def upsert(
 
 
 def upsert_store(ctx: Context, store: str, table: str, checkpoints: str, max_files: int | None = None) -> StreamingQuery:
-    """Take one store's streamed ``orders`` or ``customers`` into its bronze table.
+    """Take one store's streamed ``orders`` or ``customers`` into a bronze table of its own.
 
-    Orders go to the table that the daily run merges into.
+    One writer per table: the daily run merges batch orders into another, and
+    silver and gold take the newer row of each order from the two.
     """
     source = settings.STORE_STREAM_SOURCES[store]
-    name = f"bronze.br_{settings.STORE_SOURCES[store].removeprefix('src_')}_{table}"
+    name = f"bronze.{source}_{table}"
     if table == "orders":
-        model, key, column = (lambda raw: bronze.orders(raw, store)), "order_id", "created_at_date"
+        model, key, layout = (lambda raw: bronze.orders(raw, store)), "order_id", bronze.ORDER_LAYOUT
     else:
-        model, key, column = (lambda raw: raw), "customer_id", None
-    layout = layout_for(column, ctx.sources.stored_bytes(source, table)) if column else Layout()
+        model, key, layout = (lambda raw: raw), "customer_id", Layout()
     return upsert(
         ctx.sources.stream(source, table, max_files), ctx.tables, name, model, [key], "updated_at",
         f"{checkpoints}/{source}/{table}", layout,

@@ -1,4 +1,3 @@
-import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -25,50 +24,18 @@ def test_latest_per_key_carries_maps(spark):
 def test_latest_per_key_reduces_before_the_shuffle(spark):
     df = spark.range(100).selectExpr("id % 3 AS k", "id AS at")
     plan = conform.latest_per_key(df, ["k"], ["at"])._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("partial_max(struct") == 1 and "Window" not in plan
+    assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan
 
 
-@pytest.fixture
-def skewed(spark):
-    # Half of the facts have one key, a sixth have none.
+def test_dimension_join_is_planned_without_a_job(spark):
     key = F.when(F.col("id") % 2 == 0, F.lit(7)).when(F.col("id") % 3 != 0, F.col("id"))
     fact = spark.range(3000).select("id", key.alias("k"))
     dim = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") * 10).alias("d"))
-    return fact, dim
-
-
-def test_hot_keys_are_few(skewed):
-    fact, _ = skewed
-    assert conform.hot_keys(fact, ["k"]) == pytest.approx({(7,): 0.5, (None,): 1 / 6}, abs=0.01)
-    assert conform.hot_keys(fact.limit(0), ["k"]) == {}
-
-
-def test_salted_join_gives_the_plain_join(spark, skewed):
-    fact, dim = skewed
-    plain = rows(fact.join(dim, ["k"], "left").select("id", "k", "d"))
-    assert rows(conform.join_dimension(fact, dim, ["k"]), "id", "k", "d") == plain
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        salted = conform.join_dimension(fact, dim, ["k"])
-        assert "_salt" in salted._jdf.queryExecution().optimizedPlan().toString()
-        assert rows(salted, "id", "k", "d") == plain
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
-def test_salted_join_spreads_the_hot_key(spark, skewed):
-    fact, dim = skewed
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.shuffle.partitions", "16")
-    try:
-        joined = conform.join_dimension(fact, dim, ["k"])
-        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-        spark.conf.set("spark.sql.shuffle.partitions", "4")
-    assert max(sizes) < 0.25 * sum(sizes)
+    spark.sparkContext.setJobGroup("planning", "no job may run")
+    joined = conform.join_dimension(fact, dim, ["k"])
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup("planning") == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert joined.count() == 3000 and joined.filter("d = 70").count() == 1500
 
 
 def test_cutoff_keeps_the_day_itself(spark):

@@ -77,13 +77,19 @@ def test_snapshot_twice_changes_nothing(spark, store):
     assert history(store) == once
 
 
-def test_closed_rows_are_not_written_again(spark, store):
+def test_only_touched_buckets_and_months_are_written(spark, store):
+    take(spark, store, [(i, "a", 1) for i in range(100)], 5)
+    first = store.version(NAME)
+    assert len(first.parts) > 10
+    second = take(spark, store, [(0, "b", 6)] + [(i, "a", 1) for i in range(1, 100)], 7)
+    written = {p for p, w in second.parts.items() if first.parts.get(p) != w}
+    assert len(written) == 2 and f"{CLOSED}-2024-01" in written
+
+
+def test_an_unchanged_snapshot_publishes_nothing(spark, store):
     take(spark, store, [(1, "a", 1)], 5)
-    second = take(spark, store, [(1, "b", 6)], 7)
-    third = take(spark, store, [(1, "c", 8)], 9)
-    assert third.parts[CLOSED][0] == second.parts[CLOSED][0] and len(third.parts[CLOSED]) == 2
-    fourth = take(spark, store, [(1, "c", 8)], 10)
-    assert fourth.parts[CLOSED] == third.parts[CLOSED]
+    assert take(spark, store, [(1, "a", 1)], 10).number == 1
+    assert store.versions(NAME) == [1]
 
 
 def test_everything_deleted_and_back(spark, store):
@@ -91,7 +97,19 @@ def test_everything_deleted_and_back(spark, store):
     take(spark, store, [], 6)
     assert history(store) == [(1, "a", 1, 6, False)]
     take(spark, store, [(1, "a", 1)], 7)
-    assert history(store) == [(1, "a", 1, 6, False), (1, "a", 1, None, True)]
+    assert history(store) == [(1, "a", 1, 6, False), (1, "a", 6, None, True)]
+
+
+def test_periods_of_a_key_never_overlap(spark, store):
+    states = [[(1, "a", 1), (2, "x", 1)], [(2, "y", 3)], [(1, "a", 1), (2, "y", 3)], [(1, "b", 2)], [(1, "b", 2), (2, "z", 4)], []]
+    for n, state in enumerate(states):
+        take(spark, store, state, 10 + n)
+    seen = {}
+    for r in store.read(NAME).orderBy("id", "valid_from", "valid_to").collect():
+        assert r.valid_to is None or r.valid_from <= r.valid_to
+        assert r.id not in seen or seen[r.id] <= r.valid_from
+        seen[r.id] = r.valid_to or datetime(9999, 1, 1)
+    assert set(seen) == {1, 2}
 
 
 def test_keys_must_be_known_and_unique(spark, store):

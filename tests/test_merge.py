@@ -1,10 +1,11 @@
-from datetime import date
+import glob
+from datetime import date, timedelta
 
 import pytest
 from conftest import rows
 
 from lakelayers.operators.conform import changed_rows
-from lakelayers.operators.merge import DuplicateKeyError, key_range, merge
+from lakelayers.operators.merge import DuplicateKeyError, key_range, merge, without_keys
 from lakelayers.operators.publish import Layout
 
 NAME = "bronze.t"
@@ -31,12 +32,34 @@ def test_update_insert_and_never_delete(spark, table):
 
 def test_untouched_parts_are_carried_over(spark, table):
     old = table.version(NAME)
-    new = merge(table, NAME, frame(spark, [(2, FEB, "B"), (9, JAN, "n")]), ["id"]).version
-    assert new.parts["2024-01"][0] == old.parts["2024-01"][0] and len(new.parts["2024-01"]) == 2
-    assert set(new.parts["2024-02"]).isdisjoint(old.parts["2024-02"])
+    new = merge(table, NAME, frame(spark, [(2, FEB, "B"), (9, MAR, "n")]), ["id"]).version
+    assert new.parts["2024-01"] == old.parts["2024-01"]
+    assert new.parts["2024-02"] == new.parts["2024-03"] != old.parts["2024-02"]
     assert table.read(NAME).count() == 4
 
 
+def test_many_merges_leave_one_folder_a_part(spark, table):
+    for n in range(20):
+        merge(table, NAME, frame(spark, [(100 + n, FEB, "n")]), ["id"])
+    table.expire(NAME, timedelta(0))
+    folders = glob.glob(table.path(NAME) + "/_write=*/_part=*")
+    assert sorted(f.rsplit("=", 1)[1] for f in folders) == ["2024-01", "2024-02"]
+    assert table.read(NAME).count() == 23
+
+
+def test_insert_only_leaves_what_is_stored(spark, table):
+    result = merge(table, NAME, frame(spark, [(1, FEB, "again"), (4, FEB, "d")]), ["id"], insert_only=True)
+    assert rows(table.read(NAME)) == [(1, JAN, "a"), (2, FEB, "b"), (3, FEB, "c"), (4, FEB, "d")]
+    assert result.touched == ["2024-02"]
+    assert merge(table, NAME, frame(spark, [(1, JAN, "again")]), ["id"], insert_only=True).version.number == result.version.number
+
+
+def test_the_rewritten_part_is_read_once(spark, table):
+    plan = without_keys(table.read(NAME), frame(spark, [(2, FEB, "B"), (None, FEB, "x")]), ["id"])
+    assert plan._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert rows(plan, "id") == [(1,), (3,)]
+
+
 def test_row_that_moves_to_another_part(spark, table):
     result = merge(table, NAME, frame(spark, [(1, MAR, "moved")]), ["id"])
     assert rows(table.read(NAME)) == [(1, MAR, "moved"), (2, FEB, "b"), (3, FEB, "c")]
@@ -135,8 +158,6 @@ def test_only_the_range_of_changed_keys_is_probed(spark):
 
 
 def test_changed_rows(spark):
-    from datetime import timedelta
-
     def at(*hours):
         return spark.createDataFrame([(h,) for h in hours], "h int").selectExpr(
             "h", "timestamp'2024-01-01' + make_dt_interval(0, h) AS at"

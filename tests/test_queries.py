@@ -72,3 +72,15 @@ def test_flagship_reads_only_what_it_needs(spark):
     orders = next(line for line in plan.splitlines() if "FileScan" in line and "o_orderdate" in line)
     assert "o_orderpriority" not in orders and "o_orderkey" not in orders
     assert plan.count("FileScan") == 2 and "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+@pytest.mark.parametrize("name, tables", [("silver_dedup", 1), ("silver_customers", 4)])
+def test_latest_rows_are_found_in_one_pass(spark, name, tables):
+    # Customers are two unions of customer and nation; nothing is read for the sake of missing keys.
+    plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == tables and "WindowGroupLimit" in plan and "SortAggregate" not in plan
+
+
+def test_every_source_table_has_a_freshness(spark):
+    found = QUERIES["source_freshness"](spark, FOLDER).collect()
+    assert len(found) == 32 and {r.status for r in found} >= {"error"}

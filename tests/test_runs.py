@@ -1,3 +1,4 @@
+from dataclasses import replace
 from datetime import datetime, timedelta
 
 import pytest
@@ -8,33 +9,39 @@ from lakelayers import Context, settings
 from lakelayers.operators.publish import TableStore
 from lakelayers.operators.quality import Check, QualityError
 from lakelayers.plans import bronze, gold, runs, silver
+from lakelayers.plans.models import run_model
 from lakelayers.sources.benchmark import BenchmarkSources, after_changes, change_batch
+from lakelayers.sources.registry import ParquetSources
+from lakelayers.streaming import ingest
 
 SMALL = "/root/testdata/sf0.001"
 RUN = datetime(2002, 1, 1)
+# --- fixed values: the product seed ------------------------------------------
+SEED = "product_id,product_name,category,price\n  1,Airlift Legging,Bottoms,128.00  \n  2,Define Jacket,Tops,168.00  \n  3,Warrior Mat,Accessories,96.00"
 
 
-class ChangingSources(BenchmarkSources):
-    """The raw orders before or after the change batch."""
+class UnevenSources(BenchmarkSources):
+    """One store a thousand times bigger than the others."""
 
-    changed = False
-
-    def scan_stores(self, table):
-        raw = super().scan_stores(table)
-        if table == "orders" and self.changed:
-            return raw.filter("id % 10 != 0").unionByName(change_batch(raw))
-        return raw
+    def scan(self, source, table):
+        df = super().scan(source, table)
+        if table != "orders" or source == "src_shopify_us":
+            return df
+        return df.filter("id % 1000 = 1")
 
 
 @pytest.fixture(scope="module")
 def lake(spark, tmp_path_factory):
     ctx = Context(
-        spark, ChangingSources(spark, SMALL), TableStore(spark, str(tmp_path_factory.mktemp("lake"))), run_at=RUN
+        spark, BenchmarkSources(spark, SMALL), TableStore(spark, str(tmp_path_factory.mktemp("lake"))), run_at=RUN
     )
+    seed = tmp_path_factory.mktemp("seeds") / "products.csv"
+    seed.write_text(SEED)
+    ctx.seeds = {"products": str(seed)}
     first = runs.run_daily(ctx)
     first_gold = rows(ctx.ref(runs.REVENUE_DAILY))
     untouched = runs.run_daily(ctx)
-    ctx.sources.changed = True
+    ctx.sources.next_day = True
     ctx.run_at = RUN + timedelta(days=1)
     changed = runs.run_daily(ctx)
     return ctx, first, first_gold, untouched, changed
@@ -46,7 +53,7 @@ def same(a, b):
 
 def test_layers_run_in_order(lake):
     _, first, *_ = lake
-    assert [s.layer for s in first.steps] == ["snapshots", *["bronze"] * 4, "silver", "silver", "gold", "gold"]
+    assert [s.layer for s in first.steps] == ["public", "snapshots", *["bronze"] * 5, "silver", "silver", "gold", "gold"]
     assert all(t.status == "pass" for t in first.tests) and len(first.tests) == len(runs.CHECKS)
 
 
@@ -56,12 +63,22 @@ def test_gold_of_the_first_run(spark, lake):
     assert first_gold == rows(want)
 
 
-def test_a_run_without_changes_touches_nothing(lake):
+def test_a_run_without_changes_publishes_nothing(lake):
     _, first, _, untouched, _ = lake
-    assert [(s.name, s.version) for s in first.steps if s.layer == "bronze"] == [
-        (s.name, s.version) for s in untouched.steps if s.layer == "bronze"
-    ]
-    assert {s.name: s.version for s in untouched.steps}[runs.REVENUE_DAILY] == 1
+    assert [(s.name, s.version) for s in first.steps] == [(s.name, s.version) for s in untouched.steps]
+
+
+def test_the_seed_and_its_model_are_steps(lake):
+    ctx, first, *_ = lake
+    assert {"public.products", "bronze.products_with_tax"} <= {s.name for s in first.steps}
+    assert rows(ctx.ref("bronze.products_with_tax"), "product_id", "price_with_tax") == [(1, 140.8), (2, 184.8), (3, 105.6)]
+
+
+def test_stores_of_uneven_size_leave_gold_alone(spark, tmp_path):
+    ctx = Context(spark, UnevenSources(spark, SMALL), TableStore(spark, str(tmp_path)), run_at=RUN)
+    runs.run_daily(ctx, snapshots=False)
+    again = runs.run_daily(ctx, snapshots=False)
+    assert {s.name: s.version for s in again.steps}[runs.REVENUE_DAILY] == 1
 
 
 def test_a_run_with_changes_equals_a_rebuild(spark, lake):
@@ -76,20 +93,23 @@ def test_a_run_with_changes_equals_a_rebuild(spark, lake):
 
 def test_silver_view(spark, lake):
     ctx, *_ = lake
-    orders = spark.table("silver_orders")
+    ctx.tables.publish_views()  # other tests publish tables of these names in the same catalog
+    orders = ctx.ref(runs.ORDERS_ENRICHED)
     assert orders.count() == runs.bronze_orders(ctx).count()
     assert orders.filter("customer_country IS NULL").count() == 0
 
 
 def test_tables_have_views(spark, lake):
     ctx, *_ = lake
+    ctx.tables.publish_views()
     assert spark.table("bronze.br_shopify_us_orders").count() == ctx.ref("bronze.br_shopify_us_orders").count()
     assert same(spark.table("gold.gold_revenue_daily"), ctx.ref(runs.REVENUE_DAILY))
 
 
 def test_monitors(lake):
     ctx, *_ = lake
-    results = runs.run_monitors(ctx)
+    for _ in range(2):  # the second run of one time changes nothing
+        results = runs.run_monitors(ctx)
     assert set(results) == {m[0] for m in settings.MONITORS}
     volume = results["br_shopify_us_orders_volume"].collect()
     assert [r.metric_value for r in volume] == [float(ctx.ref("bronze.br_shopify_us_orders").count())]
@@ -99,12 +119,52 @@ def test_monitors(lake):
     assert [(r.baseline_runs, r.is_anomaly) for r in again] == [(1, False)]
 
 
+def test_a_schema_change_is_seen_however_many_versions_ago(spark, store):
+    ctx = Context(spark, None, store, run_at=RUN)
+    store.replace("gold.seen", spark.range(2).toDF("id"))
+    assert runs.run_schema_monitor(ctx, "gold.seen").count() == 0
+    store.replace("gold.seen", spark.range(2).selectExpr("id", "'x' AS more"))
+    store.replace("gold.seen", spark.range(3).selectExpr("id", "'x' AS more"))
+    assert rows(runs.run_schema_monitor(ctx, "gold.seen"), "column_name", "change") == [("more", "added")]
+    assert runs.run_schema_monitor(ctx, "gold.seen").count() == 0
+
+
+def test_a_stream_and_the_daily_run_lose_nothing(spark, tmp_path):
+    """The stream's newest row does not hide older batch rows, nor does a stale batch row undo it."""
+    def order(id, hour, status):
+        return (id, datetime(2024, 1, 5, hour), status)
+
+    def frame(data):
+        df = spark.createDataFrame(data, "id bigint, at timestamp, financial_status string")
+        return df.selectExpr(
+            "id", "timestamp'2024-01-01' AS created_at", "at AS updated_at", "at AS processed_at", "1L AS customer_id", "'e' AS email",
+            "financial_status", "'f' AS fulfillment_status", "struct(struct('100' AS amount, 'USD' AS currency_code) AS shop_money) AS total_price_set",
+            "'USD' AS currency", "at AS _fivetran_synced",
+        )
+
+    source, batch = "br_src_shopify_us", "src_shopify_us"
+    schema = frame([]).schema
+    raw = ParquetSources(spark, str(tmp_path / "raw"), {(source, "orders"): schema, (batch, "orders"): schema})
+    ctx = Context(spark, raw, TableStore(spark, str(tmp_path / "lake")), run_at=RUN)
+    for s in ("src_shopify_can", "src_shopify_uk", "src_shopify_intl", batch):
+        rows_of = [order(1, 1, "old")] if s == batch else []
+        frame(rows_of).write.parquet(raw.path(s, "orders"))
+    model = runs.STORE_MODELS["yoga-us"]
+    for m in runs.STORE_MODELS.values():
+        run_model(ctx, m)
+    frame([order(1, 10, "new"), order(2, 10, "new")]).write.parquet(raw.path(source, "orders"))
+    ingest.upsert_store(ctx, "yoga-us", "orders", str(tmp_path / "checkpoints")).awaitTermination()
+    frame([order(3, 5, "batch")]).write.mode("append").parquet(raw.path(batch, "orders"))
+    run_model(ctx, replace(model, lookback=timedelta(days=1)))
+    assert rows(runs.bronze_orders(ctx), "order_id", "financial_status") == [(1, "new"), (2, "new"), (3, "batch")]
+
+
 def test_full_refresh_drops_what_the_source_lost(spark, tmp_path):
-    sources = ChangingSources(spark, SMALL)
+    sources = BenchmarkSources(spark, SMALL)
     ctx = Context(spark, sources, TableStore(spark, str(tmp_path)), run_at=RUN)
-    sources.changed = True
+    sources.next_day = True
     runs.run_daily(ctx, snapshots=False)
-    sources.changed = False
+    sources.next_day = False
     report = runs.run_full_refresh(ctx)
     want = bronze.all_orders(Context(spark, BenchmarkSources(spark, SMALL)))
     assert same(runs.bronze_orders(ctx), want)
@@ -148,10 +208,10 @@ def test_source_freshness_covers_all_declared_tables(spark):
 
 
 def test_a_run_makes_up_for_one_that_died_after_bronze(spark, tmp_path, monkeypatch):
-    sources = ChangingSources(spark, SMALL)
+    sources = BenchmarkSources(spark, SMALL)
     ctx = Context(spark, sources, TableStore(spark, str(tmp_path)), run_at=RUN)
     runs.run_daily(ctx, snapshots=False)
-    sources.changed = True
+    sources.next_day = True
     with monkeypatch.context() as broken:
         broken.setattr(runs, "run_revenue_daily", None)
         with pytest.raises(TypeError):

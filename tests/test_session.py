@@ -1,31 +1,8 @@
-import pytest
-
 from lakelayers import session
 
 
-@pytest.fixture
-def conf(spark):
-    keys = [
-        "spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes",
-    ]
-    before = {k: spark.conf.get(k) for k in keys}
-    yield lambda: [int(spark.conf.get(k).rstrip("b")) for k in keys]
-    for k, v in before.items():
-        spark.conf.set(k, v)
-
-
-def test_tasks_follow_the_input_and_only_grow(spark, conf):
-    small = conf()
-    session.size_tasks(spark, 1 << 20)
-    assert conf() == small
-    session.size_tasks(spark, 1 << 40)
-    middle = conf()
-    assert middle == [16384, 128 << 20, 256 << 20]
-    session.size_tasks(spark, 100 << 40)
-    assert conf() == [32768, 512 << 20, 256 << 20]
-    session.size_tasks(spark, 1 << 20)
-    assert conf() == [32768, 512 << 20, 256 << 20]
+def test_shuffle_width_follows_the_input_at_any_size():
+    assert [session.shuffle_width(n) for n in (0, 1 << 20, 1 << 40, 100 << 40)] == [1, 1, 16384, 1_638_400]
 
 
 def test_scratch_is_the_shared_folder(spark, monkeypatch):
@@ -34,19 +11,14 @@ def test_scratch_is_the_shared_folder(spark, monkeypatch):
     assert a.startswith(base + "/x-") and a != b
 
 
-def test_no_local_scratch_on_a_cluster():
-    class Conf:
-        def get(self, key, default):
-            return None
-
-    class Cluster:
-        conf = Conf()
-
-        class sparkContext:
-            master = "spark://somewhere:7077"
+def test_scratch_is_in_the_warehouse_without_a_checkpoint_folder():
+    class Session:
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return {"spark.sql.warehouse.dir": "s3a://lake/warehouse"}.get(key, default)
 
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        session.scratch_dir(Cluster(), "x")
+    assert session.scratch_dir(Session, "x").startswith("s3a://lake/warehouse/_scratch/x-")
 
 
 def test_results_do_not_depend_on_the_session_zone(spark):

@@ -15,7 +15,7 @@ ORDERS = "id bigint, at bigint, v string"
 
 def events(spark, data):
     df = spark.createDataFrame(data, "event_id bigint, minute int, v string")
-    return df.selectExpr("event_id", "make_timestamp_ntz(2024, 1, 1, 0, minute, 0) AS ts", "v")
+    return df.selectExpr("event_id", "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, minute) AS ts", "v")
 
 
 @pytest.mark.parametrize("spread", [True, False])
@@ -36,11 +36,23 @@ def test_repeats_are_dropped_across_batches(spark, tmp_path, spread):
 
 def test_state_settings_are_put_back(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "5000")
-    with ingest.state_settings(spark):
-        assert int(spark.conf.get("spark.sql.shuffle.partitions")) <= 4 * spark.sparkContext.defaultParallelism
-    assert spark.conf.get("spark.sql.shuffle.partitions") == "5000"
-    spark.conf.set("spark.sql.shuffle.partitions", before)
+    with ingest.state_settings(spark, 7):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "7"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_no_new_event_is_too_late(spark, store, tmp_path):
+    drop = str(tmp_path / "drop")
+
+    def deliver(data):
+        events(spark, data).write.mode("append").parquet(drop)
+        stream = spark.readStream.schema(EVENTS).parquet(drop)
+        ingest.take_in(stream, store, "bronze.events", ["event_id"], "ts", str(tmp_path / "checkpoint")).awaitTermination()
+
+    deliver([(1, 500, "a"), (2, 501, "b"), (2, 501, "b")])
+    deliver([(3, 0, "seven hours older"), (1, 500, "a"), (4, 502, "d")])
+    deliver([(3, 0, "seven hours older")])
+    assert rows(store.read("bronze.events"), "event_id", "v") == [(1, "a"), (2, "b"), (3, "seven hours older"), (4, "d")]
 
 
 @pytest.fixture
@@ -98,7 +110,7 @@ def test_store_streams_fill_bronze(spark, store, tmp_path):
     arrive("customers", raw["customers"])
     arrive("orders", raw["orders"])
     arrive("orders", change_batch(raw["orders"]))
-    assert ctx.ref("bronze.br_shopify_uk_customers").count() == raw["customers"].count()
+    assert ctx.ref("bronze.br_src_shopify_uk_customers").count() == raw["customers"].count()
     kept = raw["orders"].filter("id % 10 != 0").unionByName(change_batch(raw["orders"]))
-    want, got = bronze.orders(kept, "yoga-uk"), ctx.ref("bronze.br_shopify_uk_orders")
+    want, got = bronze.orders(kept, "yoga-uk"), ctx.ref("bronze.br_src_shopify_uk_orders")
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
