@@ -23,6 +23,9 @@ MISS = 1e-6
 BATCH = 16
 SEED = 11
 STARS = ("min", "max")
+# Nodes, and bytes of their shingle sets, of one side of a block that a task compares.
+BLOCK_NODES = 2000
+BLOCK_BYTES = 16 << 20
 SIGNED = "row long, doc_id long, n_shingles long, key binary, signature binary"
 
 
@@ -172,9 +175,9 @@ def near_duplicates(
 
     Candidates within a bucket are not spelled out as all pairs. First each
     bucket's members are paired with one of them, its least, then its greatest;
-    what these stars link is one component. Then only members of different
-    components are paired: all that are not in the bucket's largest component
-    against all members. So every candidate is compared or already connected.
+    what these stars link is one component. Then, in blocks, members of different
+    components are compared, and only links that join components come out. So
+    every candidate is compared or already connected.
 
     A document without words is linked with nothing. A null text is empty; a
     component's id is its smallest doc_id that is not null, and rows with a null
@@ -193,7 +196,7 @@ def near_duplicates(
     )
     width = band_rows * 4
     slices = [F.xxhash64(F.lit(i), F.substring("signature", i * width + 1, width)) for i in range(size // band_rows)]
-    banded = nodes.select("node", F.explode(F.array(*slices)).alias("bucket"))
+    banded = nodes.select("node", F.posexplode(F.array(*slices)).alias("band", "bucket"))
     shared = banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("min"), F.max("node").alias("max")).where("n > 1").drop("n")
     members = written(banded.join(shared, "bucket"), "buckets")
     wanted = members.select("node").distinct().join(nodes, "node").select("node", "key", "doc_id")
@@ -206,12 +209,9 @@ def near_duplicates(
         open_buckets = members if star == STARS[0] else _split_buckets(members, labels)
         pairs = open_buckets.where(F.col("node") != F.col(star)).select(F.least("node", star).alias("a"), F.greatest("node", star).alias("b")).distinct()
         tested, links, labels = _round(pairs, tested, links, labels, nodes, sets, steps, threshold)
-    split = _split_buckets(members, labels)
-    placed = written(split.join(labels, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label")), "open-buckets")
-    main = placed.groupBy("bucket", "label").count().groupBy("bucket").agg(F.max_by("label", F.struct("count", "label")).alias("main"))
-    odd = placed.join(main, "bucket").where("label <> main").select("bucket", F.col("node").alias("x"), F.col("label").alias("x_label"))
-    pairs = odd.join(placed, "bucket").where("x_label <> label").select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).distinct()
-    tested, links, labels = _round(pairs, tested, links, labels, nodes, sets, steps, threshold)
+    more = written(_between_components(members, labels, nodes, sets, steps, threshold, band_rows), "links")
+    if not more.isEmpty():
+        labels = written(components(links.unionByName(more)).select("node", F.col("component").alias("label")), "labels")
 
     classes = nodes.join(labels, "node", "left").select("key", "first_id", F.coalesce("label", "node").alias("label"))
     least = classes.groupBy("label").agg(F.min("first_id").alias("component_id"))
@@ -228,6 +228,81 @@ def _split_buckets(members: DataFrame, labels: DataFrame) -> DataFrame:
     return members.join(mixed, "bucket", "left_semi")
 
 
+def _between_components(members: DataFrame, labels: DataFrame, nodes: DataFrame, sets: DataFrame, steps, threshold, band_rows: int) -> DataFrame:
+    """Links (a, b) that join the components a bucket is split into, as few as do.
+
+    The members outside a bucket's largest component are held against all its
+    members, in blocks: both sides are cut by hash into chunks of bounded
+    count and bytes, and a task compares one chunk of each. Signatures are
+    compared in batches, a pair only in the first band it shares; survivors
+    are counted exactly, one member against a chunk at a time, through the
+    lists of who holds each shingle.
+    """
+    part, whole = threshold
+    sized = nodes.join(sets, "node").select("node", "signature", "found")
+    split = written(
+        _split_buckets(members, labels).select("band", "bucket", "node").join(labels, "node", "left")
+        .select("band", "bucket", "node", F.coalesce("label", "node").alias("label"))
+        .join(sets.select("node", F.octet_length("found").alias("bytes")), "node"),
+        "open-buckets",
+    )
+    main = split.groupBy("bucket", "label").count().groupBy("bucket").agg(F.max_by("label", F.struct("count", "label")).alias("main"))
+    placed = split.join(main, "bucket").withColumn("odd", F.col("label") != F.col("main"))
+    chunks = [F.greatest(F.ceil(F.sum(F.when(own, 1)) / BLOCK_NODES), F.ceil(F.sum(F.when(own, F.col("bytes"))) / BLOCK_BYTES)).cast("int")
+              for own in (F.lit(True), F.col("odd"))]
+    counts = placed.groupBy("bucket").agg(chunks[0].alias("all_chunks"), chunks[1].alias("odd_chunks"))
+    placed = written(placed.join(counts, "bucket"), "open-members")
+    own = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    common = ["band", "bucket", "node", "label"]
+    sides = (
+        placed.select(*common, F.lit(0).alias("side"), own("all_chunks").alias("j"), spread("odd_chunks").alias("i"))
+        .unionByName(placed.where("odd").select(*common, F.lit(1).alias("side"), own("odd_chunks").alias("i"), spread("all_chunks").alias("j")))
+    )
+
+    def compare(rows: pa.Table) -> pa.Table:
+        side, node, label = (rows[c].to_numpy() for c in ("side", "node", "label"))
+        signed = np.frombuffer(b"".join(rows["signature"].to_pylist()), np.uint32).reshape(len(node), -1)
+        found = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows["found"]]
+        band, sizes = rows["band"][0].as_py(), np.array([len(f) for f in found])
+        odd, every = np.flatnonzero(side == 1), np.flatnonzero(side == 0)
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while parent.setdefault(x, x) != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        held = np.concatenate([found[i] for i in every]) if len(every) else np.empty(0, np.uint64)
+        owner = np.repeat(np.arange(len(every)), sizes[every])
+        order = np.argsort(held, kind="stable")
+        held, owner = held[order], owner[order]
+        pairs = []
+        for x in odd:
+            same = signed[every] == signed[x]
+            shared = same.reshape(len(every), -1, band_rows).all(axis=2)
+            alive = (shared.argmax(axis=1) == band) & shared[:, band] & (label[every] != label[x])
+            matches, done = np.zeros(len(every), np.int64), 0
+            for n, least in steps:
+                matches += same[:, done:n].sum(axis=1)
+                alive &= matches >= least
+                done = n
+            if not alive.any():
+                continue
+            low, high = np.searchsorted(held, found[x], "left"), np.searchsorted(held, found[x], "right")
+            many = high - low
+            at = np.repeat(low - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
+            both = np.bincount(owner[at], minlength=len(every))
+            linked = alive & (whole * both >= part * (sizes[every] + sizes[x] - both))
+            for y in every[linked]:
+                if root(int(label[x])) != root(int(label[y])):
+                    parent[root(int(label[x]))] = root(int(label[y]))
+                    pairs.append((int(node[x]), int(node[y])))
+        return pa.table({"a": pa.array([p[0] for p in pairs], pa.int64()), "b": pa.array([p[1] for p in pairs], pa.int64())})
+
+    return sides.join(sized, "node").groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long")
+
+
 def _round(pairs, tested, links, labels, nodes, sets, steps, threshold):
     fresh = written(pairs.join(tested, ["a", "b"], "left_anti"), "candidates")
     if fresh.isEmpty():
