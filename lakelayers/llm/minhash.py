@@ -39,18 +39,21 @@ def least_matches(threshold: tuple[int, int], size: int, miss: float = MISS, bat
 
     With a uniform prior, the similarity of a pair with m of n matches is
     Beta(m + 1, n - m + 1); it is dropped when it is above the threshold with
-    probability less than ``miss``.
+    probability less than ``miss``, and when, besides, a pair at the threshold
+    comes to so few matches in one of the steps with chance ``miss`` at most.
     """
     edge = threshold[0] / threshold[1]
     grid = (np.arange(200_000) + 0.5) / 200_000
     above = grid >= edge
+    sizes = [*range(batch, size, batch), size]
     out = []
-    for n in [*range(batch, size, batch), size]:
-        least = 0
+    for n in sizes:
+        least, tail = 0, 0.0
         while least < n:
             log = least * np.log(grid) + (n - least) * np.log1p(-grid)
             density = np.exp(log - log.max())
-            if density[above].sum() >= miss * density.sum():
+            tail += math.comb(n, least) * edge**least * (1 - edge) ** (n - least)
+            if density[above].sum() >= miss * density.sum() or tail > miss / len(sizes):
                 break
             least += 1
         out.append((n, least))

@@ -1,0 +1,66 @@
+import numpy as np
+import pytest
+
+from lakelayers.llm.queries import reachable
+
+SMALL = "/root/testdata/sf0.001"
+# Columns that operators use for themselves, given with other meanings.
+CLASHING = (
+    "row", "node", "key", "hash", "size", "kept", "rank", "label_node", "bucket", "draw", "text_sha256", "_draw", "_sha", "_digest",
+    "_kept_id", "_mix_source", "_mix_nth", "copies", "n_chars", "component_id", "signature", "spans", "TEXT_KEY", "_ID", "_points",
+)
+
+
+@pytest.fixture(scope="session", autouse=True)
+def importable(spark):
+    reachable(spark)
+
+
+@pytest.fixture(scope="session")
+def given(spark):
+    return spark.read.parquet(f"{SMALL}/documents.parquet")
+
+
+@pytest.fixture(scope="session")
+def texts(given):
+    return {r.doc_id: r.text for r in given.select("doc_id", "text").collect()}
+
+
+WORDS = ["river", "stone", "lamp", "winter", "garden", "copper", "signal", "harbor", "violet", "engine", "marble", "thunder"]
+
+
+def prose(seed: int, words: int) -> str:
+    draw = np.random.default_rng(seed)
+    return " ".join(f"{WORDS[i]}{j}" for i, j in zip(draw.integers(0, len(WORDS), words), draw.integers(0, 400, words)))
+
+
+ODD_ROWS = [
+    (1, prose(1, 80), "a"),
+    (2, prose(1, 80), "a"),
+    (3, prose(1, 80) + "  ", None),
+    (4, None, "b"),
+    (5, "", "b"),
+    (6, " \t\n\x0b\x0c\r ", None),
+    (7, prose(2, 30_000), "b"),
+    (None, prose(3, 60), "c"),
+    (None, None, None),
+    (8, prose(4, 5), "c"),
+    (8, prose(4, 5), "c"),
+    (9, "one", ""),
+    (10, "x" * 5000, "c"),
+    (11, "naïve café 😀 a\x1cb \x85 c", "é"),
+    (12, "a a a a a a a a a a a a a a a a a a a a a a a a", "a"),
+]
+
+
+@pytest.fixture(scope="session")
+def odd(spark):
+    """Nulls, empty, blank and long texts, copies, a repeated row, and clashing columns."""
+    rows = [(i, t, "en", s, *[f"other {c}"] * len(CLASHING)) for (i, t, s), c in zip(ODD_ROWS, range(99))]
+    schema = "doc_id bigint, text string, lang string, source string, " + ", ".join(f"`{c}` string" for c in CLASHING)
+    return spark.createDataFrame(rows, schema).repartition(3)
+
+
+@pytest.fixture(scope="session")
+def none(odd):
+    return odd.limit(0)

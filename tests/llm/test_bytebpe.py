@@ -1,0 +1,65 @@
+import base64
+import hashlib
+
+import public_tokenizers
+import pytest
+import tiktoken
+from llm.test_token_frames import ODD_TEXTS
+
+from lakelayers.llm import bytebpe
+
+PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+@pytest.fixture(scope="module")
+def library():
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(PATH, "rb"))}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+
+@pytest.fixture(scope="module")
+def bpe():
+    return bytebpe.byte_bpe(PATH, public_tokenizers.PATTERN)
+
+
+def test_ids_are_the_librarys_and_decode_to_the_text(bpe, library, texts):
+    for text in ODD_TEXTS + list(texts.values()):
+        for _ in range(2):
+            ids = bpe.encode(text).tolist()
+            assert ids == library(text)
+            assert bpe.decode_bytes(ids) == text.encode()
+
+
+def test_characters_split_over_tokens(bpe):
+    ids = bpe.encode("😀é").tolist()
+    assert len(ids) > 2 and bpe.decode(ids) == "😀é"
+    assert bpe.decode(ids[:1]) == "�"
+
+
+def test_offsets(bpe):
+    text = "naïve 😀x  日本"
+    ids = bpe.encode(text)
+    starts, ends = bpe.offsets(ids, text)
+    spans = [text[a:b] for a, b in zip(starts, ends)]
+    assert spans[:2] == ["na", "ïve"] and spans.count(" 😀") + spans.count("😀") >= 1
+    assert starts[0] == 0 and ends[-1] == len(text)
+    assert all(s.encode() == bpe.bytes_of[i] for s, i in zip(spans, ids.tolist()) if s.isascii())
+
+
+def row_of(text, library):
+    ids, text = library(text or ""), text or ""
+    return len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest(), True
+
+
+def test_documents(given, texts, library):
+    got = {r.doc_id: tuple(r)[1:5] for r in bytebpe.encode_documents(given, PATH, public_tokenizers.PATTERN).collect()}
+    assert got == {d: row_of(t, library) for d, t in texts.items()}
+
+
+def test_odd_rows(odd, none, library):
+    found = bytebpe.encode_documents(odd, PATH, public_tokenizers.PATTERN)
+    got = sorted((tuple(r)[:5] for r in found.collect()), key=repr)
+    assert got == sorted(((r.doc_id, *row_of(r.text, library)) for r in odd.select("doc_id", "text").collect()), key=repr)
+    long = found.where("doc_id = 7").first()
+    assert long.ids == library(odd.where("doc_id = 7").first().text) and len(long.starts) == len(long.ends) == long.n_tokens
+    assert bytebpe.encode_documents(none, PATH, public_tokenizers.PATTERN).collect() == []

@@ -1,0 +1,205 @@
+"""Quality, personal data, and the pipeline."""
+
+import hashlib
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from conftest import rows
+from llm.conftest import SMALL, prose
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from lakelayers.llm import bytebpe, digest_index, importance, minhash, mixing, pii
+
+# --- quality -------------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    return spark.read.parquet(f"{SMALL}/labels.parquet")
+
+
+def counts_of(texts):
+    out = np.full(importance.BUCKETS, importance.SMOOTHING)
+    for t in texts:
+        raw = (t or "").encode()
+        for i in range(len(raw) - importance.GRAM + 1):
+            out[int.from_bytes(raw[i : i + importance.GRAM], "big") * 2_654_435_769 % (1 << 32) >> 18] += 1
+    return out
+
+
+def test_weights_are_ratios_of_the_two_models(given, labels, texts):
+    good = {r.doc_id for r in labels.where("quality = 1").collect()}
+    target, raw = counts_of(t for d, t in texts.items() if d in good), counts_of(texts.values())
+    ratios = importance.log_ratios(given, importance.target_sample(labels))
+    assert ratios == pytest.approx(np.log(target / target.sum()) - np.log(raw / raw.sum()))
+    weights = {r.doc_id: r.log_weight for r in importance.resample(given, labels).collect()}
+    for d in list(texts)[:20]:
+        assert weights[d] == pytest.approx(float((counts_of([texts[d]]) - importance.SMOOTHING) @ ratios), abs=1e-6)
+
+
+def test_the_top_draws_are_kept(given, labels):
+    got = importance.resample(given, labels).collect()
+    order = sorted(got, key=lambda r: (-r.draw, r.doc_id))
+    assert [r["rank"] for r in order] == list(range(len(got)))
+    k = round(importance.good_share(labels) * len(got))
+    assert [r.kept for r in order] == [n < k for n in range(len(got))]
+    assert {r.doc_id for r in importance.good_documents(given, labels).collect()} == {r.doc_id for r in got if r.kept}
+
+
+def test_held_out_accuracy(spark):
+    """Fitted on half of the labels, right on most of the other half."""
+    folder = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
+    found = importance.resample(docs, labels.where("doc_id % 2 = 0")).join(labels.where("doc_id % 2 = 1"), "doc_id")
+    share = {r.quality: r.kept for r in found.groupBy("quality").agg({"kept": "count"}).withColumnRenamed("count(kept)", "kept").collect()}
+    kept = {r.quality: r["count"] for r in found.where("kept").groupBy("quality").count().collect()}
+    assert kept[1] / share[1] > 0.95 and kept[0] / share[0] < 0.25
+
+
+def test_gumbel_draws_follow_the_weights(spark):
+    noise = [r[0] for r in spark.range(20_000).selectExpr("id", "'t' AS text").select(importance.gumbel(F.col("id"), F.col("text"))).collect()]
+    assert np.mean(noise) == pytest.approx(0.5772, abs=0.03) and np.var(noise) == pytest.approx(np.pi**2 / 6, abs=0.08)
+
+
+def test_odd_quality(spark, odd, none, labels):
+    got = importance.resample(odd, labels).collect()
+    assert len(got) == odd.count() and all(r.log_weight == 0 for r in got if r.doc_id in (4, 5))
+    assert importance.good_documents(odd, labels).columns == odd.columns
+    assert importance.good_documents(odd, labels, share=1.0).count() == odd.count()
+    assert all(r.kept for r in importance.resample(odd, labels.limit(0)).collect())
+    assert all(r.log_weight == 0 for r in importance.resample(odd, labels.where("quality = 0")).collect())
+    nulls = spark.createDataFrame([(None, 1), (1, None), (2, 1)], "doc_id bigint, quality int")
+    assert len(importance.resample(odd, nulls).collect()) == odd.count()
+    assert importance.resample(none, labels).collect() == [] and importance.good_documents(none, labels).collect() == []
+
+
+# --- personal data -----------------------------------------------------------------------
+
+# --- fixed values: the patterns as stated
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    total = 0
+    for n, c in enumerate(reversed(digits)):
+        d = int(c) * (1 + n % 2)
+        total += d - 9 * (d > 9)
+    return total % 10 == 0
+
+
+def base_spans(text):
+    found = []
+    for n, (kind, pattern) in enumerate(PATTERNS.items()):
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m.group())
+            good = {
+                "email": lambda: True, "ip": lambda: all(int(p) <= 255 for p in m.group().split(".")),
+                "card": lambda: 12 <= len(digits) <= 19 and luhn(digits), "phone": lambda: 9 <= len(digits) <= 15,
+            }[kind]
+            if good():
+                found.append((m.start(), n, kind, m.end()))
+    return [f"{kind}:{a}:{b}" for a, _, kind, b in sorted(found)]
+
+
+HARD = [
+    "a@b.c.@d.e x@y.z..q@r.s", "1.2.3.4.5.6.7.8 256.1.1.1 001.002.003.255 1.2.3", "4111 1111-1111 1111 41111111111111112 4111111111111111",
+    "+1 (555) 010-9999 4111111111111111", "+1234 +12345678 +1.2.3.4.5.6.7.8.9 ++12345678901 call +49 30 1234567.", "é😀 a@b.co 😀+1 (269) 555-3296",
+    "a" * 20_000 + " " + "1" * 20_000 + " " + "1." * 5000 + " " + "+1" + "(" * 5000, "x%y@z-.a.b-c @a.b a@b", "4-1-1-1 1111 1111 1111 1111 12 34",
+    "mail: j_doe@host.example.com, tel (269) 555-3296; ip 10.0.0.1", "",
+]
+
+
+def check_spans(got, text):
+    base = base_spans(text)
+    kinds = Counter(s.split(":")[0] for s in base)
+    assert [got[f"n_{k}"] for k in PATTERNS] == [kinds[k] for k in PATTERNS]
+    assert got.base_sha256 == hashlib.sha256(",".join(base).encode()).hexdigest()
+    spans = [s for s in got.spans.split(",") if s]
+    assert set(base) <= set(spans)
+    assert spans == sorted(spans, key=lambda s: (int(s.split(":")[1]), list(PATTERNS).index(s.split(":")[0])))
+
+
+def test_base_spans(spark, given, texts):
+    docs = given.select("doc_id", "text").unionByName(spark.createDataFrame(list(enumerate(HARD, 1000)), "doc_id bigint, text string"))
+    every = {**texts, **dict(enumerate(HARD, 1000))}
+    for r in pii.personal_data(docs).collect():
+        check_spans(r, every[r.doc_id])
+
+
+def test_spans_are_added(spark):
+    """Numbers that run together, which the base patterns take for one that fails."""
+    mixed = {i: f"words +1 (269) 555-32{i:02d} 4111111111111111 and more {prose(i, 5)}" for i in range(30)}
+    plain = {100 + i: f"call +1 (269) 555-31{i:02d}, card 4111111111111111, ip 10.0.0.{i}, a{i}@b.com" for i in range(30)}
+    docs = spark.createDataFrame(list({**mixed, **plain}.items()), "doc_id bigint, text string")
+    got = {r.doc_id: r for r in pii.personal_data(docs).collect()}
+    for i, text in mixed.items():
+        assert base_spans(text) == [] and got[i].n_card == 0
+        assert [text[int(a):int(b)] for _, a, b in (s.split(":") for s in got[i].spans.split(","))] == [f"+1 (269) 555-32{i:02d}", "4111111111111111"]
+
+
+def test_reliabilities_are_recovered():
+    draw = np.random.default_rng(3)
+    truth = draw.random(20_000) < 0.3
+    votes = np.stack([np.where(draw.random(20_000) < good, truth, ~truth) for good in (0.95, 0.9, 0.8, 0.7, 0.55)]) * 2 - 1
+    patterns = [(0, *v, n) for v, n in Counter(map(tuple, votes.T.tolist())).items()]
+    prior, ratios = pii.reliabilities(patterns)[0]
+    assert prior == pytest.approx(np.log(0.3 / 0.7), abs=0.15)
+    for r, good in zip(ratios, (0.95, 0.9, 0.8, 0.7, 0.55)):
+        assert r[1] == pytest.approx(np.log(good / (1 - good)), abs=0.25)
+
+
+def test_odd_personal_data(odd, none):
+    given = {r.doc_id: r.text for r in odd.select("doc_id", "text").collect() if r.doc_id is not None}
+    got = pii.personal_data(odd).collect()
+    for r in got:
+        check_spans(r, given.get(r.doc_id) or "")
+    assert len(got) == odd.count() and pii.personal_data(none).collect() == []
+
+
+def test_no_python_runs(given):
+    plan = pii.personal_data(given)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+    plan = mixing.mix(given)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+# --- pipeline --------------------------------------------------------------------------------
+
+
+def test_the_pipeline_is_its_operators_in_a_row(spark, given, labels):
+    got = corpus_pipeline.run(spark, SMALL).collect()
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "exact_copies", "near_copies", "mixture", "token_ids"]
+    docs = given
+    kept = {r.doc_id for r in importance.resample(docs, labels).collect() if r.kept}
+    docs = docs.where(docs.doc_id.isin(*kept))
+    kept = {r.doc_id for r in digest_index.deduplicate(docs).collect() if r.kept}
+    docs = docs.where(docs.doc_id.isin(*kept))
+    kept = {r.doc_id for r in minhash.near_duplicates(docs).collect() if r.kept}
+    docs = docs.where(docs.doc_id.isin(*kept))
+    copies = {r.doc_id: r.copies for r in mixing.mix(docs).collect() if r.copies}
+    assert Counter(r.doc_id for r in got) == copies
+    import public_tokenizers
+
+    bpe = bytebpe.byte_bpe(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    whole = {r.doc_id: r.text for r in given.collect()}
+    for r in got:
+        assert bpe.decode(r.ids) == whole[r.doc_id] and r.decoded_sha256 == hashlib.sha256(whole[r.doc_id].encode()).hexdigest()
+
+
+@pytest.mark.parametrize("at", range(5))
+def test_stages_take_odd_tables(spark, odd, none, at):
+    name, stage = corpus_pipeline.STAGES[at]
+    for docs in (odd, none):
+        out = stage(spark, docs, SMALL)
+        if name != "token_ids":
+            assert out.columns == docs.columns and {tuple(r) for r in out.collect()} <= {tuple(r) for r in docs.collect()}
+        else:
+            assert len(rows(out, "doc_id")) == docs.count()

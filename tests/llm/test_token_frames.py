@@ -1,0 +1,112 @@
+import struct
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import xxhash
+import zstandard
+from tokenizers import Tokenizer
+
+from lakelayers.llm import token_frames as tf
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+ODD_TEXTS = [
+    "", " ", "A,,b  c\n\n d\t\x1cx\x1dy  ", "It's  we'll İstanbul ﬁ é naïve x y", "<|endoftext|> a<|endoftext|>b", "日本語 テキスト 😀😀 x²½",
+    "x" * 3000, "don't!! stop?! ...,,, (a) $5.00 1234567", "ŉ ß ſ µ ª º Å K ΑΣ ΣΑΣ. ", "a\x85b c \x0b\x0c\r\n  d", " \n x \n\n  y", "ÀÉ,ö! É́a",
+]
+
+
+@pytest.fixture(scope="module")
+def library():
+    tokenizer = Tokenizer.from_file(PATH)
+    tokenizer.encode_special_tokens = True
+    return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids + [tf.END_ID]
+
+
+def test_pieces_encode_as_whole_texts(library, texts):
+    every = ODD_TEXTS + list(texts.values())
+    memory = tf.word_memory(PATH)
+    for _ in range(2):  # the second time from memory
+        got = [np.frombuffer(ids, "<u4").tolist() for ids in tf.encode_texts(every, memory)]
+        assert got == [library(t) for t in every]
+
+
+def test_memory_is_bounded(library, texts):
+    memory = tf.word_memory(PATH)
+    memory.clear()
+    memory.old, limit, memory.limit = {}, memory.limit, 50
+    try:
+        got = [np.frombuffer(ids, "<u4").tolist() for ids in tf.encode_texts(list(texts.values())[:20], memory)]
+        assert got == [library(t) for t in list(texts.values())[:20]] and len(memory) <= 50
+    finally:
+        memory.limit = limit
+
+
+def expected(rows, library):
+    start, out = 0, []
+    for doc_id, text in rows:
+        ids = library(text)
+        out.append((doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    return out
+
+
+def test_files_hold_all_documents_in_order(given, texts, library, tmp_path):
+    files = tf.write_token_files(given, PATH, str(tmp_path / "files"))
+    got = [tuple(r) for r in files.read().select("doc_id", "start", "n_tokens", "ids_crc32").orderBy("doc_id").collect()]
+    assert got == expected(sorted(texts.items()), library)
+    rows = files.read().where("doc_id in (3, 77, 199)").collect()
+    for r in rows:  # only the frames of one document are read
+        with open(r.file.removeprefix("file:"), "rb") as source:
+            size = source.seek(0, 2)
+            reader = tf.FrameReader(source, size)
+            assert reader.document(r.nth).tolist() == library(texts[r.doc_id])
+            assert reader.frames_of(r.nth) == range(r.first_frame, r.first_frame + r.frames)
+
+
+def test_any_reader_can_read_a_file_and_damage_is_found(given, tmp_path):
+    files = tf.write_token_files(given.where("doc_id < 20"), PATH, str(tmp_path / "files"))
+    path = files.manifest.first().file.removeprefix("file:")
+    content = open(path, "rb").read()
+    count, flags, magic = struct.unpack("<IBI", content[-9:])
+    assert magic == 0x8F92EAB1 and flags == 0x80
+    entries = np.frombuffer(content[-9 - 12 * count : -9], "<u4").reshape(-1, 3)
+    plain, at = [], 0
+    for size, full, check in entries[:-1].tolist():
+        frame = zstandard.ZstdDecompressor().decompress(content[at : at + size])
+        assert len(frame) == full and xxhash.xxh64_intdigest(frame) & 0xFFFFFFFF == check
+        plain.append(frame)
+        at += size
+    assert len(b"".join(plain)) // 4 == files.manifest.first().n_ids
+    broken = bytearray(content)
+    broken[4 + entries[0, 0] // 2] ^= 0xFF
+    bad = tmp_path / "bad"
+    bad.write_bytes(bytes(broken))
+    with open(bad, "rb") as source, pytest.raises((ValueError, zstandard.ZstdError)):
+        tf.FrameReader(source, len(broken)).document(0)
+
+
+def test_long_documents_take_several_frames(tmp_path, monkeypatch):
+    monkeypatch.setattr(tf, "FRAME_IDS", 100)
+    ids = np.arange(1050, dtype="<u4")
+    with open(tmp_path / "f", "wb") as sink:
+        writer = tf.FrameWriter(sink)
+        writer.document(5, ids.tobytes())
+        writer.document(None, b"")
+        writer.document(6, ids[:3].tobytes())
+        writer.close()
+    with open(tmp_path / "f", "rb") as source:
+        reader = tf.FrameReader(source, source.seek(0, 2))
+        assert reader.doc_ids == [5, None, 6] and reader.counts.tolist() == [1050, 0, 3]
+        assert [len(reader.frames_of(n)) for n in range(3)] == [11, 0, 1]
+        assert reader.document(0).tolist() == ids.tolist() and reader.document(1).size == 0 and reader.document(2).tolist() == [0, 1, 2]
+
+
+def test_odd_rows(odd, none, library, tmp_path):
+    got = sorted((tuple(r) for r in tf.write_token_files(odd, PATH).read().select("doc_id", "n_tokens", "ids_crc32").collect()), key=repr)
+    rows = [(r.doc_id, r.text) for r in odd.select("doc_id", "text").collect()]
+    assert got == sorted(((d, n, c) for d, _, n, c in expected(rows, library)), key=repr)
+    starts = [tuple(r) for r in tf.write_token_files(odd, PATH).read().select("start", "n_tokens").orderBy("start").collect()]
+    assert all(a + n == b for (a, n), (b, _) in zip(starts, starts[1:])) and starts[0][0] == 0
+    assert tf.write_token_files(none, PATH).read().collect() == []
