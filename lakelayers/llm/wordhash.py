@@ -19,10 +19,17 @@ _MIX2 = np.uint64(0x94D049BB133111EB)
 
 
 class _Memo(dict):
+    """Hashes of words; when full, they become the old ones, and what is used moves back."""
+
+    old: dict[bytes, int] = {}
+
     def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh3_64_intdigest(word)
+        value = self.old.get(word)
+        if value is None:
+            value = xxhash.xxh3_64_intdigest(word)
         if len(word) <= LONGEST:
             if len(self) >= REMEMBERED:
+                self.old = dict(self)
                 self.clear()
             self[word] = value
         return value
@@ -47,13 +54,21 @@ def mix(values: np.ndarray) -> np.ndarray:
 
 
 def run_hashes(words: np.ndarray, length: int) -> np.ndarray:
-    """Hashes of all runs of ``length`` words, in order; none if there are fewer words."""
-    count = len(words) - length + 1
-    if count <= 0:
+    """Hashes of all runs of ``length`` words, in order; none if there are fewer words.
+
+    Runs are put together from runs of half the length, so a run costs as many
+    steps as its length has binary digits, and one more for each odd half.
+    """
+    if len(words) < length:
         return np.empty(0, np.uint64)
-    out = np.full(count, length, np.uint64)
-    for i in range(length):
-        out = mix(out * _STEP + words[i : i + count])
+    first = mix(words * _STEP + np.uint64(length))
+    out, run = first, 1
+    for digit in f"{length:b}"[1:]:
+        out = mix(out[:-run] * _STEP + out[run:])
+        run *= 2
+        if digit == "1":
+            out = mix(out[: len(words) - run] * _STEP + first[run:])
+            run += 1
     return out
 
 
