@@ -20,10 +20,10 @@ import json
 import time
 import uuid
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
-from datetime import timedelta
+from datetime import date, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -57,6 +57,14 @@ class Layout:
         text = F.date_format(F.col(self.column), UNIT_FORMATS[self.unit])
         return F.coalesce(text, F.lit(NO_DATE))
 
+    def between(self, parts: Iterable[str], first: date, last: date) -> list[str]:
+        """Those of the parts that can hold a day from ``first`` to ``last``."""
+        if self.column is None:
+            return list(parts)
+        width = len(UNIT_FORMATS[self.unit])
+        low, high = first.isoformat()[:width], last.isoformat()[:width]
+        return [p for p in parts if p != NO_DATE and low <= p <= high]
+
 
 @dataclass
 class Version:
@@ -142,12 +150,17 @@ class TableStore:
         number: int | None = None,
         parts: list[str] | None = None,
         with_part: bool = False,
+        dates: tuple[date, date] | None = None,
     ) -> DataFrame:
-        """The rows of a version, or only those of some of its parts."""
+        """The rows of a version, or only those of some of its parts, or of the days from
+        one to another, for which only the parts that can hold them are read."""
         v = self.version(name, number)
         if v is None:
             raise LookupError(f"no version of table {name} is published")
-        return self.read_version(name, v, parts, with_part)
+        if dates is None:
+            return self.read_version(name, v, parts, with_part)
+        held = self.read_version(name, v, v.layout.between(v.parts, *dates), with_part)
+        return held.filter(F.col(v.layout.column).between(*[F.lit(d) for d in dates]))
 
     def read_version(
         self, name: str, v: Version, parts: list[str] | None = None, with_part: bool = False
@@ -172,15 +185,15 @@ class TableStore:
     def write_rows(self, name: str, df: DataFrame, layout: Layout, part: Column | None = None) -> str:
         """Write rows to a new folder that no version names yet; gives its id.
 
-        With a clustered layout, rows of one date go to one task, run-time
-        splitting breaks up a date that is too big, and each file is sorted by
-        date, so a date filter skips files and row groups by their statistics.
+        Rows of one part go to one task, so a part is few files; run-time
+        splitting breaks up a part that is too big for one. Each file is sorted
+        by date, so a date filter skips row groups by their statistics.
         """
         write_id = uuid.uuid4().hex[:16]
         rows = df.withColumn("_part", layout.part() if part is None else part)
-        if layout.column is not None and part is None:
-            rows = rows.hint("rebalance", F.col("_part"), F.col(layout.column))
-            rows = rows.sortWithinPartitions("_part", layout.column)
+        if layout.column is not None or part is not None:
+            rows = rows.hint("rebalance", F.col("_part"))
+            rows = rows.sortWithinPartitions("_part", *([layout.column] if layout.column else []))
         rows.write.option("maxRecordsPerFile", ROWS_PER_FILE).partitionBy("_part").parquet(f"{self.path(name)}/_write={write_id}")
         return write_id
 

@@ -228,6 +228,8 @@ SELECT order_id, platform, financial_status, total_price FROM bronze ORDER BY or
     "clustered_layout": f"""{_BASE}
 SELECT order_id, created_at_date, total_price FROM bronze
 WHERE created_at_date BETWEEN DATE '1998-02-01' AND DATE '1998-02-28'""",
+    "part_files": f"""{_BASE}
+SELECT strftime(created_at_date, '%Y-%m') AS month, CAST(1 AS BIGINT) AS files, count(*) AS orders FROM bronze GROUP BY 1""",
     "scd2_snapshot": f"""{_CHANGED}
 SELECT platform, order_id, financial_status, total_price, updated_at, updated_at AS valid_from,
        CASE WHEN order_id % 10 = 0 THEN updated_at + INTERVAL 10 YEAR

@@ -8,7 +8,7 @@ new folder below the session's shared scratch folder.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -323,8 +323,16 @@ def preview_rows(ctx: Context) -> DataFrame:
 def clustered_layout(ctx: Context) -> DataFrame:
     name = "bronze.orders"
     _first_load(ctx, name)
-    days = F.col("created_at_date").between(F.lit("1998-02-01").cast("date"), F.lit("1998-02-28").cast("date"))
-    return ctx.ref(name).filter(days).select("order_id", "created_at_date", "total_price")
+    february = ctx.tables.read(name, dates=(date(1998, 2, 1), date(1998, 2, 28)))
+    return february.select("order_id", "created_at_date", "total_price")
+
+
+@writing()
+def part_files(ctx: Context) -> DataFrame:
+    """Files and rows of each month that a write of many tasks leaves behind."""
+    ctx.tables.replace("bronze.orders", bronze.all_orders(ctx).repartition(8), bronze.ORDER_LAYOUT)
+    stored = ctx.ref("bronze.orders").select(F.date_format("created_at_date", "yyyy-MM").alias("month"), F.input_file_name().alias("file"))
+    return stored.groupBy("month").agg(F.count_distinct("file").alias("files"), F.count("*").alias("orders"))
 
 
 @writing()

@@ -90,6 +90,24 @@ def test_rows_without_a_date_have_their_own_part(spark, store):
     assert store.read("bronze.t").count() == 11
 
 
+def test_days_are_read_from_their_parts_only(spark, store):
+    df = days(spark, 90).unionByName(spark.sql("SELECT 999L AS id, CAST(NULL AS date) AS day"))
+    v = store.replace("bronze.t", df, BY_MONTH)
+    found = store.read("bronze.t", dates=(date(2024, 2, 27), date(2024, 3, 2)))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "2024-02" in plan and "2024-03" in plan and "2024-01" not in plan and "none" not in plan
+    assert found.count() == 5
+    files = {r[0] for r in found.select(F.input_file_name()).distinct().collect()}
+    assert {f.split("_part=")[1].split("/")[0] for f in files} == {"2024-02", "2024-03"}
+    assert Layout("day", "year").between(["2023", "2024", "none"], date(2024, 1, 1), date(2024, 2, 1)) == ["2024"]
+    assert v.layout.between(v.parts, date(2025, 1, 1), date(2025, 2, 1)) == []
+
+
+def test_a_part_is_one_file(spark, store):
+    store.replace("bronze.t", days(spark, 1000).repartition(8), BY_MONTH)
+    assert len(glob.glob(store.path("bronze.t") + "/_write=*/_part=*/*.parquet")) == 3
+
+
 def test_date_filter_is_pushed_to_the_scan(spark, store):
     store.replace("bronze.t", days(spark), BY_MONTH)
     plan = store.read("bronze.t").filter("day > date'2024-02-03'").select("id")
