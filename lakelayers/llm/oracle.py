@@ -94,8 +94,54 @@ SELECT doc_id, size, text_crc32, 'rows' AS law, (p % {feistel.SHARDS})::INT AS s
 FROM walk WHERE steps > 0 AND p < total
 """
 
+NEAR = rf"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS w
+  FROM documents
+), shingle AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+                                      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+  FROM split
+), sized AS (
+  SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id
+), pair AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2
+), link AS (
+  SELECT x, y FROM pair JOIN sized p ON p.doc_id = x JOIN sized q ON q.doc_id = y WHERE 100 * common >= 85 * (p.n + q.n - common)
+), edge AS (
+  SELECT x, y FROM link UNION ALL SELECT y, x FROM link
+), reach AS (
+  SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, e.y FROM reach r JOIN edge e ON r.other = e.x
+), least AS (
+  SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM documents JOIN least USING (doc_id) LEFT JOIN sized USING (doc_id)
+"""
+
+VECTORS = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+    AND list_bool_or(list_transform(embedding, lambda x: x <> 0))
+), link AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM usable a JOIN usable b ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98
+), reach AS (
+  SELECT vec_id, vec_id AS other FROM embeddings UNION SELECT r.vec_id, e.y FROM reach r JOIN link e ON r.other = e.x
+), least AS (
+  SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id
+), counted AS (
+  SELECT x AS vec_id, count(*) AS n FROM link GROUP BY x
+)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN least USING (vec_id) LEFT JOIN counted USING (vec_id)
+"""
+
 ORACLE: dict[str, str] = {
     "op3_water_filling": MIX,
     "op4_digest_index": DIGEST,
+    "op5_pigeonhole": VECTORS,
+    "op9_minhash_bayes": NEAR,
     "op10_feistel_shards": SHARD,
 }
