@@ -13,7 +13,7 @@ MAX_EPOCHS = 3
 SEED = 7
 # Documents of a source are dealt to so many equal slices of the hash range, and
 # only the slice in which the sample ends is put in order.
-SLICE_BITS = 14
+SLICE_BITS = 12
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -34,7 +34,8 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: in
     sum of all sizes. Clamping what exceeds ``max_epochs`` times its size and
     resharing the rest by weight until nothing exceeds comes to one water
     level: sources fill up in the order of cap by weight, and the level is the
-    first at which the sources still open take what is left.
+    first at which the sources still open take what is left. The windows hold one
+    row per source, in one task: meant for sources by the thousand or million.
     """
     held = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
     turn = (F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1) % len(weights)
