@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from lakelayers.llm.pieces import LETTERS, PUNCTUATION, PieceMemory, byte_characters, packed, segments, shown
 
 BATCH_ROWS = 128
+# Distinct pieces, and matches in them, that a worker keeps.
+REMEMBERED = 1 << 17
 # Each piece starts at white space that follows something else: there the
 # splitting pattern always starts a new match, so pieces can be encoded alone.
 _PIECE = re.compile(r"\s*\S+|\s+")
@@ -72,8 +74,8 @@ class ByteBPE:
             self.bytes_of[rank] = bytes(byte_of[c] for c in token)
         self.lengths = np.array([len(b) for b in self.bytes_of], np.int64)
         self.decimals = [str(i) for i in range(len(self.bytes_of))]
-        self.matches = PieceMemory(self._match)
-        self.memory = PieceMemory(self._piece)
+        self.matches = PieceMemory(self._match, REMEMBERED)
+        self.memory = PieceMemory(self._piece, REMEMBERED)
 
     def _match(self, match: str) -> bytes:
         return packed([t.id for t in self.tokenizer.model.tokenize(shown(match))])

@@ -22,10 +22,9 @@ MISS = 1e-6
 # Signature values compared at a time.
 BATCH = 16
 SEED = 11
-STARS = ("min", "max")
 # Nodes, and bytes of their shingle sets, of one side of a block that a task compares.
 BLOCK_NODES = 2000
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 SIGNED = "row long, doc_id long, n_shingles long, key binary, signature binary"
 
 
@@ -177,8 +176,8 @@ def near_duplicates(
     whole sets.
 
     Candidates within a bucket are not spelled out as all pairs. First each
-    bucket's members are paired with one of them, its least, then its greatest;
-    what these stars link is one component. Then, in blocks, members of different
+    bucket's members are paired with its least one; what these stars link is one
+    component. Then, in blocks, members of different
     components are compared, and only links that join components come out. So
     every candidate is compared or already connected.
 
@@ -200,18 +199,15 @@ def near_duplicates(
     width = band_rows * 4
     slices = [F.xxhash64(F.lit(i), F.substring("signature", i * width + 1, width)) for i in range(size // band_rows)]
     banded = nodes.select("node", F.posexplode(F.array(*slices)).alias("band", "bucket"))
-    shared = banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("min"), F.max("node").alias("max")).where("n > 1").drop("n")
+    shared = banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("least")).where("n > 1").drop("n")
     members = written(banded.join(shared, "bucket"), "buckets")
     wanted = members.select("node").distinct().join(nodes, "node").select("node", "key", "doc_id")
     sets = written(_sets(docs, wanted, words), "shingle-sets")
 
-    empty = members.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
-    tested, links = empty, empty
-    labels = members.select("node", F.col("node").alias("label")).distinct()
-    for star in STARS:
-        open_buckets = members if star == STARS[0] else _split_buckets(members, labels)
-        pairs = open_buckets.where(F.col("node") != F.col(star)).select(F.least("node", star).alias("a"), F.greatest("node", star).alias("b")).distinct()
-        tested, links, labels = _round(pairs, tested, links, labels, nodes, sets, steps, threshold)
+    star = members.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
+    alike = written(_alike(star, nodes, steps), "alike")
+    links = written(_confirmed(alike, sets, threshold), "links")
+    labels = written(components(links).select("node", F.col("component").alias("label")), "labels")
     more = written(_between_components(members, labels, nodes, sets, steps, threshold, band_rows), "links")
     if not more.isEmpty():
         labels = written(components(links.unionByName(more)).select("node", F.col("component").alias("label")), "labels")
@@ -306,16 +302,6 @@ def _between_components(members: DataFrame, labels: DataFrame, nodes: DataFrame,
     return sides.join(sized, "node").groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long")
 
 
-def _round(pairs, tested, links, labels, nodes, sets, steps, threshold):
-    fresh = written(pairs.join(tested, ["a", "b"], "left_anti"), "candidates")
-    if fresh.isEmpty():
-        return tested, links, labels
-    alike = written(_alike(fresh, nodes, steps), "alike")
-    found = written(_confirmed(alike, sets, threshold), "links")
-    links = links.unionByName(found)
-    return tested.unionByName(fresh), links, written(components(links).select("node", F.col("component").alias("label")), "labels")
-
-
 def distinct_documents(docs: DataFrame, words: int = SHINGLE_WORDS, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that ``near_duplicates`` keeps, with all their columns.
 
