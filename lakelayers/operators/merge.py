@@ -118,9 +118,8 @@ def merge(
         fresh = stage(fit_columns(changes, old.schema, "the change set"))
         near = key_range(fresh, keys)
         require_unique(fresh, keys, f"the change set for {name}")
-        target = tables.read_version(name, old, with_part=True)
-        if near is not None:
-            target = target.filter(near)
+        stored_rows = tables.read_version(name, old, with_part=True)
+        target = stored_rows if near is None else stored_rows.filter(near)
         if insert_only:
             hit, fresh = None, stage(without_keys(fresh, target, keys))
         elif newer_by is None:
@@ -141,7 +140,7 @@ def merge(
                 return MergeResult(old, [])
             return MergeResult(tables.commit(name, Version(old.number + 1, old.schema, old.layout, old.parts, tags, old.inputs)), [])
 
-        before = tables.read_version(name, old, parts=touched)
+        before = stored_rows.filter(F.col("_part").isin(touched)).select(*old.schema.names)
         rows = without_keys(before, fresh, keys).unionByName(fresh)
         write_id = tables.write_rows(name, rows.select(*old.schema.names), old.layout)
         new = tables.written_parts(name, write_id)
