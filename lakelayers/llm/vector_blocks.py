@@ -115,7 +115,6 @@ def near_vectors(
     with nothing. Null ids are never a component's id. Repeated ids count each
     on their own. No rows give no rows. Other columns are ignored.
     """
-    spark = vectors.sparkSession
     bad = "exists(embedding, x -> x is null or isnan(x) or abs(x) = double('infinity'))"
     held = written(
         vectors.select(

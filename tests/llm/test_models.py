@@ -40,6 +40,14 @@ def test_weights_are_ratios_of_the_two_models(given, labels, texts):
         assert weights[d] == pytest.approx(float((counts_of([texts[d]]) - importance.SMOOTHING) @ ratios), abs=1e-6)
 
 
+def test_the_target_sample_is_bounded_and_seeded(spark):
+    labels = spark.range(5000).selectExpr("id AS doc_id", "cast(id % 2 as int) AS quality")
+    some = [r.doc_id for r in importance.target_sample(labels, 100).collect()]
+    assert len(set(some)) == 100 and all(d % 2 for d in some)
+    assert some == [r.doc_id for r in importance.target_sample(labels.repartition(7), 100).collect()]
+    assert importance.target_sample(labels, 9000).count() == 2500
+
+
 def test_the_top_draws_are_kept(given, labels):
     got = importance.resample(given, labels).collect()
     order = sorted(got, key=lambda r: (-r.draw, r.doc_id))
