@@ -256,7 +256,8 @@ class TableStore:
         shown = self._shown(name)
         gone = [n for n in replaced if self._table(name, n) != shown]
         for n in gone:
-            self.spark.sql(f"DROP TABLE IF EXISTS {self._table(name, n)}")
+            if self.catalog:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self._table(name, n)}")
             self._delete(f"{base}/_versions/{n}.json")
         used: dict[str, set[str]] = {}
         for n in self.versions(name):

@@ -66,6 +66,15 @@ def test_rows_of_a_job_that_died_are_never_read(spark, store):
     assert store.read("bronze.t").count() == 3
 
 
+def test_a_store_outside_the_catalog(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path), catalog=False)
+    for i in range(3):
+        store.replace("unlisted.t", spark.range(i + 1).toDF("id"))
+    store.expire_all(timedelta(0))
+    assert store.versions("unlisted.t") == [3] and store.read("unlisted.t").count() == 3
+    assert not spark.catalog.databaseExists("unlisted")
+
+
 def test_a_version_is_published_once(spark, store):
     v = store.replace("bronze.t", spark.range(3).toDF("id"))
     with pytest.raises(RuntimeError, match="another writer"):
