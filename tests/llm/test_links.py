@@ -261,3 +261,18 @@ def test_odd_passages(odd, none):
     got = {(r.doc_id, r.other_id) for r in chaining.shared_passages(odd).collect()}
     assert {d for pair in got for d in pair} == {1, 2, 3}
     assert chaining.shared_passages(none).collect() == []
+
+
+@pytest.mark.parametrize("length, between", [(60, 40), (60, 80), (60, 150), (60, 250), (100, 400), (300, 250)])
+def test_two_passages_with_other_words_between(spark, length, between):
+    docs = {}
+    for n in range(3):
+        for side in (0, 1):
+            text = " ".join([prose(1000 * n + 1, length), prose(1000 * n + 10 + side, between), prose(1000 * n + 2, length)])
+            docs[2 * n + side] = f"{prose(1000 * n + 20 + side, 30)} {text} {prose(1000 * n + 30 + side, 30)}"
+    found = chaining.shared_passages(spark.createDataFrame(list(docs.items()), "doc_id bigint, text string")).collect()
+    assert all(r.identity >= 0.8 for r in found)
+    for d in docs:
+        spans = sorted((r.start_word, r.end_word) for r in found if r.doc_id == d)
+        for start in (30, 30 + length + between):
+            assert any(a <= start + 3 and b >= start + length - 3 for a, b in spans), (d, start, spans)
