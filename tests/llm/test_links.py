@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -276,3 +277,27 @@ def test_two_passages_with_other_words_between(spark, length, between):
         spans = sorted((r.start_word, r.end_word) for r in found if r.doc_id == d)
         for start in (30, 30 + length + between):
             assert any(a <= start + 3 and b >= start + length - 3 for a, b in spans), (d, start, spans)
+
+
+def test_edits_of_long_runs_take_little_memory():
+    x = np.arange(60_000, dtype=np.int32)
+    cut = np.concatenate([x[:25_000], x[35_000:]])
+    other = np.arange(100_000, 160_000, dtype=np.int32)
+    tracemalloc.start()
+    try:
+        assert chaining.edits(x, cut, 16, 12_000) == 10_000
+        assert chaining.edits(x, cut, 16, 9_999) == 10_000
+        assert chaining.edits(x, other[:2_000], 16, 12_000) == 12_001
+        assert tracemalloc.get_traced_memory()[1] < 100e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_edits_up_to_a_limit():
+    draw = random.Random(5)
+    for _ in range(300):
+        x = np.array([draw.randrange(4) for _ in range(draw.randrange(30))], np.int32)
+        y = np.array([draw.randrange(4) for _ in range(draw.randrange(30))], np.int32)
+        whole = chaining.edits(x, y, 60)
+        for most in (0, 3, 10, 40):
+            assert chaining.edits(x, y, 60, most) == min(whole, most + 1)
