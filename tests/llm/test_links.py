@@ -301,3 +301,34 @@ def test_edits_up_to_a_limit():
         whole = chaining.edits(x, y, 60)
         for most in (0, 3, 10, 40):
             assert chaining.edits(x, y, 60, most) == min(whole, most + 1)
+
+
+def test_texts_of_a_passage_meet_among_texts_of_its_parts(spark):
+    docs, whole, number = {}, {}, 0
+    for group, others in enumerate((5, 20, 100)):
+        for _ in range(4):
+            passage = prose(50_000 + number, 60).split()
+            parts = [passage, passage] + [passage[:40]] * others + [passage[-40:]] * others
+            for part in parts:
+                number += 1
+                docs[number] = f"{prose(60_000 + number, 20)} {' '.join(part)} {prose(70_000 + number, 20)}"
+                if part is passage:
+                    whole[number] = (20, 80)
+    keys = list(docs)
+    random.Random(1).shuffle(keys)
+    df = spark.createDataFrame([(k, docs[k]) for k in keys], "doc_id bigint, text string")
+    found = chaining.shared_passages(df).collect()
+    assert {r.doc_id for r in found} == whole.keys()
+    for r in found:
+        assert r.start_word <= 20 and r.end_word >= 80
+
+
+def test_shared_runs_leave_out_what_two_hold():
+    words = word_hashes(prose(31, 200))
+    picked, _ = chaining.winnow(words)
+    at, hashes = chaining.shared_runs(words, picked, 50)
+    assert at.tolist() == list(range(151)) and (hashes == run_hashes(words, 50)).all()
+    assert not len(chaining.shared_runs(words, picked[:0], 50)[0])
+    middle = int(picked[len(picked) // 2])
+    kept = chaining.shared_runs(words, picked[picked != middle], 50)[0].tolist()
+    assert kept == [p for p in range(151) if not p + 11 <= middle <= p + 31]
