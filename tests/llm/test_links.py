@@ -332,3 +332,16 @@ def test_shared_runs_leave_out_what_two_hold():
     middle = int(picked[len(picked) // 2])
     kept = chaining.shared_runs(words, picked[picked != middle], 50)[0].tolist()
     assert kept == [p for p in range(151) if not p + 11 <= middle <= p + 31]
+
+
+def test_passages_with_edits_near_their_ends_and_on_far_diagonals(spark):
+    short, long, new = prose(81, 52).split(), prose(82, 300).split(), prose(83, 20).split()
+    other = [*short[:10], "changed", *short[11:]]
+    moved = [*long[:40], *new, *long[40:240], *long[260:]]
+    bodies = {1: short, 2: other, 3: long, 4: moved}
+    docs = {i: f"{prose(840 + i, 30)} {' '.join(body)} {prose(850 + i, 30)}" for i, body in bodies.items()}
+    found = chaining.shared_passages(spark.createDataFrame(list(docs.items()), "doc_id bigint, text string")).collect()
+    got = {(r.doc_id, r.other_id): r for r in found}
+    assert got.keys() == {(1, 2), (2, 1), (3, 4), (4, 3)}
+    assert (got[1, 2].start_word, got[1, 2].end_word, got[1, 2].edits) == (30, 82, 1)
+    assert (got[3, 4].start_word, got[3, 4].end_word, got[3, 4].edits) == (30, 330, 40)
