@@ -155,3 +155,22 @@ def test_odd_shards(odd, none):
     key = lambda r: (r.doc_id is None, r.doc_id or 0, r["size"], r.text_crc32, r.shard, r.slot)
     assert [key(r) for r in sorted(again, key=key)] == [key(r) for r in sorted(got, key=key)]
     assert feistel.assign(none).collect() == []
+
+
+def test_a_large_batch_meets_a_filled_index(spark, tmp_path):
+    index = digest_index.DigestIndex.open(spark, f"file://{tmp_path}/index", 8)
+    text = F.when(F.col("doc_id") % 10 < 3, F.lit("hot text")).otherwise(F.concat(F.lit("text "), (F.col("doc_id") % 5000).cast("string")))
+    docs = spark.range(30_000).withColumnRenamed("id", "doc_id").withColumn("text", text)
+    index.add(docs.where("doc_id < 10000")).count()
+    held = {r.text_sha256: r.keep_id for r in index.read().collect()}
+    assert len(held) == 3501
+    # As many hot rows, texts the index holds and texts it does not.
+    more = docs.where("doc_id >= 10000").withColumn("text", F.when(F.col("doc_id") % 20 == 9, F.concat("text", F.lit(" new"))).otherwise(F.col("text")))
+    found = index.add(more).collect()
+    assert len(found) == 20_000
+    for r in found:
+        if r.text_sha256 in held:
+            assert (r.keep_id, r.kept) == (held[r.text_sha256], False)
+        else:
+            assert r.kept == (r.doc_id == r.keep_id) and r.doc_id % 20 == 9
+    assert index.read().count() == len({*held, *[r.text_sha256 for r in found]}) == 3501 + 250
