@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lakelayers.llm.common import free, written
+from lakelayers.llm.common import free, row_numbers, running_total, written
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
@@ -34,26 +34,26 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: in
     sum of all sizes. Clamping what exceeds ``max_epochs`` times its size and
     resharing the rest by weight until nothing exceeds comes to one water
     level: sources fill up in the order of cap by weight, and the level is the
-    first at which the sources still open take what is left. The windows hold one
-    row per source, in one task: meant for sources by the thousand or million.
+    first at which the sources still open take what is left. Sources are numbered
+    by range sorts and totalled in blocks, so no task holds them all.
     """
     held = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    turn = (F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1) % len(weights)
-    weighed = held.withColumn("weight", F.element_at(F.array(*[F.lit(int(w)) for w in weights]), (turn + 1).cast("int")))
+    turned = row_numbers(held, [F.col("source").asc_nulls_last()], "mix-turns", "turn")
+    turn = (F.col("turn") % len(weights) + 1).cast("int")
+    weighed = turned.withColumn("weight", F.element_at(F.array(*[F.lit(int(w)) for w in weights]), turn).cast("long"))
     weighed = weighed.withColumn("cap", F.col("source_size") * max_epochs)
     # Equal ratios may stand in any order, but in one.
-    fill = Window.orderBy(F.col("cap") / F.col("weight"), F.col("source").asc_nulls_last())
-    before = fill.rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy()
+    fill = [F.col("cap") / F.col("weight"), F.col("source").asc_nulls_last()]
+    placed = written(row_numbers(weighed, fill, "mix-places", "place"), "mix-fill")
+    whole = placed.agg(F.sum("source_size").alias("all_size"), F.sum("weight").alias("all_weight"))
+    filled = running_total(running_total(placed, "place", "cap", "cap_before"), "place", "weight", "weight_before")
     level = (
-        weighed.withColumn("left", F.sum("source_size").over(whole) - F.coalesce(F.sum("cap").over(before), F.lit(0)))
-        .withColumn("open", F.sum("weight").over(whole) - F.coalesce(F.sum("weight").over(before), F.lit(0)))
-        .withColumn("place", F.row_number().over(fill))
+        filled.crossJoin(whole).withColumn("left", F.col("all_size") - F.col("cap_before")).withColumn("open", F.col("all_weight") - F.col("weight_before"))
     )
     fits = F.col("cap") * F.col("open") >= F.col("weight") * F.col("left")
-    at = F.min(F.when(fits, F.struct("place", "left", "open"))).over(whole)
+    at = level.agg(F.min(F.when(fits, F.struct("place", "left", "open"))).alias("at"))
     share = (F.col("weight") * F.col("at.left")).cast("double") / F.col("at.open")
-    return level.withColumn("at", at).select(
+    return placed.crossJoin(at).select(
         "source", "source_size", F.least(F.col("cap").cast("double"), share).alias("target")
     )
 

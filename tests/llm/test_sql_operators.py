@@ -174,3 +174,24 @@ def test_a_large_batch_meets_a_filled_index(spark, tmp_path):
         else:
             assert r.kept == (r.doc_id == r.keep_id) and r.doc_id % 20 == 9
     assert index.read().count() == len({*held, *[r.text_sha256 for r in found]}) == 3501 + 250
+
+
+def test_targets_of_many_sources(spark):
+    sizes = [(None if n == 0 else f"s{n:05d}", (n * 37) % 101) for n in range(6000)]
+    got = mixing.targets(spark.createDataFrame(sizes, "source string, size long"))
+    windows = [line for line in got._jdf.queryExecution().executedPlan().toString().splitlines() if "Window [" in line]
+    assert all("_block" in line for line in windows)
+    order = sorted(sizes, key=lambda r: (r[0] is None, r[0] or ""))
+    weight = {s: (5, 2, 1)[i % 3] for i, (s, _) in enumerate(order)}
+    left, open_, full = sum(n for _, n in sizes), dict(sizes), {}
+    while True:
+        total = sum(weight[o] for o in open_)
+        over = [s for s in open_ if left * weight[s] / total > 3 * open_[s]]
+        if not over:
+            break
+        for s in over:
+            full[s] = 3 * open_.pop(s)
+        left = sum(n for _, n in sizes) - sum(full.values())
+    want = full | {s: left * weight[s] / total for s in open_}
+    have = {r.source: r.target for r in got.collect()}
+    assert have.keys() == want.keys() and all(have[s] == pytest.approx(want[s]) for s in want)
