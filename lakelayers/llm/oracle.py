@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakelayers.llm import feistel, mixing
+from lakelayers.llm import feistel, mixing, vector_codes
 
 BLANK = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -138,10 +138,55 @@ SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS
 FROM embeddings JOIN least USING (vec_id) LEFT JOIN counted USING (vec_id)
 """
 
+_KEPT_CODES = f"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor({vector_codes.SCALE} * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), cut AS (
+  SELECT vec_id, label, p, v[p * (len(v) // {vector_codes.PARTS}) + 1 : (p + 1) * (len(v) // {vector_codes.PARTS})] AS part
+  FROM kept, range({vector_codes.PARTS}) t(p)
+), parts AS MATERIALIZED (
+  SELECT p, part, count(*) AS n FROM cut GROUP BY p, part
+), book0 AS MATERIALIZED (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, part AS entry FROM cut
+  QUALIFY row_number() OVER (PARTITION BY p ORDER BY vec_id) <= {vector_codes.ENTRIES}
+)"""
+
+
+def _nearest(n: int) -> str:
+    """Each distinct part's nearest entry of the codebook of round ``n``, and the entries' next places."""
+    apart = "list_sum(list_transform(range(1, len(part) + 1), lambda i: (part[i] - entry[i]) * (part[i] - entry[i])))"
+    return f""", near{n} AS MATERIALIZED (
+  SELECT p, part, any_value(n) AS n, min(struct_pack(d := apart, e := e)) AS best
+  FROM (SELECT p, part, n, e, {apart} AS apart FROM parts JOIN book{n} USING (p)) GROUP BY p, part
+)"""
+
+
+def _round(n: int) -> str:
+    return f"""{_nearest(n)}, mean{n} AS (
+  SELECT p, e, i, sum(n * x) AS s, sum(n) AS c
+  FROM (SELECT p, best.e AS e, n, unnest(part) AS x, unnest(range(1, len(part) + 1)) AS i FROM near{n}) GROUP BY p, e, i
+), book{n + 1} AS MATERIALIZED (
+  SELECT p, e, coalesce(moved, entry) AS entry FROM book{n} LEFT JOIN (
+    SELECT p, e, list(((s - ((s % c) + c) % c) // c)::BIGINT ORDER BY i) AS moved FROM mean{n} GROUP BY p, e
+  ) USING (p, e)
+)"""
+
+
+CODES = f"""{_KEPT_CODES}{"".join(_round(n) for n in range(vector_codes.ROUNDS))}{_nearest(vector_codes.ROUNDS)}, coded AS (
+  SELECT vec_id, label, string_agg(printf('%02x', best.e), '' ORDER BY p) AS code, sum(best.d)::BIGINT AS error
+  FROM cut JOIN near{vector_codes.ROUNDS} USING (p, part) GROUP BY vec_id, label
+), told AS (
+  SELECT sha256(string_agg(array_to_string(entry, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book{vector_codes.ROUNDS}
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM coded, told
+"""
+
 ORACLE: dict[str, str] = {
     "op3_water_filling": MIX,
     "op4_digest_index": DIGEST,
     "op5_pigeonhole": VECTORS,
     "op9_minhash_bayes": NEAR,
     "op10_feistel_shards": SHARD,
+    "op12_trie_codes": CODES,
 }

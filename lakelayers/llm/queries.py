@@ -9,7 +9,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakelayers.llm import bytebpe, chaining, digest_index, feistel, importance, minhash, mixing, pii, token_frames, vector_blocks
+from lakelayers.llm import bytebpe, chaining, digest_index, feistel, importance, minhash, mixing, pii, token_frames, vector_blocks, vector_codes
 from lakelayers.llm.common import documents
 from lakelayers.llm.oracle import ORACLE
 
@@ -94,3 +94,9 @@ def op9_minhash_bayes(spark: SparkSession, folder: str) -> DataFrame:
 def op10_feistel_shards(spark: SparkSession, folder: str) -> DataFrame:
     found = feistel.assign(documents(spark, folder))
     return found.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
+@query
+def op12_trie_codes(spark: SparkSession, folder: str) -> DataFrame:
+    found = vector_codes.compress(spark.read.parquet(f"{folder}/embeddings.parquet"))
+    return found.select("vec_id", "code", "error", "label_error", "codebooks_sha256")

@@ -1,0 +1,96 @@
+"""Product codes against a plain version, and on odd tables."""
+
+import hashlib
+import math
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from conftest import rows
+
+from lakelayers.llm import vector_codes
+from lakelayers.llm.vector_codes import ENTRIES, PARTS, ROUNDS, SCALE, Trie
+
+CLASHING = ", part int, entry string, `rows` string, vector string, code string, error string, total string, of_label string"
+SCHEMA = "vec_id bigint, embedding array<float>, label int" + CLASHING
+OTHERS = (1, "e", "r", "v", "c", "x", "t", "o")
+
+
+def plain(table: list[tuple]) -> dict:
+    """vec_id -> (code, error, label_error, digest), one part and one entry at a time."""
+    kept = [(i, [float(x) for x in v], g) for i, v, g in table if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    size = math.ceil(max((len(v) for _, v, _ in kept), default=0) / PARTS) * PARTS
+    width = size // PARTS
+    whole = [(i, [math.floor(SCALE * x) for x in v] + [0] * (size - len(v)), g) for i, v, g in kept]
+    whole.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    books = [[v[p * width : (p + 1) * width] for _, v, _ in whole[:ENTRIES]] for p in range(PARTS)]
+
+    def nearest(part, book):
+        return min((sum((a - b) ** 2 for a, b in zip(part, e)), n) for n, e in enumerate(book))
+
+    for _ in range(ROUNDS):
+        for p, book in enumerate(books):
+            mine = defaultdict(list)
+            for _, v, _ in whole:
+                part = v[p * width : (p + 1) * width]
+                mine[nearest(part, book)[1]].append(part)
+            for e, held in mine.items():
+                book[e] = [sum(c) // len(held) for c in zip(*held)]
+    told = hashlib.sha256(",".join(str(x) for b in books for e in b for x in e).encode()).hexdigest()
+    out, errors = [], defaultdict(int)
+    for i, v, g in whole:
+        found = [nearest(v[p * width : (p + 1) * width], books[p]) for p in range(PARTS)]
+        out.append((i, "".join(f"{e:02x}" for _, e in found), sum(d for d, _ in found), g))
+        errors[g] += out[-1][2]
+    return sorted([(i, c, e, errors[g], told) for i, c, e, g in out], key=repr)
+
+
+def coded(spark, table: list[tuple]) -> list:
+    df = spark.createDataFrame([(*r, *OTHERS) for r in table], SCHEMA).repartition(3)
+    return rows(vector_codes.compress(df), "vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def drawn(seed: int, count: int, size: int) -> list[tuple]:
+    draw = np.random.default_rng(seed)
+    base = draw.standard_normal((7, size))
+    values = base[draw.integers(0, 7, count)] + 0.1 * draw.standard_normal((count, size))
+    return [(int(i), [float(np.float32(x)) for x in v], int(g)) for i, v, g in zip(draw.permutation(count) - 5, values, draw.integers(0, 3, count))]
+
+
+@pytest.mark.parametrize("size", [8, 16, 13, 3])
+def test_codes_equal_the_plain_ones(spark, size):
+    table = drawn(size, 120, size)
+    assert coded(spark, table) == plain(table)
+
+
+def test_odd_vectors(spark):
+    table = drawn(1, 60, 16)
+    copies = [(500 + n, table[0][1], None) for n in range(40)]
+    odd = [
+        (900, None, 1), (901, [1.0, None] * 8, 1), (902, [float("nan")] * 16, 1), (903, [float("inf")] * 16, None),
+        (904, [], 1), (905, [0.5] * 5, None), (None, [0.25] * 16, 2), (None, [0.125] * 16, 2), (5, [0.75] * 16, None), (5, [0.75] * 16, None),
+        (906, [0.0] * 16, 7), (907, [-0.00001] * 16, 7),
+    ]
+    assert coded(spark, table + copies + odd) == plain(table + copies + odd)
+
+
+@pytest.mark.parametrize("table", [[], [(1, None, 1)], [(1, [], 1), (2, [], None)], [(3, [1.0], None)]])
+def test_small_tables(spark, table):
+    assert coded(spark, table) == plain(table)
+
+
+def test_huge_components_count_as_the_largest(spark):
+    bound = math.isqrt((1 << 62) // 8) // 2
+    huge = [(n, [3e38, -3e38] * 4, 1) for n in range(3)] + [(9, [0.0] * 8, 1)]
+    capped = [(i, [max(min(x, bound / SCALE), -bound / SCALE) for x in v], g) for i, v, g in huge]
+    assert [r[:3] for r in coded(spark, huge)] == [r[:3] for r in plain(capped)]
+
+
+@pytest.mark.parametrize("slice_of", [1, 2, 7, 1000])
+def test_paths_go_over_the_borders_of_slices(slice_of):
+    draw = np.random.default_rng(3)
+    leaves = np.unique(draw.integers(-2, 3, (400, 6)), axis=0)
+    entries = draw.integers(-3, 4, (5, 6))
+    trie = Trie(entries)
+    got = np.vstack([trie.distances(leaves[n : n + slice_of]) for n in range(0, len(leaves), slice_of)])
+    assert (got == ((leaves[:, None] - entries) ** 2).sum(axis=2)).all()
