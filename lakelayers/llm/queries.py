@@ -8,8 +8,12 @@ from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakelayers.llm import bytebpe, chaining, digest_index, feistel, importance, minhash, mixing, pii, token_frames, vector_blocks, vector_codes
+from lakelayers.llm import (
+    bytebpe, chaining, digest_index, feistel, importance, minhash, mixing, periodic_runs, pii, spot_prints, token_frames, vector_blocks,
+    vector_codes,
+)
 from lakelayers.llm.common import documents
 from lakelayers.llm.oracle import ORACLE
 
@@ -96,7 +100,21 @@ def op10_feistel_shards(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+@query
+def op11_spot_prints(spark: SparkSession, folder: str) -> DataFrame:
+    found = spot_prints.fingerprints(documents(spark, folder))
+    return found.select(
+        "doc_id", "n_chars", "edited_sha256", F.lower(F.hex("print")).alias("fingerprint"),
+        F.lower(F.hex("edited_print")).alias("edited_fingerprint"), "near_edited", "near_next",
+    )
+
+
 @query
 def op12_trie_codes(spark: SparkSession, folder: str) -> DataFrame:
     found = vector_codes.compress(spark.read.parquet(f"{folder}/embeddings.parquet"))
     return found.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic_runs.digests(periodic_runs.periodic_runs(periodic_runs.with_repeated_tails(documents(spark, folder))))

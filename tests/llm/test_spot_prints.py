@@ -1,0 +1,121 @@
+"""Spot signatures against a plain version, and on odd tables."""
+
+import hashlib
+import re
+
+import numpy as np
+import pytest
+import xxhash
+from conftest import rows
+from llm.conftest import ODD_ROWS, SMALL, prose
+
+from lakelayers.llm import spot_prints
+from lakelayers.llm.queries import QUERIES
+from lakelayers.llm.spot_prints import ANCHORS, BARE, CHAIN, FLOOR
+
+
+def plain_print(text: str) -> set[int]:
+    words = re.findall(r"\w+", text.lower()) or text.split()
+    found = set()
+    for i, word in enumerate(words):
+        if word not in ANCHORS and any(w in ANCHORS for w in words[max(0, i - BARE) : i + BARE + 1]):
+            continue
+        content = [w for w in words[i + 1 :] if w not in ANCHORS][:CHAIN]
+        found.add(xxhash.xxh32_intdigest(" ".join([word, *content])))
+    return found
+
+
+def plain_likeness(a: set, b: set) -> float:
+    found = len(a & b) / len(a | b) if a | b else 1.0
+    return found if found >= FLOOR else 0.0
+
+
+def as_hex(found: set[int]) -> str:
+    return "".join(f"{x:08x}" for x in sorted(found))
+
+
+def plain(table: list[tuple]) -> list[tuple]:
+    """Rows in descending order of ids, each with the next one; the table's ids are distinct."""
+    table = sorted(((i, t or "") for i, t in table), key=lambda r: (r[0] is None, -(r[0] or 0)))
+    out = []
+    for n, (i, text) in enumerate(table):
+        other = table[(n + 1) % len(table)][1]
+        third = len(text) // 3
+        changed = text[: len(text) - third] + other[:third]
+        mine, theirs = plain_print(text), plain_print(changed)
+        out.append((
+            i, len(text), hashlib.sha256(changed.encode()).hexdigest(), as_hex(mine), as_hex(theirs), plain_likeness(mine, theirs),
+            plain_likeness(mine, plain_print(other)),
+        ))
+    return sorted(out, key=repr)
+
+
+def printed(df) -> list[tuple]:
+    found = rows(spot_prints.fingerprints(df))
+    return sorted([(i, n, d, a.hex(), b.hex(), x, y) for i, n, d, a, b, x, y in found], key=repr)
+
+
+def distinct_ids() -> list[tuple]:
+    seen = {}
+    for i, t, *_ in ODD_ROWS:
+        seen.setdefault(i, t)
+    return list(seen.items())
+
+
+def test_prints_of_the_given_table_equal_the_plain_ones(spark, given):
+    table = [(r.doc_id, r.text) for r in given.select("doc_id", "text").collect()]
+    found = QUERIES["op11_spot_prints"](spark, SMALL)
+    columns = ("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+    assert rows(found, *columns) == plain(table)
+
+
+@pytest.mark.parametrize("tasks", [1, 3, 20])
+def test_each_task_ends_with_the_first_row_of_the_next(spark, tasks):
+    table = [(n * 7 % 41, prose(n, n * 3)) for n in range(41)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(tasks))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert printed(spark.createDataFrame(table, "doc_id long, text string").repartition(4)) == plain(table)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_odd_texts(spark, odd):
+    table = distinct_ids()
+    assert printed(spark.createDataFrame(table, "doc_id long, text string").repartition(3)) == plain(table)
+    found = spot_prints.fingerprints(odd).collect()
+    assert sorted((r.doc_id, r.n_chars) for r in found if r.doc_id is not None) == sorted(
+        (i, len(t or "")) for i, t, _ in ODD_ROWS if i is not None
+    )
+    by_id = {}
+    for r in found:
+        by_id.setdefault(r.doc_id, []).append(r)
+    assert by_id[1][0].print == by_id[2][0].print == by_id[3][0].print
+    assert sorted(r.near_next for r in by_id[8])[-1] == 1.0
+    again = spot_prints.fingerprints(odd.repartition(5)).drop("near_next")
+    assert rows(again.select("doc_id", "print")) == rows(spot_prints.fingerprints(odd).select("doc_id", "print"))
+
+
+def test_small_tables(spark, none):
+    assert printed(none) == []
+    for table in ([(1, None)], [(1, "the one and only text")], [(None, ""), (2, " \t")]):
+        assert printed(spark.createDataFrame(table, "doc_id long, text string")) == plain(table)
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_pruned_likeness_is_the_exact_one_from_the_floor_on(seed):
+    draw = np.random.default_rng(seed)
+    for floor in (0.05, 0.3, 0.8):
+        a = np.unique(draw.integers(0, 1200, draw.integers(0, 900))).astype(np.uint32)
+        b = np.unique(np.concatenate([draw.choice(a, len(a) * 3 // 4) if len(a) else a, draw.integers(0, 1200, draw.integers(0, 300))])).astype(np.uint32)
+        both, either = len(np.intersect1d(a, b)), len(np.union1d(a, b))
+        exact = both / either if either else 1.0
+        assert spot_prints.likeness(a, b, floor) == spot_prints.likeness(b, a, floor) == (exact if exact >= floor else 0.0)
+
+
+def test_edits_leave_likeness_and_other_texts_have_none(spark, given):
+    found = spot_prints.fingerprints(given.where("length(text) > 400")).collect()
+    edits, others = [r.near_edited for r in found], [r.near_next for r in found]
+    assert np.median(edits) > 0.4 and np.quantile(edits, 0.05) > 0.2 and np.quantile(others, 0.95) < 0.1
