@@ -10,6 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -125,6 +126,13 @@ def packed(found: np.ndarray) -> bytes:
     return found.astype(PRINT).tobytes()
 
 
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    squeeze = zstandard.ZstdCompressor().compress
+    for batch in batches:
+        texts = pa.array([squeeze(t.as_py()) for t in batch["text"]], pa.binary())
+        yield batch.set_column(batch.schema.get_field_index("text"), "text", texts)
+
+
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     kinds = [pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.float64(), pa.float64()]
     names = [f.split()[0] for f in PASSED.split(", ")]
@@ -134,13 +142,13 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 def _pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Compares each row of a sorted task with the one after it."""
     last: _Comparison | None = None
-    part, blank = 0, (None,) * 7
+    part, blank, unpack = 0, (None,) * 7, zstandard.ZstdDecompressor().decompress
     for batch in batches:
         for start in range(0, batch.num_rows, 256):
             rows = []
             piece = batch.slice(start, 256)
             for doc_id, text, part in zip(piece["doc_id"].to_pylist(), piece["text"], piece["part"].to_pylist()):
-                now = _Comparison(doc_id, text.as_py())
+                now = _Comparison(doc_id, unpack(text.as_py()))
                 rows.append((HEAD, part, now.raw, *blank) if last is None else (WHOLE, part, None, *last.row(now)))
                 last = now
             yield _batch(rows)
@@ -167,7 +175,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     text and to the next one, 0 below ``FLOOR``. Equal texts have equal prints.
 
     The texts are dealt by ranges of their ids and compared as they stream by,
-    so each crosses the network once. The last row of a task waits for the
+    so each crosses the network once, compressed. The last row of a task waits for the
     first of the next: one row per task, which a small second pass compares.
 
     A null text counts as empty. Blank texts have no signatures; they are like
@@ -179,11 +187,12 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """
     text = F.coalesce("text", F.lit(""))
     order = [F.col("doc_id").desc_nulls_last(), "tie", "place"]
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), text.cast("binary").alias("text"), F.xxhash64(text).alias("tie"),
+        F.monotonically_increasing_id().alias("place"),
+    )
     dealt = (
-        docs.select(
-            F.col("doc_id").cast("long").alias("doc_id"), text.cast("binary").alias("text"), F.xxhash64(text).alias("tie"),
-            F.monotonically_increasing_id().alias("place"),
-        )
+        rows.mapInArrow(_pack, rows.schema)
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .select("doc_id", "text", F.spark_partition_id().alias("part"))
