@@ -16,6 +16,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lakelayers.llm.common import written
+from lakelayers.llm.worker import frugal
 
 # Common words behind which a signature begins: articles and forms of "to be".
 ANCHORS = frozenset(
@@ -144,14 +145,12 @@ def _pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     last: _Comparison | None = None
     part, blank, unpack = 0, (None,) * 7, zstandard.ZstdDecompressor().decompress
     for batch in batches:
-        for start in range(0, batch.num_rows, 256):
-            rows = []
-            piece = batch.slice(start, 256)
-            for doc_id, text, part in zip(piece["doc_id"].to_pylist(), piece["text"], piece["part"].to_pylist()):
-                now = _Comparison(doc_id, unpack(text.as_py()))
-                rows.append((HEAD, part, now.raw, *blank) if last is None else (WHOLE, part, None, *last.row(now)))
-                last = now
-            yield _batch(rows)
+        rows = []
+        for doc_id, text, part in zip(batch["doc_id"].to_pylist(), batch["text"], batch["part"].to_pylist()):
+            now = _Comparison(doc_id, unpack(text.as_py()))
+            rows.append((HEAD, part, now.raw, *blank) if last is None else (WHOLE, part, None, *last.row(now)))
+            last = now
+        yield _batch(rows)
     if last is not None:
         yield _batch([(OPEN, part, last.raw, last.doc_id, *blank[1:])])
 
@@ -192,12 +191,12 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         F.monotonically_increasing_id().alias("place"),
     )
     dealt = (
-        rows.mapInArrow(_pack, rows.schema)
+        rows.mapInArrow(frugal(_pack), rows.schema)
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .select("doc_id", "text", F.spark_partition_id().alias("part"))
     )
-    passed = written(dealt.mapInArrow(_pass, PASSED), "spot-prints")
+    passed = written(dealt.mapInArrow(frugal(_pass), PASSED), "spot-prints")
     heads = passed.where(F.col("kind") == HEAD).select(F.col("part").alias("next_part"), F.col("text").alias("following"))
     # One row per task of the pass, without its text.
     parts = heads.select(F.col("next_part").alias("part"))
