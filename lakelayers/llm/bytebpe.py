@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakelayers.llm.pieces import LETTERS, PUNCTUATION, PieceMemory, byte_characters, packed, segments, shown
+from lakelayers.llm.worker import frugal
 
 BATCH_ROWS = 128
 # Distinct pieces, and matches in them, that a worker keeps.
@@ -163,4 +164,4 @@ def encode_documents(docs: DataFrame, ranks: str, pattern: str, ids: bool = True
     kinds = [pa.int64(), pa.string(), pa.string(), pa.bool_(), *[pa.list_(pa.int32())] * 3]
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text")
-    ).mapInArrow(run, ENCODED)
+    ).mapInArrow(frugal(run), ENCODED)

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakelayers.llm.common import free, row_numbers, written
+from lakelayers.llm.worker import frugal, release
 
 # Bytes of an n-gram and buckets of the hashed models.
 GRAM = 4
@@ -74,7 +75,7 @@ def log_ratios(docs: DataFrame, sample: DataFrame) -> np.ndarray:
     chosen = F.broadcast(sample.select(F.col("doc_id").alias("_id"), F.lit(True).alias("good")))
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     marked = slim.join(chosen, F.col("doc_id") == F.col("_id"), "left").select("text", F.coalesce("good", F.lit(False)).alias("good"))
-    sums = marked.mapInArrow(run, COUNTED).groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).collect()
+    sums = marked.mapInArrow(frugal(run), COUNTED).groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).collect()
     raw, target = np.full(BUCKETS, SMOOTHING), np.full(BUCKETS, SMOOTHING)
     for r in sums:
         raw[r.bucket] += r.raw
@@ -88,8 +89,10 @@ def log_weight(text: Column, ratios: np.ndarray) -> Column:
     """The log importance weight of a text: the sum of its n-grams' log ratios."""
 
     @F.pandas_udf("double")
-    def weigh(texts: pd.Series) -> pd.Series:
-        return pd.Series([float(sum(ratios[found].sum() for found in grams(t or ""))) for t in texts], dtype="float64")
+    def weigh(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([float(sum(ratios[found].sum() for found in grams(t or ""))) for t in texts], dtype="float64")
+        release()
 
     return weigh(F.coalesce(text.cast("string"), F.lit("")))
 

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakelayers.llm.common import components, free, written
-from lakelayers.llm.wordhash import shingles
+from lakelayers.llm.wordhash import forget, shingles
+from lakelayers.llm.worker import frugal
 
 SHINGLE_WORDS = 5
 THRESHOLD = (80, 100)
@@ -96,7 +97,7 @@ def _sign(docs: DataFrame, words: int, size: int) -> DataFrame:
     slim = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
     )
-    return slim.mapInArrow(run, SIGNED)
+    return slim.mapInArrow(frugal(run, forget), SIGNED)
 
 
 def _alike(pairs: DataFrame, nodes: DataFrame, steps: list[tuple[int, int]]) -> DataFrame:
@@ -115,7 +116,7 @@ def _alike(pairs: DataFrame, nodes: DataFrame, steps: list[tuple[int, int]]) ->
 
     left = nodes.select(F.col("node").alias("a"), F.col("signature").alias("left"))
     right = nodes.select(F.col("node").alias("b"), F.col("signature").alias("right"))
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
+    return pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right").mapInArrow(frugal(run), "a long, b long")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: tuple[int, int]) -> DataFrame:
@@ -137,7 +138,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: tuple[int, int]) ->
 
     left = sets.select(F.col("node").alias("a"), F.col("found").alias("left"))
     right = sets.select(F.col("node").alias("b"), F.col("found").alias("right"))
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
+    return pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right").mapInArrow(frugal(run), "a long, b long")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -145,18 +146,17 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                keys, found = [], []
-                for text in batch["text"].slice(start, 256):
-                    one = shingles(text.as_py(), words)
-                    keys.append(xxhash.xxh3_128_digest(one.tobytes()))
-                    found.append(one.tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(found, pa.binary())], names=["key", "found"])
+            keys, found = [], []
+            for text in batch["text"]:
+                one = shingles(text.as_py(), words)
+                keys.append(xxhash.xxh3_128_digest(one.tobytes()))
+                found.append(one.tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(found, pa.binary())], names=["key", "found"])
 
     ids = wanted.select(F.col("doc_id").alias("_id")).distinct().hint("shuffle_hash")
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     texts = slim.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select("text")
-    return texts.mapInArrow(run, "key binary, found binary").join(wanted.select("key", "node"), "key").dropDuplicates(["node"]).select("node", "found")
+    return texts.mapInArrow(frugal(run, forget), "key binary, found binary").join(wanted.select("key", "node"), "key").dropDuplicates(["node"]).select("node", "found")
 
 
 def near_duplicates(

@@ -38,6 +38,12 @@ class _Memo(dict):
 _memo = _Memo()
 
 
+def forget() -> None:
+    """Empties the memory of words; a task does so at its end."""
+    _memo.clear()
+    _memo.old = {}
+
+
 def word_hashes(text: str | None) -> np.ndarray:
     """64-bit hashes of the words between ASCII white space, A-Z lower-cased."""
     parts = []
