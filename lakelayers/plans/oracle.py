@@ -146,6 +146,31 @@ SELECT CAST(date_trunc('month', created_at) AS TIMESTAMP) AS month, platform, cu
        CAST(sum(CAST(total_price AS DECIMAL(18,2))) AS DOUBLE) AS revenue
 FROM bronze WHERE financial_status = 'paid' GROUP BY 1, 2, 3"""
 
+# Watermarks are in milliseconds: what is not after one is too late.
+_ARRIVALS = """
+WITH lots AS (
+  SELECT *, event_id % 7 = 0 AND ts < TIMESTAMP '2024-01-21' AS held FROM events
+), one AS (
+  SELECT * FROM lots WHERE NOT held AND ts < TIMESTAMP '2024-01-11'
+), two AS (
+  SELECT * FROM lots WHERE NOT held AND ts >= TIMESTAMP '2024-01-11' AND ts < TIMESTAMP '2024-01-21'
+  UNION ALL
+  SELECT * REPLACE (ts + INTERVAL 240 HOUR AS ts) FROM one
+  WHERE event_id % 10 = 5 AND ts < (SELECT max(ts) FROM one) - INTERVAL 12 HOUR - INTERVAL 2 DAY
+), marks AS (
+  SELECT (SELECT epoch_ms(max(ts)) - 12 * 3600000 FROM one) * 1000 AS first_mark,
+         (SELECT epoch_ms(max(ts)) - 12 * 3600000 FROM two) * 1000 AS second_mark
+), late AS (
+  SELECT (SELECT count(*) FROM one WHERE event_id % 10 = 0 AND epoch_us(ts) <= first_mark)
+       + (SELECT count(*) FROM lots WHERE held AND epoch_us(ts) <= second_mark) AS too_late
+  FROM marks
+), kept AS (
+  SELECT * FROM one UNION ALL SELECT * FROM two
+  UNION ALL SELECT lots.* FROM lots, marks WHERE held AND epoch_us(ts) > second_mark
+  UNION ALL SELECT * FROM lots WHERE ts >= TIMESTAMP '2024-01-21'
+)
+SELECT event_id, CAST(ts AS TIMESTAMP) AS ts, user_id, event_type, value, props, too_late FROM kept, late"""
+
 ORACLE: dict[str, str] = {
     "scan_source_orders": f"""{_BASE}
 SELECT id, created_at, updated_at, processed_at, customer_id, email, financial_status, fulfillment_status,
@@ -289,6 +314,7 @@ FROM (VALUES ('orders', NULL, 'bigint', 'added'), ('note', 'string', NULL, 'remo
   AS t(column_name, old_type, new_type, change)""",
     "stream_dedup_events": """
 SELECT DISTINCT event_id, CAST(ts AS TIMESTAMP) AS ts, user_id, event_type, value, props FROM events""",
+    "stream_first_arrivals": _ARRIVALS,
     "stream_upsert_orders": f"{_MERGED} SELECT * FROM merged WHERE platform = 'yoga-us'",
     "stream_and_batch_orders": f"""{_MERGED}
 SELECT * FROM merged WHERE platform = 'yoga-us' UNION ALL SELECT * FROM bronze WHERE platform <> 'yoga-us'""",

@@ -37,6 +37,8 @@ MONITOR_NOW = datetime(2002, 1, 1)
 SNAPSHOT_RUN = datetime(2012, 1, 1)
 TEST_DAY = datetime(2000, 1, 1)
 INITIAL_LOAD_END = "1998-07-01"
+SECOND_LOT, THIRD_LOT = datetime(2024, 1, 11), datetime(2024, 1, 21)
+DELAY_HOURS = 12
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -481,6 +483,45 @@ def stream_dedup_events(ctx: Context) -> DataFrame:
     return ctx.ref(name)
 
 
+@writing()
+def stream_first_arrivals(ctx: Context) -> DataFrame:
+    """Events behind a watermark, in three deliveries, with the number of rows that came too late.
+
+    The second one brings copies of the first: as they were, moved within the delay, and
+    moved far beyond it, which count as new. The third brings events held back
+    until then, most of which are too late.
+    """
+    events, at = ctx.sources.table("events"), F.col("ts")
+    held = (F.col("event_id") % 7 == 0) & (at < _ntz(THIRD_LOT))
+    prompt = events.filter(~held)
+    first = prompt.filter(at < _ntz(SECOND_LOT))
+    drop, out = f"{ctx.tables.root}/_drop", f"{ctx.tables.root}/_out"
+    too_late = 0
+
+    def moved(rows: DataFrame, hours: int) -> DataFrame:
+        return rows.withColumn("ts", at + F.expr(f"INTERVAL '{hours}' HOUR"))
+
+    newest = first.agg(F.max("ts")).first()[0]
+    mark = newest - timedelta(hours=DELAY_HOURS)
+    copies = [
+        first.filter("event_id % 10 = 0"),
+        moved(first.filter((F.col("event_id") % 10 == 3) & (at > _ntz(mark + timedelta(seconds=1)))), 1),
+        moved(first.filter((F.col("event_id") % 10 == 5) & (at < _ntz(mark - timedelta(days=2)))), 240),
+    ]
+    second = monitors.union_all([prompt.filter((at >= _ntz(SECOND_LOT)) & (at < _ntz(THIRD_LOT))), *copies])
+    for delivery in (first, second, events.filter(held | (at >= _ntz(THIRD_LOT)))):
+        delivery.write.mode("append").parquet(drop)
+        stream = ctx.spark.readStream.schema(events.schema).parquet(drop)
+        seen = ingest.first_arrivals(stream, out, f"{ctx.tables.root}/_checkpoint", ["event_id"], "ts", f"{DELAY_HOURS} hours")
+        too_late += seen.too_late
+    kept = ctx.spark.read.parquet(out)
+    return kept.withColumn("too_late", F.lit(too_late).cast("bigint"))
+
+
+def _ntz(moment: datetime) -> F.Column:
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 @writing()
 def stream_upsert_orders(ctx: Context) -> DataFrame:
     """Orders of the store that has most, delivered to its stream in two lots."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,7 +51,8 @@ def drop_repeats(
 
     State of a key is let go once the watermark has passed it by ``delay``, and
     rows that come later than that are dropped by the engine, new keys too:
-    for streams in which that is wanted. ``take_in`` loses none. ``spread``
+    for streams in which that is wanted. ``take_in`` loses none. Rows without a
+    key count as copies of each other, as they do for Spark. ``spread``
     first drops copies per input split, for a stream much of which is copies of
     one key; it keeps state twice.
     """
@@ -62,6 +64,59 @@ def drop_repeats(
     return rows.dropDuplicatesWithinWatermark(keys)
 
 
+@dataclass(frozen=True)
+class Arrivals:
+    """What a run of a stream saw: rows that arrived, rows kept, and rows dropped as too late."""
+
+    arrived: int
+    kept: int
+    too_late: int
+
+    @property
+    def repeats(self) -> int:
+        return self.arrived - self.kept - self.too_late
+
+
+def first_arrivals(
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    keys: Sequence[str],
+    event_time: str,
+    delay: str = "1 hour",
+    state_tasks: int | None = None,
+    spread: bool = False,
+) -> Arrivals:
+    """Append the first arrival of each key to Parquet files at ``path``; takes in all that is there.
+
+    The memory is the state of ``drop_repeats``, on executor disks, and holds the
+    keys of about the last ``delay`` only. So nothing stored is read or written
+    again, however much there is, and a run costs what arrives. Of a key whose
+    copies lie further apart than ``delay`` a later one is a new row, and a row
+    that is more than ``delay`` older than the newest of earlier batches is
+    dropped and counted. Where no new row may be lost, use ``take_in``.
+
+    A batch that is run again after a failure writes the same files once: the
+    sink's log names the files of finished batches.
+    """
+    counted = stream.observe("arrived", F.count(F.lit(1)).alias("rows"))
+    with state_settings(stream.sparkSession, state_tasks):
+        kept = drop_repeats(counted, keys, event_time, delay, spread).observe("kept", F.count(F.lit(1)).alias("rows"))
+        query = append_files(kept, path, checkpoint)
+        query.awaitTermination()
+    return arrivals(query)
+
+
+def arrivals(query: StreamingQuery) -> Arrivals:
+    """The counts of a finished query, summed over its last batches that Spark keeps (100 by default)."""
+
+    def observed(name: str) -> int:
+        return sum(p.observedMetrics[name].rows for p in query.recentProgress if name in p.observedMetrics)
+
+    late = sum(o.numRowsDroppedByWatermark for p in query.recentProgress for o in p.stateOperators)
+    return Arrivals(observed("arrived"), observed("kept"), late)
+
+
 def take_in(
     stream: DataFrame,
     tables: TableStore,

@@ -34,6 +34,45 @@ def test_repeats_are_dropped_across_batches(spark, tmp_path, spread):
     assert rows(spark.read.parquet(out), "event_id", "v") == [(1, "a"), (2, "b"), (3, "c"), (9, "hot")]
 
 
+@pytest.mark.parametrize("spread", [True, False])
+def test_first_arrivals_are_appended_and_counted(spark, tmp_path, spread):
+    drop, out, checkpoint = (str(tmp_path / p) for p in ("drop", "out", "checkpoint"))
+
+    def deliver(data):
+        events(spark, data).write.mode("append").parquet(drop)
+        stream = spark.readStream.schema(EVENTS).parquet(drop)
+        return ingest.first_arrivals(stream, out, checkpoint, ["event_id"], "ts", "10 minutes", state_tasks=3, spread=spread)
+
+    def stored():
+        return {p: p.stat().st_mtime_ns for p in (tmp_path / "out").glob("*.parquet")}
+
+    seen = deliver([(1, 0, "a"), (2, 95, "b"), (2, 95, "b"), (3, 100, "c")])
+    assert (seen.arrived, seen.kept, seen.too_late, seen.repeats) == (4, 3, 0, 1)
+    before = stored()
+    # The mark is at 90: within the delay, long gone, new but too late, and new.
+    seen = deliver([(2, 99, "copy"), (1, 100, "again"), (4, 89, "late"), (3, 90, "copy, late"), (5, 91, "new")])
+    assert (seen.arrived, seen.kept, seen.too_late, seen.repeats) == (5, 2, 2, 1)
+    assert rows(spark.read.parquet(out), "event_id", "v") == [(1, "a"), (1, "again"), (2, "b"), (3, "c"), (5, "new")]
+    assert before.items() <= stored().items()
+
+
+def test_a_run_keeps_no_more_than_the_delay(spark, tmp_path):
+    """What a run writes and remembers follows what arrives and not what is stored."""
+    drop, out, checkpoint = (str(tmp_path / p) for p in ("drop", "out", "checkpoint"))
+    written = []
+    for lot in range(4):
+        events(spark, [(lot * 500 + n, lot * 500 + n, "x" * 50) for n in range(500)]).write.mode("append").parquet(drop)
+        stream = spark.readStream.schema(EVENTS).parquet(drop)
+        before = set((tmp_path / "out").glob("*.parquet"))
+        with ingest.state_settings(spark, 2):
+            query = ingest.append_files(ingest.drop_repeats(stream, ["event_id"], "ts", "1 hour"), out, checkpoint)
+            query.awaitTermination()
+        written.append(sum(p.stat().st_size for p in set((tmp_path / "out").glob("*.parquet")) - before))
+        assert query.lastProgress.stateOperators[0].numRowsTotal <= 2 * 60 + 1
+    assert max(written) < 1.5 * min(written)
+    assert spark.read.parquet(out).count() == 2000
+
+
 def test_state_settings_are_put_back(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     with ingest.state_settings(spark, 7):
