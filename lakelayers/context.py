@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 from typing import Any
 
@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakelayers import session, settings
-from lakelayers.operators.publish import TableStore
+from lakelayers.operators.publish import Layout, TableStore
 
 
 @dataclass
@@ -29,6 +29,8 @@ class Context:
     """How models that do not say so are kept."""
     seeds: dict[str, str] = field(default_factory=dict)
     """Path of each seed's CSV."""
+    buckets: dict[str, int] = field(default_factory=dict)
+    """Buckets by key of tables whose layout has keys, where not as many as their models say."""
 
     def __post_init__(self) -> None:
         session.pin(self.spark)
@@ -44,6 +46,10 @@ class Context:
             return self.spark.table(name)
         return self.tables.read(name)
 
+    def layout(self, name: str, layout: Layout) -> Layout:
+        """The layout of a table in this run."""
+        return replace(layout, buckets=self.buckets.get(name, layout.buckets)) if layout.keys else layout
+
     def table(self, name: str) -> DataFrame:
         """Any table or view of the session's catalog."""
         return self.spark.table(name)

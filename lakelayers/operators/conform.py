@@ -7,11 +7,9 @@ from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakelayers.operators.merge import known
 
 def union_stores(stores: Mapping[str, str], scan: Callable[[str], DataFrame]) -> DataFrame:
     """All stores' relations as one, tagged with the store's ``platform`` key."""
@@ -27,14 +25,22 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str])
     whose key is NULL match nothing: all of them stay, and a number of their
     own spreads them over the tasks.
     """
-    rest = [c for c in df.columns if c not in keys and c not in order_by]
+    return df.sparkSession.sql(latest_sql("{rows}", df.schema, keys, order_by), rows=df)
+
+
+def latest_sql(relation: str, schema: T.StructType, keys: Sequence[str], order_by: Sequence[str]) -> str:
+    """``latest_per_key`` as SQL over a relation with this schema, for views."""
+    rest = [c for c in schema.names if c not in keys and c not in order_by]
     # Maps have no order, so they are carried along but break no tie.
-    ordered = [*order_by, *[c for c in rest if not _has_map(df.schema[c].dataType)]]
-    alone, rows, by = "_alone", df, list(keys)
-    if any(df.schema[k].nullable for k in keys):
-        rows, by = df.withColumn(alone, F.when(known(keys), F.lit(-1)).otherwise(F.monotonically_increasing_id())), [*keys, alone]
-    last = W.partitionBy(*by).orderBy(*[F.col(c).desc() for c in ordered])
-    return rows.withColumn("_nth", F.row_number().over(last)).filter("_nth = 1").select(*df.columns)
+    ordered = [*order_by, *[c for c in rest if not _has_map(schema[c].dataType)]]
+    by = [f"`{k}`" for k in keys]
+    if any(schema[k].nullable for k in keys):
+        known = " AND ".join(f"{k} IS NOT NULL" for k in by)
+        relation = f"(SELECT *, CASE WHEN {known} THEN -1 ELSE monotonically_increasing_id() END AS _alone FROM {relation})"
+        by.append("_alone")
+    last = f"PARTITION BY {', '.join(by)} ORDER BY {', '.join(f'`{c}` DESC' for c in ordered)}"
+    columns = ", ".join(f"`{c}`" for c in schema.names)
+    return f"SELECT {columns} FROM (SELECT *, row_number() OVER ({last}) AS _nth FROM {relation}) WHERE _nth = 1"
 
 
 def _has_map(kind: T.DataType) -> bool:
@@ -56,6 +62,11 @@ def high_water(df: DataFrame, column: str) -> Column | None:
     return None if value is None else F.lit(value).cast(kind)
 
 
+def high_water_marks(df: DataFrame, by: str, column: str) -> DataFrame:
+    """(``by``, high_water): the greatest value of each group that has one, in one pass."""
+    return df.groupBy(by).agg(F.max(column).alias("high_water")).filter("high_water IS NOT NULL")
+
+
 def changed_rows(
     source: DataFrame, target: DataFrame | None, column: str, lookback: timedelta | None = None
 ) -> DataFrame:
@@ -65,7 +76,11 @@ def changed_rows(
     source. Rows equal to the mark are skipped unless ``lookback`` widens the
     filter; merging a row a second time changes nothing.
     """
-    mark = None if target is None else high_water(target, column)
+    return rows_after(source, None if target is None else high_water(target, column), column, lookback)
+
+
+def rows_after(source: DataFrame, mark: Column | None, column: str, lookback: timedelta | None = None) -> DataFrame:
+    """``changed_rows`` for a mark that is known already."""
     if mark is None:
         return source
     if lookback is not None:

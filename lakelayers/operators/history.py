@@ -12,14 +12,12 @@ from pyspark.sql import types as T
 from lakelayers.operators.merge import fit_columns, known, require_unique
 from lakelayers.operators.publish import Layout, TableStore, Version
 
-OPEN, CLOSED = "open", "closed"
-# Parts of the open rows, by key. A run rewrites the buckets in which a key changed,
-# so choose as many as keep a bucket small; fixed for the life of a table.
-OPEN_BUCKETS = 16
-PERIOD = T.StructType([
+# Columns of the log beside the source's: from when a row holds, whether it says
+# that its key is gone, and the run that wrote it.
+LOG = T.StructType([
     T.StructField("valid_from", T.TimestampType()),
-    T.StructField("valid_to", T.TimestampType()),
-    T.StructField("is_current", T.BooleanType()),
+    T.StructField("_gone", T.BooleanType()),
+    T.StructField("_run", T.LongType()),
 ])
 
 
@@ -31,7 +29,6 @@ def snapshot(
     run_at: Column,
     updated_at: str | None = None,
     check: Sequence[str] | None = None,
-    buckets: int = OPEN_BUCKETS,
 ) -> Version:
     """Record what ``source`` looks like now in the history table ``name``.
 
@@ -41,47 +38,53 @@ def snapshot(
     key that comes back opens a new row, no earlier than its last one closed.
     So periods of a key never overlap, and none ends before it starts.
 
-    Open rows are split by key into ``buckets``, closed ones by the month they
-    closed in. Only buckets with a change and months with a newly closed row
-    are rewritten; without a change nothing is published.
+    What is stored is a log: a run appends one row for each key that changed,
+    came or went, and writes nothing else. A reader gets periods: a row ends
+    where the next one of its key begins (``periods_sql``). A run compares the
+    source with the last row of each key, of which it reads the key, times and
+    compared columns only. Without a change nothing is published.
     """
     if (updated_at is None) == (check is None):
         raise ValueError("give either updated_at or check")
     keys = list(keys)
     starts = F.col(updated_at).cast("timestamp") if updated_at else run_at
-    bucket = F.concat(F.lit(f"{OPEN}-"), F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("string"))
-    month = F.concat(F.lit(f"{CLOSED}-"), F.date_format("valid_to", "yyyy-MM"))
-    part = F.when(F.col("is_current"), bucket).otherwise(month)
+    compared = [updated_at] if updated_at else list(check)
 
     old = tables.version(name)
+    number = old.number + 1 if old else 1
     with tables.staging() as stage:
         if old is not None:
-            kept = [f for f in old.schema.fields if f.name not in PERIOD.names]
-            source = fit_columns(source, T.StructType(kept), "the snapshot source")
-        new = stage(source)
+            source = fit_columns(source, T.StructType([f for f in old.schema.fields if f.name not in LOG.names]), "the snapshot source")
+        new = stage(source.withColumn("_starts", starts))
+        columns = [c for c in new.columns if c != "_starts"]
         _require_keys(new, keys, name)
         if old is None:
-            rows = new.withColumns({"valid_from": starts, "valid_to": F.lit(None).cast("timestamp"), "is_current": F.lit(True)})
-            touched: list[str] = []
+            rows = new.select(*columns, F.col("_starts").alias("valid_from"), F.lit(False).alias("_gone"), F.lit(number).cast("long").alias("_run"))
         else:
-            opened = tables.read_version(name, old, parts=[p for p in old.parts if p.startswith(OPEN)])
-            changed = stage(_changes(opened, new, keys, starts, updated_at, check))
-            fresh = stage(_outcome(_not_before(tables, name, old, changed, keys), new.columns, run_at))
-            touched = sorted(r[0] for r in fresh.select(part.alias("p")).distinct().collect())
-            touched = sorted({*touched, *(r[0] for r in changed.select(bucket.alias("p")).distinct().collect())})
-            if not touched:
+            last = _last(tables.read_version(name, old), keys, compared)
+            rows = stage(_outcome(last, new, keys, columns, run_at, compared, updated_at is not None, number))
+            if rows.isEmpty():
                 return old
-            # A bucket holds each key once; what changed in it is all in the new rows.
-            before = tables.read_version(name, old, parts=[p for p in touched if p in old.parts])
-            dropped = changed.filter("was IS NOT NULL").select(*keys, F.lit(True).alias("is_current"))
-            rows = before.join(dropped, [*keys, "is_current"], "left_anti").select(*before.columns).unionByName(fresh)
+        part = f"run-{number:08d}"
         schema = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema.fields])
-        write_id = tables.write_rows(name, rows, Layout(), part)
+        write_id, _ = tables.write_rows(name, rows, Layout(), F.lit(part))
         written = tables.written_parts(name, write_id)
 
-    parts = {p: w for p, w in (old.parts if old else {}).items() if p not in touched}
-    parts.update(dict.fromkeys(written, write_id))
-    return tables.commit(name, Version(old.number + 1 if old else 1, schema, Layout(), parts))
+    parts = {**(old.parts if old else {}), **dict.fromkeys(written, write_id)}
+    return tables.commit(name, Version(number, schema, Layout(), parts, reading=periods_sql(columns, keys)))
+
+
+def periods_sql(columns: Sequence[str], keys: Sequence[str]) -> str:
+    """The log as periods, as SQL over ``{rows}``, for tables and catalog views alike.
+
+    A key has as many rows as it had changes, so no window is large.
+    """
+    told = ", ".join(f"`{c}`" for c in columns)
+    by = ", ".join(f"`{k}`" for k in keys)
+    return (
+        f"SELECT {told}, valid_from, valid_to, valid_to IS NULL AS is_current FROM (SELECT *, lead(valid_from) OVER "
+        f"(PARTITION BY {by} ORDER BY valid_from, _run) AS valid_to FROM {{rows}}) WHERE NOT _gone"
+    )
 
 
 def _require_keys(df: DataFrame, keys: list[str], name: str) -> None:
@@ -90,54 +93,29 @@ def _require_keys(df: DataFrame, keys: list[str], name: str) -> None:
     require_unique(df, keys, f"the snapshot source of {name}")
 
 
-def _changes(
-    opened: DataFrame, new: DataFrame, keys: list[str], starts: Column, updated_at: str | None, check: Sequence[str] | None
+def _last(log: DataFrame, keys: list[str], compared: list[str]) -> DataFrame:
+    """(keys, was) of the last row of each key, with what it is compared by."""
+    told = F.struct("_run", "valid_from", "_gone", *[F.col(c).alias(f"c{i}") for i, c in enumerate(compared)])
+    return log.groupBy(*keys).agg(F.max_by(told, "_run").alias("was"))
+
+
+def _outcome(
+    last: DataFrame, new: DataFrame, keys: list[str], columns: list[str], run_at: Column, compared: list[str], by_time: bool, number: int
 ) -> DataFrame:
-    """(keys, was, now, starts) of the keys that are gone, added or changed."""
-    was = opened.select(*keys, F.struct(*opened.columns).alias("was"))
-    now = new.select(*keys, F.struct(*new.columns).alias("now"), starts.alias("starts"))
+    """The rows that a run adds to the log."""
+    now = new.select(*keys, F.struct(*columns).alias("now"), F.col("_starts").alias("starts"))
     # Keys are unique and never NULL on both sides, so no key can be hot.
-    both = was.join(now, keys, "full_outer")
-    if updated_at:
-        differs = F.coalesce(F.col(f"now.{updated_at}") > F.col(f"was.{updated_at}"), F.lit(False))
+    both = last.join(now, keys, "full_outer")
+    here, there = F.col("now").isNotNull(), F.coalesce(~F.col("was._gone"), F.lit(False))
+    if by_time:
+        differs = F.coalesce(F.col(f"now.{compared[0]}") > F.col("was.c0"), F.lit(False))
     else:
-        differs = reduce(lambda a, b: a | b, [~F.col(f"now.{c}").eqNullSafe(F.col(f"was.{c}")) for c in check])
-    return both.filter(F.col("now").isNull() | F.col("was").isNull() | differs)
-
-
-def _not_before(tables: TableStore, name: str, old: Version, changed: DataFrame, keys: list[str]) -> DataFrame:
-    """``starts`` no earlier than where a period of the key ended, or the open one began.
-
-    Only a key that comes back can have closed rows that end later, and only
-    months from the earliest new start on can hold them.
-    """
-    changed = changed.withColumn("starts", F.greatest("starts", "was.valid_from"))
-    added = changed.filter("was IS NULL")
-    first = added.agg(F.date_format(F.min("starts"), "yyyy-MM")).first()[0]
-    later = [p for p in old.parts if p.startswith(CLOSED) and first is not None and p >= f"{CLOSED}-{first}"]
-    if not later:
-        return changed
-    ended = tables.read_version(name, old, parts=later).join(added.select(*keys), keys, "left_semi")
-    ended = ended.groupBy(*keys).agg(F.max("valid_to").alias("_ended"))
-    return changed.join(ended, keys, "left").withColumn("starts", F.greatest("starts", "_ended")).drop("_ended")
-
-
-def _outcome(changed: DataFrame, columns: list[str], run_at: Column) -> DataFrame:
-    """The rows that changed keys have from now on: closed old ones, open new ones."""
-
-    def row(side: str, start: Column, end: Column, current: bool) -> Column:
-        return F.struct(
-            *[F.col(f"{side}.{c}").alias(c) for c in columns],
-            start.cast("timestamp").alias("valid_from"),
-            end.cast("timestamp").alias("valid_to"),
-            F.lit(current).alias("is_current"),
-        )
-
-    was_from = F.col("was.valid_from")
-    fresh = row("now", F.col("starts"), F.lit(None), True)
-    outcome = (
-        F.when(F.col("now").isNull(), F.array(row("was", was_from, F.greatest(run_at, was_from), False)))
-        .when(F.col("was").isNull(), F.array(fresh))
-        .otherwise(F.array(row("was", was_from, F.col("starts"), False), fresh))
+        differs = reduce(lambda a, b: a | b, [~F.col(f"now.{c}").eqNullSafe(F.col(f"was.c{i}")) for i, c in enumerate(compared)])
+    changed = both.filter(F.when(here & there, differs).otherwise(here | there))
+    key = {k: F.col(k) for k in keys}
+    return changed.select(
+        *[key.get(c, F.col(f"now.{c}")).alias(c) for c in columns],
+        F.greatest(F.when(F.col("now").isNotNull(), F.col("starts")).otherwise(run_at), "was.valid_from").cast("timestamp").alias("valid_from"),
+        F.col("now").isNull().alias("_gone"),
+        F.lit(number).cast("long").alias("_run"),
     )
-    return changed.select(F.explode(outcome).alias("r")).select("r.*")

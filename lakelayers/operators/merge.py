@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakelayers.operators.publish import Layout, TableStore, Version
+from lakelayers.operators.publish import Layout, TableStore, Tests, Version
 
 
 RANGED = (T.IntegralType, T.StringType, T.DateType)
@@ -86,6 +86,7 @@ def merge(
     newer_by: str | None = None,
     tag: tuple[str, int] | None = None,
     insert_only: bool = False,
+    tests: Tests | None = None,
 ) -> MergeResult:
     """Publish ``name`` with ``changes`` merged in.
 
@@ -96,7 +97,9 @@ def merge(
     is skipped, so replaying it does nothing.
 
     A part that holds a matched row or gets a new one is rewritten, so a part is
-    always one folder. Other parts are carried over by name.
+    always one folder. Other parts are carried over by name. In a table that is
+    split by a hash of its keys, or of some of them, only the buckets of the
+    changed keys are read at all. ``tests`` are counted on what is written.
     """
     keys = list(keys)
     old = tables.version(name)
@@ -112,18 +115,18 @@ def merge(
             require_unique(first, keys, f"the first load of {name}")
             if old is not None and tag is None and first.isEmpty():
                 return MergeResult(old, [])
-            v = tables.replace(name, first, layout or (old.layout if old else None), tags)
+            v = tables.replace(name, first, layout or (old.layout if old else None), tags, tests=tests)
             return MergeResult(v, sorted(v.parts))
 
         fresh = stage(fit_columns(changes, old.schema, "the change set"))
         near = key_range(fresh, keys)
         require_unique(fresh, keys, f"the change set for {name}")
-        stored_rows = tables.read_version(name, old, with_part=True)
+        stored_rows = tables.read_version(name, old, _reached(old, fresh, keys), with_part=True)
         target = stored_rows if near is None else stored_rows.filter(near)
         if insert_only:
             hit, fresh = None, stage(without_keys(fresh, target, keys))
         elif newer_by is None:
-            hit = target.select(*keys, "_part").join(fresh.select(*keys), keys, "left_semi")
+            hit = matched(target, fresh, keys, near)
         else:
             stored = target.select(*keys, "_part", F.col(newer_by).alias("_stored"))
             late = F.coalesce(F.col(newer_by) < F.col("_stored"), F.lit(False))
@@ -138,14 +141,33 @@ def merge(
         if not touched:
             if tag is None:
                 return MergeResult(old, [])
-            return MergeResult(tables.commit(name, Version(old.number + 1, old.schema, old.layout, old.parts, tags, old.inputs)), [])
+            return MergeResult(tables.commit(name, replace(old, number=old.number + 1, tags=tags)), [])
 
         before = stored_rows.filter(F.col("_part").isin(touched)).select(*old.schema.names)
         rows = without_keys(before, fresh, keys).unionByName(fresh)
-        write_id = tables.write_rows(name, rows.select(*old.schema.names), old.layout)
+        write_id, failing = tables.write_rows(name, rows.select(*old.schema.names), old.layout, tests=tests)
         new = tables.written_parts(name, write_id)
 
     parts = {p: w for p, w in old.parts.items() if p not in touched}
     parts.update(dict.fromkeys(new, write_id))
-    v = Version(old.number + 1, old.schema, old.layout, parts, tags)
-    return MergeResult(tables.commit(name, v), touched)
+    return MergeResult(tables.commit(name, old.after(parts, new, failing, tags=tags)), touched)
+
+
+def matched(target: DataFrame, fresh: DataFrame, keys: Sequence[str], near: Column | None) -> DataFrame:
+    """(keys, _part) of the rows of ``target`` whose key is in ``fresh``.
+
+    The range of the keys holds for both sides. To Spark it is what makes the
+    changes a choice few rows pass, so where they are too many to broadcast it
+    filters the big side by a Bloom filter of their keys before the shuffle:
+    what the range cannot skip, because changed keys lie anywhere, that does.
+    """
+    wanted = fresh.select(*keys) if near is None else fresh.select(*keys).filter(near)
+    return target.select(*keys, "_part").join(wanted, list(keys), "left_semi")
+
+
+def _reached(old: Version, fresh: DataFrame, keys: Sequence[str]) -> list[str] | None:
+    """The parts that rows with the keys of ``fresh`` can be in; None if in any."""
+    if old.layout.buckets == 1 or not set(old.layout.keys) <= set(keys):
+        return None
+    # No more rows than there are buckets.
+    return old.layout.holding(old.parts, [r[0] for r in fresh.select(old.layout.bucket().alias("b")).distinct().collect()])

@@ -9,7 +9,7 @@ Every write makes a new ``_write`` folder. A version says which one is current
 for each part, so a merge rewrites only the parts it touches and a reader of
 the version before is not disturbed. A job that dies leaves folders that no
 version names, and those are never read. Publishing a version also points the
-catalog view ``schema.table`` at it. Old versions go by age, once per run.
+catalog view ``schema.table`` at it. What was replaced long enough ago goes once per run.
 
 One writer per table, any number of readers.
 """
@@ -22,11 +22,11 @@ import uuid
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 from datetime import date, timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,27 +35,44 @@ from lakelayers.session import hadoop_path, read_text, write_text
 ROWS_PER_FILE = 20_000_000
 WHOLE = "all"
 NO_DATE = "none"
+MARK = "_mark"
 UNIT_FORMATS = {"year": "yyyy", "month": "yyyy-MM", "day": "yyyy-MM-dd"}
 # How long a replaced version, and what no version names, stays readable.
 RETENTION = timedelta(days=7)
 
+# What makes a row fail, by the name of the test; the same at any time.
+Tests = dict[str, Column]
+
 
 @dataclass(frozen=True)
 class Layout:
-    """Rows are split into parts by ``unit`` of the date ``column``.
+    """Rows are split into parts by ``unit`` of the date ``column`` and by a hash of ``keys``.
+
+    A choice of the model: a part is what a merge rewrites, and within it files
+    are sorted by date. With ``buckets``, the number of parts of each unit, a
+    merge by those keys also reads no other buckets than its own. Choose as
+    many as keep a bucket of a unit small; a replaced table may have others.
 
-    A choice of the model, the same for all its tables and at any size: a part
-    is what a merge rewrites, and within it files are sorted by date.
+    ``mark`` names a time column whose maximum is asked for again and again. It
+    is stored as a number beside the row, so the maximum is in the statistics
+    of the files, which for times it is not.
     """
 
     column: str | None = None
     unit: str = "month"
+    keys: tuple[str, ...] = ()
+    buckets: int = 1
+    mark: str | None = None
+
+    def bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
 
     def part(self) -> Column:
         if self.column is None:
-            return F.lit(WHOLE)
-        text = F.date_format(F.col(self.column), UNIT_FORMATS[self.unit])
-        return F.coalesce(text, F.lit(NO_DATE))
+            unit = F.lit(WHOLE)
+        else:
+            unit = F.coalesce(F.date_format(F.col(self.column), UNIT_FORMATS[self.unit]), F.lit(NO_DATE))
+        return unit if self.buckets == 1 else F.concat(unit, F.lit("."), self.bucket().cast("string"))
 
     def between(self, parts: Iterable[str], first: date, last: date) -> list[str]:
         """Those of the parts that can hold a day from ``first`` to ``last``."""
@@ -63,7 +80,17 @@ class Layout:
             return list(parts)
         width = len(UNIT_FORMATS[self.unit])
         low, high = first.isoformat()[:width], last.isoformat()[:width]
-        return [p for p in parts if p != NO_DATE and low <= p <= high]
+        return [p for p in parts if unit_of(p) != NO_DATE and low <= unit_of(p) <= high]
+
+    def holding(self, parts: Iterable[str], buckets: Iterable[int]) -> list[str]:
+        """Those of the parts that are one of the buckets of some unit."""
+        ends = {str(b) for b in buckets}
+        return [p for p in parts if p.partition(".")[2] in ends]
+
+
+def unit_of(part: str) -> str:
+    """The date unit of a part, whatever its bucket."""
+    return part.partition(".")[0]
 
 
 @dataclass
@@ -77,16 +104,21 @@ class Version:
     """Last batch taken in, by stream."""
     inputs: dict[str, dict[str, str]] = field(default_factory=dict)
     """The parts of other tables that this version was computed from."""
+    failing: dict[str, list[str]] = field(default_factory=dict)
+    """The parts with rows that fail a test which was counted while they were written, by test."""
+    reading: str | None = None
+    """SQL over ``{rows}``, the stored rows, that gives the table's; None if they are the table's."""
 
     def to_json(self) -> str:
         return json.dumps({
             "number": self.number,
             "schema": self.schema.jsonValue(),
-            "column": self.layout.column,
-            "unit": self.layout.unit,
+            "layout": asdict(self.layout),
             "parts": self.parts,
             "tags": self.tags,
             "inputs": self.inputs,
+            "failing": self.failing,
+            "reading": self.reading,
         })
 
     @staticmethod
@@ -94,9 +126,23 @@ class Version:
         d = json.loads(text)
         return Version(
             d["number"], T.StructType.fromJson(d["schema"]),
-            Layout(d["column"], d["unit"]), d["parts"], d["tags"], d["inputs"],
+            Layout(**{**d["layout"], "keys": tuple(d["layout"]["keys"])}), d["parts"], d["tags"], d["inputs"],
+            d["failing"], d["reading"],
         )
 
+    def of_units(self, units: Iterable[str]) -> list[str]:
+        wanted = set(units)
+        return [p for p in self.parts if unit_of(p) in wanted]
+
+    def after(self, parts: dict[str, str], rewritten: Iterable[str], failing: dict[str, list[str]], **other) -> Version:
+        """The next version: ``parts`` are current, and of them ``rewritten`` were tested anew."""
+        anew = set(rewritten)
+        now = {
+            test: sorted({p for p in was if p in parts and p not in anew} | set(failing[test]))
+            for test, was in self.failing.items() if test in failing
+        }
+        return replace(self, number=self.number + 1, parts=parts, failing=now, **other)
+
     def stale_parts(self, sources: dict[str, Version]) -> set[str]:
         """Parts in which a source differs from what this version was made of."""
         stale = set()
@@ -106,6 +152,14 @@ class Version:
         return stale
 
 
+@dataclass(frozen=True)
+class Shown:
+    """The version a catalog view shows, and the external table it reads."""
+
+    version: int
+    table: str
+
+
 class TableStore:
     """Published tables below one root."""
 
@@ -157,6 +211,8 @@ class TableStore:
         v = self.version(name, number)
         if v is None:
             raise LookupError(f"no version of table {name} is published")
+        if v.reading is not None:
+            return self.spark.sql(v.reading, rows=self.read_version(name, v))
         if dates is None:
             return self.read_version(name, v, parts, with_part)
         held = self.read_version(name, v, v.layout.between(v.parts, *dates), with_part)
@@ -173,17 +229,35 @@ class TableStore:
         columns = v.schema.names + (["_part"] if with_part else [])
         if not wanted:
             return self.spark.createDataFrame([], stored).select(*columns)
-        writes: dict[str, list[str]] = {}
-        for p, w in wanted.items():
-            writes.setdefault(w, []).append(p)
+        writes = _by_write(wanted)
         df = self.spark.read.schema(stored).option("basePath", base).parquet(*[f"{base}/_write={w}" for w in writes])
         current = [(F.col("_write") == w) & F.col("_part").isin(ps) for w, ps in writes.items()]
         return df.filter(reduce(lambda a, b: a | b, current)).select(*columns)
 
+    def newest(self, name: str, v: Version) -> Column | None:
+        """The maximum of the marked column of a version, as a literal; None if there is no value."""
+        value = self.marks(name, v).agg(F.max(MARK)).first()[0] if v.parts else None
+        return None if value is None else F.timestamp_micros(F.lit(value))
+
+    def marks(self, name: str, v: Version) -> DataFrame:
+        """The marks of a version. Their maximum is taken from the files' footers: no row is read.
+
+        The reader that can do so is asked for in a session of its own, with the
+        same catalog and executors, so that other reads stay as they are.
+        """
+        aside = self.spark.newSession()
+        v1 = aside.conf.get("spark.sql.sources.useV1SourceList").split(",")
+        aside.conf.set("spark.sql.sources.useV1SourceList", ",".join(x for x in v1 if x != "parquet"))
+        aside.conf.set("spark.sql.parquet.aggregatePushdown.enabled", "true")
+        return aside.read.schema(f"{MARK} bigint").parquet(*[f"{self.path(name)}/_write={w}/_part={p}" for p, w in v.parts.items()]).select(MARK)
+
     # --- writing -------------------------------------------------------------
 
-    def write_rows(self, name: str, df: DataFrame, layout: Layout, part: Column | None = None) -> str:
-        """Write rows to a new folder that no version names yet; gives its id.
+    def write_rows(
+        self, name: str, df: DataFrame, layout: Layout, part: Column | None = None, tests: Tests | None = None
+    ) -> tuple[str, dict[str, list[str]]]:
+        """Write rows to a new folder that no version names yet; gives its id, and for
+        each of ``tests`` the parts with a row that fails it, seen as the rows go by.
 
         Rows of one part go to one task, so a part is few files; run-time
         splitting breaks up a part that is too big for one. Each file is sorted
@@ -191,11 +265,17 @@ class TableStore:
         """
         write_id = uuid.uuid4().hex[:16]
         rows = df.withColumn("_part", layout.part() if part is None else part)
-        if layout.column is not None or part is not None:
+        seen = Observation()
+        if tests:
+            # A set, so what is seen twice because a task was run again counts once.
+            rows = rows.observe(seen, *[F.collect_set(F.when(fails, F.col("_part"))).alias(t) for t, fails in tests.items()])
+        if layout.mark:
+            rows = rows.withColumn(MARK, F.unix_micros(F.col(layout.mark).cast("timestamp")))
+        if layout.column is not None or layout.buckets > 1 or part is not None:
             rows = rows.hint("rebalance", F.col("_part"))
             rows = rows.sortWithinPartitions("_part", *([layout.column] if layout.column else []))
         rows.write.option("maxRecordsPerFile", ROWS_PER_FILE).partitionBy("_part").parquet(f"{self.path(name)}/_write={write_id}")
-        return write_id
+        return write_id, {t: sorted(seen.get.get(t) or []) for t in tests or ()}
 
     def written_parts(self, name: str, write_id: str) -> list[str]:
         found = self._names(f"{self.path(name)}/_write={write_id}/_part=*")
@@ -217,73 +297,58 @@ class TableStore:
         layout: Layout | None = None,
         tags: dict[str, int] | None = None,
         sources: dict[str, Version] | None = None,
+        tests: Tests | None = None,
     ) -> Version:
         """Publish ``df`` as the whole table. It may read the table's old version."""
         layout = layout or Layout()
         old = self.versions(name)
-        write_id = self.write_rows(name, df, layout)
+        write_id, failing = self.write_rows(name, df, layout, tests=tests)
         parts = dict.fromkeys(self.written_parts(name, write_id), write_id)
         number = old[-1] + 1 if old else 1
-        return self.commit(name, Version(number, _nullable(df.schema), layout, parts, tags or {}, _inputs(sources)))
+        return self.commit(name, Version(number, _nullable(df.schema), layout, parts, tags or {}, _inputs(sources), failing))
 
     def replace_parts(
-        self, name: str, df: DataFrame, parts: list[str], sources: dict[str, Version] | None = None
+        self, name: str, df: DataFrame, units: list[str], sources: dict[str, Version] | None = None
     ) -> Version:
-        """Publish ``df`` in place of some parts; the others stay as they are.
+        """Publish ``df`` in place of some date units; the others stay as they are.
 
-        Every row of ``df`` must belong to one of ``parts``.
+        Every row of ``df`` must belong to one of ``units``.
         """
         old = self.version(name)
-        write_id = self.write_rows(name, df.select(*old.schema.names), old.layout)
+        write_id, failing = self.write_rows(name, df.select(*old.schema.names), old.layout)
         new = self.written_parts(name, write_id)
-        outside = set(new) - set(parts)
+        outside = {unit_of(p) for p in new} - set(units)
         if outside:
             raise ValueError(f"rows outside the replaced parts of {name}: {sorted(outside)[:5]}")
-        now = {p: w for p, w in old.parts.items() if p not in parts}
+        now = {p: w for p, w in old.parts.items() if unit_of(p) not in units}
         now.update(dict.fromkeys(new, write_id))
-        return self.commit(name, Version(old.number + 1, old.schema, old.layout, now, old.tags, _inputs(sources)))
+        return self.commit(name, old.after(now, new, failing, inputs=_inputs(sources)))
 
     def expire(self, name: str, retention: timedelta = RETENTION) -> None:
-        """Delete versions replaced longer ago than ``retention``, and rows as old that no
-        version left names: theirs only, or of a job that died.
-
-        The newest version and the one the catalog view names always stay, and so
-        does whatever a writer that has not committed yet put down since.
-        """
+        """Delete what was replaced longer ago than ``retention``: versions, but for the newest
+        and the one the catalog view names, and as old folders of parts that no version left names."""
         before = time.time() * 1000 - retention / timedelta(milliseconds=1)
         base = self.path(name)
-        replaced = {n: since for n, since in self._since(name) if since <= before}
+        published = sorted((int(p.rsplit("/", 1)[1].removesuffix(".json")), t) for p, t in self._ages(f"{base}/_versions/*.json"))
         shown = self._shown(name)
-        gone = [n for n in replaced if self._table(name, n) != shown]
-        for n in gone:
-            if self.catalog:
-                self.spark.sql(f"DROP TABLE IF EXISTS {self._table(name, n)}")
-            self._delete(f"{base}/_versions/{n}.json")
-        used: dict[str, set[str]] = {}
-        for n in self.versions(name):
-            for p, w in self.version(name, n).parts.items():
-                used.setdefault(w, set()).add(p)
-        for folder, changed in self._stats(f"{base}/_write=*"):
-            write_id = folder.rsplit("_write=", 1)[1]
-            if changed > before:
-                continue
-            if write_id not in used:
-                self._delete(folder)
-            elif gone:
-                for p in set(self.written_parts(name, write_id)) - used[write_id]:
-                    self._delete(f"{folder}/_part={p}")
+        for (n, _), (_, replaced) in zip(published, published[1:]):
+            if replaced <= before and (shown is None or n != shown.version):
+                self._delete(f"{base}/_versions/{n}.json")
+        held = [self.version(name, n).parts.items() for n in self.versions(name)]
+        used = {f"_write={w}{inside}" for parts in held for p, w in parts for inside in ("", f"/_part={p}")}
+        found = [x for pattern in ("_write=*", "_write=*/_part=*") for x in self._ages(f"{base}/{pattern}")]
+        gone = [f for f, changed in found if changed <= before and f[f.rindex("_write=") :] not in used]
+        for folder in gone:
+            self._delete(folder)
+        if shown is not None:
+            pairs = [tuple(x.partition("=")[2] for x in f.split("/")[-2:]) for f in gone if "/_part=" in f]
+            self._partitions(shown.table, "DROP IF EXISTS", pairs, ", ")
 
     def expire_all(self, retention: timedelta = RETENTION) -> None:
         for name in self.names():
             self.expire(name, retention)
 
-    def _since(self, name: str) -> list[tuple[int, int]]:
-        """(version, when it was replaced) of all but the newest, from the next one's file."""
-        files = self._stats(f"{self.path(name)}/_versions/*.json")
-        ages = sorted((int(p.rsplit("/", 1)[1].removesuffix(".json")), t) for p, t in files)
-        return [(n, after) for (n, _), (_, after) in zip(ages, ages[1:])]
-
-    def _stats(self, pattern: str) -> list[tuple[str, int]]:
+    def _ages(self, pattern: str) -> list[tuple[str, int]]:
         fs, jpath = hadoop_path(self.spark, pattern)
         return [(s.getPath().toString(), s.getModificationTime()) for s in fs.globStatus(jpath) or []]
 
@@ -308,41 +373,56 @@ class TableStore:
 
     # --- views ---------------------------------------------------------------
 
-    def _table(self, name: str, number: int) -> str:
-        """The external table of one version; stores of other roots have names of their own."""
-        return f"{name}__v{number}_{zlib.crc32(self.root.encode()):08x}"
-
-    def _shown(self, name: str) -> str | None:
-        """The version table that the catalog view names."""
+    def _shown(self, name: str) -> Shown | None:
+        """What the catalog view shows, if it is one of this store's."""
         if not self.spark.catalog.tableExists(name):
             return None
-        told = self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'View Text'").first()
-        return told["data_type"].rsplit(" ", 1)[1] if told else None
+        told = {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+        if told.get("lakelayers.root") != self.root:
+            return None
+        return Shown(int(told["lakelayers.version"]), told["lakelayers.table"])
 
     def publish_view(self, name: str, v: Version | None = None) -> None:
         """Point the catalog view ``schema.table`` at a version, the newest by default.
 
-        The version's folders become the partitions of an external table, so
-        queries through the view prune parts. That table is made beside the one
-        in use, and replacing the view is one step; if the view names the
-        version already, nothing is done.
+        Folders of parts are partitions of an external table. A commit adds
+        those it wrote, which no reader sees yet, and then replaces the view, in
+        one step, by one that names the current ones. What was replaced stays in
+        the catalog until ``expire``, for plans that were made before. So a
+        commit tells the catalog about changed parts only.
         """
         v = v or self.version(name)
-        schema, table = name.split(".")[0], self._table(name, v.number)
-        if self._shown(name) == table:
+        shown = self._shown(name)
+        if shown is not None and shown.version == v.number:
             return
-        self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema} LOCATION '{self.root}/{schema}'")
-        self.spark.sql(f"DROP TABLE IF EXISTS {table}")
-        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in v.schema.fields)
-        self.spark.sql(
-            f"CREATE TABLE {table} ({fields}, `_write` string, `_part` string) USING parquet "
-            f"PARTITIONED BY (`_write`, `_part`) LOCATION '{self.path(name)}'"
+        schema, columns = name.split(".")[0], ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in v.schema.fields)
+        table = f"{name}__v{zlib.crc32(f'{self.root} {columns}'.encode()):08x}"
+        was: set[tuple[str, str]] = set()
+        if shown is not None and shown.table == table and shown.version in self.versions(name):
+            was = {(w, p) for p, w in self.version(name, shown.version).parts.items()}
+        else:
+            self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema} LOCATION '{self.root}/{schema}'")
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+            self.spark.sql(
+                f"CREATE TABLE {table} ({columns}, `_write` string, `_part` string) USING parquet "
+                f"PARTITIONED BY (`_write`, `_part`) LOCATION '{self.path(name)}'"
+            )
+        self._partitions(table, "ADD IF NOT EXISTS", sorted({(w, p) for p, w in v.parts.items()} - was), " ")
+        current = " OR ".join(
+            f"(`_write` = '{w}' AND `_part` IN ({', '.join(f"'{p}'" for p in ps)}))" for w, ps in sorted(_by_write(v.parts).items())
         )
-        current = [(w, p) for p, w in v.parts.items()]
-        for i in range(0, len(current), 500):
-            added = " ".join(f"PARTITION (`_write`='{w}', `_part`='{p}')" for w, p in current[i : i + 500])
-            self.spark.sql(f"ALTER TABLE {table} ADD {added}")
-        create_latest_version_view(self.spark, table, name, v.schema.names)
+        rows = f"(SELECT {', '.join(f'`{c}`' for c in v.schema.names)} FROM {table} WHERE {current or 'false'})"
+        told = {"root": self.root, "version": v.number, "table": table}
+        properties = ", ".join(f"'lakelayers.{k}' = '{x}'" for k, x in told.items())
+        text = (v.reading or "SELECT * FROM {rows}").format(rows=rows)
+        self.spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ({properties}) AS {text}")
+        if shown is not None and shown.table != table:
+            self.spark.sql(f"DROP TABLE IF EXISTS {shown.table}")
+
+    def _partitions(self, table: str, what: str, pairs: list[tuple[str, str]], between: str) -> None:
+        for i in range(0, len(pairs), 500):
+            named = between.join(f"PARTITION (`_write`='{w}', `_part`='{p}')" for w, p in pairs[i : i + 500])
+            self.spark.sql(f"ALTER TABLE {table} {what} {named}")
 
     def publish_views(self) -> list[str]:
         """All views that do not name the newest version, as at the start of a session without a metastore."""
@@ -367,6 +447,13 @@ def as_view(spark: SparkSession, name: str, sql: str) -> DataFrame:
     return spark.table(name)
 
 
+def _by_write(parts: dict[str, str]) -> dict[str, list[str]]:
+    writes: dict[str, list[str]] = {}
+    for p, w in parts.items():
+        writes.setdefault(w, []).append(p)
+    return writes
+
+
 def _inputs(sources: dict[str, Version] | None) -> dict[str, dict[str, str]]:
     return {name: v.parts for name, v in (sources or {}).items()}
 

@@ -12,7 +12,10 @@ from lakelayers.operators.publish import Layout
 
 # Orders of all stores and both ways of delivery are split by month of creation,
 # which does not change over an order's life; revenue is split alike.
-ORDER_LAYOUT = Layout("created_at_date", "month")
+ORDER_LAYOUT = Layout("created_at_date", "month", mark="updated_at")
+# A stream's small batches rewrite a bucket of a month, and read the buckets of their orders.
+STREAM_LAYOUT = Layout("created_at_date", "month", ("order_id",), settings.KEY_BUCKETS)
+CUSTOMER_STREAM_LAYOUT = Layout(keys=("customer_id",), buckets=settings.KEY_BUCKETS)
 
 
 def orders(raw: DataFrame, platform: Column | str) -> DataFrame:

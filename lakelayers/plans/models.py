@@ -9,9 +9,10 @@ from datetime import timedelta
 from pyspark.sql import DataFrame
 
 from lakelayers.context import Context
-from lakelayers.operators.conform import changed_rows
+from lakelayers.operators.conform import changed_rows, rows_after
 from lakelayers.operators.merge import merge
 from lakelayers.operators.publish import Layout, as_view
+from lakelayers.operators.quality import Check, row_tests
 
 KINDS = ("view", "table", "incremental")
 
@@ -26,7 +27,7 @@ class Model:
     whose ``changed_on`` is newer than anything it holds, and of each key the
     newer row stays. ``None`` leaves the kind to the context.
 
-    ``layout`` splits the table, the same way at any size.
+    ``layout`` splits the table; its buckets are the run's to choose.
     """
 
     name: str
@@ -37,6 +38,8 @@ class Model:
     changed_on: str | None = None
     lookback: timedelta | None = None
     inputs: tuple[str, ...] = ()
+    tests: tuple[Check, ...] = ()
+    """Tests of single rows that are counted while they are written."""
 
     @property
     def layer(self) -> str:
@@ -72,12 +75,16 @@ def run_model(ctx: Context, model: Model, full_refresh: bool = False) -> Outcome
     sources = {name: ctx.tables.version(name) for name in model.inputs}
     if kind == "table" and model.inputs and old is not None and not full_refresh and not old.stale_parts(sources):
         return Outcome(model.layer, model.name, old.number)
+    tests = row_tests(model.tests)
     rows = model.build(ctx)
     if isinstance(rows, str):
         rows = ctx.spark.sql(rows)
     if kind == "table" or full_refresh or old is None:
-        new = ctx.tables.replace(model.name, rows, model.layout, sources=sources)
+        new = ctx.tables.replace(model.name, rows, ctx.layout(model.name, model.layout), sources=sources, tests=tests)
     else:
-        changes = changed_rows(rows, ctx.tables.read_version(model.name, old), model.changed_on, model.lookback)
-        new = merge(ctx.tables, model.name, changes, model.unique_key, newer_by=model.changed_on).version
+        if old.layout.mark == model.changed_on:
+            changes = rows_after(rows, ctx.tables.newest(model.name, old), model.changed_on, model.lookback)
+        else:
+            changes = changed_rows(rows, ctx.tables.read_version(model.name, old), model.changed_on, model.lookback)
+        new = merge(ctx.tables, model.name, changes, model.unique_key, newer_by=model.changed_on, tests=tests).version
     return Outcome(model.layer, model.name, new.number)

@@ -232,6 +232,7 @@ FROM bronze b LEFT JOIN raw_customers c ON c.platform = b.platform AND c.custome
     "revenue_by_month": _MONTHLY,
     "gold_revenue_daily": _BASE + _DAILY.format(table="bronze"),
     "high_water_mark": f"{_BASE} SELECT platform, max(updated_at) AS high_water FROM bronze GROUP BY platform",
+    "stored_high_water_mark": f"{_BASE} SELECT platform, max(updated_at) AS high_water FROM bronze GROUP BY platform",
     "incremental_filter": f"""{_BASE}
 SELECT * FROM bronze
 WHERE updated_at > (SELECT max(updated_at) FROM bronze WHERE created_at_date < DATE '1998-07-01')""",
@@ -243,10 +244,19 @@ WHERE updated_at > (SELECT max(updated_at) - INTERVAL 2 DAY FROM bronze WHERE cr
     "table_rebuild": f"{_SEED}, round(p_retailprice * CAST(1.1 AS DOUBLE), 2) AS price_with_tax FROM part",
     "view_model": f"""{_BASE}, daily AS ({_DAILY.format(table="bronze")})
 SELECT platform, CAST(sum(orders) AS BIGINT) AS orders, count(*) AS days FROM daily GROUP BY platform""",
-    "view_of_view": f"""{_MERGED}
+    "view_of_view": f"""{_MERGED},
+streamed AS (
+  SELECT * REPLACE (
+    CASE order_id % 10 WHEN 5 THEN 'streamed' WHEN 7 THEN 'zzz' WHEN 8 THEN 'keyless' END AS financial_status,
+    CASE WHEN order_id % 10 <> 8 THEN order_id END AS order_id)
+  FROM bronze WHERE platform = 'yoga-us' AND order_id % 10 IN (5, 7, 8)
+),
+latest AS (
+  SELECT * FROM merged WHERE NOT (platform = 'yoga-us' AND order_id % 10 IN (5, 7)) UNION ALL SELECT * FROM streamed
+)
 SELECT c.country AS customer_country, m.financial_status, count(*) AS orders,
        CAST(sum(CAST(m.total_price AS DECIMAL(18,2))) AS DOUBLE) AS revenue
-FROM merged m LEFT JOIN raw_customers c ON c.platform = m.platform AND c.customer_id = m.customer_id GROUP BY 1, 2""",
+FROM latest m LEFT JOIN raw_customers c ON c.platform = m.platform AND c.customer_id = m.customer_id GROUP BY 1, 2""",
     "latest_version_view": f"{_MERGED} SELECT order_id, platform, financial_status, updated_at FROM merged",
     "preview_rows": f"""{_BASE}
 SELECT order_id, platform, financial_status, total_price FROM bronze ORDER BY order_id, platform LIMIT 20""",
@@ -254,7 +264,7 @@ SELECT order_id, platform, financial_status, total_price FROM bronze ORDER BY or
 SELECT order_id, created_at_date, total_price FROM bronze
 WHERE created_at_date BETWEEN DATE '1998-02-01' AND DATE '1998-02-28'""",
     "part_files": f"""{_BASE}
-SELECT strftime(created_at_date, '%Y-%m') AS month, CAST(1 AS BIGINT) AS files, count(*) AS orders FROM bronze GROUP BY 1""",
+SELECT strftime(created_at_date, '%Y-%m') AS month, count(*) AS orders, true AS files_bounded FROM bronze GROUP BY 1""",
     "scd2_snapshot": f"""{_CHANGED}
 SELECT platform, order_id, financial_status, total_price, updated_at, updated_at AS valid_from,
        CASE WHEN order_id % 10 = 0 THEN updated_at + INTERVAL 10 YEAR

@@ -8,8 +8,10 @@ new folder below the session's shared scratch folder.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timedelta
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,7 +22,7 @@ from lakelayers.functions import expressions as x
 from lakelayers.operators import conform, monitors, quality
 from lakelayers.operators.history import snapshot
 from lakelayers.operators.merge import merge
-from lakelayers.operators.publish import TableStore, as_view, create_latest_version_view
+from lakelayers.operators.publish import ROWS_PER_FILE, Layout, TableStore, as_view, create_latest_version_view
 from lakelayers.operators.quality import Check
 from lakelayers.plans import bronze, gold, runs, silver
 from lakelayers.plans.models import Model, run_model
@@ -39,6 +41,7 @@ TEST_DAY = datetime(2000, 1, 1)
 INITIAL_LOAD_END = "1998-07-01"
 SECOND_LOT, THIRD_LOT = datetime(2024, 1, 11), datetime(2024, 1, 21)
 DELAY_HOURS = 12
+ROW_BYTES = 512
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -188,8 +191,8 @@ def stream_store_union(ctx: Context) -> DataFrame:
     root = ctx.tables.root
     raw = {source: ctx.source(source, "customers") for source in settings.STORE_STREAM_SOURCES.values()}
     streams = ParquetSources(ctx.spark, f"{root}/_raw", {(source, "customers"): df.schema for source, df in raw.items()})
-    for source, df in raw.items():
-        df.write.parquet(streams.path(source, "customers"))
+    with ThreadPoolExecutor(max_workers=len(raw)) as pool:
+        list(pool.map(inheritable_thread_target(ctx.spark)(lambda s: raw[s].write.parquet(streams.path(s, "customers"))), raw))
     stream = conform.union_stores(settings.STORE_STREAM_SOURCES, lambda source: streams.stream(source, "customers"))
     stream = stream.select("customer_id", "platform", "country", "balance", "updated_at")
     ingest.append_files(stream, f"{root}/_out", f"{root}/_checkpoint").awaitTermination()
@@ -227,10 +230,18 @@ def gold_revenue_daily(ctx: Context) -> DataFrame:
 
 @query
 def high_water_mark(ctx: Context) -> DataFrame:
-    orders = bronze.all_orders(ctx)
-    marks = {store: conform.high_water(orders.filter(F.col("platform") == store), "updated_at") for store in settings.STORE_SOURCES}
-    known = [ctx.spark.range(1).select(F.lit(store).alias("platform"), mark.alias("high_water")) for store, mark in marks.items() if mark is not None]
-    return monitors.union_all(known)
+    return conform.high_water_marks(bronze.all_orders(ctx), "platform", "updated_at")
+
+
+@writing()
+def stored_high_water_mark(ctx: Context) -> DataFrame:
+    """Each store's newest order as the footers of its published table's files tell it."""
+    marks = []
+    for store, model in runs.STORE_MODELS.items():
+        ctx.tables.replace(model.name, bronze.store_orders(ctx, store), model.layout)
+        newest = ctx.tables.newest(model.name, ctx.tables.version(model.name))
+        marks.append(ctx.spark.range(1).select(F.lit(store).alias("platform"), newest.alias("high_water")))
+    return monitors.union_all(marks)
 
 
 @query
@@ -289,10 +300,13 @@ def view_model(ctx: Context) -> DataFrame:
 
 @writing(catalog=True)
 def view_of_view(ctx: Context) -> DataFrame:
-    """Gold over a silver view model, after its inputs have moved on."""
+    """Gold over a silver view model, after its inputs have moved on: batch orders, and a
+    stream that brings newer rows, older ones, ties and orders without a key."""
     ctx.tables.replace("silver.customers_of_view", silver.customers(ctx.sources.scan_stores("customers")))
     _first_load(ctx, "bronze.orders_of_view")
-    sql = silver.orders_enriched_sql(["bronze.orders_of_view"], [], "silver.customers_of_view")
+    ctx.tables.replace("bronze.streamed_of_view", _streamed_again(bronze.all_orders(ctx)), bronze.STREAM_LAYOUT)
+    schema = ctx.tables.version("bronze.orders_of_view").schema
+    sql = silver.orders_enriched_sql(["bronze.orders_of_view"], ["bronze.streamed_of_view"], "silver.customers_of_view", schema)
     run_model(ctx, Model("silver.orders_view", lambda c: sql, "view"))
     merge(ctx.tables, "bronze.orders_of_view", _changes(ctx), ORDER_KEYS)
     return ctx.ref("silver.orders_view").groupBy("customer_country", "financial_status").agg(
@@ -300,6 +314,18 @@ def view_of_view(ctx: Context) -> DataFrame:
     )
 
 
+def _streamed_again(orders: DataFrame) -> DataFrame:
+    """Some of one store's orders: newer (5), tied and smaller (6), tied and greater (7), without a key (8), older (9)."""
+    digit, day = F.col("order_id") % 10, F.expr("INTERVAL '1' DAY")
+    status = {5: "streamed", 6: "aaa", 7: "zzz", 8: "keyless", 9: "stale"}
+    rows = orders.filter((F.col("platform") == "yoga-us") & digit.isin(*status))
+    return rows.withColumns({
+        "updated_at": F.when(digit == 5, F.col("updated_at") + day).when(digit == 9, F.col("updated_at") - day).otherwise(F.col("updated_at")),
+        "financial_status": x.case_map(digit.cast("string"), {str(k): v for k, v in status.items()}),
+        "order_id": F.when(digit != 8, F.col("order_id")),
+    })
+
+
 @writing(catalog=True)
 def latest_version_view(ctx: Context) -> DataFrame:
     name = "bronze.orders_by_view"
@@ -331,10 +357,16 @@ def clustered_layout(ctx: Context) -> DataFrame:
 
 @writing()
 def part_files(ctx: Context) -> DataFrame:
-    """Files and rows of each month that a write of many tasks leaves behind."""
+    """Rows of each month that a write of many tasks leaves behind, and whether its files
+    are as many as their bounds ask for: a task's share of the shuffle, and rows."""
     ctx.tables.replace("bronze.orders", bronze.all_orders(ctx).repartition(8), bronze.ORDER_LAYOUT)
     stored = ctx.ref("bronze.orders").select(F.date_format("created_at_date", "yyyy-MM").alias("month"), F.input_file_name().alias("file"))
-    return stored.groupBy("month").agg(F.count_distinct("file").alias("files"), F.count("*").alias("orders"))
+    files = stored.groupBy("month", "file").agg(F.count("*").alias("rows"))
+    by_month = files.groupBy("month").agg(F.sum("rows").alias("orders"), F.count("*").alias("files"), F.max("rows").alias("most"))
+    share = ctx.spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes").removesuffix("b")
+    # Run-time splitting cuts a month by the bytes its rows have in the shuffle: at most ROW_BYTES each.
+    allowed = 1 + F.ceil(F.col("orders") * ROW_BYTES * 2 / int(share)) + F.ceil(F.col("orders") / ROWS_PER_FILE)
+    return by_month.select("month", "orders", ((F.col("files") <= allowed) & (F.col("most") <= ROWS_PER_FILE)).alias("files_bounded"))
 
 
 @writing()
@@ -479,7 +511,8 @@ def stream_dedup_events(ctx: Context) -> DataFrame:
     for delivery in (events.filter(~late), events.filter(F.col("event_id") % 10 == 0), events.filter(late)):
         delivery.write.mode("append").parquet(drop)
         stream = ctx.spark.readStream.schema(events.schema).parquet(drop)
-        ingest.take_in(stream, ctx.tables, name, ["event_id"], "ts", checkpoint).awaitTermination()
+        layout = ctx.layout(name, Layout("ts", "month", ("event_id",), settings.KEY_BUCKETS))
+        ingest.take_in(stream, ctx.tables, name, ["event_id"], "ts", checkpoint, layout).awaitTermination()
     return ctx.ref(name)
 
 

@@ -22,7 +22,7 @@ from lakelayers.operators import monitors, quality
 from lakelayers.operators.conform import latest_per_key
 from lakelayers.operators.history import snapshot
 from lakelayers.operators.merge import merge
-from lakelayers.operators.publish import Layout, Version
+from lakelayers.operators.publish import Layout, Version, unit_of
 from lakelayers.operators.quality import Check
 from lakelayers.plans import bronze, gold, silver
 from lakelayers.plans.models import Model, Outcome, run_model
@@ -37,17 +37,20 @@ SNAPSHOT = "snapshots.customers"
 HISTORY = "mgt.metric_history"
 SEEN_SCHEMAS = "mgt.seen_schemas"
 PRODUCTS = "public.products"
+DAY_LAYOUT = Layout("created_at_date", "month")
 
 
 def store_model(store: str) -> Model:
     """Bronze orders of one store, merged by order."""
+    name = f"bronze.br_{settings.STORE_SOURCES[store].removeprefix('src_')}_orders"
     return Model(
-        f"bronze.br_{settings.STORE_SOURCES[store].removeprefix('src_')}_orders",
+        name,
         lambda ctx: bronze.store_orders(ctx, store),
         "incremental",
         unique_key=("order_id",),
         layout=bronze.ORDER_LAYOUT,
         changed_on="updated_at",
+        tests=(Check(name, "not_null", ("order_id",)),),
     )
 
 
@@ -63,11 +66,14 @@ CUSTOMER_MODEL = Model(
     lambda ctx: silver.customers(ctx.sources.scan_stores("customers")),
     "incremental",
     unique_key=("platform", "customer_id"),
+    layout=Layout(keys=("platform", "customer_id"), buckets=settings.KEY_BUCKETS, mark="updated_at"),
     changed_on="updated_at",
 )
 # Not stored: a stored copy would have to be rebuilt whenever a customer changes.
 ORDERS_MODEL = Model(
-    ORDERS_ENRICHED, lambda ctx: silver.orders_enriched_sql(ORDER_TABLES, _streamed(ctx), CUSTOMERS), "view"
+    ORDERS_ENRICHED,
+    lambda ctx: silver.orders_enriched_sql(ORDER_TABLES, _streamed(ctx), CUSTOMERS, ctx.tables.version(ORDER_TABLES[0]).schema),
+    "view",
 )
 # Months are sums of days, and there are far fewer days than orders.
 MONTHLY_MODEL = Model(
@@ -152,24 +158,26 @@ def order_versions(ctx: Context) -> dict[str, Version]:
 
 
 def bronze_orders(
-    ctx: Context, versions: dict[str, Version] | None = None, parts: list[str] | None = None
+    ctx: Context, versions: dict[str, Version] | None = None, months: list[str] | None = None
 ) -> DataFrame:
-    """All stores' published bronze orders, or those of some date parts.
+    """All stores' published bronze orders, or those of some months.
 
     Where a stream brings the same orders, the newer row of each. An order
-    stays in the part of its creation, so parts can be read by themselves.
+    stays in the month of its creation, so months can be read by themselves.
     """
     versions = versions or order_versions(ctx)
-    orders = monitors.union_all([ctx.tables.read_version(t, v, parts) for t, v in versions.items()])
+    orders = monitors.union_all([
+        ctx.tables.read_version(t, v, None if months is None else v.of_units(months)) for t, v in versions.items()
+    ])
     if not set(versions) & set(STREAM_TABLES):
         return orders
-    return latest_per_key(orders, ["platform", "order_id"], ["updated_at"])
+    return latest_per_key(orders, silver.ORDER_KEYS, ["updated_at"])
 
 
 def run_revenue_daily(ctx: Context, full: bool) -> Outcome:
-    """Daily revenue, recomputed for the parts whose bronze orders changed.
+    """Daily revenue, recomputed for the months whose bronze orders changed.
 
-    A day belongs to one part, so no other part can change. What the stored
+    A day belongs to one month, so no other month can change. What the stored
     version was made of is recorded with it, so a run that died after bronze
     is made up for by the next.
     """
@@ -177,18 +185,17 @@ def run_revenue_daily(ctx: Context, full: bool) -> Outcome:
     old = ctx.tables.version(REVENUE_DAILY)
     if full or old is None:
         daily = gold.revenue_daily(bronze_orders(ctx, sources))
-        v = ctx.tables.replace(REVENUE_DAILY, daily, bronze.ORDER_LAYOUT, sources=sources)
+        v = ctx.tables.replace(REVENUE_DAILY, daily, DAY_LAYOUT, sources=sources)
         return Outcome("gold", REVENUE_DAILY, v.number)
-    parts = sorted(old.stale_parts(sources))
-    if not parts:
+    months = sorted({unit_of(p) for p in old.stale_parts(sources)})
+    if not months:
         return Outcome("gold", REVENUE_DAILY, old.number)
-    daily = gold.revenue_daily(bronze_orders(ctx, sources, parts))
-    return Outcome("gold", REVENUE_DAILY, ctx.tables.replace_parts(REVENUE_DAILY, daily, parts, sources).number)
+    daily = gold.revenue_daily(bronze_orders(ctx, sources, months))
+    return Outcome("gold", REVENUE_DAILY, ctx.tables.replace_parts(REVENUE_DAILY, daily, months, sources).number)
 
 
 def run_tests(ctx: Context, checks: Sequence[Check] = CHECKS) -> DataFrame:
-    tables = dict.fromkeys(c.table for c in checks)
-    return quality.run_checks(ctx.spark, {t: ctx.ref(t) for t in tables}, checks, ctx.now)
+    return quality.run_recorded(ctx.tables, checks, ctx.now)
 
 
 def run_source_freshness(ctx: Context) -> DataFrame:

@@ -6,8 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lakelayers.operators.conform import join_dimension, latest_per_key
+from lakelayers.operators.conform import join_dimension, latest_per_key, latest_sql
+
+ORDER_KEYS = ("platform", "order_id")
 
 
 def customers(raw: DataFrame) -> DataFrame:
@@ -25,15 +28,14 @@ def orders_enriched(orders: DataFrame, customers: DataFrame) -> DataFrame:
     return join_dimension(orders, dim, ["platform", "customer_id"])
 
 
-def orders_enriched_sql(stored: Sequence[str], streamed: Sequence[str], customers: str) -> str:
+def orders_enriched_sql(stored: Sequence[str], streamed: Sequence[str], customers: str, schema: T.StructType) -> str:
     """``orders_enriched`` over published views: orders of batch tables and, where a stream
-    brings the same orders, the newest row of each."""
-    orders = " UNION ALL ".join(f"SELECT * FROM {t}" for t in [*stored, *streamed])
+    brings the same orders, the newest row of each, by the rule of ``latest_per_key``.
+    ``schema`` is that of each of the order tables."""
+    columns = ", ".join(f"`{c}`" for c in schema.names)
+    orders = " UNION ALL ".join(f"SELECT {columns} FROM {t}" for t in [*stored, *streamed])
     if streamed:
-        orders = (
-            f"SELECT * EXCEPT (_nth) FROM (SELECT *, row_number() OVER (PARTITION BY platform, order_id "
-            f"ORDER BY updated_at DESC) AS _nth FROM ({orders})) WHERE _nth = 1"
-        )
+        orders = latest_sql(f"({orders})", schema, ORDER_KEYS, ["updated_at"])
     return (
         "SELECT o.*, c.country AS customer_country, c.balance AS customer_balance "
         f"FROM ({orders}) o LEFT JOIN {customers} c ON o.platform = c.platform AND o.customer_id = c.customer_id"

@@ -15,12 +15,16 @@ RESULT_CONF = {
     "spark.sql.ansi.enabled": "true",
 }
 
-# Plans depend on these: run-time join choice, skew splitting, small-partition merging.
+# Plans depend on these: run-time join choice, skew splitting, small-partition merging, run-time filters.
 PLAN_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Bloom filters of merge keys: from the size of one shuffle task on, and of more changes than by default.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "128MB",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "256MB",
 }
 
 SHUFFLE_BYTES_PER_TASK = 128 << 20

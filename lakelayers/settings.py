@@ -53,6 +53,7 @@ CUTOFFS = {
     "shopify_product_variant_active_list_cutoff_date": "2026-01-13",
 }
 
+# The canonical name of the zone whose alias the project gives.
 REPORTING_TIME_ZONE = "America/Los_Angeles"
 
 # --- fixed values: source freshness limits --------------------------------
@@ -78,6 +79,10 @@ MONITORS = (
 ANOMALY_RUNS = 14
 ANOMALY_SIGMAS = 3.0
 
+# Our choice: buckets by key of each date unit of a table that takes small changes all the
+# time. ``Context.buckets`` says otherwise for a table; choose as many as keep a bucket small.
+KEY_BUCKETS = 4
+
 # --- fixed values: shuffle partitions by kind of run -----------------------
 SHUFFLE_PARTITIONS = {"daily": 200, "full_refresh": 400}
 

@@ -129,7 +129,9 @@ def take_in(
     """Add the events of each batch whose key the table ``name`` does not hold yet.
 
     However late a new event is, it gets in; a copy of one that is stored does
-    not. The table itself is the memory, so nothing is forgotten.
+    not. The table itself is the memory, so nothing is forgotten. Give a layout
+    with buckets by key: a batch reads the buckets of its keys, and rewrites
+    those that get new rows.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -169,7 +171,8 @@ def upsert(
     """Merge every batch of a stream into ``name``.
 
     A batch may be delivered again after a failure: one recorded with the
-    table is skipped, and a change older than the stored row is left out.
+    table is skipped, and a change older than the stored row is left out. With
+    buckets by key in the layout, a batch reads and rewrites those of its keys.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -198,10 +201,10 @@ def upsert_store(ctx: Context, store: str, table: str, checkpoints: str, max_fil
     source = settings.STORE_STREAM_SOURCES[store]
     name = f"bronze.{source}_{table}"
     if table == "orders":
-        model, key, layout = (lambda raw: bronze.orders(raw, store)), "order_id", bronze.ORDER_LAYOUT
+        model, key, layout = (lambda raw: bronze.orders(raw, store)), "order_id", bronze.STREAM_LAYOUT
     else:
-        model, key, layout = (lambda raw: raw), "customer_id", Layout()
+        model, key, layout = (lambda raw: raw), "customer_id", bronze.CUSTOMER_STREAM_LAYOUT
     return upsert(
         ctx.sources.stream(source, table, max_files), ctx.tables, name, model, [key], "updated_at",
-        f"{checkpoints}/{source}/{table}", layout,
+        f"{checkpoints}/{source}/{table}", ctx.layout(name, layout),
     )

@@ -1,11 +1,15 @@
+import glob
+import os
 from datetime import datetime
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from lakelayers.operators.history import CLOSED, snapshot
+from lakelayers.operators import history as history_of
+from lakelayers.operators.history import snapshot
 from lakelayers.operators.merge import DuplicateKeyError
+from lakelayers.operators.publish import TableStore
 
 NAME = "snapshots.t"
 
@@ -77,13 +81,43 @@ def test_snapshot_twice_changes_nothing(spark, store):
     assert history(store) == once
 
 
-def test_only_touched_buckets_and_months_are_written(spark, store):
-    take(spark, store, [(i, "a", 1) for i in range(100)], 5)
-    first = store.version(NAME)
-    assert len(first.parts) > 10
-    second = take(spark, store, [(0, "b", 6)] + [(i, "a", 1) for i in range(1, 100)], 7)
-    written = {p for p, w in second.parts.items() if first.parts.get(p) != w}
-    assert len(written) == 2 and f"{CLOSED}-2024-01" in written
+def test_a_run_writes_what_changed_and_nothing_else(spark, store):
+    """1 % of the keys changed: about 1 % of the bytes, by new files only."""
+
+    def stored():
+        files = glob.glob(f"{store.path(NAME)}/_write=*/_part=*/*.parquet")
+        return {f: os.path.getsize(f) for f in files}
+
+    def state(changed):
+        df = spark.range(0, 200_000, 1, 4).selectExpr("id", "sha2(cast(id AS string), 256) AS v", "IF(id < 200000 * {} / 100, 9, 1) AS d".format(changed))
+        return df.selectExpr("id", "concat(v, d) AS v", "make_timestamp(2024, 1, d, 0, 0, 0) AS updated_at")
+
+    first = snapshot(store, NAME, state(0), ["id"], lit(day(5)), updated_at="updated_at")
+    before = stored()
+    second = snapshot(store, NAME, state(1), ["id"], lit(day(10)), updated_at="updated_at")
+    after = stored()
+    assert before.items() <= after.items()
+    assert sum(after.values()) - sum(before.values()) < 0.015 * sum(before.values())
+    assert first.parts.items() < second.parts.items() and len(second.parts) == 2
+    found = store.read(NAME)
+    assert found.count() == 202_000 and found.filter("is_current").count() == 200_000
+    assert found.filter("valid_to = valid_from").isEmpty()
+
+
+def test_the_catalog_view_shows_periods(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    rows_of = [[(1, "a", 1), (2, "b", 1)], [(1, "A", 6)]]
+    for n, data in enumerate(rows_of):
+        snapshot(store, "shown.t", source(spark, data), ["id"], lit(day(10 + n)), updated_at="updated_at")
+    assert rows(spark.table("shown.t")) == rows(store.read("shown.t"))
+    assert spark.table("shown.t").columns == ["id", "v", "updated_at", "valid_from", "valid_to", "is_current"]
+
+
+def test_a_run_reads_of_the_log_what_it_compares(spark, store):
+    take(spark, store, [(1, "a", 1)], 5)
+    last = history_of._last(store.read_version(NAME, store.version(NAME)), ["id"], ["updated_at"])
+    plan = last._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<id:bigint,updated_at:timestamp,valid_from:timestamp,_gone:boolean,_run:bigint>" in plan
 
 
 def test_an_unchanged_snapshot_publishes_nothing(spark, store):
