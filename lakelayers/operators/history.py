@@ -67,10 +67,9 @@ def snapshot(
                 return old
         part = f"run-{number:08d}"
         schema = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema.fields])
-        write_id, _ = tables.write_rows(name, rows, Layout(), F.lit(part))
-        written = tables.written_parts(name, write_id)
+        written, _ = tables.write_rows(name, rows, Layout(), F.lit(part))
 
-    parts = {**(old.parts if old else {}), **dict.fromkeys(written, write_id)}
+    parts = {**(old.parts if old else {}), **written}
     return tables.commit(name, Version(number, schema, Layout(), parts, reading=periods_sql(columns, keys)))
 
 

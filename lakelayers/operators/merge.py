@@ -145,12 +145,10 @@ def merge(
 
         before = stored_rows.filter(F.col("_part").isin(touched)).select(*old.schema.names)
         rows = without_keys(before, fresh, keys).unionByName(fresh)
-        write_id, failing = tables.write_rows(name, rows.select(*old.schema.names), old.layout, tests=tests)
-        new = tables.written_parts(name, write_id)
+        new, failing = tables.write_rows(name, rows.select(*old.schema.names), old.layout, tests=tests)
 
     parts = {p: w for p, w in old.parts.items() if p not in touched}
-    parts.update(dict.fromkeys(new, write_id))
-    return MergeResult(tables.commit(name, old.after(parts, new, failing, tags=tags)), touched)
+    return MergeResult(tables.commit(name, old.after({**parts, **new}, new, failing, tags=tags)), touched)
 
 
 def matched(target: DataFrame, fresh: DataFrame, keys: Sequence[str], near: Column | None) -> DataFrame:

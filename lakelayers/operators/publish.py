@@ -35,7 +35,7 @@ from lakelayers.session import hadoop_path, read_text, write_text
 ROWS_PER_FILE = 20_000_000
 WHOLE = "all"
 NO_DATE = "none"
-MARK = "_mark"
+MARK, NO_MARK = "_mark", -(1 << 63)
 UNIT_FORMATS = {"year": "yyyy", "month": "yyyy-MM", "day": "yyyy-MM-dd"}
 # How long a replaced version, and what no version names, stays readable.
 RETENTION = timedelta(days=7)
@@ -237,7 +237,7 @@ class TableStore:
     def newest(self, name: str, v: Version) -> Column | None:
         """The maximum of the marked column of a version, as a literal; None if there is no value."""
         value = self.marks(name, v).agg(F.max(MARK)).first()[0] if v.parts else None
-        return None if value is None else F.timestamp_micros(F.lit(value))
+        return None if value in (None, NO_MARK) else F.timestamp_micros(F.lit(value))
 
     def marks(self, name: str, v: Version) -> DataFrame:
         """The marks of a version. Their maximum is taken from the files' footers: no row is read.
@@ -248,16 +248,17 @@ class TableStore:
         aside = self.spark.newSession()
         v1 = aside.conf.get("spark.sql.sources.useV1SourceList").split(",")
         aside.conf.set("spark.sql.sources.useV1SourceList", ",".join(x for x in v1 if x != "parquet"))
-        aside.conf.set("spark.sql.parquet.aggregatePushdown.enabled", "true")
+        aside.conf.set("spark.sql.parquet.aggregatePushdown", "true")
         return aside.read.schema(f"{MARK} bigint").parquet(*[f"{self.path(name)}/_write={w}/_part={p}" for p, w in v.parts.items()]).select(MARK)
 
     # --- writing -------------------------------------------------------------
 
     def write_rows(
         self, name: str, df: DataFrame, layout: Layout, part: Column | None = None, tests: Tests | None = None
-    ) -> tuple[str, dict[str, list[str]]]:
-        """Write rows to a new folder that no version names yet; gives its id, and for
-        each of ``tests`` the parts with a row that fails it, seen as the rows go by.
+    ) -> tuple[dict[str, str], dict[str, list[str]]]:
+        """Write rows to a new folder that no version names yet; gives the parts written, as
+        a version names them, and for each of ``tests`` those with a row that fails it, seen
+        as the rows go by.
 
         Rows of one part go to one task, so a part is few files; run-time
         splitting breaks up a part that is too big for one. Each file is sorted
@@ -270,16 +271,18 @@ class TableStore:
             # A set, so what is seen twice because a task was run again counts once.
             rows = rows.observe(seen, *[F.collect_set(F.when(fails, F.col("_part"))).alias(t) for t, fails in tests.items()])
         if layout.mark:
-            rows = rows.withColumn(MARK, F.unix_micros(F.col(layout.mark).cast("timestamp")))
+            # First in the file, because footers are asked by the place of a column in the schema that
+            # is read, and never null, because a file of nulls has no maximum to tell.
+            mark = F.coalesce(F.unix_micros(F.col(layout.mark).cast("timestamp")), F.lit(NO_MARK))
+            rows = rows.select(mark.alias(MARK), "*")
         if layout.column is not None or layout.buckets > 1 or part is not None:
             rows = rows.hint("rebalance", F.col("_part"))
             rows = rows.sortWithinPartitions("_part", *([layout.column] if layout.column else []))
         rows.write.option("maxRecordsPerFile", ROWS_PER_FILE).partitionBy("_part").parquet(f"{self.path(name)}/_write={write_id}")
-        return write_id, {t: sorted(seen.get.get(t) or []) for t in tests or ()}
-
-    def written_parts(self, name: str, write_id: str) -> list[str]:
         found = self._names(f"{self.path(name)}/_write={write_id}/_part=*")
-        return sorted(p.rsplit("_part=", 1)[1] for p in found)
+        parts = dict.fromkeys(sorted(p.rsplit("_part=", 1)[1] for p in found), write_id)
+        # Where there are no rows Spark may leave out to look at them.
+        return parts, {t: sorted(seen.get[t]) if parts else [] for t in tests or ()}
 
     def commit(self, name: str, v: Version) -> Version:
         """Make ``v`` the current version, for readers of the store and of the catalog."""
@@ -302,8 +305,7 @@ class TableStore:
         """Publish ``df`` as the whole table. It may read the table's old version."""
         layout = layout or Layout()
         old = self.versions(name)
-        write_id, failing = self.write_rows(name, df, layout, tests=tests)
-        parts = dict.fromkeys(self.written_parts(name, write_id), write_id)
+        parts, failing = self.write_rows(name, df, layout, tests=tests)
         number = old[-1] + 1 if old else 1
         return self.commit(name, Version(number, _nullable(df.schema), layout, parts, tags or {}, _inputs(sources), failing))
 
@@ -315,14 +317,12 @@ class TableStore:
         Every row of ``df`` must belong to one of ``units``.
         """
         old = self.version(name)
-        write_id, failing = self.write_rows(name, df.select(*old.schema.names), old.layout)
-        new = self.written_parts(name, write_id)
+        new, failing = self.write_rows(name, df.select(*old.schema.names), old.layout)
         outside = {unit_of(p) for p in new} - set(units)
         if outside:
             raise ValueError(f"rows outside the replaced parts of {name}: {sorted(outside)[:5]}")
         now = {p: w for p, w in old.parts.items() if unit_of(p) not in units}
-        now.update(dict.fromkeys(new, write_id))
-        return self.commit(name, old.after(now, new, failing, inputs=_inputs(sources)))
+        return self.commit(name, old.after({**now, **new}, new, failing, inputs=_inputs(sources)))
 
     def expire(self, name: str, retention: timedelta = RETENTION) -> None:
         """Delete what was replaced longer ago than ``retention``: versions, but for the newest

@@ -41,3 +41,23 @@ def test_dimension_join_is_planned_without_a_job(spark):
 def test_cutoff_keeps_the_day_itself(spark):
     df = spark.sql("SELECT * FROM VALUES (date'2022-12-29'), (date'2022-12-30'), (date'2022-12-31'), (NULL) AS t(d)")
     assert len(rows(conform.from_cutoff(df, "d", "2022-12-30"))) == 2
+
+
+def test_the_sql_and_the_operator_are_one_rule(spark):
+    schema = "p string, id bigint, at int, a string, b double, m map<string,int>"
+    data = [
+        ("x", 1, 1, "a", 1.0, None), ("x", 1, 1, "b", 0.0, {"k": 1}), ("x", 1, None, "z", 9.0, None), ("x", 2, None, None, None, None),
+        ("x", 2, None, "q", None, None), ("x", None, 5, "n", 1.0, None), ("x", None, 5, "n", 1.0, None), (None, 1, 5, "n", 1.0, None),
+        ("y", 1, 3, "late", None, None), ("y", 1, 4, "later", None, None),
+    ]
+    df = spark.createDataFrame(data, schema)
+    df.createOrReplaceTempView("given_rows")
+    by_sql = spark.sql(conform.latest_sql("given_rows", df.schema, ["p", "id"], ["at"]))
+    want = [(None, 1, "n"), ("x", 1, "b"), ("x", 2, "q"), ("x", None, "n"), ("x", None, "n"), ("y", 1, "later")]
+    assert rows(conform.latest_per_key(df, ["p", "id"], ["at"]), "p", "id", "a") == rows(by_sql, "p", "id", "a") == sorted(want, key=repr)
+    assert by_sql.columns == df.columns
+
+
+def test_marks_of_groups(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 3), ("b", None), (None, 2)], "g string, n int")
+    assert rows(conform.high_water_marks(df, "g", "n")) == [("a", 3), (None, 2)]

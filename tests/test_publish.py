@@ -6,6 +6,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from lakelayers.operators.merge import merge
 from lakelayers.operators.publish import Layout, TableStore, as_view
 
 
@@ -183,3 +184,54 @@ def test_a_hot_date_is_written_by_several_tasks(spark, store):
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     assert len(glob.glob(store.path("bronze.t") + "/_write=*/_part=*/*.parquet")) > 3
     assert store.read("bronze.t").count() == 400_000
+
+
+def test_a_commit_tells_the_catalog_what_changed(spark, store, monkeypatch):
+    store.replace("told.t", days(spark, 900), Layout("day", "month", ("id",), 16))
+    said = []
+
+    class Listening:
+        def __getattr__(self, name):
+            return getattr(spark, name)
+
+        def sql(self, text, **more):
+            said.append(text)
+            return spark.sql(text, **more)
+
+    monkeypatch.setattr(store, "spark", Listening())
+    before = spark.table("told.t")
+    for n in range(3):
+        said.clear()
+        merge(store, "told.t", spark.sql(f"SELECT {n}L AS id, date'2024-01-01' + {n} AS day"), ["id"])
+        changes = [t for t in said if "PARTITION (" in t]
+        assert len(said) <= 4 and len(changes) == 1 and changes[0].count("PARTITION (") == 1
+    assert spark.table("told.t").count() == before.count() == 900
+    assert spark.sql(f"SHOW PARTITIONS {store._shown('told.t').table}").count() == 48 + 3
+    store.expire("told.t", timedelta(0))
+    assert spark.sql(f"SHOW PARTITIONS {store._shown('told.t').table}").count() == 48
+    assert spark.table("told.t").count() == 900
+
+
+def test_a_view_of_new_columns_has_a_table_of_its_own(spark, store):
+    store.replace("grown.t", days(spark, 5), BY_MONTH)
+    store.replace("grown.t", days(spark, 7).withColumn("more", F.lit(1)), BY_MONTH)
+    assert spark.table("grown.t").columns == ["id", "day", "more"] and spark.table("grown.t").count() == 7
+    assert spark.sql("SHOW TABLES IN grown LIKE 't__v*'").count() == 1
+
+
+def test_a_view_catches_up_with_commits_outside_the_catalog(spark, store):
+    store.replace("behind.t", days(spark, 90), BY_MONTH)
+    silent = TableStore(spark, store.root, catalog=False)
+    merge(silent, "behind.t", spark.sql("SELECT 1L AS id, date'2024-02-02' AS day"), ["id"])
+    merge(silent, "behind.t", spark.sql("SELECT 999L AS id, date'2024-03-02' AS day"), ["id"])
+    assert spark.table("behind.t").count() == 90
+    store.publish_views()
+    assert spark.table("behind.t").count() == 91 and spark.table("behind.t").filter("id = 1").first().day == date(2024, 2, 2)
+
+
+def test_days_are_found_in_buckets(spark, store):
+    layout = Layout("day", "month", ("id",), 4)
+    v = store.replace("bronze.t", days(spark, 900), layout)
+    assert sorted(layout.between(v.parts, date(2024, 2, 3), date(2024, 2, 9))) == [f"2024-02.{b}" for b in range(4)]
+    assert store.read("bronze.t", dates=(date(2024, 2, 3), date(2024, 2, 9))).count() == 70
+    assert sorted(layout.holding(v.parts, [2])) == ["2024-01.2", "2024-02.2", "2024-03.2"]

@@ -6,10 +6,10 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from lakelayers import Context, settings
-from lakelayers.operators.publish import TableStore
+from lakelayers.operators.publish import Layout, TableStore
 from lakelayers.operators.quality import Check, QualityError
 from lakelayers.plans import bronze, gold, runs, silver
-from lakelayers.plans.models import run_model
+from lakelayers.plans.models import Model, run_model
 from lakelayers.sources.benchmark import BenchmarkSources, after_changes, change_batch
 from lakelayers.sources.registry import ParquetSources
 from lakelayers.streaming import ingest
@@ -218,3 +218,39 @@ def test_a_run_makes_up_for_one_that_died_after_bronze(spark, tmp_path, monkeypa
             runs.run_daily(ctx, snapshots=False)
     runs.run_daily(ctx, snapshots=False)
     assert same(ctx.ref(runs.REVENUE_DAILY), gold.revenue_daily(runs.bronze_orders(ctx)))
+
+
+def test_a_run_reads_no_table_again_for_what_was_counted_while_writing(lake, monkeypatch):
+    ctx, *_ = lake
+    monkeypatch.setattr(ctx.tables, "read_version", None)
+    monkeypatch.setattr(ctx.tables, "read", None)
+    counted = [c for c in runs.CHECKS if c.test == "not_null"]
+    assert len(counted) == len(runs.ORDER_TABLES)
+    assert {(r.table_name, r.failures, r.status) for r in runs.run_tests(ctx, counted).collect()} == {(t, 0, "pass") for t in runs.ORDER_TABLES}
+
+
+def test_failures_counted_while_writing_equal_a_scan(spark, store):
+    ctx = Context(spark, None, store, run_at=RUN)
+    check = Check("bronze.seen", "not_null", ("v",))
+    model = Model(
+        "bronze.seen", lambda c: spark.range(100).selectExpr("id", "IF(id % 7 = 0, NULL, id) AS v", "date_add(date'2024-01-01', cast(id AS int)) AS day"),
+        "table", layout=Layout("day"), tests=(check,),
+    )
+    run_model(ctx, model)
+    unique = Check("bronze.seen", "unique", ("v",))
+    found = {(r.test, r.failures) for r in runs.run_tests(ctx, [check, unique]).collect()}
+    assert found == {("not_null", 15), ("unique", 0)}
+    assert store.version("bronze.seen").failing == {"not_null v": ["2024-01", "2024-02", "2024-03", "2024-04"]}
+
+
+def test_buckets_are_the_runs_to_choose(spark, tmp_path):
+    ctx = Context(spark, BenchmarkSources(spark, SMALL), TableStore(spark, str(tmp_path)), run_at=RUN, buckets={runs.CUSTOMERS: 32, "gold.x": 3})
+    run_model(ctx, runs.CUSTOMER_MODEL)
+    first = ctx.tables.version(runs.CUSTOMERS)
+    assert len(first.parts) == 32 and ctx.layout("gold.x", Layout("d")) == Layout("d")
+    some = ctx.ref(runs.CUSTOMERS).orderBy("customer_id").limit(2).withColumn("updated_at", F.expr("timestamp'2030-01-01'"))
+    again = replace(runs.CUSTOMER_MODEL, build=lambda c: some)
+    run_model(ctx, again)
+    now = ctx.tables.version(runs.CUSTOMERS)
+    assert sum(first.parts[p] != w for p, w in now.parts.items()) <= 2
+    assert ctx.ref(runs.CUSTOMERS).filter("updated_at = timestamp'2030-01-01'").count() == 2
