@@ -98,6 +98,45 @@ def test_batches_are_held_against_the_index(spark):
     assert "SortMergeJoin" in text and text.count("Bucketed: true") == 2 and "Exchange" not in text
 
 
+def test_a_batch_that_is_added_again_has_the_same_outcome(spark, tmp_path):
+    schema, path = "doc_id bigint, text string", f"file://{tmp_path}/index"
+    decided = ("doc_id", "keep_id", "group_size", "kept")
+    one = spark.createDataFrame([(1, "a b"), (2, "ab "), (3, "c")], schema)
+    two = spark.createDataFrame([(4, "c"), (5, "d"), (6, "d "), (None, "e")], schema)
+    with digest_index.DigestIndex.open(spark, path, 4) as index:
+        first = rows(index.add(one, "one"), *decided)
+    with digest_index.DigestIndex.open(spark, path, 4) as index:  # the driver was lost, and asks again
+        assert rows(index.add(one, "one"), *decided) == first
+        held = rows(index.read())
+        assert sorted(r[1] for r in held) == [1, 3]
+        second = rows(index.add(two, "two"), *decided)
+        assert second == sorted([(4, 3, 1, False), (5, 6, 2, False), (6, 6, 2, True), (None, None, 1, True)], key=repr)
+        held = rows(index.read())
+        # Half of the batch's digests are lost, as if their files had not been finished.
+        some = spark.createDataFrame([r for r in held if r[3] == "one" or r[1] == 6], index.read().schema).collect()
+    other = f"file://{tmp_path}/other"
+    with digest_index.DigestIndex.open(spark, other, 4) as index:
+        spark.createDataFrame(some, index.read().schema).repartition(4, "text_sha256").write.insertInto(index.table)
+        assert rows(index.add(two, "two"), *decided) == second
+        assert rows(index.read()) == held
+        assert rows(index.add(one, "one"), *decided) == first
+        assert rows(index.add(two, "three"), "kept") == [(False,)] * 4
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("digest_index_") and t.name == index.table]
+
+
+@pytest.mark.parametrize("batches", [1, 2, 5])
+def test_batches_give_the_whole_tables_outcome(spark, given, batches):
+    spaced = given.withColumn("text", F.expr("translate(text, ' ', '')")).withColumn("doc_id", F.expr("doc_id + 1000000"))
+    docs = given.unionByName(spaced).unionByName(given.withColumn("doc_id", F.expr("doc_id - 1000000")))
+    found = digest_index.deduplicate(docs, 4, batches)
+    whole = digest_index.deduplicate(docs, 4, 1)
+    columns = ("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    assert rows(found, *columns) == rows(whole, *columns)
+    before = {t.name for t in spark.catalog.listTables()}
+    digest_index.deduplicate(docs, 4, batches)
+    assert {t.name for t in spark.catalog.listTables()} == before
+
+
 def test_odd_digests(odd, none):
     got = digest_index.deduplicate(odd).collect()
     by = defaultdict(list)
