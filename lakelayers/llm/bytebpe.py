@@ -6,6 +6,7 @@ import base64
 import hashlib
 import os
 import re
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -125,7 +126,7 @@ def byte_bpe(path: str, pattern: str) -> ByteBPE:
 
 
 ENCODED = (
-    "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, same boolean, "
+    "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, same boolean, offsets_crc32 long, "
     "ids array<int>, starts array<int>, ends array<int>"
 )
 
@@ -135,8 +136,9 @@ def encode_documents(docs: DataFrame, ranks: str, pattern: str, ids: bool = True
 
     Whole texts; null text is empty, has no tokens, and decodes to nothing.
     ``decoded_sha256`` is of the bytes that the ids decode to, ``same`` says
-    whether these are the text's. ``ids``, ``starts`` and ``ends`` (code points)
-    are null unless asked for. Repeated rows give repeated results, no rows give
+    whether these are the text's, ``offsets_crc32`` is of all starts and then all
+    ends as little-endian 32-bit integers. ``ids``, ``starts`` and ``ends`` (code
+    points) are null unless asked for. Repeated rows give repeated results, no rows give
     none, and other columns are ignored. One pass, no shuffle.
     """
 
@@ -146,22 +148,23 @@ def encode_documents(docs: DataFrame, ranks: str, pattern: str, ids: bool = True
             for start in range(0, batch.num_rows, BATCH_ROWS):
                 part = batch.slice(start, BATCH_ROWS)
                 texts = part["text"].to_pylist()
-                out: list[list] = [[] for _ in range(7)]
+                out: list[list] = [[] for _ in kinds]
                 for text in texts:
                     found = bpe.encode(text)
                     listed = found.tolist()
                     raw = bpe.decode_bytes(listed)
-                    spans = bpe.offsets(found, text) if offsets else (None, None)
+                    spans = [side.astype("<i4") for side in bpe.offsets(found, text)]
                     for column, value in zip(out, (
                         len(found), hashlib.sha256(bpe.shown(listed).encode()).hexdigest(), hashlib.sha256(raw).hexdigest(),
-                        raw == text.encode("utf-8"), found if ids else None, *spans,
+                        raw == text.encode("utf-8"), zlib.crc32(b"".join(side.tobytes() for side in spans)),
+                        found if ids else None, *(spans if offsets else (None, None)),
                     )):
                         column.append(value)
                 arrays = [part["doc_id"], *(pa.array(c, k) for c, k in zip(out, kinds))]
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     names = [c.split()[0] for c in ENCODED.split(", ")]
-    kinds = [pa.int64(), pa.string(), pa.string(), pa.bool_(), *[pa.list_(pa.int32())] * 3]
+    kinds = [pa.int64(), pa.string(), pa.string(), pa.bool_(), pa.int64(), *[pa.list_(pa.int32())] * 3]
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text")
     ).mapInArrow(frugal(run), ENCODED)

@@ -85,7 +85,7 @@ def op7_weak_labels(spark: SparkSession, folder: str) -> DataFrame:
 def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     found = bytebpe.encode_documents(documents(spark, folder), path, public_tokenizers.PATTERN, ids=False, offsets=False)
-    return found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    return found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "offsets_crc32")
 
 
 @query

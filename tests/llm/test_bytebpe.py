@@ -1,5 +1,7 @@
 import base64
 import hashlib
+import struct
+import zlib
 
 import public_tokenizers
 import pytest
@@ -63,3 +65,26 @@ def test_odd_rows(odd, none, library):
     long = found.where("doc_id = 7").first()
     assert long.ids == library(odd.where("doc_id = 7").first().text) and len(long.starts) == len(long.ends) == long.n_tokens
     assert bytebpe.encode_documents(none, PATH, public_tokenizers.PATTERN).collect() == []
+
+
+def plain_offsets(ids, text, bpe):
+    """Start and end of each token, going through the bytes of the text one by one."""
+    character = [n for n, c in enumerate(text) for _ in c.encode()]
+    starts, ends, at = [], [], 0
+    for i in ids:
+        size = len(bpe.bytes_of[i])
+        starts.append(character[at])
+        ends.append(character[at + size - 1] + 1)
+        at += size
+    return starts, ends
+
+
+def test_offsets_of_documents_equal_the_plain_ones(given, odd, bpe):
+    columns = ("doc_id", "ids", "starts", "ends", "offsets_crc32")
+    for docs in (given, odd):
+        found = bytebpe.encode_documents(docs, PATH, public_tokenizers.PATTERN).select(*columns).collect()
+        by_ids = {tuple(bpe.encode(r.text or "").tolist()): r.text or "" for r in docs.select("text").collect()}
+        for r in found:
+            starts, ends = plain_offsets(r.ids, by_ids[tuple(r.ids)], bpe)
+            assert (r.starts, r.ends) == (starts, ends)
+            assert r.offsets_crc32 == zlib.crc32(struct.pack(f"<{2 * len(starts)}i", *starts, *ends))
