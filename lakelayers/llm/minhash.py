@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakelayers.llm.common import components, free, written
-from lakelayers.llm.wordhash import forget, shingles
+from lakelayers.llm.wordhash import hashes_of_texts, shingles_of
 from lakelayers.llm.worker import frugal
 
 SHINGLE_WORDS = 5
@@ -84,8 +84,8 @@ def _sign(docs: DataFrame, words: int, size: int) -> DataFrame:
         functions = _functions(size)
         for batch in batches:
             counts, keys, signatures = [], [], []
-            for text in batch["text"]:
-                found = shingles(text.as_py(), words)
+            for hashed in hashes_of_texts(batch["text"].to_pylist()):
+                found = shingles_of(hashed, words)
                 counts.append(len(found))
                 keys.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
                 signatures.append(signature(found, functions).tobytes() if len(found) else None)
@@ -97,7 +97,7 @@ def _sign(docs: DataFrame, words: int, size: int) -> DataFrame:
     slim = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
     )
-    return slim.mapInArrow(frugal(run, forget), SIGNED)
+    return slim.mapInArrow(frugal(run), SIGNED)
 
 
 def _alike(pairs: DataFrame, nodes: DataFrame, steps: list[tuple[int, int]]) -> DataFrame:
@@ -147,8 +147,8 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, found = [], []
-            for text in batch["text"]:
-                one = shingles(text.as_py(), words)
+            for hashed in hashes_of_texts(batch["text"].to_pylist()):
+                one = shingles_of(hashed, words)
                 keys.append(xxhash.xxh3_128_digest(one.tobytes()))
                 found.append(one.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(found, pa.binary())], names=["key", "found"])
@@ -156,7 +156,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     ids = wanted.select(F.col("doc_id").alias("_id")).distinct().hint("shuffle_hash")
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     texts = slim.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select("text")
-    return texts.mapInArrow(frugal(run, forget), "key binary, found binary").join(wanted.select("key", "node"), "key").dropDuplicates(["node"]).select("node", "found")
+    return texts.mapInArrow(frugal(run), "key binary, found binary").join(wanted.select("key", "node"), "key").dropDuplicates(["node"]).select("node", "found")
 
 
 def near_duplicates(

@@ -13,20 +13,17 @@ SLICE = 256
 Run = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
-def frugal(run: Run, *forget: Callable[[], None]) -> Run:
+def frugal(run: Run) -> Run:
     """``run`` over slices of the batches, so that what it makes of one is small.
 
     Workers outlive their tasks and go from stage to stage. When a task ends,
-    also by a failure, the memories named are emptied, and what the process
-    has free goes back to the machine.
+    also by a failure, what the process has free goes back to the machine.
     """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
             yield from run(batch.slice(n, SLICE) for batch in batches for n in range(0, batch.num_rows, SLICE))
         finally:
-            for memory in forget:
-                memory()
             release()
 
     return task
