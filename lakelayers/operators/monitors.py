@@ -47,9 +47,14 @@ def source_freshness(
 
 def table_freshness(df: DataFrame, table: str, column: str, minutes: int, now: Column) -> DataFrame:
     """Whether a table's newest row is within the monitor's interval."""
+    return freshness_line(df.agg(F.max(column).cast("timestamp").alias("last_at")), table, minutes, now)
+
+
+def freshness_line(newest: DataFrame, table: str, minutes: int, now: Column) -> DataFrame:
+    """``table_freshness`` from the one row ``last_at`` of a table."""
     last = F.col("last_at")
     late = last.isNull() | (micros_between(last, now) > F.lit(_micros(timedelta(minutes=minutes))))
-    return df.agg(F.max(column).cast("timestamp").alias("last_at")).select(
+    return newest.select(
         F.lit(table).alias("table_name"),
         "last_at",
         F.lit(minutes).cast("bigint").alias("limit_minutes"),

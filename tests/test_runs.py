@@ -6,6 +6,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from lakelayers import Context, settings
+from lakelayers.operators import monitors
 from lakelayers.operators.publish import Layout, TableStore
 from lakelayers.operators.quality import Check, QualityError
 from lakelayers.plans import bronze, gold, runs, silver
@@ -119,6 +120,14 @@ def test_monitors(lake):
     assert [(r.baseline_runs, r.is_anomaly) for r in again] == [(1, False)]
 
 
+def test_freshness_by_footers_equals_a_scan(lake):
+    ctx, *_ = lake
+    for table, column in (("bronze.br_shopify_us_orders", "updated_at"), (runs.CUSTOMERS, "updated_at"), (runs.REVENUE_DAILY, "created_at_date")):
+        by_scan = monitors.table_freshness(ctx.ref(table), table, column, 720, ctx.now)
+        assert rows(runs._freshness(ctx, table, column, 720)) == rows(by_scan)
+    assert ctx.tables.version(runs.CUSTOMERS).layout.mark == "updated_at"
+
+
 def test_a_schema_change_is_seen_however_many_versions_ago(spark, store):
     ctx = Context(spark, None, store, run_at=RUN)
     store.replace("gold.seen", spark.range(2).toDF("id"))
