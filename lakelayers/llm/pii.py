@@ -1,7 +1,8 @@
 """Personal data by weak supervision; native throughout.
 
 Base patterns give spans that always stay. Narrower and looser patterns give
-more candidates, such as a phone number that runs into a card number. Pattern,
+more candidates, such as a phone number that runs into a card number, and
+secrets: keys, tokens and passwords, which no base pattern knows. Pattern,
 checksum, gazetteer, context and border labelers vote on every candidate;
 expectation-maximisation estimates how reliable each labeler is for each kind;
 its posteriors train the span classifier that decides what is added.
@@ -18,7 +19,9 @@ from pyspark.sql.window import Window
 
 from lakelayers.llm.common import written
 
-KINDS = ("email", "ip", "card", "phone")
+KINDS = ("email", "ip", "card", "phone", "secret")
+# Kinds with a base pattern; secrets are listed by themselves.
+LISTED = KINDS[:4]
 # The base patterns. The groups that repeat are possessive and do not
 # capture, so a long run neither recurses nor backtracks; a look-behind keeps a run of
 # local-part characters from being tried from each of its letters (\G: or where the
@@ -35,23 +38,39 @@ MORE = {
     "ip": r"(?<![0-9.])[0-9]{1,3}+(?:\.[0-9]{1,3}+){3}+(?![0-9])",
     "card": r"(?<![0-9])(?:[0-9]{13,19}+|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4})(?![0-9])",
     "phone": r"(?:\+[0-9]{1,3} ?)?(?:\([0-9]{2,4}\) ?|(?<![0-9])[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])",
+    "secret": r"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z+/_-]{0,128}+[0-9])[A-Za-z0-9+/_-]{16,512}+={0,2}+(?![A-Za-z0-9+/=_-])",
 }
 # A text without this character holds no candidate of the kind.
 NEEDS = {("email", True): "@", ("email", False): "at", ("phone", True): "+"}
 BEFORE, AFTER = 48, 16
-# Gazetteers, fixed and small.
-DOMAINS = ("com", "org", "net", "edu", "gov", "info", "io", "de", "fr", "es", "uk", "eu", "us", "ca")
+# Gazetteers: fixed values, from public lists of top-level domains, card issuers and key formats.
+DOMAINS = (
+    "com", "org", "net", "edu", "gov", "mil", "int", "info", "biz", "io", "ai", "app", "dev", "co", "me", "tv", "cloud", "online",
+    "ar", "at", "au", "be", "br", "ca", "ch", "cl", "cn", "cz", "de", "dk", "es", "eu", "fi", "fr", "gr", "hk", "hu", "ie", "il", "in",
+    "it", "jp", "kr", "lu", "mx", "nl", "no", "nz", "pe", "pl", "pt", "ro", "ru", "se", "sg", "sk", "tr", "tw", "ua", "uk", "us", "za",
+)
+KEY_FORMS = (
+    "AKIA", "ASIA", "AIza", "ghp_", "gho_", "ghs_", "github_pat_", "glpat-", "sk_live_", "sk_test_", "pk_live_", "rk_live_", "sk-", "xoxb-",
+    "xoxp-", "xoxa-", "npm_", "pypi-", "eyJ", "ya29", "SG", "dop_v1_", "shpat_",
+)
 ISSUERS = ("4", "51", "52", "53", "54", "55", "34", "37", "35", "60", "65", "62")
 CUES = {
     "email": ("mail", "contact", "write", "correo", "schreib", "courriel"),
     "ip": ("ip", "host", "server", "address", "addr", "login"),
     "card": ("card", "visa", "credit", "payment", "karte", "carte", "tarjeta"),
     "phone": ("phone", "tel", "call", "mobile", "fax", "telefon"),
+    "secret": ("token", "secret", "passw", "pwd", "api.?key", "access.?key", "private.?key", "bearer", "credential", "auth"),
 }
-COUNTER_CUES = ("version", "license", "isbn", "release", "section", "chapter", "v.")
+COUNTER_CUES = (
+    "version", "license", "isbn", "release", "section", "chapter", "v.", "commit", "revision", "md5", "sha1", "sha256", "checksum", "digest",
+    "hash", "uuid", "order", "invoice", "tracking",
+)
 LABELERS = ("shape", "check", "gazetteer", "context", "border")
 FEATURES = ("shape", "check", "gazetteer", "context", "border", "length", "left", "right", "groups")
 EM_ROUNDS = 50
+# Where expectation-maximisation begins: a vote is right four times in five, and a
+# candidate with no more than two votes over those against it is not believed.
+VOTE, DOUBT = math.log(4.0), 2.0
 SMOOTHING = 1.0
 
 
@@ -89,6 +108,14 @@ def _octets(hit: Column) -> Column:
     return F.forall(parts, lambda p: (F.char_length(p) < 3) | ((F.char_length(p) == 3) & (p <= "255")))
 
 
+def _mixed(hit: Column, before: Column) -> Column:
+    """Letters and digits, of at least eight kinds: not a word, a number or a line of one sign. What
+    looks like a digest of something counts behind a cue only."""
+    mixed = hit.rlike("[A-Za-z]") & hit.rlike("[0-9]") & (F.size(F.array_distinct(F.split(hit, ""))) >= 8)
+    cue = F.lower(before).rlike("(?:" + "|".join(CUES["secret"]) + ")")
+    return mixed & (~hit.rlike("^[0-9A-Fa-f]+$") | cue)
+
+
 def candidates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(documents, spans): one pass over the texts, written, and the placed matches.
 
@@ -112,7 +139,7 @@ def candidates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     passes = F.when(count.between(12, 19), luhn("digits")).otherwise(False)
     valid = (
         F.when(F.col("kind") == 0, True).when(F.col("kind") == 1, _octets(F.col("hit")))
-        .when(F.col("kind") == 2, passes).otherwise(count.between(9, 15))
+        .when(F.col("kind") == 2, passes).when(F.col("kind") == 3, count.between(9, 15)).otherwise(_mixed(F.col("hit"), F.col("before")))
     )
     return held, spans.withColumn("valid", valid).drop("nth", "gap")
 
@@ -130,16 +157,18 @@ def labelled(spans: DataFrame) -> DataFrame:
     """Adds one column per labeler (1 yes, -1 no, 0 no opinion) and one per other feature."""
     kind, hit, count = F.col("kind"), F.col("hit"), F.char_length("digits")
     shape = (
-        F.when(kind == 0, hit.rlike(r"^[A-Za-z0-9][^@]*@[^@]*\.[A-Za-z]{2,24}$"))
+        F.when(kind == 0, hit.rlike(r"^[A-Za-z0-9][^@]*(@| ?[\[(]at[\])] ?)[^@]*(\.|[\])] ?)[A-Za-z]{2,24}$"))
         .when(kind == 1, hit.rlike(r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$"))
         .when(kind == 2, hit.rlike(r"^([0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\2[0-9]{4}\2[0-9]{4}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})$"))
-        .otherwise(hit.rlike(r"^(\+[0-9]{1,3}[ .-]?)?\(?[0-9]{2,4}\)?([ .-]?[0-9]{2,4}){2,4}$"))
+        .when(kind == 3, hit.rlike(r"^(\+[0-9]{1,3}[ .-]?)?\(?[0-9]{2,4}\)?([ .-]?[0-9]{2,4}){2,4}$"))
+        .otherwise(hit.rlike(r"^([0-9a-f]{32,}|[0-9A-F]{32,}|(?=.*[a-z])(?=.*[A-Z])(?=.*[0-9].*[0-9]).{16,})$"))
     )
     known = (
         F.when(kind == 0, F.lower(hit).rlike(r"[.)\] ](" + "|".join(DOMAINS) + ")$"))
         .when(kind == 1, ~hit.rlike(r"^0+\."))
         .when(kind == 2, F.col("digits").rlike("^(" + "|".join(ISSUERS) + ")"))
-        .otherwise(hit.rlike(r"^\+[1-9]"))
+        .when(kind == 3, hit.rlike(r"^(\+[1-9]|\(?[2-9][0-9]{2}\)?[ .-][2-9][0-9]{2}[ .-])"))  # a country, or an area and exchange
+        .otherwise(hit.rlike("^(" + "|".join(KEY_FORMS) + ")"))
     )
     left, right = F.right("before", F.lit(1)), F.left("after", F.lit(1))
     joined = F.coalesce(left.rlike(r"[A-Za-z0-9]"), F.lit(False)) | F.coalesce(right.rlike(r"[A-Za-z0-9]"), F.lit(False))
@@ -151,7 +180,7 @@ def labelled(spans: DataFrame) -> DataFrame:
 
     return spans.withColumns({
         "shape": _vote(shape, ~shape), "check": _vote(F.col("valid"), ~F.col("valid")),
-        "gazetteer": _vote(known, (kind != 1) & ~known), "context": _vote(cue, counter), "border": _vote(F.lit(False), joined),
+        "gazetteer": _vote(known, ~kind.isin(1, 4) & ~known), "context": _vote(cue, counter), "border": _vote(F.lit(False), joined),
     }).withColumns({
         "length": F.least(F.floor(F.char_length("hit") / 4), F.lit(10)).cast("int"),
         "left": border(left), "right": border(right),
@@ -169,8 +198,8 @@ def reliabilities(patterns: list[tuple], rounds: int = EM_ROUNDS) -> dict[int, t
     for kind in {p[0] for p in patterns}:
         own = [(p[1:-1], p[-1]) for p in patterns if p[0] == kind]
         width = len(own[0][0])
-        prior = 0.0
-        ratios = [{1: math.log(4.0), 0: 0.0, -1: -math.log(4.0)} for _ in range(width)]
+        prior = -DOUBT * VOTE
+        ratios = [{1: VOTE, 0: 0.0, -1: -VOTE} for _ in range(width)]
         for _ in range(rounds):
             yes = [dict.fromkeys((-1, 0, 1), SMOOTHING) for _ in range(width)]
             no = [dict.fromkeys((-1, 0, 1), SMOOTHING) for _ in range(width)]
@@ -207,7 +236,7 @@ def _lookup(values: dict[tuple, float], *keys: Column) -> Column:
 def classified(spans: DataFrame) -> DataFrame:
     """Adds ``score``: the log odds that the trained classifier gives a span."""
     voted = labelled(spans)
-    counts = [tuple(r) for r in voted.groupBy("kind", *LABELERS).count().collect()]  # at most 4 * 243 rows
+    counts = [tuple(r) for r in voted.groupBy("kind", *LABELERS).count().collect()]  # at most 5 * 243 rows
     models = reliabilities(counts)
     kind = F.col("kind")
     weights = {(k, n, v): r for k, (_, ratios) in models.items() for n, name in enumerate(LABELERS) for v, r in ratios[n].items()}
@@ -216,7 +245,7 @@ def classified(spans: DataFrame) -> DataFrame:
     )
     soft = voted.withColumn("chance", 1 / (1 + F.exp(-F.greatest(F.least(odds, F.lit(500.0)), F.lit(-500.0)))))
     pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("feature"), F.col(f).cast("int").alias("value")) for n, f in enumerate(FEATURES)]))
-    # At most 4 kinds * 9 features * 11 values.
+    # At most 5 kinds * 9 features * 11 values.
     sums = (
         soft.select("kind", "chance", pairs.alias("p")).groupBy("kind", "p.feature", "p.value")
         .agg(F.sum("chance").alias("yes"), F.sum(1 - F.col("chance")).alias("no")).collect()
@@ -239,13 +268,14 @@ def classified(spans: DataFrame) -> DataFrame:
 
 
 def personal_data(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, row.
+    """One row per row of ``docs``: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_secret, secrets, row.
 
-    ``spans`` joins ``kind:start:end`` of all spans by start, then kind; counts
-    and ``base_sha256`` are of the base spans alone. A span that is added
+    ``spans`` joins ``kind:start:end`` of all spans of the four kinds by start,
+    then kind; counts and ``base_sha256`` are of the base spans alone. ``secrets``
+    joins ``start:end`` of keys, tokens and passwords. A span that is added
     passes its kind's check, is one the classifier holds more likely than not,
     and overlaps no base span of its kind and no added one that starts before it.
-    Null text is empty; a text without spans gives an empty list and the digest
+    Whole texts are read, however long. Null text is empty; a text without spans gives an empty list and the digest
     of nothing. Repeated rows each have a result; no rows give none; other
     columns are ignored.
 
@@ -268,16 +298,19 @@ def personal_data(docs: DataFrame) -> DataFrame:
     span = F.struct("start", "kind", "end", "base")
     listed = free.groupBy("row").agg(
         F.sort_array(F.collect_list(span)).alias("all"),
-        *[F.sum((F.col("base") & (F.col("kind") == n)).cast("long")).alias(f"n_{k}") for n, k in enumerate(KINDS)],
+        *[F.sum((F.col("base") & (F.col("kind") == n)).cast("long")).alias(f"n_{k}") for n, k in enumerate(LISTED)],
+        F.count_if(F.col("kind") == len(LISTED)).alias("n_secret"),
     )
-    kinds = "array(" + ", ".join(f"'{k}'" for k in KINDS) + ")"
+    kinds = "array(" + ", ".join(f"'{k}'" for k in LISTED) + ")"
     shown = f"x -> concat(element_at({kinds}, x.kind + 1), ':', x.start, ':', x.end)"
     listed = listed.select(
-        "row", *[f"n_{k}" for k in KINDS],
+        "row", *[f"n_{k}" for k in LISTED], "n_secret",
         F.expr(f"array_join(transform(filter(all, x -> x.base), {shown}), ',')").alias("base_spans"),
-        F.expr(f"array_join(transform(all, {shown}), ',')").alias("spans"),
+        F.expr(f"array_join(transform(filter(all, x -> x.kind < {len(LISTED)}), {shown}), ',')").alias("spans"),
+        F.expr(f"array_join(transform(filter(all, x -> x.kind = {len(LISTED)}), x -> concat(x.start, ':', x.end)), ',')").alias("secrets"),
     )
     return held.select("row", "doc_id").join(listed, "row", "left").select(
-        "doc_id", *[F.coalesce(f"n_{k}", F.lit(0)).cast("long").alias(f"n_{k}") for k in KINDS],
-        F.sha2(F.coalesce("base_spans", F.lit("")), 256).alias("base_sha256"), F.coalesce("spans", F.lit("")).alias("spans"), "row",
+        "doc_id", *[F.coalesce(f"n_{k}", F.lit(0)).cast("long").alias(f"n_{k}") for k in LISTED],
+        F.sha2(F.coalesce("base_spans", F.lit("")), 256).alias("base_sha256"), F.coalesce("spans", F.lit("")).alias("spans"),
+        F.coalesce("n_secret", F.lit(0)).cast("long").alias("n_secret"), F.coalesce("secrets", F.lit("")).alias("secrets"), "row",
     )

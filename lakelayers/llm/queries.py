@@ -78,7 +78,7 @@ def op6_chained_passages(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op7_weak_labels(spark: SparkSession, folder: str) -> DataFrame:
     found = pii.personal_data(documents(spark, folder))
-    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_secret", "secrets")
 
 
 @query
