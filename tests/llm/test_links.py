@@ -331,7 +331,8 @@ def test_shared_runs_leave_out_what_two_hold():
     assert not len(chaining.shared_runs(words, picked[:0], 50)[0])
     middle = int(picked[len(picked) // 2])
     kept = chaining.shared_runs(words, picked[picked != middle], 50)[0].tolist()
-    assert kept == [p for p in range(151) if not p + 11 <= middle <= p + 31]
+    inner, outer = chaining.WINDOW - 1, 50 - chaining.SEED_WORDS - chaining.WINDOW + 1
+    assert kept == [p for p in range(151) if not p + inner <= middle <= p + outer]
 
 
 def test_passages_with_edits_near_their_ends_and_on_far_diagonals(spark):
@@ -345,3 +346,64 @@ def test_passages_with_edits_near_their_ends_and_on_far_diagonals(spark):
     assert got.keys() == {(1, 2), (2, 1), (3, 4), (4, 3)}
     assert (got[1, 2].start_word, got[1, 2].end_word, got[1, 2].edits) == (30, 82, 1)
     assert (got[3, 4].start_word, got[3, 4].end_word, got[3, 4].edits) == (30, 330, 40)
+
+
+def edited_copy(draw, passage, share):
+    """The words of a passage with a share of them replaced, at random places."""
+    out = passage.copy()
+    at = draw.choice(len(out), round(len(out) * share), replace=False)
+    out[at] = draw.integers(1, 1 << 60, len(at)).astype(np.uint64)
+    return out
+
+
+@pytest.mark.parametrize("identity, least", [(1.0, 1.0), (0.95, 0.98), (0.9, 0.97), (0.85, 0.95), (0.8, 0.85)])
+def test_recall_of_pairs(identity, least):
+    """Of 200 pairs of texts that share 120 words at an identity, those for which a passage comes out."""
+    found = 0
+    for seed in range(200):
+        draw = np.random.default_rng(seed)
+        some = lambda n: draw.integers(1, 1 << 60, n).astype(np.uint64)
+        passage = some(120)
+        texts = [np.concatenate([some(150), words, some(90)]) for words in (passage, edited_copy(draw, passage, 1 - identity))]
+        places = [dict(zip(*(a.tolist() for a in reversed(chaining.winnow(t))))) for t in texts]
+        shared = [h for h in places[0] if h in places[1]]
+        if not shared:
+            continue
+        px, py = chaining.thinned(*(np.array([p[h] for h in shared]) for p in places))
+        x, y = ((t >> np.uint64(33)).astype(np.int32) for t in texts)
+        found += any(
+            chaining._passages(x, y, px[path].tolist(), py[path].tolist(), chaining.MIN_WORDS, chaining.IDENTITY)
+            for _, path in chaining.chains(px, py)
+        )
+    print(f"identity {identity}: {found} of 200 pairs")
+    assert found >= least * 200
+
+
+@pytest.mark.parametrize("holders, share, least", [(2, 0.1, 0.9), (5, 0.05, 0.95), (20, 0.05, 0.95)])
+def test_recall_with_more_holders(spark, holders, share, least):
+    """Texts that hold an edited copy of a passage of 120 words: how many of them come out."""
+    draw, docs = np.random.default_rng(holders), []
+    groups = 120 // holders
+    for g in range(groups):
+        passage = np.array([f"w{x}" for x in draw.integers(0, 1 << 40, 120)], dtype=object)
+        for _ in range(holders):
+            words = passage.copy()
+            at = draw.choice(120, round(120 * share), replace=False)
+            words[at] = [f"e{x}" for x in draw.integers(0, 1 << 40, len(at))]
+            docs.append((len(docs), " ".join([prose(1000 + len(docs), 40), *words, prose(5000 + len(docs), 30)])))
+    found = chaining.shared_passages(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
+    told = {r.doc_id for r in found if r.doc_id // holders == r.other_id // holders}
+    print(f"{holders} holders, {share:.0%} edited in each: {len(told)} of {len(docs)} texts")
+    assert len(told) >= least * len(docs)
+
+
+def test_repeated_rows_and_copies_cost_a_row_each(spark):
+    one = prose(77, 120)
+    two = " ".join(one.split()[:100]) + " " + prose(78, 40)
+    rows_ = [(1, one)] * 40 + [(2, two)] * 40 + [(n, one) for n in range(10, 50)]
+    found = chaining.shared_passages(spark.createDataFrame(rows_, "doc_id bigint, text string").repartition(4)).collect()
+    pairs = {(r.doc_id, r.other_id) for r in found}
+    assert len(found) == len(pairs) == 2 + 2 * 40
+    assert {(1, 2), (2, 1)} | {(n, 1) for n in range(10, 50)} | {(1, n) for n in range(10, 50)} == pairs
+    whole = [r for r in found if r.doc_id == 10]
+    assert (whole[0].start_word, whole[0].end_word, whole[0].edits) == (0, 120, 0)
