@@ -212,6 +212,8 @@ class TableStore:
         if v is None:
             raise LookupError(f"no version of table {name} is published")
         if v.reading is not None:
+            if parts is not None or with_part or dates is not None:
+                raise ValueError(f"{name} is made from its stored rows, which cannot be read by part")
             return self.spark.sql(v.reading, rows=self.read_version(name, v))
         if dates is None:
             return self.read_version(name, v, parts, with_part)
@@ -389,7 +391,8 @@ class TableStore:
         those it wrote, which no reader sees yet, and then replaces the view, in
         one step, by one that names the current ones. What was replaced stays in
         the catalog until ``expire``, for plans that were made before. So a
-        commit tells the catalog about changed parts only.
+        commit tells the catalog about changed parts only. Other columns make
+        another table, and the one before is dropped.
         """
         v = v or self.version(name)
         shown = self._shown(name)

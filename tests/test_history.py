@@ -104,6 +104,12 @@ def test_a_run_writes_what_changed_and_nothing_else(spark, store):
     assert found.filter("valid_to = valid_from").isEmpty()
 
 
+def test_a_history_is_read_whole(spark, store):
+    take(spark, store, [(1, "a", 1)], 5)
+    with pytest.raises(ValueError, match="by part"):
+        store.read(NAME, parts=["run-00000001"])
+
+
 def test_the_catalog_view_shows_periods(spark, tmp_path):
     store = TableStore(spark, str(tmp_path))
     rows_of = [[(1, "a", 1), (2, "b", 1)], [(1, "A", 6)]]
