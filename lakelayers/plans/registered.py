@@ -26,7 +26,7 @@ from lakelayers.operators.publish import ROWS_PER_FILE, Layout, TableStore, as_v
 from lakelayers.operators.quality import Check
 from lakelayers.plans import bronze, gold, runs, silver
 from lakelayers.plans.models import Model, run_model
-from lakelayers.session import scratch_dir
+from lakelayers.session import bytes_of, scratch_dir
 from lakelayers.sources import seeds
 from lakelayers.sources.benchmark import BenchmarkSources, after_changes, change_batch, redelivered
 from lakelayers.sources.registry import ParquetSources
@@ -363,9 +363,9 @@ def part_files(ctx: Context) -> DataFrame:
     stored = ctx.ref("bronze.orders").select(F.date_format("created_at_date", "yyyy-MM").alias("month"), F.input_file_name().alias("file"))
     files = stored.groupBy("month", "file").agg(F.count("*").alias("rows"))
     by_month = files.groupBy("month").agg(F.sum("rows").alias("orders"), F.count("*").alias("files"), F.max("rows").alias("most"))
-    share = ctx.spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes").removesuffix("b")
+    share = bytes_of(ctx.spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes")
     # Run-time splitting cuts a month by the bytes its rows have in the shuffle: at most ROW_BYTES each.
-    allowed = 1 + F.ceil(F.col("orders") * ROW_BYTES * 2 / int(share)) + F.ceil(F.col("orders") / ROWS_PER_FILE)
+    allowed = 1 + F.ceil(F.col("orders") * ROW_BYTES * 2 / share) + F.ceil(F.col("orders") / ROWS_PER_FILE)
     return by_month.select("month", "orders", ((F.col("files") <= allowed) & (F.col("most") <= ROWS_PER_FILE)).alias("files_bounded"))
 
 

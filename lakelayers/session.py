@@ -51,6 +51,11 @@ def shuffle_width(input_bytes: int) -> int:
     return max(1, math.ceil(input_bytes * DECODED_PER_STORED / SHUFFLE_BYTES_PER_TASK))
 
 
+def bytes_of(spark: SparkSession, setting: str) -> int:
+    """A size that a session is set to, such as ``64MB``, in bytes."""
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(setting))
+
+
 def pin(spark: SparkSession) -> None:
     for key, value in {**RESULT_CONF, **PLAN_CONF}.items():
         if spark.conf.get(key, None) != value:

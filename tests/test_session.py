@@ -1,4 +1,5 @@
 from lakelayers import session
+from lakelayers.plans.registered import QUERIES
 
 
 def test_shuffle_width_follows_the_input_at_any_size():
@@ -32,3 +33,23 @@ def test_small_files_are_written_once(spark, tmp_path):
     assert session.write_text(spark, path, "é1")
     assert not session.write_text(spark, path, "other")
     assert session.read_text(spark, path) == "é1"
+
+
+def test_sizes_are_read_in_bytes(spark):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(key, "3m")
+    try:
+        assert session.bytes_of(spark, key) == 3 << 20
+    finally:
+        spark.conf.unset(key)
+    assert session.bytes_of(spark, key) > 0
+
+
+def test_a_months_files_are_bounded_at_small_shares_too(spark):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(key, "16KB")
+    try:
+        found = QUERIES["part_files"](spark, "/root/testdata/sf0.001").collect()
+    finally:
+        spark.conf.unset(key)
+    assert found and all(r.files_bounded for r in found)
