@@ -407,19 +407,3 @@ def test_repeated_rows_and_copies_cost_a_row_each(spark):
     assert {(1, 2), (2, 1)} | {(n, 1) for n in range(10, 50)} | {(1, n) for n in range(10, 50)} == pairs
     whole = [r for r in found if r.doc_id == 10]
     assert (whole[0].start_word, whole[0].end_word, whole[0].edits) == (0, 120, 0)
-
-
-def test_what_is_left_out_before_alignment_holds_no_passage():
-    draw, left_out = np.random.default_rng(4), 0
-    for _ in range(3000):
-        n = int(draw.integers(50, 70))
-        x = draw.integers(1, int(draw.integers(3, 400)), n).astype(np.int32)
-        y = x.tolist()
-        for _ in range(int(draw.integers(0, n))):
-            at, what = int(draw.integers(0, len(y))), draw.integers(0, 3)
-            y[at : at + (what != 0)] = [] if what == 1 and len(y) > 50 else [int(draw.integers(500, 900))]
-        y = np.array(y, np.int32)
-        if chaining._too_little(x, y, 50, 0.8):
-            left_out += 1
-            assert min(len(x), len(y)) < 50 or chaining.edits(x, y) > 0.2 * max(len(x), len(y)) + 1e-9
-    assert left_out > 100
