@@ -407,3 +407,39 @@ def test_repeated_rows_and_copies_cost_a_row_each(spark):
     assert {(1, 2), (2, 1)} | {(n, 1) for n in range(10, 50)} | {(1, n) for n in range(10, 50)} == pairs
     whole = [r for r in found if r.doc_id == 10]
     assert (whole[0].start_word, whole[0].end_word, whole[0].edits) == (0, 120, 0)
+
+
+@pytest.mark.parametrize("holders, share", [(5, 0.04), (12, 0.04)])
+def test_all_pairs_of_edited_copies_come_out(spark, holders, share):
+    draw, docs = np.random.default_rng(holders), []
+    passage = np.array([f"w{x}" for x in draw.integers(0, 1 << 40, 120)], dtype=object)
+    for n in range(holders):
+        words = passage.copy()
+        at = draw.choice(np.arange(2, 118), round(120 * share), replace=False)
+        words[at] = [f"e{x}" for x in draw.integers(0, 1 << 40, len(at))]
+        docs.append((n, " ".join([prose(1000 + n, 40), *words, prose(5000 + n, 30)])))
+    found = chaining.shared_passages(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
+    # What is no row is in a class of equal words, by way of rows.
+    assert {r.component_id for r in found} == {0} and {r.doc_id for r in found} == set(range(holders))
+    pairs = {(r.doc_id, r.other_id) for r in found}
+    assert len(pairs) > 2 * 2 * (holders - 1)  # more than each with the next
+    for a, b in itertools.combinations(range(holders), 2):
+        x, y = words_of(docs[a][1]), words_of(docs[b][1])
+        runs = {tuple(x[i : i + 50]) for i in range(len(x) - 49)} & {tuple(y[i : i + 50]) for i in range(len(y) - 49)}
+        assert (a, b) in pairs or runs
+
+
+def test_pairs_to_connect():
+    pairs = np.array([(0, 1), (1, 2), (0, 2), (3, 4), (0, 3)])
+    assert chaining.connecting(pairs, 5, lambda a, b: True).tolist() == [[0, 1], [1, 2], [3, 4], [0, 3]]
+    assert chaining.connecting(pairs, 5, lambda a, b: a != 1).tolist() == [[0, 1], [1, 2], [0, 2], [3, 4], [0, 3]]
+    assert chaining.connecting(pairs, 5, lambda a, b: None).tolist() == []
+
+
+def test_sketches_count_words_in_common():
+    draw = np.random.default_rng(4)
+    one = draw.integers(0, 1 << 16, 94).astype(np.uint16)
+    two = np.concatenate([one[:30], draw.integers(0, 1 << 16, 64).astype(np.uint16)])
+    again = np.repeat(one[:1], 94)
+    near = chaining.similar(*[chaining.sketches([one, two, again])] * 2, 25)
+    assert near.tolist() == [[True, True, False], [True, True, False], [False, False, True]]
