@@ -265,23 +265,22 @@ def _between_components(members: DataFrame, labels: DataFrame, nodes: DataFrame,
         found = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows["found"]]
         band, sizes = rows["band"][0].as_py(), np.array([len(f) for f in found])
         odd, every = np.flatnonzero(side == 1), np.flatnonzero(side == 0)
-        parent: dict[int, int] = {}
-
-        def root(x: int) -> int:
-            while parent.setdefault(x, x) != x:
-                parent[x] = x = parent[parent[x]]
-            return x
-
+        united = label.copy()
         held = np.concatenate([found[i] for i in every]) if len(every) else np.empty(0, np.uint64)
         owner = np.repeat(np.arange(len(every)), sizes[every])
         order = np.argsort(held, kind="stable")
         held, owner = held[order], owner[order]
         pairs = []
         for x in odd:
-            same = signed[every] == signed[x]
-            shared = same.reshape(len(every), -1, band_rows).all(axis=2)
-            alive = (shared.argmax(axis=1) == band) & shared[:, band] & (label[every] != label[x])
-            matches, done = np.zeros(len(every), np.int64), 0
+            # What links join already is not compared again.
+            apart = np.flatnonzero(united[every] != united[x])
+            if not len(apart):
+                continue
+            others = every[apart]
+            same = signed[others] == signed[x]
+            shared = same.reshape(len(others), -1, band_rows).all(axis=2)
+            alive = (shared.argmax(axis=1) == band) & shared[:, band]
+            matches, done = np.zeros(len(others), np.int64), 0
             for n, least in steps:
                 matches += same[:, done:n].sum(axis=1)
                 alive &= matches >= least
@@ -291,11 +290,11 @@ def _between_components(members: DataFrame, labels: DataFrame, nodes: DataFrame,
             low, high = np.searchsorted(held, found[x], "left"), np.searchsorted(held, found[x], "right")
             many = high - low
             at = np.repeat(low - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
-            both = np.bincount(owner[at], minlength=len(every))
-            linked = alive & (whole * both >= part * (sizes[every] + sizes[x] - both))
-            for y in every[linked]:
-                if root(int(label[x])) != root(int(label[y])):
-                    parent[root(int(label[x]))] = root(int(label[y]))
+            both = np.bincount(owner[at], minlength=len(every))[apart]
+            linked = alive & (whole * both >= part * (sizes[others] + sizes[x] - both))
+            for y in others[linked]:
+                if united[x] != united[y]:
+                    united[united == united[x]] = united[y]
                     pairs.append((int(node[x]), int(node[y])))
         return pa.table({"a": pa.array([p[0] for p in pairs], pa.int64()), "b": pa.array([p[1] for p in pairs], pa.int64())})
 
