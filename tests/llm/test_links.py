@@ -443,3 +443,27 @@ def test_sketches_count_words_in_common():
     again = np.repeat(one[:1], 94)
     near = chaining.similar(*[chaining.sketches([one, two, again])] * 2, 25)
     assert near.tolist() == [[True, True, False], [True, True, False], [False, False, True]]
+
+
+def test_phrases_that_texts_share_by_chance_are_not_aligned(spark, monkeypatch):
+    phrase, kept = prose(91, 7), {}
+    docs = [(n, f"{prose(9100 + n, 80)} {phrase if n < 2 else prose(92, 7)} {prose(9200 + n, 80)}") for n in range(5)]
+    plain = chaining.written
+
+    def spied(df, label):
+        kept[label] = plain(df, label)
+        return kept[label]
+
+    monkeypatch.setattr(chaining, "written", spied)
+    assert chaining.shared_passages(spark.createDataFrame(docs, "doc_id bigint, text string")).collect() == []
+    assert kept["chains"].count() == 0
+
+
+def test_extensions_of_many_are_those_of_each():
+    draw = np.random.default_rng(3)
+    for words in (4, 50, 1 << 20):
+        one = draw.integers(0, words, (200, 64)).astype(np.int32)
+        two = np.where(draw.random(one.shape) < 0.1, draw.integers(0, words, one.shape), one).astype(np.int32)
+        two[::2, 9:] = two[::2, 8:-1].copy()
+        got = np.stack(chaining.extensions(one, two, 0.8)[:3], axis=1).tolist()
+        assert [tuple(g) for g in got] == [chaining._extended(a, b, 0.8) for a, b in zip(one, two)]
