@@ -467,3 +467,65 @@ def test_extensions_of_many_are_those_of_each():
         two[::2, 9:] = two[::2, 8:-1].copy()
         got = np.stack(chaining.extensions(one, two, 0.8)[:3], axis=1).tolist()
         assert [tuple(g) for g in got] == [chaining._extended(a, b, 0.8) for a, b in zip(one, two)]
+
+
+def test_extensions_stop_at_the_end_of_a_row():
+    one = np.arange(1, 45, dtype=np.int32)[None]
+    for filler in range(-9, 0):
+        two = np.where(one <= 40, one, filler).astype(np.int32)
+        for pair in ((one, two), (two, one)):
+            got = np.stack(chaining.extensions(*pair, 0.8)[:3], axis=1).tolist()
+            assert got == [[40, 40, 0]]
+
+
+def test_seeds_of_texts_together_are_those_of_each():
+    draw = np.random.default_rng(6)
+    texts = [draw.integers(1, words, n).astype(np.uint64) for words in (2, 3, 1 << 40) for n in (0, 5, 6, 12, 13, 14, 15, 300, 70_000, 40)]
+    for one, two in zip(chaining.winnowed(texts), map(chaining.winnow, texts), strict=True):
+        assert all(a.tolist() == b.tolist() and a.dtype == b.dtype for a, b in zip(one, two))
+
+
+def test_kinds_of_runs_of_one_word():
+    some = np.random.default_rng(7).integers(100, 1 << 40, 400)
+    whole, broken, sparse = [1] * 60, [2] * 30 + [3] * 4 + [2] * 30, [4] * 40 + [5] * 25 + [4] * 40
+    words = np.concatenate([some[:50], whole, some[50:200], broken, some[200:], sparse, [2] * 60]).astype(np.uint64)
+    [(picked, hashes)] = chaining.seeds_of([words], 44)
+    told = {}
+    for at, kind in zip(picked.tolist(), chaining.kinds(words, picked, 50, 0.8).tolist()):
+        run = set(words[at : at + chaining.SEED_WORDS].tolist())
+        told.setdefault(run.pop() if len(run) == 1 else 0, set()).add(kind)
+    assert told == {0: {chaining.OTHER}, 1: {chaining.WHOLE}, 2: {chaining.BROKEN}, 4: {chaining.SPARSE}, 5: {chaining.SPARSE}}
+    # Beside a run every seed with another word is kept.
+    assert set(range(50 - 44, 50)) | set(range(105, 110)) <= set(picked.tolist())
+    assert (hashes == run_hashes(words, chaining.SEED_WORDS)[picked]).all()
+
+
+def test_texts_with_a_run_of_one_word_do_not_all_meet(spark, monkeypatch):
+    draw, docs, kept = random.Random(5), {}, {}
+    for n in range(200):  # a run of 30 to 49 words or of more, among other runs
+        run = draw.randrange(30, 50) if n % 2 else draw.randrange(50, 90)
+        docs[n] = " ".join([f"a{n}"] * 30 + ["the"] * run + [f"b{n}"] * 40)
+    docs[300] = " ".join([prose(300, 20), *["the"] * 30, "edit", *["the"] * 30, prose(301, 20)])
+    docs[301] = " ".join([prose(302, 20), *["the"] * 20, "other", *["the"] * 40, prose(303, 20)])
+    for n in (400, 401):  # short runs that are a passage with the words beside them
+        docs[n] = " ".join([prose(n, 20), *["the"] * 30, prose(310, 30), prose(n + 10, 20)])
+    plain = chaining.written
+
+    def spied(df, label):
+        kept[label] = plain(df, label)
+        return kept[label]
+
+    monkeypatch.setattr(chaining, "written", spied)
+    found = chaining.shared_passages(spark.createDataFrame(list(docs.items()), "doc_id bigint, text string")).collect()
+    # Three places of each run as it was compared before, and all with all.
+    assert kept["chains"].count() < 8 * len(docs)
+    assert {r.doc_id for r in found} == {*range(0, 200, 2), 300, 301, 400, 401}
+    assert {r.component_id for r in found if r.doc_id < 400} == {0}
+    assert {(r.doc_id, r.other_id) for r in found if r.doc_id >= 400} == {(400, 401), (401, 400)}
+    for r in found:
+        if r.doc_id < 200:
+            assert words_of(docs[r.doc_id])[r.start_word : r.end_word] == ["the"] * (r.end_word - r.start_word)
+    for n in range(0, 200, 2):  # all of each run is covered
+        covered = {p for r in found if r.doc_id == n for p in range(r.start_word, r.end_word)}
+        longest = max(len(words_of(docs[m])) - 70 for m in range(0, 200, 2) if m != n)
+        assert len(covered) >= min(len(words_of(docs[n])) - 70, longest)
